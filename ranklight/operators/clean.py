@@ -58,10 +58,12 @@ def fill_median(df: DataFrame, cols=NUMERIC_FILL, exact: bool = True) -> DataFra
     df = coerce_numeric(df, cols)
     if not cols:
         return df
-    meds = df.select(*[(F.median(c) if exact else F.percentile_approx(c, 0.5, 10000).cast("double")).alias(c)
-                       for c in cols])
+    # One scalar subquery for all medians (a struct), referenced per column:
+    # Spark runs it once.
+    meds = _scalar(df, F.struct(*[(F.median(c) if exact else F.percentile_approx(c, 0.5, 10000).cast("double"))
+                                  .alias(c) for c in cols]))
     for c in cols:
-        df = df.withColumn(c, F.coalesce(F.col(c).cast("double"), _scalar(meds, F.col(c))))
+        df = df.withColumn(c, F.coalesce(F.col(c).cast("double"), meds.getField(c)))
     return df
 
 
@@ -123,7 +125,8 @@ def iqr_filter(df: DataFrame, col: str = "members", factor: float = 3.0, exact:
         return df
     q = df.select((F.percentile(col, F.array(F.lit(0.25), F.lit(0.75))) if exact
                    else F.percentile_approx(col, [0.25, 0.75], 10000).cast("array<double>")).alias("q"))
-    q1, q3 = _scalar(q, F.col("q")[0]), _scalar(q, F.col("q")[1])
+    qs = _scalar(q, F.col("q"))
+    q1, q3 = qs[0], qs[1]
     iqr = q3 - q1
     return df.filter((F.col(col) >= q1 - factor * iqr) & (F.col(col) <= q3 + factor * iqr))
 

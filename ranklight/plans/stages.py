@@ -11,22 +11,38 @@ from pyspark.sql import functions as F
 
 from ranklight.operators import clean, collab
 from ranklight.plans.base_sql import CATALOGUE_RAW, RATINGS_LOG
+from ranklight.session import checkpoint_dir
 from ranklight.sources import tables
 
 
+_MEMO: dict = {}
+
+
+def materialize(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
+    """Build a stage once per application and data folder, written as a
+    reliable checkpoint into the shared checkpoint folder.  Downstream plans
+    start from the written table: short lineage, and a lost executor costs a
+    re-read, not a recomputation of the stage."""
+    key = (spark.sparkContext.applicationId, sf, name)
+    if key not in _MEMO:
+        checkpoint_dir(spark)
+        _MEMO[key] = build().checkpoint(eager=True)
+    return _MEMO[key]
+
+
 def catalogue_raw(spark: SparkSession, sf: str) -> DataFrame:
-    return tables.catalogue_raw(spark, sf)
+    return materialize(spark, sf, "catalogue_raw", lambda: tables.catalogue_raw(spark, sf))
 
 
 def catalogue(spark: SparkSession, sf: str) -> DataFrame:
     """The cleaned catalogue."""
-    return clean.clean_catalogue(catalogue_raw(spark, sf))
+    return materialize(spark, sf, "catalogue", lambda: clean.clean_catalogue(catalogue_raw(spark, sf)))
 
 
 def ratings_clean(spark: SparkSession, sf: str) -> DataFrame:
     """Ratings: keep-last per (user, item), without 'watching' rows."""
-    return clean.drop_watching(clean.ratings_keep_last(tables.ratings_log(spark, sf))) \
-        .select("user_id", "item_id", "rating")
+    return materialize(spark, sf, "ratings_clean", lambda: clean.drop_watching(
+        clean.ratings_keep_last(tables.ratings_log(spark, sf))).select("user_id", "item_id", "rating"))
 
 
 def ratings_split(spark: SparkSession, sf: str, test_size: float = 0.2) -> DataFrame:
@@ -103,7 +119,7 @@ cat_norm AS (
       coalesce(episodes, 0.0) AS episodes),
     CASE WHEN genres IS NULL THEN []::VARCHAR[]
          ELSE list_transform(string_split(regexp_replace(genres, '^\\s+|\\s+$', '', 'g'), ','),
-                             x -> regexp_replace(x, '^\\s+|\\s+$', '', 'g')) END AS genres_list
+                             lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')) END AS genres_list
   FROM cat_dedup),
 cat_q AS (SELECT quantile_cont(members, 0.25) AS q1, quantile_cont(members, 0.75) AS q3 FROM cat_norm),
 catalogue AS (

@@ -30,6 +30,9 @@ def get_session(master: str | None = None, app_name: str = "ranklight",
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # Local mode runs every task in the driver JVM.
+            builder = builder.config("spark.driver.memory", os.environ.get("RANKLIGHT_DRIVER_MEMORY", "16g"))
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
