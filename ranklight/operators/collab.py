@@ -130,8 +130,11 @@ def recommend_user_baseline(model: Baseline, ratings: DataFrame, catalogue: Data
     items = _eligible_items(catalogue, min_score).join(seen, "item_id", "left_anti")
     pairs = items.select(F.lit(user_id).cast("long").alias("user_id"), "item_id")
     pred = predict_baseline(model, pairs)
-    return (pred.orderBy(F.col("raw_prediction").desc(), F.col("item_id")).limit(top_n)
-            .select("user_id", "item_id", r6("prediction").alias("prediction")))
+    top = pred.orderBy(F.col("raw_prediction").desc(), F.col("item_id")).limit(top_n)
+    # At most top_n rows: numbering them needs no partition key.
+    from pyspark.sql import Window
+    return top.select("user_id", "item_id", r6("prediction").alias("prediction"),
+                      F.row_number().over(Window.orderBy(F.col("raw_prediction").desc(), F.col("item_id"))).alias("rank"))
 
 
 def recommend_all_baseline(model: Baseline, ratings: DataFrame, catalogue: DataFrame, users: DataFrame,
