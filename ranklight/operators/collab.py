@@ -87,8 +87,10 @@ def predict_baseline(model: Baseline, pairs: DataFrame, clip_output: bool = True
 def ranked_from_predictions(pred: DataFrame, k: int | None = 10) -> DataFrame:
     """Per user, items by prediction desc (raw value first, so clipped ties
     keep their order), item id asc."""
-    order = [F.col("raw_prediction").desc(), F.col("prediction").desc(), F.col("item_id")] \
-        if "raw_prediction" in pred.columns else [F.col("prediction").desc(), F.col("item_id")]
+    # Ranked on values rounded to 1e-9: sums of doubles differ in the last
+    # bits between engines and runs, and must not reorder near-ties.
+    order = [F.round("raw_prediction", 9).desc(), F.col("item_id")] \
+        if "raw_prediction" in pred.columns else [F.round("prediction", 9).desc(), F.col("item_id")]
     return top_k_per_group(pred, ["user_id"], order, k)
 
 
@@ -130,11 +132,11 @@ def recommend_user_baseline(model: Baseline, ratings: DataFrame, catalogue: Data
     items = _eligible_items(catalogue, min_score).join(seen, "item_id", "left_anti")
     pairs = items.select(F.lit(user_id).cast("long").alias("user_id"), "item_id")
     pred = predict_baseline(model, pairs)
-    top = pred.orderBy(F.col("raw_prediction").desc(), F.col("item_id")).limit(top_n)
+    top = pred.orderBy(F.round("raw_prediction", 9).desc(), F.col("item_id")).limit(top_n)
     # At most top_n rows: numbering them needs no partition key.
     from pyspark.sql import Window
     return top.select("user_id", "item_id", r6("prediction").alias("prediction"),
-                      F.row_number().over(Window.orderBy(F.col("raw_prediction").desc(), F.col("item_id"))).alias("rank"))
+                      F.row_number().over(Window.orderBy(F.round("raw_prediction", 9).desc(), F.col("item_id"))).alias("rank"))
 
 
 def recommend_all_baseline(model: Baseline, ratings: DataFrame, catalogue: DataFrame, users: DataFrame,
@@ -148,7 +150,7 @@ def recommend_all_baseline(model: Baseline, ratings: DataFrame, catalogue: DataF
     """
     items = (_eligible_items(catalogue, min_score).select("item_id")
              .join(model.item_bias, "item_id", "left").fillna({"b_i": 0.0}))
-    ordered = global_row_number(items, [F.col("b_i").desc(), F.col("item_id")], "pos")
+    ordered = global_row_number(items, [F.round("b_i", 9).desc(), F.col("item_id")], "pos")
     users = users.select("user_id").distinct()
     seen = ratings.select("user_id", "item_id").distinct().join(items.select("item_id"), "item_id", "left_semi")
     s = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("s"))

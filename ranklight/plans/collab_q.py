@@ -12,7 +12,7 @@ from ranklight.plans.stages import CF_CTES, ctes
 
 # ---- M9 on M2: the flagship slice
 CF_EVAL_SQL = ctes(CF_CTES, """ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY raw_prediction DESC, prediction DESC, item_id) AS rk
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(raw_prediction, 9) DESC, item_id) AS rk
   FROM test_pred),
 per AS (SELECT user_id, sum(CASE WHEN rk <= 10 AND rating >= 7 THEN 1 ELSE 0 END) AS hits,
                sum(CASE WHEN rating >= 7 THEN 1 ELSE 0 END) AS n_rel FROM ranked GROUP BY user_id)""") + """
@@ -87,7 +87,7 @@ users AS (SELECT DISTINCT user_id FROM test),
 cand AS (SELECT u.user_id, e.item_id, (SELECT mu FROM mu) + coalesce(bu.b_u, 0) + coalesce(bi.b_i, 0) AS raw
          FROM users u JOIN elig e ON TRUE LEFT JOIN bi ON bi.item_id = e.item_id LEFT JOIN bu ON bu.user_id = u.user_id
          WHERE NOT EXISTS (SELECT 1 FROM ratings_clean rc WHERE rc.user_id = u.user_id AND rc.item_id = e.item_id)),
-rk AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY coalesce(bi_only, 0) DESC, item_id) AS rank
+rk AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(coalesce(bi_only, 0), 9) DESC, item_id) AS rank
        FROM (SELECT cand.*, bi.b_i AS bi_only FROM cand LEFT JOIN bi USING (item_id)))""") + """
 SELECT user_id, item_id, CAST(rank AS INTEGER) AS rank, round(least(greatest(raw, 1.0), 10.0), 6) AS prediction
 FROM rk WHERE rank <= 10"""

@@ -35,7 +35,7 @@ cf_c AS (SELECT e.item_id, (SELECT mu FROM mu) + coalesce((SELECT b_u FROM bu WH
          FROM (SELECT item_id FROM catalogue {elig}) e LEFT JOIN bi USING (item_id)
          WHERE e.item_id NOT IN (SELECT item_id FROM train WHERE user_id = (SELECT user_id FROM cf_user))),
 cf_list AS (SELECT item_id, round(least(greatest(raw, 1.0), 10.0), 6) AS prediction, rank FROM (
-  SELECT *, CAST(row_number() OVER (ORDER BY raw DESC, item_id) AS INTEGER) AS rank FROM cf_c) WHERE rank <= {k})"""
+  SELECT *, CAST(row_number() OVER (ORDER BY round(raw, 9) DESC, item_id) AS INTEGER) AS rank FROM cf_c) WHERE rank <= {k})"""
 
 
 FIRST_ITEM = "SELECT min(item_id) FROM catalogue"

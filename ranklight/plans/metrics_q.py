@@ -1 +1,238 @@
-"""Queries (placeholder)."""
+"""Metric queries (V1-V20): the baseline recommender scored on held-out data."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ranklight.functions.columns import r6
+from ranklight.operators import collab, content, metrics
+from ranklight.plans import stages
+from ranklight.plans.content_q import CONTENT_CTES, sample_items
+from ranklight.plans.registry import register
+from ranklight.plans.stages import CF_CTES, ctes
+
+CF = ctes(CF_CTES)
+
+RANKED_SQL = """rk AS (SELECT user_id, item_id, rating, CAST(row_number() OVER (PARTITION BY user_id
+                 ORDER BY round(raw_prediction, 9) DESC, item_id) AS INTEGER) AS rank FROM test_pred),
+cut AS (SELECT * FROM rk WHERE rank <= 20),
+rel AS (SELECT user_id, item_id, rating FROM test_pred WHERE rating >= 7),
+nrel AS (SELECT user_id, count(*) AS n_rel FROM rel GROUP BY user_id),
+marked AS (SELECT c.user_id, c.item_id, c.rank, CASE WHEN r.item_id IS NOT NULL THEN 1 ELSE 0 END AS hit
+           FROM cut c LEFT JOIN rel r USING (user_id, item_id)),
+run AS (SELECT *, sum(hit) OVER (PARTITION BY user_id ORDER BY rank ROWS UNBOUNDED PRECEDING) AS hsf FROM marked),
+ks AS (SELECT unnest([5, 10, 20]) AS k),
+per AS (SELECT r.user_id, ks.k, sum(hit) AS hits, coalesce(sum(CASE WHEN hit = 1 THEN hsf / rank END), 0) AS ap_sum
+        FROM run r JOIN ks ON r.rank <= ks.k GROUP BY r.user_id, ks.k),
+per2 AS (SELECT per.*, coalesce(n_rel, 0) AS n_rel, hits / k AS precision,
+                CASE WHEN coalesce(n_rel, 0) > 0 THEN hits / n_rel ELSE 0 END AS recall FROM per LEFT JOIN nrel USING (user_id)),
+per3 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1,
+                CASE WHEN n_rel > 0 AND hits > 0 THEN ap_sum / least(n_rel, k) ELSE 0 END AS ap,
+                CASE WHEN hits > 0 THEN 1.0 ELSE 0.0 END AS hit1 FROM per2),
+agg AS (SELECT k, avg(precision) AS p, avg(recall) AS r, avg(f1) AS f1m, avg(ap) AS map, avg(hit1) AS hr, count(*) AS users
+        FROM per3 GROUP BY k)"""
+
+RANKING_SELECT = """SELECT k, round(p, 6) AS precision, round(r, 6) AS recall, round(f1m, 6) AS f1_macro,
+       round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1_of_means,
+       round(map, 6) AS map, round(hr, 6) AS hit_rate, users FROM agg"""
+
+
+def _pred(spark, sf):
+    return stages.baseline_test_predictions(spark, sf)
+
+
+def _ranked_relevant(pred):
+    ranked = collab.ranked_from_predictions(pred, 20).select("user_id", "item_id", "rank")
+    relevant = pred.filter(F.col("rating") >= collab.RELEVANT_AT).select("user_id", "item_id", F.col("rating").alias("relevance"))
+    return ranked, relevant
+
+
+@register("rating_errors", CF + """
+SELECT round(sqrt(avg((prediction - rating) ^ 2)), 6) AS rmse, round(avg(abs(prediction - rating)), 6) AS mae,
+       round(avg((prediction - rating) ^ 2), 6) AS mse, count(*) AS n FROM test_pred""")
+def rating_errors(spark, sf):
+    """V1-V3: RMSE, MAE, MSE of the baseline on held-out ratings."""
+    return metrics.rating_errors(_pred(spark, sf))
+
+
+@register("ranking_metrics", ctes(CF_CTES, RANKED_SQL) + RANKING_SELECT, headline=True)
+def ranking_metrics(spark, sf):
+    """Precision, recall, F1 (macro and of means), MAP, hit rate at 5, 10, 20."""
+    ranked, relevant = _ranked_relevant(_pred(spark, sf))
+    return metrics.ranking_metrics(ranked, relevant, (5, 10, 20))
+
+
+@register("ndcg_at_10", ctes(CF_CTES, RANKED_SQL, """dcg AS (
+  SELECT c.user_id, sum(coalesce((pow(2.0, r.rating) - 1) / log2(c.rank + 1), 0)) AS dcg
+  FROM cut c LEFT JOIN rel r USING (user_id, item_id) WHERE c.rank <= 10 GROUP BY c.user_id),
+ideal AS (SELECT user_id, sum((pow(2.0, rating) - 1) / log2(pos + 1)) AS idcg FROM (
+  SELECT user_id, rating, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS pos FROM rel)
+  WHERE pos <= 10 GROUP BY user_id),
+users AS (SELECT DISTINCT user_id FROM cut WHERE rank <= 10)""") + """
+SELECT round(avg(CASE WHEN coalesce(i.idcg, 0) > 0 THEN coalesce(d.dcg, 0) / i.idcg ELSE 0 END), 6) AS ndcg, count(*) AS users
+FROM users u LEFT JOIN dcg d USING (user_id) LEFT JOIN ideal i USING (user_id)""")
+def ndcg_at_10(spark, sf):
+    """V9: NDCG@10 with graded relevance = held-out rating (>= 7)."""
+    ranked, relevant = _ranked_relevant(_pred(spark, sf))
+    return metrics.ndcg_at_k(ranked, relevant, 10)
+
+
+def _reco_all_sql():
+    from ranklight.plans.collab_q import RECO_ALL_SQL
+    body = RECO_ALL_SQL
+    head, tail = body[:body.rindex("\nSELECT")], body[body.rindex("\nSELECT"):]
+    return head + ",\nreco AS (" + tail.strip() + ")"
+
+
+@register("coverage", _reco_all_sql() + """
+SELECT count(DISTINCT item_id) AS n_recommended, (SELECT count(*) FROM catalogue) AS catalogue_size,
+       round(count(DISTINCT item_id) / (SELECT count(*) FROM catalogue), 6) AS coverage FROM reco""")
+def coverage(spark, sf):
+    """Share of the catalogue in the top-10 lists of all test users."""
+    from ranklight.plans.collab_q import recommend_all_users
+    return metrics.coverage(recommend_all_users(spark, sf), stages.catalogue(spark, sf))
+
+
+DIVERSITY_SQL = CONTENT_CTES.rstrip() + ",\n" + ",\n".join([stages.KEEP_LAST_SQL, stages.RATINGS_CLEAN_SQL,
+                                                          stages.SPLIT_SQL, stages.BASELINE_SQL]) + """,
+elig AS (SELECT item_id FROM catalogue WHERE score >= 6.0),
+users AS (SELECT DISTINCT user_id FROM test),
+cand AS (SELECT u.user_id, e.item_id, coalesce(bi.b_i, 0) AS b FROM users u JOIN elig e ON TRUE LEFT JOIN bi ON bi.item_id = e.item_id
+         WHERE NOT EXISTS (SELECT 1 FROM ratings_clean rc WHERE rc.user_id = u.user_id AND rc.item_id = e.item_id)),
+reco AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(b, 9) DESC, item_id) AS rank FROM cand)
+         WHERE rank <= 10),
+lst AS (SELECT user_id, item_id, rank FROM reco WHERE item_id IN (SELECT doc_id FROM weights)),
+lp AS (SELECT a.user_id, a.item_id AS x, b.item_id AS y FROM lst a JOIN lst b ON a.user_id = b.user_id AND a.rank < b.rank),
+ps AS (SELECT lp.user_id, lp.x, lp.y, coalesce(sum(wa.w * wb.w), 0) AS sim FROM lp
+       LEFT JOIN weights wa ON wa.doc_id = lp.x LEFT JOIN weights wb ON wb.doc_id = lp.y AND wb.term = wa.term
+       GROUP BY lp.user_id, lp.x, lp.y),
+per AS (SELECT user_id, avg(1 - sim) AS d FROM ps GROUP BY user_id)
+SELECT round(avg(d), 6) AS diversity, count(*) AS lists FROM per"""
+
+
+@register("diversity", DIVERSITY_SQL)
+def diversity(spark, sf):
+    """Mean pairwise (1 - cosine) within each top-10 list, averaged."""
+    from ranklight.plans.collab_q import recommend_all_users
+    cb = content.fit(stages.catalogue(spark, sf), 5000, (1, 2))
+    return metrics.diversity(recommend_all_users(spark, sf), cb.weights.withColumnRenamed("doc_id", "item_id"))
+
+
+_CB_BATCH = CONTENT_CTES.rstrip() + """,
+q100 AS (SELECT item_id AS doc_id, row_number() OVER (ORDER BY md5(CAST(item_id AS VARCHAR) || '-42'), item_id) AS qpos
+         FROM catalogue ORDER BY qpos LIMIT 100),
+qs AS (SELECT a.doc_id AS query_id, b.doc_id, sum(a.w * b.w) AS sim FROM weights a JOIN weights b USING (term)
+       WHERE a.doc_id IN (SELECT doc_id FROM q100) AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+lists AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 9) DESC, doc_id) AS rank
+                         FROM qs WHERE round(sim, 9) > 0) WHERE rank <= 10)"""
+
+
+@register("query_diversity", _CB_BATCH + """,
+per AS (SELECT query_id, 1 - avg(round(sim, 6)) AS d FROM lists
+        WHERE query_id IN (SELECT doc_id FROM q100 WHERE qpos <= 20) GROUP BY query_id)
+SELECT round(avg(d), 6) AS query_diversity, round(1 - avg(d), 6) AS avg_similarity, count(*) AS queries FROM per""")
+def query_diversity(spark, sf):
+    """1 - mean similarity of each list to its query, over 20 sampled items."""
+    cat = stages.catalogue(spark, sf)
+    cb = content.fit(cat, 5000, (1, 2))
+    lists = content.recommend_batch(cb, sample_items(cat, 20), 10)
+    return metrics.query_diversity(lists)
+
+
+@register("evaluate_content", _CB_BATCH + """
+SELECT count(DISTINCT doc_id) AS n_recommended, (SELECT count(*) FROM catalogue) AS catalogue_size,
+       round(count(DISTINCT doc_id) / (SELECT count(*) FROM catalogue), 6) AS coverage,
+       (SELECT round(avg(d), 6) FROM (SELECT query_id, 1 - avg(round(sim, 6)) AS d FROM lists
+          WHERE query_id IN (SELECT doc_id FROM q100 WHERE qpos <= 20) GROUP BY query_id)) AS query_diversity FROM lists""")
+def evaluate_content(spark, sf):
+    """Coverage of 100 sampled items' top-10 lists; query diversity of 20 of them."""
+    cat = stages.catalogue(spark, sf)
+    cb = content.fit(cat, 5000, (1, 2))
+    lists = content.recommend_batch(cb, sample_items(cat, 100), 10)
+    cov = metrics.coverage(lists.select("item_id"), cat)
+    first20 = sample_items(cat, 20).withColumnRenamed("doc_id", "query_id")
+    qd = metrics.query_diversity(lists.join(first20, "query_id", "left_semi")).select("query_diversity").scalar()
+    return cov.withColumn("query_diversity", qd)
+
+
+@register("evaluate_all", ctes(CF_CTES, RANKED_SQL) + """
+SELECT 'rmse' AS metric, 0 AS k, round(sqrt(avg((prediction - rating) ^ 2)), 6) AS value FROM test_pred
+UNION ALL SELECT 'mae', 0, round(avg(abs(prediction - rating)), 6) FROM test_pred
+UNION ALL SELECT 'mse', 0, round(avg((prediction - rating) ^ 2), 6) FROM test_pred
+UNION ALL SELECT 'precision', k, round(p, 6) FROM agg
+UNION ALL SELECT 'recall', k, round(r, 6) FROM agg
+UNION ALL SELECT 'f1_macro', k, round(f1m, 6) FROM agg
+UNION ALL SELECT 'f1_of_means', k, round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) FROM agg
+UNION ALL SELECT 'map', k, round(map, 6) FROM agg
+UNION ALL SELECT 'hit_rate', k, round(hr, 6) FROM agg""")
+def evaluate_all(spark, sf):
+    """Every metric for k = 5, 10, 20 in long form."""
+    pred = _pred(spark, sf)
+    ranked, relevant = _ranked_relevant(pred)
+    return metrics.evaluate_all(pred, ranked, relevant, (5, 10, 20))
+
+
+def _model_metrics(spark, sf):
+    """Long (model, metric, value) for the bias baseline and the global mean."""
+    pred = _pred(spark, sf)
+    model, _ = stages.baseline_model(spark, sf)
+    mean_pred = pred.withColumn("prediction", model.mu_col()).withColumn("raw_prediction", model.mu_col())
+    out = None
+    for name, p in (("baseline", pred), ("global_mean", mean_pred)):
+        ev = collab.evaluate_predictions(p, 10)
+        long = ev.select(F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(c).cast("double").alias("value"))
+                                              for m, c in (("rmse", "rmse"), ("mae", "mae"),
+                                                           ("precision", "precision_at_10"),
+                                                           ("recall", "recall_at_10"))])).alias("x")).select("x.*")
+        long = long.select(F.lit(name).alias("model"), "metric", "value")
+        out = long if out is None else out.unionByName(long)
+    return out
+
+
+_MODELS_SQL = ctes(CF_CTES, """mean_pred AS (SELECT user_id, item_id, rating, (SELECT mu FROM mu) AS raw_prediction,
+                      (SELECT mu FROM mu) AS prediction FROM test_pred),
+ev AS (
+  SELECT 'baseline' AS model, p.* FROM test_pred p UNION ALL SELECT 'global_mean', m.* FROM mean_pred m),
+rk AS (SELECT *, row_number() OVER (PARTITION BY model, user_id ORDER BY round(raw_prediction, 9) DESC, item_id) AS rank FROM ev),
+per AS (SELECT model, user_id, sum(CASE WHEN rank <= 10 AND rating >= 7 THEN 1 ELSE 0 END) AS hits,
+               sum(CASE WHEN rating >= 7 THEN 1 ELSE 0 END) AS n_rel FROM rk GROUP BY model, user_id),
+long_ AS (
+  SELECT model, 'rmse' AS metric, round(sqrt(avg((prediction - rating) ^ 2)), 6) AS value FROM ev GROUP BY model
+  UNION ALL SELECT model, 'mae', round(avg(abs(prediction - rating)), 6) FROM ev GROUP BY model
+  UNION ALL SELECT model, 'precision', round(avg(hits / 10.0), 6) FROM per GROUP BY model
+  UNION ALL SELECT model, 'recall', round(avg(CASE WHEN n_rel > 0 THEN hits / n_rel ELSE 0 END), 6) FROM per GROUP BY model)""")
+
+
+@register("compare_models", _MODELS_SQL + """
+SELECT model, max(CASE WHEN metric = 'rmse' THEN value END) AS rmse, max(CASE WHEN metric = 'mae' THEN value END) AS mae,
+       max(CASE WHEN metric = 'precision' THEN value END) AS precision,
+       max(CASE WHEN metric = 'recall' THEN value END) AS recall FROM long_ GROUP BY model""")
+def compare_models(spark, sf):
+    """One row per model (bias baseline, global mean), one column per metric."""
+    return metrics.compare_models(_model_metrics(spark, sf), ["rmse", "mae", "precision", "recall"])
+
+
+@register("best_per_metric", _MODELS_SQL + """,
+dirs AS (SELECT * FROM (VALUES ('rmse', -1), ('mae', -1), ('precision', 1), ('recall', 1)) t(metric, sign)),
+ranked_ AS (SELECT l.*, d.sign, row_number() OVER (PARTITION BY l.metric ORDER BY -l.value * d.sign, l.model) AS rn
+            FROM long_ l JOIN dirs d USING (metric))
+SELECT metric, model AS best_model, round(value, 6) AS best_value FROM ranked_ WHERE rn = 1""")
+def best_per_metric(spark, sf):
+    """The best model per metric, by direction of the metric."""
+    return metrics.best_per_metric(_model_metrics(spark, sf))
+
+
+@register("run_metadata", ctes(CF_CTES, stages.CAT_CTES) + """
+SELECT (SELECT count(*) FROM catalogue) AS n_items, (SELECT count(*) FROM ratings_clean) AS n_ratings,
+       (SELECT count(*) FROM test) AS n_test, round((SELECT count(*) FROM test) / (SELECT count(*) FROM ratings_clean), 6) AS test_share,
+       CAST(7.0 AS DOUBLE) AS relevance_threshold""")
+def run_metadata(spark, sf):
+    """Sizes and settings of the evaluation run."""
+    cat = stages.catalogue(spark, sf)
+    r = stages.ratings_clean(spark, sf)
+    split = stages.ratings_split(spark, sf)
+    n_test = split.filter(F.col("split") == "test").select(F.count(F.lit(1))).scalar()
+    n_r = r.select(F.count(F.lit(1))).scalar()
+    return cat.agg(F.count(F.lit(1)).alias("n_items")).select(
+        "n_items", n_r.alias("n_ratings"), n_test.alias("n_test"), r6(n_test / n_r).alias("test_share"),
+        F.lit(collab.RELEVANT_AT).alias("relevance_threshold"))
