@@ -199,3 +199,63 @@ def cross_validate_baseline(ratings: DataFrame, n_folds: int = 5, reg_item: floa
     return (per.select(F.col("f").cast("string").alias("fold"), r6("rmse").alias("rmse"), r6("mae").alias("mae"), "n")
             .unionByName(mean.select(F.lit("mean").alias("fold"), r6("rmse").alias("rmse"), r6("mae").alias("mae"),
                                      F.col("n").cast("long").alias("n"))))
+
+
+# ---------------------------------------------------------------- M3 / M4
+
+@dataclass
+class FactorModel:
+    """ALS factors over dense indexes, plus the bias model under them (M3)
+    or none (M4)."""
+    als: object
+    users: DataFrame          # user_id, user_idx
+    items: DataFrame          # item_id, item_idx
+    baseline: Baseline | None
+    params: dict = field(default_factory=dict)
+
+
+def _index(train: DataFrame):
+    from ranklight.operators.features import user_item_index
+    users, items, indexed = user_item_index(train)
+    return (users.withColumn("user_idx", F.col("user_idx").cast("int")),
+            items.withColumn("item_idx", F.col("item_idx").cast("int")),
+            indexed.withColumn("user_idx", F.col("user_idx").cast("int")).withColumn("item_idx", F.col("item_idx").cast("int")))
+
+
+def fit_factors(train: DataFrame, algorithm: str = "SVD", rank: int = 100, max_iter: int = 20,
+                reg: float = 0.02, seed: int = 42) -> FactorModel:
+    """M3 ``SVD``: bias baseline, then ALS on the residuals r - (mu + b_u + b_i).
+    M4 ``NMF``: ALS with non-negative factors on the raw ratings.
+    Unknown names raise (M5).  ALS needs int ids: the dense F9 index."""
+    if algorithm not in ("SVD", "NMF"):
+        raise ValueError(f"unknown algorithm {algorithm!r}; use 'SVD' or 'NMF'")
+    from pyspark.ml.recommendation import ALS
+    users, items, indexed = _index(train)
+    base = None
+    target = "rating"
+    if algorithm == "SVD":
+        base = fit_baseline(train)
+        indexed = predict_baseline(base, indexed, clip_output=False) \
+            .withColumn("residual", F.col("rating") - F.col("raw_prediction"))
+        target = "residual"
+    als = ALS(userCol="user_idx", itemCol="item_idx", ratingCol=target, rank=rank, maxIter=max_iter, regParam=reg,
+              seed=seed, nonnegative=(algorithm == "NMF"), coldStartStrategy="nan", checkpointInterval=5)
+    model = als.fit(indexed.select("user_idx", "item_idx", target))
+    return FactorModel(model, users, items, base, {"algorithm": algorithm, "rank": rank, "max_iter": max_iter,
+                                                   "reg": reg, "seed": seed})
+
+
+def predict_factors(model: FactorModel, pairs: DataFrame) -> DataFrame:
+    """M6 for M3/M4: factor product (NaN for an unknown user or item, read as
+    0) plus the bias terms; clipped to the rating range."""
+    p = pairs.join(model.users, "user_id", "left").join(model.items, "item_id", "left")
+    scored = model.als.transform(p.fillna({"user_idx": -1, "item_idx": -1}))
+    fac = F.nanvl(F.col("prediction"), F.lit(0.0))
+    scored = scored.withColumn("_factor", F.coalesce(fac, F.lit(0.0))).drop("prediction", "user_idx", "item_idx")
+    if model.baseline is not None:
+        scored = predict_baseline(model.baseline, scored, clip_output=False)
+        raw = F.col("raw_prediction") + F.col("_factor")
+    else:
+        raw = F.col("_factor")
+    return (scored.withColumn("raw_prediction", raw)
+            .withColumn("prediction", clip("raw_prediction", RATING_MIN, RATING_MAX)).drop("_factor"))

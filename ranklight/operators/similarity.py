@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from ranklight.functions.index import global_row_number
 from ranklight.functions.topk import top_k_per_group
 
-METRICS = ("cosine", "euclidean")
+METRICS = ("cosine", "euclidean", "cosine_eps")
 
 
 def check_metric(metric: str) -> None:
@@ -91,6 +91,9 @@ def _block_product_fn(k: int, metric: str, exclude_self: bool, dims: int):
             ln = (lm * lm).sum(1)[:, None]
             rn = (rm * rm).sum(1)[None, :]
             s = 1.0 / (1.0 + np.sqrt(np.maximum(ln + rn - 2 * s, 0.0)))
+        elif metric == "cosine_eps":
+            # cosine of raw vectors with 1e-10 added to the denominator
+            s = s / (np.sqrt((lm * lm).sum(1))[:, None] * np.sqrt((rm * rm).sum(1))[None, :] + 1e-10)
         same = key[0] == key[1]
 
         def emit(row_ids, col_ids, sims):

@@ -1 +1,121 @@
-"""Queries (placeholder)."""
+"""Embedding, factorisation and LSA queries.
+
+Learned results (Word2Vec vectors, ALS factors, SVD components) have no SQL
+twin; their deterministic parts (vocabulary, neighbours over the given
+embedding table) do.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ranklight.functions.columns import norm, r6
+from ranklight.operators import collab, content, embed, metrics
+from ranklight.plans import stages
+from ranklight.plans.registry import register
+from ranklight.plans.stages import CAT_CTES, CF_CTES, ctes
+from ranklight.sources import tables
+
+VECTOR_SIZE = 100
+STRIP = "'^\\s+|\\s+$', '', 'g'"
+
+
+def _w2v(spark, sf):
+    cat = stages.catalogue(spark, sf)
+    model = embed.word2vec_fit(cat, VECTOR_SIZE, 5, 2, 20, 42)
+    return cat, model
+
+
+@register("word2vec_vocabulary", ctes(CAT_CTES) + f"""
+SELECT word FROM (
+  SELECT unnest(list_transform(string_split(genres, ','), lambda x: replace(lower(regexp_replace(x, {STRIP})), ' ', '_'))) AS word
+  FROM catalogue WHERE genres IS NOT NULL) GROUP BY word HAVING count(*) >= 2""")
+def word2vec_vocabulary(spark, sf):
+    """The trained vocabulary = genre tokens seen at least twice."""
+    _, model = _w2v(spark, sf)
+    return embed.word_vectors(model).select("word")
+
+
+@register("item_embeddings")
+def item_embeddings(spark, sf):
+    """Mean word vector per item (known tokens only), with its length."""
+    cat, model = _w2v(spark, sf)
+    emb = embed.item_embeddings(cat, embed.word_vectors(model), VECTOR_SIZE)
+    return emb.select("item_id", F.size("embedding").alias("dims"), r6(norm("embedding")).alias("norm"))
+
+
+EMB_SQL = """emb AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+emb_sims AS (SELECT a.vec_id AS doc_id, b.vec_id AS other,
+                    list_dot_product(a.v, b.v) / (sqrt(list_dot_product(a.v, a.v)) * sqrt(list_dot_product(b.v, b.v)) + 1e-10) AS sim
+             FROM emb a JOIN emb b ON a.vec_id <> b.vec_id)"""
+
+
+@register("embedding_neighbours", ctes(EMB_SQL) + """
+SELECT doc_id, other, round(sim, 6) AS similarity, CAST(rank AS INTEGER) AS rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY round(sim, 9) DESC, other) AS rank FROM emb_sims)
+WHERE rank <= 5""")
+def embedding_neighbours(spark, sf):
+    """E3 for all vectors of the embedding table: top-5 by cosine (+1e-10)."""
+    emb = tables.table(spark, sf, "embeddings")
+    nb = embed.all_embedding_neighbours(emb, 5, "vec_id", "embedding", block=200)
+    return nb.select("doc_id", "other", r6("similarity").alias("similarity"), "rank")
+
+
+@register("similar_by_embedding", ctes(EMB_SQL) + """
+SELECT other AS item_id, round(sim, 6) AS similarity FROM emb_sims WHERE doc_id = (SELECT min(vec_id) FROM embeddings)
+ORDER BY round(sim, 9) DESC, other LIMIT 10""")
+def similar_by_embedding(spark, sf):
+    """E3 for one vector: its 10 nearest by cosine, itself excluded."""
+    emb = tables.table(spark, sf, "embeddings")
+    q = emb.select(F.min("vec_id")).first()[0]
+    out = embed.similar_by_embedding(emb, q, 10, "vec_id", "embedding")
+    return out.select("item_id", r6("similarity").alias("similarity"))
+
+
+@register("neighbour_report")
+def neighbour_report(spark, sf):
+    """Word2Vec neighbours of the first item with name, genres, score."""
+    cat, model = _w2v(spark, sf)
+    emb = embed.item_embeddings(cat, embed.word_vectors(model), VECTOR_SIZE)
+    q = cat.select(F.min("item_id")).first()[0]
+    return embed.neighbour_report(embed.similar_by_embedding(emb, q, 10), cat)
+
+
+@register("embedding_2d")
+def embedding_2d(spark, sf):
+    """E5: two PCA coordinates per embedding vector (re-aimed from t-SNE)."""
+    coords, _ = embed.embedding_2d(tables.table(spark, sf, "embeddings"), "vec_id", "embedding")
+    return coords
+
+
+@register("lsa_components")
+def lsa_components(spark, sf):
+    """Singular values of the uncentred catalogue TF-IDF matrix (20 components)."""
+    cb = content.fit(stages.catalogue(spark, sf), 5000, (1, 2))
+    svd, _ = embed.lsa(cb.weights, 20)
+    vals = [float(x) for x in svd.s.toArray()]
+    # k values computed on the driver: a k-row result, not data.
+    return spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "component int, singular_value double")
+
+
+def _factor_eval(spark, sf, algorithm: str, rank: int, iters: int, reg: float):
+    model0, split = stages.baseline_model(spark, sf)
+    train = collab.train_part(split)
+    fm = collab.fit_factors(train, algorithm, rank, iters, reg, 42)
+    return fm, train, collab.test_part(split)
+
+
+@register("svd_eval")
+def svd_eval(spark, sf):
+    """M3 + M9: biased factorisation (baseline + ALS on residuals), train and test errors."""
+    fm, train, test = _factor_eval(spark, sf, "SVD", 20, 10, 0.1)
+    tr = metrics.rating_errors(collab.predict_factors(fm, train)).select(F.col("rmse").alias("train_rmse"))
+    ev = collab.evaluate_predictions(collab.predict_factors(fm, test), 10)
+    return ev.select("*", tr.select("train_rmse").scalar().alias("train_rmse"))
+
+
+@register("nmf_eval")
+def nmf_eval(spark, sf):
+    """M4 + M9: non-negative factorisation on raw ratings, test errors."""
+    fm, train, test = _factor_eval(spark, sf, "NMF", 15, 10, 0.06)
+    return collab.evaluate_predictions(collab.predict_factors(fm, test), 10)
