@@ -141,7 +141,7 @@ def catalogue_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                 .withColumn("name", F.upper("name"))
                 .withColumn("item_id", -F.col("item_id") - 1)
                 .withColumn("src_row", F.col("src_row") + 2))
-    return base.unionByName(dup_id).unionByName(dup_name)
+    return base.unionByName(dup_id).unionByName(dup_name).select(*CATALOGUE_COLUMNS)
 
 
 CATALOGUE_COLUMNS = ["item_id", "name", "score", "genres", "type", "episodes", "members",
