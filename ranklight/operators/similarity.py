@@ -70,7 +70,7 @@ def neighbours_of(weights: DataFrame, queries: DataFrame, k: int | None = 10, ex
 
 
 def _block_product_fn(k: int, metric: str, exclude_self: bool, dims: int):
-    def fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def fn(key, pdf):
         left = pdf[pdf["side"] == 0]
         right = pdf[pdf["side"] == 1]
         out = []
@@ -155,7 +155,7 @@ def _pairs_of(ids: DataFrame) -> DataFrame:
 
 
 def _value_counts_fn(dims: int):
-    def fn(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def fn(key, pdf):
         left = pdf[pdf["side"] == 0]
         right = pdf[pdf["side"] == 1]
         if left.empty or right.empty:
