@@ -61,6 +61,6 @@ def recommend(model: ContentModel, item_id: int, top_n: int = 10, min_score: flo
     return recommend_batch(model, q, top_n, min_score, exclude_self).drop("query_id")
 
 
-def all_neighbours(model: ContentModel, k: int = 10, block: int = 1000) -> DataFrame:
+def all_neighbours(model: ContentModel, k: int = 10, block: int | None = None) -> DataFrame:
     """T8 for every item: exact top-k by the blocked product."""
     return similarity.all_pairs_top_k(model.weights, k, "cosine", block)

@@ -31,6 +31,13 @@ from ranklight.functions.index import global_row_number
 from ranklight.functions.topk import top_k_per_group
 
 METRICS = ("cosine", "euclidean", "cosine_eps")
+# Query entries (query item x term) broadcast at most; beyond, a salted join.
+BROADCAST_QUERY_ROWS = 2_000_000
+SALT = 32
+# Block sizing for the all-pairs product: a block pair holds two dense
+# blocks (block x dims doubles each) and a block x block product.
+BLOCK_MAX = 2500
+BLOCK_BYTES = 64 * 1024 * 1024
 
 
 def check_metric(metric: str) -> None:
@@ -60,8 +67,18 @@ def neighbours_of(weights: DataFrame, queries: DataFrame, k: int | None = 10, ex
     q = (weights.join(queries.select("doc_id").distinct(), "doc_id", "left_semi")
          .select(F.col("doc_id").alias("query_id"), "term", F.col("w").alias("wq")))
     cand = weights if candidates is None else weights.join(candidates.select("doc_id"), "doc_id", "left_semi")
-    prod = (q.join(cand, "term")
-            .groupBy("query_id", "doc_id").agg(F.sum(F.col("wq") * F.col("w")).alias("similarity")))
+    # A frequent term may hold a third of all postings: a shuffle join on
+    # term would send all of them to one task.  The query side is measured
+    # first: under the bound it is broadcast and the postings are streamed
+    # where they lie; above it, postings are split SALT ways by document and
+    # the query entries copied to every split.
+    n_q = q.count()
+    if n_q <= BROADCAST_QUERY_ROWS:
+        joined = cand.join(F.broadcast(q), "term")
+    else:
+        joined = (cand.withColumn("_salt", F.pmod(F.hash("doc_id"), F.lit(SALT)))
+                  .join(q.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))), ["term", "_salt"]))
+    prod = joined.groupBy("query_id", "doc_id").agg(F.sum(F.col("wq") * F.col("w")).alias("similarity"))
     if exclude_self:
         prod = prod.filter(F.col("query_id") != F.col("doc_id"))
     # Order on the value rounded to 1e-9 so float noise cannot reorder ties.
@@ -116,7 +133,7 @@ def _block_product_fn(k: int, metric: str, exclude_self: bool, dims: int):
     return fn
 
 
-def all_pairs_top_k(weights: DataFrame, k: int = 10, metric: str = "cosine", block: int = 1000,
+def all_pairs_top_k(weights: DataFrame, k: int = 10, metric: str = "cosine", block: int | None = None,
                     exclude_self: bool = True) -> DataFrame:
     """T8/T9 for every item: top-k neighbours by blocked exact products.
 
@@ -177,13 +194,17 @@ def _value_counts_fn(dims: int):
     return fn
 
 
-def _block_groups(weights: DataFrame, block: int):
+def _block_groups(weights: DataFrame, block: int | None):
     """Number items and terms, cut into blocks, copy every entry to the block
-    pairs (bi <= bj) it belongs to.  Returns (grouped entries, dims, n_docs)."""
+    pairs (bi <= bj) it belongs to.  Returns (grouped entries, dims, n_docs).
+    Without an explicit block size, the largest one whose dense block fits
+    BLOCK_BYTES is used (fewer blocks = fewer copies of each entry)."""
     if dict(weights.dtypes)["term"] not in ("int", "bigint"):
         terms = global_row_number(weights.select("term").distinct(), [F.col("term")], "term_idx", start=0)
         weights = weights.join(terms, "term").select("doc_id", F.col("term_idx").alias("term"), "w")
     dims = int(weights.agg(F.max("term")).first()[0] or 0) + 1
+    if block is None:
+        block = int(max(100, min(BLOCK_MAX, BLOCK_BYTES // (8 * max(dims, 1)))))
     docs = global_row_number(weights.select("doc_id").distinct(), [F.col("doc_id")], "pos", start=0)
     n_docs = docs.count()
     nb = max(1, -(-n_docs // block))
@@ -197,7 +218,7 @@ def _block_groups(weights: DataFrame, block: int):
     return pairs.unionByName(diag_right), dims, n_docs
 
 
-def similarity_percentile(weights: DataFrame, p: float = 75.0, block: int = 1000) -> DataFrame:
+def similarity_percentile(weights: DataFrame, p: float = 75.0, block: int | None = None) -> DataFrame:
     """P-th percentile (linear interpolation) of all similarities i < j,
     zeros of pairs without a shared term included.
 

@@ -114,7 +114,7 @@ SELECT doc_id, other, round(sim, 6) AS similarity, CAST(rank AS INTEGER) AS rank
   WHERE similarity > 0) WHERE rank <= 10""", headline=True)
 def content_all_pairs(spark, sf):
     """T8 + R1: top-10 cosine neighbours of every catalogue item (blocked exact product)."""
-    nb = content.all_neighbours(_content(spark, sf), 10, block=500)
+    nb = content.all_neighbours(_content(spark, sf), 10)
     return nb.filter(F.col("similarity") > 0).select("doc_id", "other", r6("similarity").alias("similarity"), "rank")
 
 
@@ -143,7 +143,7 @@ SELECT round(quantile_cont(round(coalesce(p.sim, 0.0), 6), 0.75), 6) AS threshol
 FROM grid g LEFT JOIN pair_sims p USING (doc_id, other)""")
 def similarity_threshold(spark, sf):
     """75th percentile of the strict upper triangle of the similarity matrix (zeros count)."""
-    return similarity.similarity_percentile(_content(spark, sf).weights, 75.0, block=500)
+    return similarity.similarity_percentile(_content(spark, sf).weights, 75.0)
 
 
 @register("similarity_sample", CONTENT_CTES.rstrip() + ",\n" + PAIRS_SQL + """,

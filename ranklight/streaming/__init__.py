@@ -1,0 +1,7 @@
+"""Incremental forms of batch operators.
+
+The reference has no streaming; these functions run the *same* operators
+(the per-item activity aggregate, keep-last ratings) over a Structured
+Streaming source, so new rating files update the tables without a full
+recomputation.  Nothing here is a separate algorithm.
+"""
