@@ -100,3 +100,18 @@ def recommend_all_users(spark, sf):
     users = collab.test_part(split).select("user_id")
     return collab.recommend_all_baseline(model, stages.ratings_clean(spark, sf), stages.catalogue(spark, sf),
                                          users, top_n=10, min_score=6.0)
+
+
+def _user_reco_sql():
+    from ranklight.plans.hybrid_q import FIRST_USER, _all_ctes, cf_sql
+    return _all_ctes(cf_sql(FIRST_USER, 10, 6.0)) + "\nSELECT item_id, prediction, rank FROM cf_list"
+
+
+@register("recommend_user", _user_reco_sql())
+def recommend_user(spark, sf):
+    """M7: top-10 unseen items with score >= 6 for one user (the first training user)."""
+    model, split = stages.baseline_model(spark, sf)
+    train = collab.train_part(split)
+    user = train.select(F.min("user_id")).first()[0]
+    return collab.recommend_user_baseline(model, train, stages.catalogue(spark, sf), user, 10, 6.0) \
+        .select("item_id", "prediction", F.col("rank").cast("int").alias("rank"))
