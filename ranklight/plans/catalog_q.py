@@ -90,3 +90,18 @@ def episodes_at_most(spark, sf):
     """Q10: the subset with at most 20 episodes."""
     df = catalog.episodes_at_most(stages.catalogue(spark, sf), 20)
     return df.agg(F.count(F.lit(1)).alias("n"), F.round(F.avg("episodes"), 6).alias("mean_episodes"))
+
+
+_GENRES = "regexp_replace(x, '^\\s+|\\s+$', '', 'g')"
+
+
+@register("discover_page", CAT + f""", top AS (
+  SELECT item_id, name, score, type FROM catalogue WHERE score >= 5.0 ORDER BY score DESC NULLS LAST, item_id LIMIT 20)
+SELECT *, (SELECT count(*) FROM catalogue) AS n_items, (SELECT round(avg(score), 6) FROM catalogue) AS mean_score,
+       (SELECT count(DISTINCT g) FROM (SELECT unnest(list_transform(string_split(genres, ','), lambda x: {_GENRES})) AS g
+                                       FROM catalogue)) AS n_genres,
+       (SELECT count(DISTINCT type) FROM catalogue) AS n_types FROM top""")
+def discover_page(spark, sf):
+    """Header figures and the top-20 discover list (score >= 5)."""
+    from ranklight.plans import jobs
+    return jobs.discover_page(spark, sf)

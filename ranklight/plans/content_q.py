@@ -218,3 +218,10 @@ def similar_items_batch(spark, sf):
     """Top-10 lists for 100 items chosen by md5 order."""
     cat = stages.catalogue(spark, sf)
     return content.recommend_batch(_content(spark, sf), sample_items(cat, 100), 10).select(*_RESULT.split(", "))
+
+
+@register("train_content", _reco_sql(_FIRST_ITEM, 0.0, False, 5))
+def train_content(spark, sf):
+    """Content model fitted, five neighbours of the first item."""
+    from ranklight.plans import jobs
+    return jobs.train_content(spark, sf).select(*_RESULT.split(", "))

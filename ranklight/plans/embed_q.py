@@ -119,3 +119,17 @@ def nmf_eval(spark, sf):
     """M4 + M9: non-negative factorisation on raw ratings, test errors."""
     fm, train, test = _factor_eval(spark, sf, "NMF", 15, 10, 0.06)
     return collab.evaluate_predictions(collab.predict_factors(fm, test), 10)
+
+
+@register("train_collaborative")
+def train_collaborative(spark, sf):
+    """Biased factorisation trained and evaluated, five picks for the first user."""
+    from ranklight.plans import jobs
+    return jobs.train_collaborative(spark, sf)
+
+
+@register("train_embeddings")
+def train_embeddings(spark, sf):
+    """P5: Word2Vec item vectors and the neighbour report of the first item."""
+    from ranklight.plans import jobs
+    return jobs.train_embeddings(spark, sf, vector_size=32)

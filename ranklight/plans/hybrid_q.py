@@ -175,3 +175,10 @@ def compare_strategies(spark, sf):
                  "item_id")
     m = hybrid.mixed(cb, cf, item, user, 10).select(F.lit("mixed").alias("strategy"), "position", "item_id")
     return c.unionByName(f).unionByName(w).unionByName(m)
+
+
+@register("train_hybrid", _weighted_sql(True, False, 5))
+def train_hybrid(spark, sf):
+    """Hybrid weights and config, five picks for the first item."""
+    from ranklight.plans import jobs
+    return jobs.train_hybrid(spark, sf)

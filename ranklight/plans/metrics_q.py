@@ -303,3 +303,19 @@ def evaluate_hybrid(spark, sf):
     pred = collab.predict_baseline(model, collab.test_part(split))
     cb = content.fit(stages.catalogue(spark, sf), 5000, (1, 2))
     return hybrid.evaluate_on_held_out(pred, collab.train_part(split), cb.weights, 10)
+
+
+@register("metrics_report")
+def metrics_report(spark, sf):
+    """Metrics of the collaborative and hybrid models in long form."""
+    from ranklight.plans import jobs
+    return jobs.metrics_report(spark, sf)
+
+
+@register("train_all")
+def train_all(spark, sf):
+    """Every training stage written as a table (reused when present)."""
+    import uuid
+    from ranklight.plans import jobs
+    from ranklight.session import stage_path
+    return jobs.train_all(spark, sf, stage_path(spark, f"train-{uuid.uuid4().hex[:12]}"))

@@ -257,3 +257,20 @@ SELECT user_id, count(*) AS n_ratings FROM ratings_clean GROUP BY user_id ORDER
 def most_active_users(spark, sf):
     """The 50 users with the most ratings."""
     return profile.most_active_users(stages.ratings_clean(spark, sf), 50)
+
+
+@register("profile_all", CAT + """
+SELECT 'genre_counts' AS tbl, CAST(20 AS BIGINT) AS rows
+UNION ALL SELECT 'type_distribution', (SELECT count(DISTINCT type) FROM catalogue)
+UNION ALL SELECT 'score_histogram', 50
+UNION ALL SELECT 'correlation', 25
+UNION ALL SELECT 'top_score', least(20, (SELECT count(*) FROM catalogue))
+UNION ALL SELECT 'top_members', least(20, (SELECT count(*) FROM catalogue))""")
+def profile_all(spark, sf):
+    """All profile tables of the catalogue at once (table, rows)."""
+    from pyspark.sql import functions as F
+    out = None
+    for name, df in profile.profile_all(stages.catalogue(spark, sf)).items():
+        r = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("tbl"), "rows")
+        out = r if out is None else out.unionByName(r)
+    return out
