@@ -67,7 +67,20 @@ def sample_n(spark, sf):
     return clean.sample_n(stages.ratings_clean(spark, sf), 5000, seed=7)
 
 
-@register("sink_recommendations_csv", None)
+def _reco_csv_sql():
+    from ranklight.plans.collab_q import RECO_ALL_SQL
+    head, tail = RECO_ALL_SQL[:RECO_ALL_SQL.rindex("\nSELECT")], RECO_ALL_SQL[RECO_ALL_SQL.rindex("\nSELECT"):]
+    return head + ",\nreco AS (" + tail.strip() + """)
+SELECT 'baseline' AS model, count(*) AS n, count(DISTINCT user_id) AS users FROM reco"""
+
+
+def _metrics_json_sql():
+    from ranklight.plans.metrics_q import evaluate_all
+    from ranklight.plans.registry import ORACLE
+    return ORACLE["evaluate_all"]
+
+
+@register("sink_recommendations_csv", _reco_csv_sql())
 def sink_recommendations_csv(spark, sf):
     """Top-10 lists written as CSV partitioned by model, read back."""
     from ranklight.plans.collab_q import recommend_all_users
@@ -77,7 +90,7 @@ def sink_recommendations_csv(spark, sf):
     return back.groupBy("model").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("user_id").alias("users"))
 
 
-@register("sink_metrics_json", None)
+@register("sink_metrics_json", _metrics_json_sql())
 def sink_metrics_json(spark, sf):
     """The metrics table written as JSON and read back."""
     from ranklight.plans.metrics_q import evaluate_all
@@ -86,7 +99,10 @@ def sink_metrics_json(spark, sf):
     return spark.read.schema("metric string, k int, value double").json(path)
 
 
-@register("save_matrix", None)
+@register("save_matrix", ctes(RATINGS_LOG, KEEP_LAST_SQL, RATINGS_CLEAN_SQL) + """
+SELECT count(*) AS cells, (SELECT count(DISTINCT user_id) - 1 FROM ratings_clean) AS max_user_idx,
+       (SELECT count(DISTINCT item_id) - 1 FROM ratings_clean) AS max_item_idx, round(sum(rating), 6) AS sum_rating
+FROM ratings_clean""")
 def save_matrix(spark, sf):
     """The user-item long table (dense indexes) written and read back."""
     from ranklight.operators.features import user_item_index
