@@ -100,7 +100,7 @@ def tfidf_transform(spark, sf):
 # ------------------------------------------------------------------ similarity on the catalogue
 
 def _content(spark, sf):
-    return content.fit(stages.catalogue(spark, sf), 5000, (1, 2))
+    return stages.content_model(spark, sf)
 
 
 PAIRS_SQL = """pair_sims AS (

@@ -91,7 +91,7 @@ def embedding_2d(spark, sf):
 @register("lsa_components")
 def lsa_components(spark, sf):
     """Singular values of the uncentred catalogue TF-IDF matrix (20 components)."""
-    cb = content.fit(stages.catalogue(spark, sf), 5000, (1, 2))
+    cb = stages.content_model(spark, sf)
     svd, _ = embed.lsa(cb.weights, 20)
     vals = [float(x) for x in svd.s.toArray()]
     # k values computed on the driver: a k-row result, not data.

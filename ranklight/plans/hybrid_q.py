@@ -69,7 +69,7 @@ FROM blend b JOIN catalogue c USING (item_id)"""
 
 def _sides(spark, sf):
     cat = stages.catalogue(spark, sf)
-    cb = content.fit(cat, 5000, (1, 2))
+    cb = stages.content_model(spark, sf)
     model, split = stages.baseline_model(spark, sf)
     cf = hybrid.CFSide(model, collab.train_part(split), cat)
     return cb, cf, cat, split

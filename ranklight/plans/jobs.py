@@ -65,7 +65,7 @@ def train_all(spark: SparkSession, sf: str, out: str, min_ratings: int = 30) ->
 def train_content(spark: SparkSession, sf: str, out: str | None = None) -> DataFrame:
     """Fit the content model, store it (S11), five neighbours of the first item."""
     cat = stages.catalogue(spark, sf)
-    model = content.fit(cat)
+    model = stages.content_model(spark, sf)
     if out:
         io.save_content_model(model, os.path.join(out, "content_model"))
     first = cat.select(F.min("item_id").alias("doc_id"))
@@ -91,7 +91,7 @@ def train_collaborative(spark: SparkSession, sf: str, out: str | None = None, ra
 def train_hybrid(spark: SparkSession, sf: str, out: str | None = None) -> DataFrame:
     """Weights (H1), stored config (S13), five picks for the first item."""
     cat = stages.catalogue(spark, sf)
-    cb = content.fit(cat)
+    cb = stages.content_model(spark, sf)
     model, split = stages.baseline_model(spark, sf)
     cf = hybrid.CFSide(model, collab.train_part(split), cat)
     cw, fw = hybrid.hybrid_weights(0.4, 0.6)
@@ -124,7 +124,7 @@ def metrics_report(spark: SparkSession, sf: str, out: str | None = None) -> Data
     ranked = collab.ranked_from_predictions(pred, 20).select("user_id", "item_id", "rank")
     relevant = pred.filter(F.col("rating") >= collab.RELEVANT_AT).select("user_id", "item_id")
     cf_long = metrics.evaluate_all(pred, ranked, relevant).select(F.lit("collaborative").alias("model"), "*")
-    cb = content.fit(stages.catalogue(spark, sf))
+    cb = stages.content_model(spark, sf)
     hy = hybrid.evaluate_on_held_out(pred, collab.train_part(split), cb.weights, 10)
     hy_long = hy.select(F.explode(F.array(
         F.struct(F.lit("precision").alias("metric"), F.lit(10).alias("k"), F.col("precision_at_10").cast("double").alias("value")),

@@ -114,7 +114,7 @@ SELECT round(avg(d), 6) AS diversity, count(*) AS lists FROM per"""
 def diversity(spark, sf):
     """Mean pairwise (1 - cosine) within each top-10 list, averaged."""
     from ranklight.plans.collab_q import recommend_all_users
-    cb = content.fit(stages.catalogue(spark, sf), 5000, (1, 2))
+    cb = stages.content_model(spark, sf)
     return metrics.diversity(recommend_all_users(spark, sf), cb.weights.withColumnRenamed("doc_id", "item_id"))
 
 
@@ -134,7 +134,7 @@ SELECT round(avg(d), 6) AS query_diversity, round(1 - avg(d), 6) AS avg_similari
 def query_diversity(spark, sf):
     """1 - mean similarity of each list to its query, over 20 sampled items."""
     cat = stages.catalogue(spark, sf)
-    cb = content.fit(cat, 5000, (1, 2))
+    cb = stages.content_model(spark, sf)
     lists = content.recommend_batch(cb, sample_items(cat, 20), 10)
     return metrics.query_diversity(lists)
 
@@ -147,7 +147,7 @@ SELECT count(DISTINCT doc_id) AS n_recommended, (SELECT count(*) FROM catalogue)
 def evaluate_content(spark, sf):
     """Coverage of 100 sampled items' top-10 lists; query diversity of 20 of them."""
     cat = stages.catalogue(spark, sf)
-    cb = content.fit(cat, 5000, (1, 2))
+    cb = stages.content_model(spark, sf)
     lists = content.recommend_batch(cb, sample_items(cat, 100), 10)
     cov = metrics.coverage(lists.select("item_id"), cat)
     first20 = sample_items(cat, 20).withColumnRenamed("doc_id", "query_id")
@@ -301,7 +301,7 @@ def evaluate_hybrid(spark, sf):
     from ranklight.operators import hybrid
     model, split = stages.baseline_model(spark, sf)
     pred = collab.predict_baseline(model, collab.test_part(split))
-    cb = content.fit(stages.catalogue(spark, sf), 5000, (1, 2))
+    cb = stages.content_model(spark, sf)
     return hybrid.evaluate_on_held_out(pred, collab.train_part(split), cb.weights, 10)
 
 

@@ -124,6 +124,6 @@ def content_model_roundtrip(spark, sf):
     """The content model saved as tables, loaded, and queried (= similar_items)."""
     from ranklight.plans.content_q import _RESULT, _first_item
     path = _scratch(spark, "content_model")
-    io.save_content_model(content.fit(stages.catalogue(spark, sf), 5000, (1, 2)), path)
+    io.save_content_model(stages.content_model(spark, sf), path)
     model = io.load_content_model(spark, path)
     return content.recommend_batch(model, _first_item(spark, sf), 10).select(*_RESULT.split(", "))

@@ -45,6 +45,18 @@ def ratings_clean(spark: SparkSession, sf: str) -> DataFrame:
         clean.ratings_keep_last(tables.ratings_log(spark, sf))).select("user_id", "item_id", "rating"))
 
 
+def content_model(spark: SparkSession, sf: str):
+    """R1 fitted once per application and data folder: the term-weight table
+    is written as a checkpoint, so every query on the model starts from it."""
+    from ranklight.operators import content
+    key = (spark.sparkContext.applicationId, sf, "content_model")
+    if key not in _MEMO:
+        m = content.fit(catalogue(spark, sf), 5000, (1, 2))
+        m.weights = m.weights.checkpoint(eager=True)
+        _MEMO[key] = m
+    return _MEMO[key]
+
+
 def ratings_split(spark: SparkSession, sf: str, test_size: float = 0.2) -> DataFrame:
     return collab.split_train_test(ratings_clean(spark, sf), test_size)
 
