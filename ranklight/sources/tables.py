@@ -134,14 +134,20 @@ def catalogue_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
                               .select("item_id", "mean_rating"),
                               [F.col("mean_rating").desc(), F.col("item_id")], "rank").select("item_id", "rank")
     base = base.join(rated, "item_id", "left").drop("mean_rating")
-    dup_id = (base.filter(_hit(F.col("item_id"), RULE_DUP_ID))
-              .withColumn("members", F.col("members") + 1)
-              .withColumn("src_row", F.col("src_row") + 1))
-    dup_name = (base.filter(_hit(F.col("item_id"), RULE_DUP_NAME))
-                .withColumn("name", F.upper("name"))
-                .withColumn("item_id", -F.col("item_id") - 1)
-                .withColumn("src_row", F.col("src_row") + 2))
-    return base.unionByName(dup_id).unionByName(dup_name).select(*CATALOGUE_COLUMNS)
+    # Duplicate listings in one pass (no union re-reading the base): each
+    # row explodes into its copies; copy 1 = same id, members + 1; copy 2 =
+    # new id, name in upper case.
+    iid = F.col("item_id")
+    copies = F.array(F.lit(0),
+                     F.when(_hit(iid, RULE_DUP_ID), F.lit(1)),
+                     F.when(_hit(iid, RULE_DUP_NAME), F.lit(2)))
+    out = base.withColumn("_copy", F.explode(F.filter(copies, lambda c: c.isNotNull())))
+    c = F.col("_copy")
+    out = (out.withColumn("members", F.when(c == 1, F.col("members") + 1).otherwise(F.col("members")))
+              .withColumn("name", F.when(c == 2, F.upper("name")).otherwise(F.col("name")))
+              .withColumn("item_id", F.when(c == 2, -iid - 1).otherwise(iid))
+              .withColumn("src_row", F.col("src_row") + c))
+    return out.select(*CATALOGUE_COLUMNS)
 
 
 CATALOGUE_COLUMNS = ["item_id", "name", "score", "genres", "type", "episodes", "members",
