@@ -60,7 +60,8 @@ SELECT doc_id, len(tokens) AS n_tokens, md5(array_to_string(tokens, ' ')) AS tok
 def tokenize_documents(spark, sf):
     """Tokens of every whole document (count and a hash of the full sequence)."""
     t = tfidf.tokenize(tables.table(spark, sf, "documents"), "doc_id", "text")
-    return t.select("doc_id", F.size("tokens").alias("n_tokens"), F.md5(F.array_join("tokens", " ")).alias("tokens_md5"))
+    return t.select("doc_id", F.size("tokens").cast("long").alias("n_tokens"),
+                    F.md5(F.array_join("tokens", " ")).alias("tokens_md5"))
 
 
 @register("ngrams_documents", ctes(tok_sql("documents", "doc_id", "text")) + """

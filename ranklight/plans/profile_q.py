@@ -103,7 +103,7 @@ def score_histogram(spark, sf):
 st AS (SELECT min(v) AS lo, max(v) AS hi, count(*) AS n, stddev_samp(v) AS sd FROM v),
 p AS (SELECT st.*, sd * pow(CAST(n AS DOUBLE), -0.2) AS h, (hi - lo) / 99 AS step FROM st),
 g AS (SELECT range AS i FROM range(100))
-SELECT g.i, round(p.lo + g.i * p.step, 6) AS x,
+SELECT CAST(g.i AS INTEGER) AS i, round(p.lo + g.i * p.step, 6) AS x,
        round(sum(exp(-0.5 * pow(((p.lo + g.i * p.step) - v.v) / p.h, 2))) / (p.n * p.h * sqrt(2 * pi())), 6) AS density
 FROM g CROSS JOIN p CROSS JOIN v GROUP BY g.i, p.lo, p.step, p.n, p.h""")
 def score_density(spark, sf):
