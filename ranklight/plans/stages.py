@@ -9,9 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import hashlib
+
 from ranklight.operators import clean, collab
 from ranklight.plans.base_sql import CATALOGUE_RAW, RATINGS_LOG
-from ranklight.session import checkpoint_dir
+from ranklight.session import stage_path
 from ranklight.sources import tables
 
 
@@ -20,13 +22,19 @@ _MEMO: dict = {}
 
 def materialize(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
     """Build a stage once per application and data folder, written as a
-    reliable checkpoint into the shared checkpoint folder.  Downstream plans
-    start from the written table: short lineage, and a lost executor costs a
-    re-read, not a recomputation of the stage."""
+    parquet table in the shared checkpoint folder and read back.
+
+    Downstream plans start from the written table: short lineage, a lost
+    executor costs a re-read instead of a recomputation, and the scan has
+    column pruning, pushed filters and size statistics (so Spark can decide
+    on broadcasts).  Computed once (a checkpoint of an uncached plan would
+    compute it twice)."""
     key = (spark.sparkContext.applicationId, sf, name)
     if key not in _MEMO:
-        checkpoint_dir(spark)
-        _MEMO[key] = build().checkpoint(eager=True)
+        tag = hashlib.md5(sf.encode()).hexdigest()[:8]
+        path = stage_path(spark, f"{spark.sparkContext.applicationId}/{name}-{tag}")
+        build().write.mode("overwrite").parquet(path)
+        _MEMO[key] = spark.read.parquet(path)
     return _MEMO[key]
 
 
@@ -52,7 +60,7 @@ def content_model(spark: SparkSession, sf: str):
     key = (spark.sparkContext.applicationId, sf, "content_model")
     if key not in _MEMO:
         m = content.fit(catalogue(spark, sf), 5000, (1, 2))
-        m.weights = m.weights.checkpoint(eager=True)
+        m.weights = materialize(spark, sf, "content_weights", lambda: m.weights)
         _MEMO[key] = m
     return _MEMO[key]
 
