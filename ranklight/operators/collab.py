@@ -17,7 +17,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.functions.columns import clip, dot, hex_threshold, md5_key, r6
+from ranklight.functions.columns import clip, hex_threshold, md5_key, r6
 from ranklight.functions.topk import top_k_per_group
 from ranklight.functions.index import global_row_number
 

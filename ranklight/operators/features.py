@@ -103,10 +103,9 @@ def season_features(cat: DataFrame) -> DataFrame:
             .withColumn("season_numeric", season_number("season")))
 
 
-def all_features(cat: DataFrame, text: bool = True, numeric: bool = True, genres: bool = False,
-                 time: bool = True) -> DataFrame:
-    """F8: the feature steps in order, each switchable (genre one-hot is
-    offered in long form by ``genre_long``)."""
+def all_features(cat: DataFrame, text: bool = True, numeric: bool = True, time: bool = True) -> DataFrame:
+    """F8: the feature steps in order, each switchable (the genre one-hot is
+    a separate long table, ``genre_long``, since its width is data)."""
     out = cat
     if text:
         out = text_features_weighted(out)

@@ -8,7 +8,6 @@ from ranklight.operators import collab, content, hybrid
 from ranklight.plans import stages
 from ranklight.plans.content_q import CONTENT_CTES
 from ranklight.plans.registry import register
-from ranklight.plans.stages import CF_CTES, ctes
 
 
 

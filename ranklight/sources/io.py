@@ -11,7 +11,6 @@ from __future__ import annotations
 import json
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
 
 CATALOGUE_SCHEMA = StructType([
@@ -73,7 +72,8 @@ def write_recommendations(df: DataFrame, path: str, model_col: str = "model") ->
 
 
 def write_metrics_json(df: DataFrame, path: str) -> None:
-    """Metrics as JSON lines (nested forms via struct / to_json)."""
+    """Metrics as JSON lines (nested forms via struct / to_json).  A
+    metrics table has one row per (model, metric, k): one file is enough."""
     write_table(df.coalesce(1), path, "json")
 
 
@@ -153,7 +153,3 @@ def save_word2vec(model, path: str) -> None:
 
 def load_word_vectors(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(f"{path}/vectors")
-
-
-def column(df: DataFrame, name: str):
-    return F.col(name)
