@@ -91,7 +91,9 @@ def ranked_from_predictions(pred: DataFrame, k: int | None = 10) -> DataFrame:
     # bits between engines and runs, and must not reorder near-ties.
     order = [F.round("raw_prediction", 9).desc(), F.col("item_id")] \
         if "raw_prediction" in pred.columns else [F.round("prediction", 9).desc(), F.col("item_id")]
-    return top_k_per_group(pred, ["user_id"], order, k)
+    # pred comes out of a join on user_id: salt so a hot user is split.
+    from ranklight.functions.topk import SKEW_SALT
+    return top_k_per_group(pred, ["user_id"], order, k, salt=SKEW_SALT if k is not None else 0)
 
 
 def evaluate_predictions(pred: DataFrame, k: int = 10, threshold: float = RELEVANT_AT) -> DataFrame:

@@ -184,7 +184,9 @@ def evaluate_on_held_out(pred: DataFrame, train: DataFrame, weights: DataFrame,
               .withColumn("cf", (F.col("prediction") - F.col("lo")) /
                           F.when(F.col("hi") > F.col("lo"), F.col("hi") - F.col("lo")).otherwise(F.lit(1.0)))
               .withColumn("hybrid_score", cw * F.col("cb") + fw * F.col("cf")))
-    ranked = top_k_per_group(scored, ["user_id"], [F.round("hybrid_score", 9).desc(), F.col("item_id")], k)
+    from ranklight.functions.topk import SKEW_SALT
+    ranked = top_k_per_group(scored, ["user_id"], [F.round("hybrid_score", 9).desc(), F.col("item_id")], k,
+                             salt=SKEW_SALT)
     relevant = pred.filter(F.col("rating") >= threshold).select("user_id", "item_id")
     per = per_user_at_k(ranked.select("user_id", "item_id", "rank"), relevant, (k,))
     return per.agg(r6(F.avg("precision")).alias(f"precision_at_{k}"), r6(F.avg("recall")).alias(f"recall_at_{k}"),
