@@ -90,12 +90,12 @@ def embedding_2d(spark, sf):
 
 @register("lsa_components")
 def lsa_components(spark, sf):
-    """Singular values of the uncentred catalogue TF-IDF matrix (20 components)."""
+    """Singular values and explained variance of the uncentred catalogue TF-IDF matrix (20 components)."""
     cb = stages.content_model(spark, sf)
-    svd, _ = embed.lsa(cb.weights, 20)
-    vals = [float(x) for x in svd.s.toArray()]
-    # k values computed on the driver: a k-row result, not data.
-    return spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "component int, singular_value double")
+    r = embed.lsa_report(cb.weights, 20)
+    return r.select("component", r6("singular_value").alias("singular_value"),
+                    r6("explained_variance").alias("explained_variance"),
+                    r6("explained_variance_ratio").alias("explained_variance_ratio"))
 
 
 def _factor_eval(spark, sf, algorithm: str, rank: int, iters: int, reg: float):

@@ -78,3 +78,19 @@ def test_lsa_singular_values_non_increasing(spark):
     svd, _ = embed.lsa(cb.weights, 5)
     s = svd.s.toArray()
     assert all(s[i] >= s[i + 1] - 1e-9 for i in range(len(s) - 1))
+
+
+def test_lsa_explained_variance(spark):
+    from ranklight.operators import content
+    cb = content.fit(stages.catalogue(spark, SF_SMALL))
+    rows = embed.lsa_report(cb.weights, 5).orderBy("component").collect()
+    ratios = [r.explained_variance_ratio for r in rows]
+    assert all(x >= -1e-9 for x in ratios) and sum(ratios) <= 1 + 1e-9
+    # cross-check against numpy on the same matrix
+    import numpy as np
+    w = cb.weights.toPandas()
+    terms = sorted(w.term.unique()); docs = sorted(w.doc_id.unique())
+    X = np.zeros((len(docs), len(terms)))
+    X[np.searchsorted(docs, w.doc_id), np.searchsorted(terms, w.term)] = w.w
+    s = np.linalg.svd(X, compute_uv=False)[:5]
+    assert np.allclose([r.singular_value for r in rows], s, rtol=1e-6, atol=1e-8)
