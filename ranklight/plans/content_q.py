@@ -226,3 +226,19 @@ def train_content(spark, sf):
     """Content model fitted, five neighbours of the first item."""
     from ranklight.plans import jobs
     return jobs.train_content(spark, sf).select(*_RESULT.split(", "))
+
+
+@register("similar_items_overfetch", CONTENT_CTES.rstrip() + f""",
+qa AS (SELECT a.doc_id AS query_id, b.doc_id, sum(a.w * b.w) AS sim FROM weights a JOIN weights b USING (term)
+       WHERE a.doc_id = ({_FIRST_ITEM}) GROUP BY a.doc_id, b.doc_id),
+cut AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 9) DESC, doc_id) AS r0
+                       FROM qa WHERE round(sim, 9) > 0) WHERE r0 <= 50),
+kept AS (SELECT * FROM cut WHERE query_id <> doc_id AND doc_id IN (SELECT item_id FROM catalogue WHERE score >= 5.0)),
+ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY round(sim, 9) DESC, doc_id) AS INTEGER) AS rank
+           FROM kept)
+SELECT r.query_id, r.rank, c.item_id, c.name, c.genres, c.score, c.type, c.episodes, round(r.sim, 6) AS similarity
+FROM ranked r JOIN catalogue c ON c.item_id = r.doc_id WHERE r.rank <= 10""")
+def similar_items_overfetch(spark, sf):
+    """R2 parity mode (D7): cut to 5 x 10 candidates first, then drop self and score < 5."""
+    return content.recommend_batch(_content(spark, sf), _first_item(spark, sf), 10, 5.0, True, overfetch=5) \
+        .select(*_RESULT.split(", "))

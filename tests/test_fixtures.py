@@ -159,3 +159,29 @@ def test_errors_raise():
 def test_hybrid_weights_normalised():
     assert hybrid.hybrid_weights(2, 3) == pytest.approx((0.4, 0.6))
     assert hybrid.reweight(0.3) == pytest.approx((0.3, 0.7))
+
+
+def test_overfetch_parity_may_return_fewer(spark):
+    # 5 Action items with low scores, 5 Drama items with high scores: with the
+    # reference's cut (5 x top_n candidates, then the score filter) the list of
+    # item 1 keeps only the high-score Action... none; fixed order finds Drama.
+    rows = [(i, f"A{i}", "Action" if i <= 5 else "Drama", "TV", 5.0 if i <= 5 else 9.0, 12.0, "S", "Manga", "PG-13")
+            for i in range(1, 11)]
+    m = content.fit(spark.createDataFrame(rows, CONTENT_SCHEMA))
+    fixed = content.recommend(m, 1, 1, min_score=8.0).collect()
+    parity = content.recommend(m, 1, 1, min_score=8.0, overfetch=1).collect()
+    assert len(fixed) == 1 and fixed[0].score == 9.0
+    assert len(parity) == 0
+
+
+def test_zero_fill_tops_up_with_lowest_ids(spark):
+    rows = [(1, "A1", "Action", "TV", 8.0, 12.0, "S", "Manga", "PG"),
+            (2, "A2", "Action", "TV", 8.0, 12.0, "S", "Manga", "PG"),
+            (3, "B3", "Zzz", "Movie", 8.0, 1.0, "Q", "Novel", "R"),
+            (4, "B4", "Yyy", "Special", 8.0, 1.0, "P", "Game", "G")]
+    m = content.fit(spark.createDataFrame(rows, CONTENT_SCHEMA))
+    plain = [r.item_id for r in content.recommend(m, 1, 3).orderBy("rank").collect()]
+    filled = [(r.item_id, r.similarity) for r in content.recommend(m, 1, 3, zero_fill=True).orderBy("rank").collect()]
+    assert plain == [2]
+    assert [i for i, _ in filled] == [2, 3, 4] and filled[1][1] == 0.0 and filled[2][1] == 0.0
+    assert content.recommend(m, 999, 3, zero_fill=True).count() == 0
