@@ -94,3 +94,18 @@ def test_lsa_explained_variance(spark):
     X[np.searchsorted(docs, w.doc_id), np.searchsorted(terms, w.term)] = w.w
     s = np.linalg.svd(X, compute_uv=False)[:5]
     assert np.allclose([r.singular_value for r in rows], s, rtol=1e-6, atol=1e-8)
+
+
+def test_recommend_all_factors_matches_brute_force(spark):
+    train = _planted(spark, 40, 30)
+    fm = collab.fit_factors(train, "SVD", rank=3, max_iter=5, reg=0.1)
+    cat = spark.createDataFrame([(i, 7.0) for i in range(30)] + [(99, 8.0)], "item_id long, score double")
+    users = train.select("user_id").distinct()
+    got = collab.recommend_all_factors(fm, train, cat, users, top_n=5, min_score=6.0, block=7)
+    # brute force: every (user, eligible item) pair predicted, seen removed
+    all_items = cat.select(F.collect_list("item_id")).first()[0]  # 31 ids: fixture only
+    pairs = users.select("user_id", F.explode(F.array(*[F.lit(i) for i in all_items])).alias("item_id")) \
+        .join(train.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+    pred = collab.predict_factors(fm, pairs)
+    want = collab.ranked_from_predictions(pred, 5).select("user_id", "item_id", F.col("rank").cast("int").alias("rank"))
+    assert sorted(map(tuple, got.select("user_id", "item_id", "rank").collect())) == sorted(map(tuple, want.collect()))
