@@ -338,3 +338,24 @@ def recommend_all_factors(model: FactorModel, seen: DataFrame, catalogue: DataFr
     return (top.join(us.select("user_id", "b_u"), "user_id")
             .select("user_id", "item_id", F.col("rank").cast("int").alias("rank"),
                     r6(clip(mu + F.col("b_u") + F.col("score"), RATING_MIN, RATING_MAX)).alias("prediction")))
+
+
+def cross_validate_factors(ratings: DataFrame, n_folds: int = 5, algorithm: str = "SVD", rank: int = 20,
+                           max_iter: int = 10, reg: float = 0.1, seed: int = 42) -> DataFrame:
+    """M10 for M3/M4: one ALS fit per fold (a loop over the n_folds folds,
+    each a distributed fit on the other folds), scored on the fold.
+    Output: fold, rmse, mae, n, then a 'mean' row."""
+    r = ratings.filter(F.col("rating") > 0).withColumn("fold", fold_of(n_folds))
+    out = None
+    for f in range(n_folds):
+        train = r.filter(F.col("fold") != f).drop("fold")
+        test = r.filter(F.col("fold") == f).drop("fold")
+        fm = fit_factors(train, algorithm, rank, max_iter, reg, seed)
+        p = predict_factors(fm, test)
+        d = F.col("prediction") - F.col("rating")
+        row = p.agg(F.sqrt(F.avg(d * d)).alias("rmse"), F.avg(F.abs(d)).alias("mae"),
+                    F.count(F.lit(1)).alias("n")).select(F.lit(str(f)).alias("fold"), "rmse", "mae", "n")
+        out = row if out is None else out.unionByName(row)
+    mean = out.agg(F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae"), F.sum("n").cast("long").alias("n"))
+    return (out.unionByName(mean.select(F.lit("mean").alias("fold"), "rmse", "mae", "n"))
+            .select("fold", r6("rmse").alias("rmse"), r6("mae").alias("mae"), "n"))

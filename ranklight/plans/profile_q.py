@@ -274,3 +274,12 @@ def profile_all(spark, sf):
         r = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("tbl"), "rows")
         out = r if out is None else out.unionByName(r)
     return out
+
+
+@register("episode_histogram", ctes(CAT_CTES, _hist_sql("catalogue", "episodes", 50)) + """
+SELECT g.bin, round(w.lo + g.bin * w.width, 6) AS bin_start, round(w.lo + (g.bin + 1) * w.width, 6) AS bin_end,
+       coalesce(c.n, 0) AS n
+FROM (SELECT CAST(range AS INTEGER) AS bin FROM range(50)) g CROSS JOIN w LEFT JOIN c USING (bin)""")
+def episode_histogram(spark, sf):
+    """Histogram of all episode counts (50 bins)."""
+    return profile.histogram(stages.catalogue(spark, sf), "episodes", 50)
