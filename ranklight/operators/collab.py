@@ -266,6 +266,7 @@ def predict_factors(model: FactorModel, pairs: DataFrame) -> DataFrame:
 def _factor_block_fn(k: int):
     import numpy as np
     import pandas as pd
+    from ranklight.operators.similarity import top_k_columns
 
     def fn(key, pdf):
         u = pdf[pdf["side"] == 0]
@@ -282,7 +283,10 @@ def _factor_block_fn(k: int):
             c = np.searchsorted(iid, seen["other"].to_numpy(), sorter=np.argsort(iid))
             s[np.argsort(uid)[r], np.argsort(iid)[c]] = -np.inf
         kk = min(k, s.shape[1])
-        order = np.lexsort((np.broadcast_to(iid, s.shape), -np.round(s, 9)), axis=1)[:, :kk]
+        # item ids ascending, so column position order = id order
+        srt = np.argsort(iid)
+        iid, s = iid[srt], s[:, srt]
+        order = top_k_columns(s, kk)
         vals = np.take_along_axis(s, order, 1).ravel()
         out = pd.DataFrame({"user_id": np.repeat(uid, kk), "item_id": iid[order].ravel(), "score": vals})
         return out[np.isfinite(out["score"].to_numpy())]

@@ -86,6 +86,26 @@ def neighbours_of(weights: DataFrame, queries: DataFrame, k: int | None = 10, ex
     return top_k_per_group(prod, ["query_id"], [F.round("similarity", 9).desc(), F.col("doc_id")], k)
 
 
+def top_k_columns(scores, k: int):
+    """Per row of ``scores`` (columns in ascending id order), the column
+    positions of the k best by (score rounded to 1e-9 desc, id asc), best
+    first.  Exact with ties: score and position form one unique int64 key,
+    so an O(n) argpartition finds the set and only k entries are sorted.
+    Non-finite scores (masked pairs) sort last."""
+    import numpy as np
+    n_cols = scores.shape[1]
+    kk = min(k, n_cols)
+    if kk <= 0:
+        return np.zeros((scores.shape[0], 0), dtype=np.int64)
+    q = np.rint(scores * 1e9)
+    q = np.where(np.isfinite(q), q, -4e18 / (1 << 20))
+    width = 1 << int(np.ceil(np.log2(n_cols + 1)))
+    key = q.astype(np.int64) * width - np.arange(n_cols, dtype=np.int64)[None, :]
+    part = np.argpartition(-key, kk - 1, axis=1)[:, :kk]
+    order = np.argsort(-np.take_along_axis(key, part, 1), axis=1)
+    return np.take_along_axis(part, order, 1)
+
+
 def _block_product_fn(k: int, metric: str, exclude_self: bool, dims: int):
     def fn(key, pdf):
         left = pdf[pdf["side"] == 0]
@@ -118,8 +138,8 @@ def _block_product_fn(k: int, metric: str, exclude_self: bool, dims: int):
                 sims = np.where(row_ids[:, None] == col_ids[None, :], -np.inf, sims)
             kk = min(k, sims.shape[1])
             # Per row: similarity (rounded to 1e-9, as the final order) desc,
-            # then id asc.
-            order = np.lexsort((np.broadcast_to(col_ids, sims.shape), -np.round(sims, 9)), axis=1)[:, :kk]
+            # then id asc (col_ids are ascending).
+            order = top_k_columns(sims, kk)
             vals = np.take_along_axis(sims, order, 1).ravel()
             rid = np.repeat(row_ids, kk)
             cid = col_ids[order].ravel()

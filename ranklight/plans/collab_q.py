@@ -93,7 +93,7 @@ SELECT user_id, item_id, CAST(rank AS INTEGER) AS rank, round(least(greatest(raw
 FROM rk WHERE rank <= 10"""
 
 
-@register("recommend_all_users", RECO_ALL_SQL)
+@register("recommend_all_users", RECO_ALL_SQL, headline=True)
 def recommend_all_users(spark, sf):
     """M8 on M2: top-10 unseen items with score >= 6 for every test user."""
     model, split = stages.baseline_model(spark, sf)
