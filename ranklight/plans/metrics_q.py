@@ -305,7 +305,15 @@ def evaluate_hybrid(spark, sf):
     return hybrid.evaluate_on_held_out(pred, collab.train_part(split), cb.weights, 10)
 
 
-@register("metrics_report")
+def _metrics_report_sql():
+    from ranklight.plans.registry import ORACLE
+    cf = ORACLE["evaluate_all"]
+    return (f"SELECT 'collaborative' AS model, metric, k, value FROM ({cf})\n"
+            f"UNION ALL SELECT 'hybrid', 'precision', 10, precision_at_10 FROM ({EVAL_HYBRID_SQL})\n"
+            f"UNION ALL SELECT 'hybrid', 'recall', 10, recall_at_10 FROM ({EVAL_HYBRID_SQL})")
+
+
+@register("metrics_report", _metrics_report_sql())
 def metrics_report(spark, sf):
     """Metrics of the collaborative and hybrid models in long form."""
     from ranklight.plans import jobs
