@@ -177,32 +177,49 @@ def cross_validate_baseline(ratings: DataFrame, n_folds: int = 5, reg_item: floa
                             reg_user: float = 15.0) -> DataFrame:
     """M10 for M2: per fold f, fit on the other folds and score fold f.
 
-    All folds in one plan: each row is copied to the n_folds - 1 trainings it
-    belongs to (explode, no join), so biases for every fold come from one
-    grouped pass keyed by (fold, id).  Output: fold, rmse, mae, n, then a
-    'mean' row.
+    All folds in one plan, every rating read and shuffled once: aggregates
+    keep one conditional column per fold, and the training statistics of
+    fold f are "all minus fold f" (mean, item sums) or sums over rows of
+    other folds (user residuals).  Output: fold, rmse, mae, n, then 'mean'.
     """
-    r = ratings.filter(F.col("rating") > 0).withColumn("fold", fold_of(n_folds))
-    others = F.filter(F.array(*[F.lit(i) for i in range(n_folds)]), lambda x: x != F.col("fold"))
-    train = r.withColumn("f", F.explode(others))
-    mu = train.groupBy("f").agg(F.avg("rating").alias("mu"))  # n_folds rows
-    bi = (train.join(F.broadcast(mu), "f").groupBy("f", "item_id")
-          .agg((F.sum(F.col("rating") - F.col("mu")) / (F.count(F.lit(1)) + reg_item)).alias("b_i")))
-    bu = (train.join(F.broadcast(mu), "f").join(bi, ["f", "item_id"]).groupBy("f", "user_id")
-          .agg((F.sum(F.col("rating") - F.col("mu") - F.col("b_i")) / (F.count(F.lit(1)) + reg_user)).alias("b_u")))
-    test = r.withColumn("f", F.col("fold"))
-    pred = (test.join(F.broadcast(mu), "f").join(bi, ["f", "item_id"], "left").join(bu, ["f", "user_id"], "left")
-            .withColumn("prediction", clip(F.col("mu") + F.coalesce("b_u", F.lit(0.0)) + F.coalesce("b_i", F.lit(0.0)),
+    r = ratings.filter(F.col("rating") > 0).select("user_id", "item_id", "rating").withColumn("fold", fold_of(n_folds))
+    folds = range(n_folds)
+    tot = _scalar_struct(r, [F.sum("rating").alias("S"), F.count(F.lit(1)).alias("N")] +
+                         [F.sum(F.when(F.col("fold") == f, F.col("rating"))).alias(f"s{f}") for f in folds] +
+                         [F.count(F.when(F.col("fold") == f, 1)).alias(f"n{f}") for f in folds])
+    mu = [(tot["S"] - F.coalesce(tot[f"s{f}"], F.lit(0.0))) / (tot["N"] - tot[f"n{f}"]) for f in folds]
+    items = r.groupBy("item_id").agg(
+        F.sum("rating").alias("S"), F.count(F.lit(1)).alias("N"),
+        *[F.coalesce(F.sum(F.when(F.col("fold") == f, F.col("rating"))), F.lit(0.0)).alias(f"s{f}") for f in folds],
+        *[F.count(F.when(F.col("fold") == f, 1)).alias(f"n{f}") for f in folds])
+    items = items.select("item_id", F.array(*[
+        ((F.col("S") - F.col(f"s{f}")) - (F.col("N") - F.col(f"n{f}")) * mu[f]) / ((F.col("N") - F.col(f"n{f}")) + reg_item)
+        for f in folds]).alias("bi"))
+    rows = r.join(items, "item_id")
+    users = rows.groupBy("user_id").agg(
+        *[F.sum(F.when(F.col("fold") != f, F.col("rating") - mu[f] - F.col("bi")[f])).alias(f"t{f}") for f in folds],
+        *[F.count(F.when(F.col("fold") != f, 1)).alias(f"c{f}") for f in folds])
+    users = users.select("user_id", F.array(*[
+        F.coalesce(F.col(f"t{f}") / (F.col(f"c{f}") + reg_user), F.lit(0.0)) for f in folds]).alias("bu"))
+    fold_mu = F.element_at(F.array(*mu), F.col("fold") + 1)
+    pred = (rows.join(users, "user_id", "left")
+            .withColumn("prediction", clip(fold_mu + F.coalesce(F.element_at("bu", F.col("fold") + 1), F.lit(0.0))
+                                           + F.coalesce(F.element_at("bi", F.col("fold") + 1), F.lit(0.0)),
                                            RATING_MIN, RATING_MAX)))
     d = F.col("prediction") - F.col("rating")
-    per = pred.groupBy("f").agg(F.sqrt(F.avg(d * d)).alias("rmse"), F.avg(F.abs(d)).alias("mae"),
-                                F.count(F.lit(1)).alias("n"))
+    per = pred.groupBy("fold").agg(F.sqrt(F.avg(d * d)).alias("rmse"), F.avg(F.abs(d)).alias("mae"),
+                                   F.count(F.lit(1)).alias("n"))
     mean = per.agg(F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae"), F.sum("n").alias("n"))
-    return (per.select(F.col("f").cast("string").alias("fold"), r6("rmse").alias("rmse"), r6("mae").alias("mae"), "n")
+    return (per.select(F.col("fold").cast("string").alias("fold"), r6("rmse").alias("rmse"), r6("mae").alias("mae"), "n")
             .unionByName(mean.select(F.lit("mean").alias("fold"), r6("rmse").alias("rmse"), r6("mae").alias("mae"),
                                      F.col("n").cast("long").alias("n"))))
 
 
+def _scalar_struct(df: DataFrame, fields: list):
+    """A one-row aggregate as a struct-valued scalar subquery (run once)."""
+    return df.select(F.struct(*fields)).scalar()
+
+
 # ---------------------------------------------------------------- M3 / M4
 
 @dataclass
