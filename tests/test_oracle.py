@@ -49,7 +49,8 @@ def test_matches_oracle(spark, con, name):
     assert _canon(df.columns, [tuple(r) for r in df.collect()]) == _canon(rel.columns, rel.fetchall())
 
 
-@pytest.mark.parametrize("name", ["ranking_metrics", "content_all_pairs", "recommend_all_users"])
+@pytest.mark.parametrize("name", ["ranking_metrics", "content_all_pairs", "recommend_all_users", "cross_validate",
+                                  "sample_ratings", "similar_items_batch", "hybrid_mixed", "evaluate_hybrid"])
 def test_partition_count_does_not_matter(spark, name):
     q = entry.queries()[name]
     spark.conf.set("spark.sql.shuffle.partitions", "1")

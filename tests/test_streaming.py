@@ -23,3 +23,18 @@ def test_item_activity_stream_matches_batch(spark):
     want = tables.item_activity(log)
     cols = ["item_id", "members", "scored_by", "favorites", "sum_pos"]
     assert sorted(map(tuple, got.select(*cols).collect())) == sorted(map(tuple, want.select(*cols).collect()))
+
+
+def test_keep_last_stream_matches_batch(spark):
+    from ranklight.operators.clean import EVENT_ORDER, ratings_keep_last
+    log = tables.ratings_log(spark, SF_SMALL)
+    src = tempfile.mkdtemp(prefix="rl-stream-src-")
+    for i in range(2):
+        log.filter(F.pmod(F.col("l_linenumber"), F.lit(2)) == i).write.mode("overwrite").parquet(os.path.join(src, f"p{i}"))
+    stream = spark.readStream.schema(log.schema).parquet(os.path.join(src, "*"))
+    q = rs.start(rs.keep_last_stream(stream, EVENT_ORDER).select("user_id", "item_id", "rating"),
+                 "keep_last_test", tempfile.mkdtemp(prefix="rl-stream-ck-"))
+    q.awaitTermination(120)
+    got = spark.sql("SELECT user_id, item_id, rating FROM keep_last_test")
+    want = ratings_keep_last(log).select("user_id", "item_id", "rating")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
