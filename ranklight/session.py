@@ -20,6 +20,11 @@ DEFAULT_CONF = {
     # Files are split into ~128 MB input partitions; at 100 TB that is
     # ~800k scan tasks, which the scheduler handles in waves.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
+    # Python tasks (block products) run one per core: one BLAS thread each,
+    # or every task would start a thread per core and oversubscribe.
+    "spark.executorEnv.OPENBLAS_NUM_THREADS": "1",
+    "spark.executorEnv.OMP_NUM_THREADS": "1",
+    "spark.executorEnv.MKL_NUM_THREADS": "1",
 }
 
 
