@@ -34,7 +34,15 @@ def materialize(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
         tag = hashlib.md5(sf.encode()).hexdigest()[:8]
         path = stage_path(spark, f"{spark.sparkContext.applicationId}/{name}-{tag}")
         build().write.mode("overwrite").parquet(path)
-        _MEMO[key] = spark.read.parquet(path)
+        df = spark.read.parquet(path)
+        # A small stage can come back as one file with one row group, i.e.
+        # one scan task for every later plan.  Below the cluster's
+        # parallelism it is spread by a hash of its key column; a large
+        # table already has more files than that and is read as written.
+        n = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < n:
+            df = df.repartition(n, df.columns[0])
+        _MEMO[key] = df
     return _MEMO[key]
 
 
