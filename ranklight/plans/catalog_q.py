@@ -105,3 +105,17 @@ def discover_page(spark, sf):
     """Header figures and the top-20 discover list (score >= 5)."""
     from ranklight.plans import jobs
     return jobs.discover_page(spark, sf)
+
+
+@register("top_by_score", CAT + """
+SELECT item_id, score FROM catalogue ORDER BY score DESC NULLS LAST, item_id LIMIT 15""")
+def top_by_score(spark, sf):
+    """Q5: top 15 by score."""
+    return catalog.top_by_metric(stages.catalogue(spark, sf), "score", 15).select("item_id", "score")
+
+
+@register("top_by_members", CAT + """
+SELECT item_id, members FROM catalogue ORDER BY members DESC NULLS LAST, item_id LIMIT 15""")
+def top_by_members(spark, sf):
+    """Q5: top 15 by members."""
+    return catalog.top_by_metric(stages.catalogue(spark, sf), "members", 15).select("item_id", "members")
