@@ -10,7 +10,6 @@ from ranklight.plans.content_q import CONTENT_CTES
 from ranklight.plans.registry import register
 
 
-
 def _all_ctes(extra: str) -> str:
     return CONTENT_CTES.rstrip() + ",\n" + ",\n".join(
         c for c in [stages.KEEP_LAST_SQL, stages.RATINGS_CLEAN_SQL, stages.SPLIT_SQL, stages.BASELINE_SQL]) + ",\n" + extra
