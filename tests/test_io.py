@@ -102,3 +102,16 @@ def test_switching_cold_user_without_item_is_empty(spark):
     cf = hybrid.CFSide(model, collab.train_part(split), cat)
     out = hybrid.switching(cb, cf, None, 10 ** 12, 10)  # unknown user: cold, no item
     assert out.count() == 0 and out.columns == ["item_id", "score_value", "source"]
+
+
+def test_approximate_options_run_and_are_close(spark):
+    from ranklight.operators import profile
+    raw = stages.catalogue_raw(spark, SF_SMALL)
+    exact = clean.fill_median(raw).agg(F.avg("score")).first()[0]
+    approx = clean.fill_median(raw, exact=False).agg(F.avg("score")).first()[0]
+    assert abs(exact - approx) < 0.5
+    assert clean.iqr_filter(clean.fill_median(raw), exact=False).count() > 0
+    r = stages.ratings_clean(spark, SF_SMALL)
+    a = profile.ratings_stats(r, exact=False).first()
+    b = profile.ratings_stats(r, exact=True).first()
+    assert abs(a.n_users - b.n_users) <= 0.05 * b.n_users and a.n_ratings == b.n_ratings
