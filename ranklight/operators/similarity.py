@@ -57,7 +57,7 @@ def dense_to_long(df: DataFrame, id_col: str, vec_col: str, normalize: bool = Tr
 
 
 def neighbours_of(weights: DataFrame, queries: DataFrame, k: int | None = 10, exclude_self: bool = True,
-                  candidates: DataFrame | None = None) -> DataFrame:
+                  candidates: DataFrame | None = None, query_rows_bound: int | None = None) -> DataFrame:
     """Top-k cosine neighbours (dot products of unit vectors) of the items in
     ``queries`` (column doc_id).  ``candidates`` (doc_id) optionally limits
     which items may be returned (filters run before the cut).
@@ -72,7 +72,9 @@ def neighbours_of(weights: DataFrame, queries: DataFrame, k: int | None = 10, ex
     # first: under the bound it is broadcast and the postings are streamed
     # where they lie; above it, postings are split SALT ways by document and
     # the query entries copied to every split.
-    n_q = q.count()
+    # ``query_rows_bound``: a caller-proven bound (e.g. one item under a
+    # vocabulary of max_features terms) saves the counting job.
+    n_q = query_rows_bound if query_rows_bound is not None else q.count()
     if n_q <= BROADCAST_QUERY_ROWS:
         joined = cand.join(F.broadcast(q), "term")
     else:
