@@ -107,10 +107,12 @@ def evaluate_predictions(pred: DataFrame, k: int = 10, threshold: float = RELEVA
     per = per_user_at_k(ranked, relevant, (k,))
     pr = per.agg(r6(F.avg("precision")).alias(f"precision_at_{k}"), r6(F.avg("recall")).alias(f"recall_at_{k}"),
                  F.count(F.lit(1)).alias("users"))
+    # one struct-valued subquery: the per-user plan runs once
+    s = pr.select(F.struct(*pr.columns)).scalar()
     return err.select("rmse", "mae", F.col("n").alias("n_test"),
-                      pr.select(f"precision_at_{k}").scalar().alias(f"precision_at_{k}"),
-                      pr.select(f"recall_at_{k}").scalar().alias(f"recall_at_{k}"),
-                      pr.select("users").scalar().alias("users"))
+                      s.getField(f"precision_at_{k}").alias(f"precision_at_{k}"),
+                      s.getField(f"recall_at_{k}").alias(f"recall_at_{k}"),
+                      s.getField("users").alias("users"))
 
 
 def actual_vs_predicted(pred: DataFrame) -> DataFrame:

@@ -54,7 +54,8 @@ def dataset_summary(cat: DataFrame, r: DataFrame) -> DataFrame:
     rs = r.agg(F.count(F.lit(1)).alias("n_ratings"), F.count_distinct("user_id").alias("n_users"),
                F.min("rating").alias("min_rating"), F.max("rating").alias("max_rating"),
                r6(F.avg("rating")).alias("mean_rating"))
-    return c.select("*", *[rs.select(x).scalar().alias(x) for x in rs.columns])
+    s = rs.select(F.struct(*rs.columns)).scalar()
+    return c.select("*", *[s.getField(x).alias(x) for x in rs.columns])
 
 
 def genre_counts(cat: DataFrame, top_n: int | None = 20) -> DataFrame:
@@ -213,8 +214,8 @@ def matrix_sparsity(r: DataFrame) -> DataFrame:
     """Share of empty cells of the user x item matrix; a stored 0
     counts as empty, duplicates count once (D13)."""
     nz = r.filter(F.col("rating") != 0).select("user_id", "item_id").distinct()
-    u = r.select(F.count_distinct("user_id")).scalar()
-    i = r.select(F.count_distinct("item_id")).scalar()
+    ui = r.select(F.struct(F.count_distinct("user_id").alias("u"), F.count_distinct("item_id").alias("i"))).scalar()
+    u, i = ui.getField("u"), ui.getField("i")
     return nz.agg(F.count(F.lit(1)).alias("filled")).select(
         "filled", u.alias("n_users"), i.alias("n_items"),
         r6(1 - F.col("filled") / (u * i)).alias("sparsity"))

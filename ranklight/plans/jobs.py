@@ -146,5 +146,6 @@ def discover_page(spark: SparkSession, sf: str, min_score: float = 5.0, item_typ
     types = catalog.type_list(cat).select(F.count(F.lit(1))).scalar()
     lst = catalog.discover(cat, min_score, item_type, "score", top_n).select("item_id", "name", "score", "type")
     h = head.select("n_items", "mean_score", "n_genres").withColumn("n_types", types)
+    hs = h.select(F.struct(*h.columns)).scalar()
     return lst.select(*[F.col(c) for c in lst.columns],
-                      *[h.select(c).scalar().alias(c) for c in h.columns])
+                      *[hs.getField(c).alias(c) for c in h.columns])
