@@ -191,3 +191,38 @@ def evaluate_on_held_out(pred: DataFrame, train: DataFrame, weights: DataFrame,
     per = per_user_at_k(ranked.select("user_id", "item_id", "rank"), relevant, (k,))
     return per.agg(r6(F.avg("precision")).alias(f"precision_at_{k}"), r6(F.avg("recall")).alias(f"recall_at_{k}"),
                    r6(F.avg("f1")).alias(f"f1_macro_at_{k}"), F.count(F.lit(1)).alias("users"))
+
+
+def weighted_batch(cb: content.ContentModel, model: collab.Baseline, train: DataFrame, catalogue: DataFrame,
+                   queries: DataFrame, top_n: int = 10, min_score: float = 0.0, content_weight: float = 0.4,
+                   collaborative_weight: float = 0.6) -> DataFrame:
+    """H2 for many (user_id, item_id) queries in one plan, keyed by user.
+
+    Content lists for the distinct query items (one term join), CF lists
+    for the distinct query users (the exact all-users top-n), each cut to
+    2n; CF min-max per user list; a full outer join on (user, item); a
+    per-user top-n.  Output: user_id, rank, item_id, cb_score, cf_score,
+    hybrid_score.
+    """
+    from ranklight.functions.topk import top_k_per_group
+    from ranklight.operators.similarity import neighbours_of
+    cw, fw = hybrid_weights(content_weight, collaborative_weight)
+    qs = queries.select("user_id", F.col("item_id").alias("q_item"))
+    cand = None
+    if min_score and min_score > 0:
+        cand = catalogue.filter(F.col("score") >= min_score).select(F.col("item_id").alias("doc_id"))
+    nb = neighbours_of(cb.weights, qs.select(F.col("q_item").alias("doc_id")), 2 * top_n, True, cand)
+    cbs = (qs.join(nb, qs.q_item == nb.query_id)
+           .select("user_id", F.col("doc_id").alias("item_id"), r6("similarity").alias("cb_score")))
+    cf = collab.recommend_all_baseline(model, train, catalogue, qs.select("user_id"), 2 * top_n, min_score)
+    mm = cf.groupBy("user_id").agg(F.min("prediction").alias("lo"), F.max("prediction").alias("hi"))
+    cfs = (cf.join(mm, "user_id")
+           .select("user_id", "item_id", ((F.col("prediction") - F.col("lo")) /
+                                          F.when(F.col("hi") > F.col("lo"), F.col("hi") - F.col("lo"))
+                                          .otherwise(F.lit(1.0))).alias("cf_score")))
+    both = (cbs.join(cfs, ["user_id", "item_id"], "full_outer")
+            .fillna({"cb_score": 0.0, "cf_score": 0.0})
+            .withColumn("hybrid_score", cw * F.col("cb_score") + fw * F.col("cf_score")))
+    top = top_k_per_group(both, ["user_id"], [F.round("hybrid_score", 9).desc(), F.col("item_id")], top_n)
+    return top.select("user_id", F.col("rank").cast("int").alias("rank"), "item_id", r6("cb_score").alias("cb_score"),
+                      r6("cf_score").alias("cf_score"), r6("hybrid_score").alias("hybrid_score"))

@@ -180,3 +180,49 @@ def train_hybrid(spark, sf):
     """Hybrid weights and config, five picks for the first item."""
     from ranklight.plans import jobs
     return jobs.train_hybrid(spark, sf)
+
+
+BATCH_SQL = _all_ctes("""qu AS (SELECT user_id FROM (SELECT DISTINCT user_id FROM test)
+       ORDER BY md5(CAST(user_id AS VARCHAR) || '-42'), user_id LIMIT 100),
+qi AS (SELECT user_id, item_id AS q_item FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS rn FROM train
+         WHERE user_id IN (SELECT user_id FROM qu)) WHERE rn = 1),
+cbq AS (SELECT a.doc_id AS q_item, b.doc_id AS item_id, sum(a.w * b.w) AS sim FROM weights a JOIN weights b USING (term)
+        WHERE a.doc_id IN (SELECT q_item FROM qi) AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+cbl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q_item ORDER BY round(sim, 9) DESC, item_id) AS r
+                       FROM cbq WHERE round(sim, 9) > 0) WHERE r <= 20),
+cbs AS (SELECT qi.user_id, cbl.item_id, round(cbl.sim, 6) AS cb_score FROM qi JOIN cbl USING (q_item)),
+cfc AS (SELECT u.user_id, e.item_id, (SELECT mu FROM mu) + coalesce(bu.b_u, 0) + coalesce(bi.b_i, 0) AS raw,
+               coalesce(bi.b_i, 0) AS b
+        FROM qu u JOIN (SELECT item_id FROM catalogue) e ON TRUE LEFT JOIN bi ON bi.item_id = e.item_id
+        LEFT JOIN bu ON bu.user_id = u.user_id
+        WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = e.item_id)),
+cfl AS (SELECT user_id, item_id, round(least(greatest(raw, 1.0), 10.0), 6) AS prediction FROM (
+          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(b, 9) DESC, item_id) AS r FROM cfc) WHERE r <= 20),
+mmx AS (SELECT user_id, min(prediction) AS lo, max(prediction) AS hi FROM cfl GROUP BY user_id),
+cfs AS (SELECT cfl.user_id, cfl.item_id,
+               (prediction - lo) / CASE WHEN hi > lo THEN hi - lo ELSE 1.0 END AS cf_score FROM cfl JOIN mmx USING (user_id)),
+bothx AS (SELECT coalesce(cbs.user_id, cfs.user_id) AS user_id, coalesce(cbs.item_id, cfs.item_id) AS item_id,
+                 coalesce(cb_score, 0.0) AS cb_score, coalesce(cf_score, 0.0) AS cf_score
+          FROM cbs FULL OUTER JOIN cfs ON cbs.user_id = cfs.user_id AND cbs.item_id = cfs.item_id),
+hx AS (SELECT *, 0.4 * cb_score + 0.6 * cf_score AS hybrid_score FROM bothx),
+rkx AS (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY round(hybrid_score, 9) DESC, item_id) AS INTEGER) AS rank
+        FROM hx)""") + """
+SELECT user_id, rank, item_id, round(cb_score, 6) AS cb_score, round(cf_score, 6) AS cf_score,
+       round(hybrid_score, 6) AS hybrid_score FROM rkx WHERE rank <= 10"""
+
+
+@register("hybrid_weighted_batch", BATCH_SQL)
+def hybrid_weighted_batch(spark, sf):
+    """H2 for 100 test users at once, each with their top-rated training item:
+    one plan keyed by user, no loop over queries."""
+    from ranklight.functions.columns import md5_key
+    from ranklight.functions.topk import top_k_per_group
+    cat = stages.catalogue(spark, sf)
+    cb = stages.content_model(spark, sf)
+    model, split = stages.baseline_model(spark, sf)
+    train, test = collab.train_part(split), collab.test_part(split)
+    users = test.select("user_id").distinct().orderBy(md5_key("user_id", F.lit("42")), "user_id").limit(100)
+    q = top_k_per_group(train.join(users, "user_id", "left_semi"), ["user_id"],
+                        [F.col("rating").desc(), F.col("item_id")], 1).select("user_id", "item_id")
+    return hybrid.weighted_batch(cb, model, train, cat, q, 10, 0.0)
