@@ -115,3 +115,19 @@ def test_approximate_options_run_and_are_close(spark):
     a = profile.ratings_stats(r, exact=False).first()
     b = profile.ratings_stats(r, exact=True).first()
     assert abs(a.n_users - b.n_users) <= 0.05 * b.n_users and a.n_ratings == b.n_ratings
+
+
+def test_weighted_batch_equals_single_queries(spark):
+    cat = stages.catalogue(spark, SF_SMALL)
+    cb = stages.content_model(spark, SF_SMALL)
+    model, split = stages.baseline_model(spark, SF_SMALL)
+    train = collab.train_part(split)
+    cf = hybrid.CFSide(model, train, cat)
+    users = [r.user_id for r in train.select("user_id").distinct().orderBy("user_id").limit(3).collect()]
+    items = [r.item_id for r in cat.select("item_id").orderBy("item_id").limit(3).collect()]
+    q = spark.createDataFrame(list(zip(users, items)), "user_id long, item_id long")
+    batch = hybrid.weighted_batch(cb, model, train, cat, q, 5)
+    for u, i in zip(users, items):
+        one = hybrid.weighted(cb, cf, i, u, 5).select("item_id", "hybrid_score").collect()
+        got = batch.filter(F.col("user_id") == u).select("item_id", "hybrid_score").collect()
+        assert sorted(map(tuple, one)) == sorted(map(tuple, got))
