@@ -167,9 +167,10 @@ def schema_report(df: DataFrame) -> DataFrame:
     """Columns, types and non-null counts."""
     counts = df.agg(*[F.count(F.col(c)).alias(c) for c in df.columns])
     long = counts.unpivot([], list(df.columns), "column", "non_null")
-    types = df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString(), i) for i, f in
-                                             enumerate(df.schema.fields)], "column string, type string, pos int")
-    return long.join(F.broadcast(types), "column").select("pos", "column", "type", "non_null")
+    # The schema itself is plan metadata (one row per column), not data.
+    types = df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in df.schema.fields],
+                                            "column string, type string")
+    return long.join(F.broadcast(types), "column").select("column", "type", "non_null")
 
 
 def correlation_matrix(df: DataFrame, cols=NUMERIC, listwise: bool = False) -> DataFrame:

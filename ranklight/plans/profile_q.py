@@ -160,7 +160,18 @@ def missing_report(spark, sf):
                                              "genres", "type", "premiered", "rank"))
 
 
-@register("schema_report")
+_CAT_COLS = ["item_id", "name", "score", "genres", "type", "episodes", "members", "favorites", "scored_by", "source",
+             "studios", "producers", "rating", "premiered", "english_name", "popularity", "rank", "src_row",
+             "genres_list"]
+_TYPE_NAMES = ("CASE column_type WHEN 'BIGINT' THEN 'bigint' WHEN 'DOUBLE' THEN 'double' WHEN 'VARCHAR' THEN 'string' "
+               "WHEN 'VARCHAR[]' THEN 'array<string>' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END")
+SCHEMA_SQL = (f"""SELECT d.column_name AS "column", {_TYPE_NAMES} AS type, n.non_null
+FROM (DESCRIBE {CAT} SELECT * FROM catalogue) d
+JOIN ({CAT} SELECT * FROM (UNPIVOT (SELECT """ + ", ".join(f"count({c}) AS {c}" for c in _CAT_COLS) + """ FROM catalogue)
+      ON COLUMNS(*) INTO NAME "column" VALUE non_null)) n ON n."column" = d.column_name""")
+
+
+@register("schema_report", SCHEMA_SQL)
 def schema_report(spark, sf):
     """Columns, types and non-null counts of the cleaned catalogue."""
     return profile.schema_report(stages.catalogue(spark, sf))
