@@ -320,7 +320,39 @@ def metrics_report(spark, sf):
     return jobs.metrics_report(spark, sf)
 
 
-@register("train_all")
+def _train_all_sql():
+    from ranklight.plans.content_q import tok_sql, vocab_sql
+    pop_src = """pop AS (SELECT item_id FROM ratings_clean GROUP BY item_id HAVING count(*) >= 30),
+cat_pop AS (SELECT * FROM catalogue WHERE item_id IN (SELECT item_id FROM pop)),
+rat_pop AS (SELECT * FROM ratings_clean WHERE item_id IN (SELECT item_id FROM pop)),
+content_src AS (
+  SELECT item_id, regexp_replace(lower(concat_ws(' ', coalesce(genres, ''), coalesce(genres, ''), coalesce(type, ''),
+         coalesce(source, ''), coalesce(studios, ''), coalesce(rating, ''))), '^\\s+|\\s+$', '', 'g') AS content_text
+  FROM cat_pop),
+split_p AS (SELECT *, substr(md5(CAST(user_id AS VARCHAR) || '-' || CAST(item_id AS VARCHAR)), 1, 4) < '3333' AS is_test
+            FROM rat_pop WHERE rating > 0),
+gtags AS (SELECT unnest(list_transform(string_split(genres, ','), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g'))) AS g
+          FROM cat_pop)"""
+    body = ctes(stages.CAT_CTES, stages.KEEP_LAST_SQL, stages.RATINGS_CLEAN_SQL, pop_src,
+                tok_sql("content_src", "item_id", "content_text"), vocab_sql("content_src", 1, 1.0, 5000))
+    n_cat = "(SELECT count(*) FROM cat_pop)"
+    return body + f"""
+SELECT 'catalogue' AS stage, {n_cat} AS rows
+UNION ALL SELECT 'ratings', (SELECT count(*) FROM rat_pop)
+UNION ALL SELECT 'content_weights', (SELECT count(*) FROM weights)
+UNION ALL SELECT 'ratings_split', (SELECT count(*) FROM split_p)
+UNION ALL SELECT 'item_bias', (SELECT count(DISTINCT item_id) FROM split_p WHERE NOT is_test)
+UNION ALL SELECT 'user_bias', (SELECT count(DISTINCT user_id) FROM split_p WHERE NOT is_test)
+UNION ALL SELECT 'cf_metrics', 1
+UNION ALL SELECT 'profile_genre_counts', least(20, (SELECT count(DISTINCT g) FROM gtags))
+UNION ALL SELECT 'profile_type_distribution', (SELECT count(DISTINCT type) FROM cat_pop)
+UNION ALL SELECT 'profile_score_histogram', 50
+UNION ALL SELECT 'profile_correlation', 25
+UNION ALL SELECT 'profile_top_score', least(20, {n_cat})
+UNION ALL SELECT 'profile_top_members', least(20, {n_cat})"""
+
+
+@register("train_all", _train_all_sql())
 def train_all(spark, sf):
     """Every training stage written as a table (reused when present)."""
     import uuid
