@@ -131,3 +131,26 @@ def test_weighted_batch_equals_single_queries(spark):
         one = hybrid.weighted(cb, cf, i, u, 5).select("item_id", "hybrid_score").collect()
         got = batch.filter(F.col("user_id") == u).select("item_id", "hybrid_score").collect()
         assert sorted(map(tuple, one)) == sorted(map(tuple, got))
+
+
+def test_edges_per_recommender(spark):
+    cat = stages.catalogue(spark, SF_SMALL)
+    model, split = stages.baseline_model(spark, SF_SMALL)
+    train = collab.train_part(split)
+    # CF, unknown user: the item biases alone decide, still a full list
+    out = collab.recommend_user_baseline(model, train, cat, 10 ** 12, 5, 0.0).orderBy("rank").collect()
+    assert len(out) == 5 and [r.rank for r in out] == [1, 2, 3, 4, 5]
+    # CF, one-item catalogue: at most that item
+    one = cat.orderBy("item_id").limit(1)
+    assert collab.recommend_user_baseline(model, train, one, 10 ** 12, 5, 0.0).count() <= 1
+    # hybrid: neither an item nor a user
+    cb = stages.content_model(spark, SF_SMALL)
+    with pytest.raises(ValueError):
+        hybrid.weighted(cb, hybrid.CFSide(model, train, cat), None, None)
+    # embeddings: unknown id gives an empty list; single vector has no neighbour
+    from ranklight.sources import tables
+    emb = tables.table(spark, SF_SMALL, "embeddings")
+    assert embed.similar_by_embedding(emb, -5, 10, "vec_id", "embedding").count() == 0
+    first = emb.orderBy("vec_id").limit(1)
+    vid = first.first().vec_id
+    assert embed.similar_by_embedding(first, vid, 10, "vec_id", "embedding").count() == 0
