@@ -226,3 +226,30 @@ def weighted_batch(cb: content.ContentModel, model: collab.Baseline, train: Data
     top = top_k_per_group(both, ["user_id"], [F.round("hybrid_score", 9).desc(), F.col("item_id")], top_n)
     return top.select("user_id", F.col("rank").cast("int").alias("rank"), "item_id", r6("cb_score").alias("cb_score"),
                       r6("cf_score").alias("cf_score"), r6("hybrid_score").alias("hybrid_score"))
+
+
+def switching_batch(cb: content.ContentModel, model: collab.Baseline, train: DataFrame, catalogue: DataFrame,
+                    queries: DataFrame, top_n: int = 10, min_score: float = 0.0,
+                    user_rating_threshold: int = 10) -> DataFrame:
+    """H3 for many (user_id, item_id-or-null) queries in one plan: the
+    routing predicate is a column (training ratings per user joined in), the
+    content branch serves queries with an item or a cold user, the CF branch
+    the rest, and the two are unioned.  A cold user without an item gets no
+    rows (D16).  Output: user_id, source, rank, item_id, score_value."""
+    from ranklight.operators.similarity import neighbours_of
+    n = train.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_train"))
+    q = (queries.select("user_id", F.col("item_id").alias("q_item")).join(n, "user_id", "left")
+         .withColumn("use_cf", F.col("q_item").isNull() & (F.coalesce("n_train", F.lit(0)) >= user_rating_threshold)))
+    cq = q.filter(~F.col("use_cf") & F.col("q_item").isNotNull())
+    cand = None
+    if min_score and min_score > 0:
+        cand = catalogue.filter(F.col("score") >= min_score).select(F.col("item_id").alias("doc_id"))
+    nb = neighbours_of(cb.weights, cq.select(F.col("q_item").alias("doc_id")), top_n, True, cand)
+    cb_rows = (cq.join(nb, cq.q_item == nb.query_id)
+               .select("user_id", F.lit("content").alias("source"), F.col("rank").cast("int").alias("rank"),
+                       F.col("doc_id").alias("item_id"), r6("similarity").alias("score_value")))
+    cf_users = q.filter(F.col("use_cf")).select("user_id")
+    cf_rows = (collab.recommend_all_baseline(model, train, catalogue, cf_users, top_n, min_score)
+               .select("user_id", F.lit("collaborative").alias("source"), F.col("rank").cast("int").alias("rank"),
+                       "item_id", F.col("prediction").alias("score_value")))
+    return cb_rows.unionByName(cf_rows)

@@ -226,3 +226,49 @@ def hybrid_weighted_batch(spark, sf):
     q = top_k_per_group(train.join(users, "user_id", "left_semi"), ["user_id"],
                         [F.col("rating").desc(), F.col("item_id")], 1).select("user_id", "item_id")
     return hybrid.weighted_batch(cb, model, train, cat, q, 10, 0.0)
+
+
+SWITCH_BATCH_SQL = _all_ctes("""qu AS (SELECT user_id FROM (SELECT DISTINCT user_id FROM test)
+       ORDER BY md5(CAST(user_id AS VARCHAR) || '-42'), user_id LIMIT 100),
+top_item AS (SELECT user_id, item_id FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS rn FROM train) WHERE rn = 1),
+qs AS (SELECT qu.user_id, CASE WHEN substr(md5(CAST(qu.user_id AS VARCHAR)), 1, 1) < '8' THEN t.item_id END AS q_item
+       FROM qu LEFT JOIN top_item t USING (user_id)),
+ntr AS (SELECT user_id, count(*) AS n_train FROM train GROUP BY user_id),
+route AS (SELECT qs.*, q_item IS NULL AND coalesce(n_train, 0) >= 10 AS use_cf FROM qs LEFT JOIN ntr USING (user_id)),
+cbq AS (SELECT a.doc_id AS q_item, b.doc_id AS item_id, sum(a.w * b.w) AS sim FROM weights a JOIN weights b USING (term)
+        WHERE a.doc_id IN (SELECT q_item FROM route WHERE NOT use_cf AND q_item IS NOT NULL) AND a.doc_id <> b.doc_id
+        GROUP BY a.doc_id, b.doc_id),
+cbl AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY q_item ORDER BY round(sim, 9) DESC, item_id) AS INTEGER) AS r
+                       FROM cbq WHERE round(sim, 9) > 0) WHERE r <= 10),
+cfu AS (SELECT user_id FROM route WHERE use_cf),
+cfc AS (SELECT u.user_id, e.item_id, (SELECT mu FROM mu) + coalesce(bu.b_u, 0) + coalesce(bi.b_i, 0) AS raw,
+               coalesce(bi.b_i, 0) AS b
+        FROM cfu u JOIN (SELECT item_id FROM catalogue) e ON TRUE LEFT JOIN bi ON bi.item_id = e.item_id
+        LEFT JOIN bu ON bu.user_id = u.user_id
+        WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = e.item_id)),
+cfl AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY user_id ORDER BY round(b, 9) DESC, item_id) AS INTEGER) AS r
+                       FROM cfc) WHERE r <= 10)""") + """
+SELECT route.user_id, 'content' AS source, cbl.r AS rank, cbl.item_id, round(cbl.sim, 6) AS score_value
+FROM route JOIN cbl ON cbl.q_item = route.q_item WHERE NOT route.use_cf
+UNION ALL
+SELECT user_id, 'collaborative', r, item_id, round(least(greatest(raw, 1.0), 10.0), 6) FROM cfl"""
+
+
+@register("hybrid_switching_batch", SWITCH_BATCH_SQL)
+def hybrid_switching_batch(spark, sf):
+    """H3 for 100 test users at once: about half come with their top-rated
+    training item (routed to content), the others go to CF when warm."""
+    from ranklight.functions.columns import md5_key
+    from ranklight.functions.topk import top_k_per_group
+    cat = stages.catalogue(spark, sf)
+    cb = stages.content_model(spark, sf)
+    model, split = stages.baseline_model(spark, sf)
+    train, test = collab.train_part(split), collab.test_part(split)
+    users = test.select("user_id").distinct().orderBy(md5_key("user_id", F.lit("42")), "user_id").limit(100)
+    top = top_k_per_group(train, ["user_id"], [F.col("rating").desc(), F.col("item_id")], 1) \
+        .select("user_id", F.col("item_id").alias("top_item"))
+    q = users.join(top, "user_id", "left").select(
+        "user_id", F.when(F.substring(F.md5(F.col("user_id").cast("string")), 1, 1) < F.lit("8"),
+                          F.col("top_item")).alias("item_id"))
+    return hybrid.switching_batch(cb, model, train, cat, q, 10, 0.0)
