@@ -253,3 +253,36 @@ def switching_batch(cb: content.ContentModel, model: collab.Baseline, train: Dat
                .select("user_id", F.lit("collaborative").alias("source"), F.col("rank").cast("int").alias("rank"),
                        "item_id", F.col("prediction").alias("score_value")))
     return cb_rows.unionByName(cf_rows)
+
+
+def mixed_batch(cb: content.ContentModel, model: collab.Baseline, train: DataFrame, catalogue: DataFrame,
+                queries: DataFrame, top_n: int = 10, min_score: float = 0.0, mix_ratio: float = 0.5) -> DataFrame:
+    """H4 for many (user_id, item_id) queries in one plan: int(n * ratio)
+    content picks per query first, then up to the rest from each user's CF
+    list fetched at twice that size, without the query's content picks; no
+    refill.  Output: user_id, position, item_id, source."""
+    from ranklight.functions.topk import top_k_per_group
+    from ranklight.operators.similarity import neighbours_of
+    n_cb = int(top_n * mix_ratio)
+    n_cf = top_n - n_cb
+    qs = queries.select("user_id", F.col("item_id").alias("q_item"))
+    cand = None
+    if min_score and min_score > 0:
+        cand = catalogue.filter(F.col("score") >= min_score).select(F.col("item_id").alias("doc_id"))
+    picks = qs.limit(0).select("user_id", F.col("q_item").alias("item_id"), F.lit(0).alias("position"))
+    if n_cb > 0:
+        nb = neighbours_of(cb.weights, qs.select(F.col("q_item").alias("doc_id")), n_cb, True, cand)
+        picks = (qs.join(nb, qs.q_item == nb.query_id)
+                 .select("user_id", F.col("doc_id").alias("item_id"), F.col("rank").cast("int").alias("position")))
+    out = picks.withColumn("source", F.lit("content"))
+    if n_cf > 0:
+        cf = collab.recommend_all_baseline(model, train, catalogue, qs.select("user_id"), 2 * n_cf, min_score)
+        kept = cf.join(picks.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
+        kept = top_k_per_group(kept.drop("prediction").withColumnRenamed("rank", "cf_rank"), ["user_id"],
+                               [F.col("cf_rank")], n_cf, "r")
+        n_p = picks.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_picks"))
+        cf_rows = (kept.join(n_p, "user_id", "left").fillna({"n_picks": 0})
+                   .select("user_id", "item_id", (F.col("n_picks") + F.col("r")).cast("int").alias("position"),
+                           F.lit("collaborative").alias("source")))
+        out = out.unionByName(cf_rows)
+    return out.select("user_id", "position", "item_id", "source")

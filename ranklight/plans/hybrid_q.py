@@ -272,3 +272,44 @@ def hybrid_switching_batch(spark, sf):
         "user_id", F.when(F.substring(F.md5(F.col("user_id").cast("string")), 1, 1) < F.lit("8"),
                           F.col("top_item")).alias("item_id"))
     return hybrid.switching_batch(cb, model, train, cat, q, 10, 0.0)
+
+
+MIXED_BATCH_SQL = _all_ctes("""qu AS (SELECT user_id FROM (SELECT DISTINCT user_id FROM test)
+       ORDER BY md5(CAST(user_id AS VARCHAR) || '-42'), user_id LIMIT 100),
+qi AS (SELECT user_id, item_id AS q_item FROM (
+         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS rn FROM train
+         WHERE user_id IN (SELECT user_id FROM qu)) WHERE rn = 1),
+cbq AS (SELECT a.doc_id AS q_item, b.doc_id AS item_id, sum(a.w * b.w) AS sim FROM weights a JOIN weights b USING (term)
+        WHERE a.doc_id IN (SELECT q_item FROM qi) AND a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id),
+cbl AS (SELECT * FROM (SELECT *, CAST(row_number() OVER (PARTITION BY q_item ORDER BY round(sim, 9) DESC, item_id) AS INTEGER) AS r
+                       FROM cbq WHERE round(sim, 9) > 0) WHERE r <= 5),
+picks AS (SELECT qi.user_id, cbl.item_id, cbl.r AS position FROM qi JOIN cbl USING (q_item)),
+cfc AS (SELECT u.user_id, e.item_id, coalesce(bi.b_i, 0) AS b
+        FROM qu u JOIN (SELECT item_id FROM catalogue) e ON TRUE LEFT JOIN bi ON bi.item_id = e.item_id
+        WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = e.item_id)),
+cfl AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(b, 9) DESC, item_id) AS r
+                       FROM cfc) WHERE r <= 10),
+kept AS (SELECT * FROM (
+  SELECT cfl.*, row_number() OVER (PARTITION BY user_id ORDER BY r) AS r2 FROM cfl
+  WHERE NOT EXISTS (SELECT 1 FROM picks p WHERE p.user_id = cfl.user_id AND p.item_id = cfl.item_id)) WHERE r2 <= 5),
+np AS (SELECT user_id, count(*) AS n_picks FROM picks GROUP BY user_id)""") + """
+SELECT user_id, position, item_id, 'content' AS source FROM picks
+UNION ALL
+SELECT k.user_id, CAST(coalesce(np.n_picks, 0) + k.r2 AS INTEGER), k.item_id, 'collaborative'
+FROM kept k LEFT JOIN np USING (user_id)"""
+
+
+@register("hybrid_mixed_batch", MIXED_BATCH_SQL)
+def hybrid_mixed_batch(spark, sf):
+    """H4 for 100 test users at once (5 content picks from their top-rated
+    training item, then up to 5 CF picks from a list of 10)."""
+    from ranklight.functions.columns import md5_key
+    from ranklight.functions.topk import top_k_per_group
+    cat = stages.catalogue(spark, sf)
+    cb = stages.content_model(spark, sf)
+    model, split = stages.baseline_model(spark, sf)
+    train, test = collab.train_part(split), collab.test_part(split)
+    users = test.select("user_id").distinct().orderBy(md5_key("user_id", F.lit("42")), "user_id").limit(100)
+    q = top_k_per_group(train.join(users, "user_id", "left_semi"), ["user_id"],
+                        [F.col("rating").desc(), F.col("item_id")], 1).select("user_id", "item_id")
+    return hybrid.mixed_batch(cb, model, train, cat, q, 10, 0.0, 0.5)
