@@ -154,3 +154,26 @@ def test_edges_per_recommender(spark):
     first = emb.orderBy("vec_id").limit(1)
     vid = first.first().vec_id
     assert embed.similar_by_embedding(first, vid, 10, "vec_id", "embedding").count() == 0
+
+
+def test_switching_and_mixed_batch_equal_single_queries(spark):
+    cat = stages.catalogue(spark, SF_SMALL)
+    cb = stages.content_model(spark, SF_SMALL)
+    model, split = stages.baseline_model(spark, SF_SMALL)
+    train = collab.train_part(split)
+    cf = hybrid.CFSide(model, train, cat)
+    users = [r.user_id for r in train.groupBy("user_id").count().filter("count >= 10")
+             .orderBy("user_id").limit(2).collect()]
+    item = cat.select(F.min("item_id")).first()[0]
+    q = spark.createDataFrame([(users[0], item), (users[1], None)], "user_id long, item_id long")
+    sw = hybrid.switching_batch(cb, model, train, cat, q, 5)
+    one_item = hybrid.switching(cb, cf, item, users[0], 5).select("item_id", "source").collect()
+    one_cf = hybrid.switching(cb, cf, None, users[1], 5).select("item_id", "source").collect()
+    assert sorted(map(tuple, sw.filter(F.col("user_id") == users[0]).select("item_id", "source").collect())) \
+        == sorted(map(tuple, one_item))
+    assert sorted(map(tuple, sw.filter(F.col("user_id") == users[1]).select("item_id", "source").collect())) \
+        == sorted(map(tuple, one_cf))
+    qm = spark.createDataFrame([(users[0], item)], "user_id long, item_id long")
+    mb = hybrid.mixed_batch(cb, model, train, cat, qm, 6, 0.0, 0.5).select("position", "item_id").collect()
+    ms = hybrid.mixed(cb, cf, item, users[0], 6, 0.0, 0.5).select("position", "item_id").collect()
+    assert sorted(map(tuple, mb)) == sorted(map(tuple, ms))
