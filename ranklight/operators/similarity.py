@@ -38,6 +38,8 @@ SALT = 32
 # blocks (block x dims doubles each) and a block x block product.
 BLOCK_MAX = 2500
 BLOCK_BYTES = 64 * 1024 * 1024
+# Rows of a block pair scored at a time inside a task.
+CHUNK_ROWS = 512
 
 
 def check_metric(metric: str) -> None:
@@ -125,32 +127,39 @@ def _block_product_fn(k: int, metric: str, exclude_self: bool, dims: int):
 
         li, lm = dense(left)
         ri, rm = dense(right)
-        s = lm @ rm.T
-        if metric == "euclidean":
-            ln = (lm * lm).sum(1)[:, None]
-            rn = (rm * rm).sum(1)[None, :]
-            s = 1.0 / (1.0 + np.sqrt(np.maximum(ln + rn - 2 * s, 0.0)))
-        elif metric == "cosine_eps":
-            # cosine of raw vectors with 1e-10 added to the denominator
-            s = s / (np.sqrt((lm * lm).sum(1))[:, None] * np.sqrt((rm * rm).sum(1))[None, :] + 1e-10)
         same = key[0] == key[1]
-
-        def emit(row_ids, col_ids, sims):
-            if exclude_self and same:
-                sims = np.where(row_ids[:, None] == col_ids[None, :], -np.inf, sims)
-            kk = min(k, sims.shape[1])
-            # Per row: similarity (rounded to 1e-9, as the final order) desc,
-            # then id asc (col_ids are ascending).
-            order = top_k_columns(sims, kk)
-            vals = np.take_along_axis(sims, order, 1).ravel()
-            rid = np.repeat(row_ids, kk)
-            cid = col_ids[order].ravel()
-            ok = np.isfinite(vals)
-            out.append(pd.DataFrame({"doc_id": rid[ok], "other": cid[ok], "similarity": vals[ok]}))
-
-        emit(li, ri, s)
+        ln = (lm * lm).sum(1)
+        rn = (rm * rm).sum(1)
+
+        def scores(a, b, an, bn):
+            x = a @ b.T
+            if metric == "euclidean":
+                x = 1.0 / (1.0 + np.sqrt(np.maximum(an[:, None] + bn[None, :] - 2 * x, 0.0)))
+            elif metric == "cosine_eps":
+                # cosine of raw vectors with 1e-10 added to the denominator
+                x = x / (np.sqrt(an)[:, None] * np.sqrt(bn)[None, :] + 1e-10)
+            return x
+
+        def emit(row_ids, rows, rows_n, col_ids, cols, cols_n):
+            # Row chunks keep the score matrix at CHUNK x block doubles.
+            for c0 in range(0, len(row_ids), CHUNK_ROWS):
+                rid_c = row_ids[c0:c0 + CHUNK_ROWS]
+                sims = scores(rows[c0:c0 + CHUNK_ROWS], cols, rows_n[c0:c0 + CHUNK_ROWS], cols_n)
+                if exclude_self and same:
+                    sims = np.where(rid_c[:, None] == col_ids[None, :], -np.inf, sims)
+                kk = min(k, sims.shape[1])
+                # Per row: similarity (rounded to 1e-9, as the final order)
+                # desc, then id asc (col_ids are ascending).
+                order = top_k_columns(sims, kk)
+                vals = np.take_along_axis(sims, order, 1).ravel()
+                rid = np.repeat(rid_c, kk)
+                cid = col_ids[order].ravel()
+                ok = np.isfinite(vals)
+                out.append(pd.DataFrame({"doc_id": rid[ok], "other": cid[ok], "similarity": vals[ok]}))
+
+        emit(li, lm, ln, ri, rm, rn)
         if not same:
-            emit(ri, li, s.T)
+            emit(ri, rm, rn, li, lm, ln)
         return pd.concat(out, ignore_index=True)
     return fn
 
