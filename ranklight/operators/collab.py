@@ -22,6 +22,8 @@ from ranklight.functions.topk import top_k_per_group
 from ranklight.functions.index import global_row_number
 
 RATING_MIN, RATING_MAX = 1.0, 10.0
+# Candidate positions expanded per task unit in the all-users top-n.
+CAND_CHUNK = 4096
 RELEVANT_AT = 7.0
 
 
@@ -158,9 +160,18 @@ def recommend_all_baseline(model: Baseline, ratings: DataFrame, catalogue: DataF
     users = users.select("user_id").distinct()
     seen = ratings.select("user_id", "item_id").distinct().join(items.select("item_id"), "item_id", "left_semi")
     s = seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("s"))
-    cand = (users.join(s, "user_id", "left").fillna({"s": 0})
-            .select("user_id", F.explode(F.sequence(F.lit(1), (F.lit(top_n) + F.col("s")).cast("int"))).alias("pos")))
-    cand = (cand.join(ordered.select(F.col("pos").cast("int").alias("pos"), "item_id"), "pos")
+    # Positions 1..n+s per user, generated in chunks of CAND_CHUNK: the chunk
+    # rows are spread over tasks by (user, chunk) before they are expanded,
+    # so a user who has seen a third of all items does not expand in one task.
+    last = (F.lit(top_n) + F.col("s")).cast("long")
+    chunks = (users.join(s, "user_id", "left").fillna({"s": 0})
+              .select("user_id", last.alias("last"),
+                      F.explode(F.sequence(F.lit(0).cast("long"), F.floor((last - 1) / CAND_CHUNK).cast("long")))
+                      .alias("chunk"))
+              .repartition("user_id", "chunk"))
+    cand = chunks.select("user_id", F.explode(F.sequence(
+        F.col("chunk") * CAND_CHUNK + 1, F.least((F.col("chunk") + 1) * CAND_CHUNK, F.col("last")))).alias("pos"))
+    cand = (cand.join(ordered.select(F.col("pos").cast("long").alias("pos"), "item_id"), "pos")
             .join(seen, ["user_id", "item_id"], "left_anti"))
     top = top_k_per_group(cand, ["user_id"], [F.col("pos")], top_n)
     pred = predict_baseline(model, top.select("user_id", "item_id", "rank"))

@@ -45,3 +45,22 @@ def test_salted_term_join_equals_broadcast(spark, monkeypatch):
     assert "_salt" in plan
     key = lambda r: (r.query_id, r.doc_id, round(r.similarity, 9), r.rank)
     assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+
+
+def test_all_users_top_n_for_a_user_who_saw_almost_everything(spark):
+    from ranklight.operators import collab
+    n_items = 10000
+    cat = spark.range(n_items).select(F.col("id").alias("item_id"), F.lit(7.0).alias("score"))
+    # b_i decreasing with the id: the global order is by id
+    bias = spark.range(n_items).select(F.col("id").alias("item_id"), (-F.col("id") / 1e6).alias("b_i"))
+    model = collab.Baseline(spark.createDataFrame([(5.0,)], "mu double"), bias,
+                            spark.createDataFrame([(0, 0.0)], "user_id long, b_u double"))
+    unseen = {17, 4100, 8191, 8192, 9998, 9999}
+    seen = spark.range(n_items).filter(~F.col("id").isin(list(unseen))) \
+        .select(F.lit(0).cast("long").alias("user_id"), F.col("id").alias("item_id"))
+    seen = seen.unionByName(spark.createDataFrame([(1, 0)], "user_id long, item_id long"))
+    users = spark.createDataFrame([(0,), (1,)], "user_id long")
+    got = collab.recommend_all_baseline(model, seen, cat, users, top_n=5, min_score=6.0)
+    rows = sorted((r.user_id, r.rank, r.item_id) for r in got.collect())
+    assert [r[2] for r in rows if r[0] == 0] == [17, 4100, 8191, 8192, 9998]
+    assert [r[2] for r in rows if r[0] == 1] == [1, 2, 3, 4, 5]
