@@ -13,7 +13,8 @@ from tests.conftest import SF_SMALL
 SAMPLE = ["cf_baseline_eval", "clean_catalogue", "cleaning_report", "sample_ratings", "discover", "describe",
           "score_density", "genre_onehot", "tfidf_documents", "content_all_pairs", "similar_items_batch",
           "hybrid_weighted", "hybrid_mixed", "ranking_metrics", "ndcg_at_10", "diversity", "cross_validate",
-          "recommend_all_users", "embedding_neighbours", "similarity_threshold"]
+          "recommend_all_users", "embedding_neighbours", "similarity_threshold", "hybrid_weighted_batch",
+          "hybrid_switching_batch", "hybrid_mixed_batch", "schema_report", "train_all", "evaluate_hybrid"]
 
 
 def _norm(v):
