@@ -12,10 +12,10 @@ embeddings become ``term`` = dimension index).
 * All items (``all_pairs_top_k``): a blocked product.  Items are numbered and
   cut into blocks of ``block`` rows; every pair of blocks (i <= j) is one
   group of an ``applyInPandas``, where the two blocks become dense numpy
-  matrices (block x dims), one matrix product gives all similarities of the
-  pair, and only the top k per row leave the task.  A final per-item top-k
-  merges the block results.  Memory per task: two blocks plus block^2
-  products.  The data is read once per partner block (nb copies), which is
+  matrices (block x dims), matrix products over row chunks give all
+  similarities of the pair, and only the top k per row leave the task.  A
+  final per-item top-k merges the block results.  Memory per task: two
+  blocks plus a CHUNK_ROWS x block score matrix.  The data is read once per partner block (nb copies), which is
   the inherent cost of an exact all-pairs top-k; nothing all-pairs is ever
   written out.
 """
