@@ -64,3 +64,13 @@ def test_all_users_top_n_for_a_user_who_saw_almost_everything(spark):
     rows = sorted((r.user_id, r.rank, r.item_id) for r in got.collect())
     assert [r[2] for r in rows if r[0] == 0] == [17, 4100, 8191, 8192, 9998]
     assert [r[2] for r in rows if r[0] == 1] == [1, 2, 3, 4, 5]
+
+
+def test_global_row_number_matches_a_single_window(spark):
+    from pyspark.sql import Window
+    from ranklight.functions.index import global_row_number
+    # many ties in the first key; the id completes the order
+    df = spark.range(0, 20000).select(F.col("id"), (F.col("id") % 7).alias("g")).repartition(13)
+    got = global_row_number(df, [F.col("g").desc(), F.col("id")], "n")
+    want = df.withColumn("n", F.row_number().over(Window.orderBy(F.col("g").desc(), F.col("id"))))
+    assert sorted(map(tuple, got.select("id", "n").collect())) == sorted(map(tuple, want.select("id", "n").collect()))
