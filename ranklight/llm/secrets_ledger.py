@@ -100,12 +100,15 @@ def scan_blobs(blobs: DataFrame, rules=RULES) -> DataFrame:
     Only texts that pass the anchor pattern are taken apart.  The running sum
     is per blob and rule, so no group is larger than one text's matches.
     """
-    hot = blobs.where(F.col("text").rlike(_anchor(rules)))
+    # The condition names ``pending`` too, so it stays above the join that
+    # found the unseen blobs: no pattern runs over a text already scanned.
+    hot = blobs.where(F.when(F.size("pending") > 0, F.col("text").rlike(_anchor(rules))))
     per_rule = F.array(*[
         F.when(F.array_contains("pending", r.key), _matches(F.col("text"), r, i)) for i, r in enumerate(rules)])
     keys = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(i), F.lit(r.key))])
     rows = (hot.select("blob_id", F.explode(per_rule).alias("r")).where("r is not null and size(r.found) > 0")
-            .select("blob_id", "r.kind_no", "r.kind", "r.min_len", F.posexplode("r.found").alias("no", "m")))
+            .select("blob_id", "r.kind_no", "r.kind", "r.min_len", F.posexplode("r.found").alias("no", "m"))
+            .distinct())  # repeated rows of one path and text
     w = Window.partitionBy("blob_id", "kind_no").orderBy("no")
     ends = rows.withColumn("end", F.sum(F.col("m.gap") + F.col("m.hit")).over(w))
     return (ends.where("m.val >= min_len")
@@ -162,7 +165,7 @@ class Ledger:
                    .join(u.hint("shuffle_hash"), (F.col("t.blob_id") == F.col("u.blob_id"))
                          & F.col("t.path_id").eqNullSafe(F.col("u.path_id")), "inner")
                    .select("t.blob_id", "t.text", "u.pending"))
-        found = scan_blobs(carried, rules).distinct()
+        found = scan_blobs(carried, rules)
         found.write.mode("append").option("compression", "zstd").parquet(f"{self.path}/findings")
         (unseen.select("blob_id", F.explode("pending").alias("rule_key"))
          .write.mode("append").option("compression", "zstd").parquet(f"{self.path}/scanned"))
