@@ -109,8 +109,8 @@ class Mixture:
         slices = np.floor(np.multiply.outer(rounds, self.rate) + self.phase)
         return np.minimum(slices.astype(np.int64) * self.slice, self.sizes)
 
-    def round_of(self, slices, q: int) -> np.ndarray:
-        """The round that serves each slice of queue q."""
+    def round_of(self, slices, q) -> np.ndarray:
+        """The rounds that serve these slices of the queues q."""
         r = np.maximum(np.ceil((slices + 1 - self.phase[q]) / self.rate[q]).astype(np.int64) - 1, 0)
         while (low := self._credit(r + 1, q) <= slices).any():
             r = r + low
@@ -118,39 +118,61 @@ class Mixture:
             r = r - high
         return r
 
-    def runs(self, q: int, start: int, n: int) -> list[tuple[int, int, int]]:
-        """(place in the stream, first id, ids) of the ids [start, start + n)
-        of queue q, neighbouring runs joined."""
-        slices = np.arange(start // self.slice, (start + n - 1) // self.slice + 1)
-        first = np.maximum(slices * self.slice, start)
-        last = np.minimum((slices + 1) * self.slice, start + n)
-        r = self.round_of(slices, q)
-        at, after = self.served(r), self.served(r + 1)
-        place = after[:, :q].sum(axis=1) + at[:, q:].sum(axis=1) + first - at[:, q]
-        new = np.flatnonzero(np.r_[True, place[1:] != place[:-1] + (last - first)[:-1]])
-        ends = np.r_[new[1:], len(slices)] - 1
-        return [(int(place[a]), int(first[a]), int(last[b] - first[a])) for a, b in zip(new, ends, strict=True)]
+    def place(self, slices, first, q) -> np.ndarray:
+        """Places in the stream of ids ``first``, each in its slice of queue q."""
+        out = np.empty(len(slices), np.int64)
+        for a in range(0, len(slices), 1 << 14):  # bounds the (rounds, queues) tables
+            k, f, own = slices[a:a + (1 << 14)], first[a:a + (1 << 14)], q[a:a + (1 << 14)]
+            r = self.round_of(k, own)
+            at, after = self.served(r), self.served(r + 1)
+            turn = np.arange(len(self.sizes)) < own[:, None]  # queues served earlier in the round
+            out[a:a + (1 << 14)] = np.where(turn, after, at).sum(axis=1) + f - at[np.arange(len(own)), own]
+        return out
+
+
+def _spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All integers of the ranges lo..hi, and the range of each."""
+    n = hi - lo + 1
+    owner = np.repeat(np.arange(len(n)), n)
+    return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + lo[owner], owner
+
+
+def _pieces(mix: Mixture, window: int, start: np.ndarray, n: np.ndarray, q: np.ndarray):
+    """Pieces of documents that lie at [start, start + n) of the queues q:
+    (document, first id, length, place in the stream)."""
+    slices, doc = _spread(start // mix.slice, (start + n - 1) // mix.slice)
+    first = np.maximum(slices * mix.slice, start[doc])
+    last = np.minimum((slices + 1) * mix.slice, (start + n)[doc])
+    place = mix.place(slices, first, q[doc])
+    # Neighbouring slices that stay together are one run.
+    joined = (doc[1:] == doc[:-1]) & (place[1:] == (place + last - first)[:-1])
+    new = np.flatnonzero(np.r_[True, ~joined])
+    ends = np.r_[new[1:], len(doc)] - 1
+    doc, first, place, length = doc[new], first[new], place[new], last[ends] - first[new]
+    # Runs are cut where a window ends.
+    wins, run = _spread(place // window, (place + length - 1) // window)
+    begin = np.maximum(wins * window, place[run])
+    size = np.minimum((wins + 1) * window, (place + length)[run]) - begin
+    return doc[run], first[run] - start[doc[run]] + begin - place[run], size, begin
 
 
 def _cut(mix: Mixture, window: int):
     def run(batches):
         for batch in batches:
-            doc, source, n, ids, q, start = (batch.column(i) for i in range(6))
-            out = [[] for _ in range(8)]
-            for i in range(batch.num_rows):
-                size, raw, a = n[i].as_py(), ids[i].as_py(), start[i].as_py()
-                for place, first, length in mix.runs(q[i].as_py(), a, size):
-                    while length:
-                        take = min(length, window - place % window)
-                        at = first - a
-                        for col, v in zip(out, (doc[i].as_py(), source[i].as_py(), at, take,
-                                                zlib.crc32(raw[4 * at:4 * (at + take)]), size,
-                                                place // window, place % window), strict=True):
-                            col.append(v)
-                        place, first, length = place + take, first + take, length - take
+            if not batch.num_rows:
+                continue
+            ids = batch.column(3)
+            n, q, start = (batch.column(i).to_numpy(zero_copy_only=False) for i in (2, 4, 5))
+            doc, first, size, place = _pieces(mix, window, start, n, q)
+            sums, raw, last = [], b"", -1
+            for d, a, m in zip(doc.tolist(), (first * 4).tolist(), (size * 4).tolist(), strict=True):
+                if d != last:
+                    raw, last = memoryview(ids[d].as_buffer()), d
+                sums.append(zlib.crc32(raw[a:a + m]))
+            take = pa.array(doc)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], pa.int64()), pa.array(out[1], pa.string()),
-                 *[pa.array(c, pa.int64()) for c in out[2:]]],
+                [batch.column(0).take(take), batch.column(1).take(take), pa.array(first), pa.array(size),
+                 pa.array(sums, pa.int64()), pa.array(n[doc]), pa.array(place // window), pa.array(place % window)],
                 names=["doc_id", "source", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
     return run
 

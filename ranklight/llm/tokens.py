@@ -14,14 +14,12 @@ from array import array
 
 import regex
 
-#: Entries a cache holds before it starts anew (about 100 MB).
-CACHE_ENTRIES = 300_000
+#: Entries a cache holds before it starts anew (about 200 bytes each).
+CACHE_ENTRIES = 500_000
 #: Characters tokenized at once: bounds the memory for a very long text.
 SLICE_CHARS = 1 << 20
 
 _PRE = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
-_ODD = regex.compile(r"[\x1c-\x1f<]")
-_SPACES = str.maketrans("\n\t\r", "   ")
 
 
 def default_path() -> str:
@@ -66,27 +64,35 @@ class WordTokenizer:
         self.chunks = _Cache(self._chunk)
 
     def _piece(self, piece: str) -> bytes:
-        return array("I", [t.id for t in self.model.tokenize(piece.translate(self.table))]).tobytes()
+        if not piece.isascii():  # visible ASCII letters stand for themselves
+            piece = piece.translate(self.table)
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
 
     def _chunk(self, chunk: str) -> bytes:
         if not chunk:
             return b""
-        if (chunk.isascii() or max(chunk) < "Ā") and not _ODD.search(chunk):
-            pieces = self.pieces
-            return b"".join([pieces[p] for p in _PRE.findall(chunk.lower())])
+        # Printable Latin-1 has no control characters, other spaces or marks;
+        # a "<" may begin a special token.
+        if chunk.isprintable() and "<" not in chunk and (chunk.isascii() or max(chunk) < "Ā"):
+            pieces, low = self.pieces, chunk.lower()
+            if low.isalpha():
+                return pieces[low]
+            return b"".join([pieces[p] for p in _PRE.findall(low)])
         return array("I", self.full.encode(chunk, add_special_tokens=False).ids).tobytes()
 
+    def _ids(self, text: str) -> bytes:
+        words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
+        return b"".join(map(self.chunks.__getitem__, words))
+
     def ids(self, text: str) -> bytes:
-        chunks = self.chunks
         if len(text) <= SLICE_CHARS:
-            return b"".join([chunks[c] for c in text.translate(_SPACES).split(" ")])
+            return self._ids(text)
         out, at = [], 0
         while at < len(text):
             to = at + SLICE_CHARS
             while to < len(text) and text[to] not in " \n\t\r":
                 to += 1
-            out.append(self.ids(text[at:to]) if to - at <= SLICE_CHARS else
-                       b"".join([chunks[c] for c in text[at:to].translate(_SPACES).split(" ")]))
+            out.append(self._ids(text[at:to]))
             at = to
         return b"".join(out)
 
