@@ -27,7 +27,7 @@ def default_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-def _byte_letters() -> dict[int, str]:
+def byte_letters() -> dict[int, str]:
     """The visible letter that byte-level vocabularies use for each byte."""
     seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
     table = {b: chr(b) for b in seen}
@@ -56,7 +56,7 @@ class WordTokenizer:
         from tokenizers import Tokenizer
         self.full = Tokenizer.from_file(path)
         self.model = self.full.model
-        letters = _byte_letters()
+        letters = byte_letters()
         self.letters = {chr(b): letters[b] for b in range(128)}
         self.letters.update({chr(c): "".join(letters[b] for b in chr(c).encode()) for c in range(128, 256)})
         self.table = str.maketrans(self.letters)
