@@ -19,4 +19,4 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every operator module (and the pipeline) so the queries register."""
-    from ranklight.llm import decontam, langid, licences, neardup, packing, pagediff, secrets_ledger, spans, tokencount  # noqa: F401
+    from ranklight.llm import covertree, decontam, langid, licences, neardup, packing, pagediff, secrets_ledger, spans, tokencount  # noqa: F401
