@@ -17,12 +17,15 @@ above.  Links are confirmed on the full sets (64-bit shingle hashes).
 
 No bucket is expanded into all pairs.  Documents with equal sets are one
 class first.  Pass 1 checks every class of a bucket against the bucket's
-smallest class.  Pass 2 checks what may still join two components: the
-classes of a bucket outside its smallest class's component against the rest,
-and of those only pairs that pass an exact bound: a set cannot share the
-shingles that no other candidate holds, so with a = size less those,
-min(a, a') must reach the overlap that the link needs.  Copies that drifted
-apart fail it, since what they changed is their own.
+smallest class, but for pairs ruled out by an exact bound: a set cannot share
+the shingles that no other candidate holds, so with a = size less those,
+min(a, a') must reach the overlap that the link needs.  Pass 2 checks what may
+still join two components in a bucket that has more than one.  With shingles
+in one order, the rare ones first, two sets that link share a shingle early in
+both (their overlap must fit behind it).  So classes outside the component of
+their bucket's smallest class meet others by their early shingles, never by
+the bucket: copies that drifted apart begin with what each changed by itself,
+and do not meet.
 
 Defined cases: null and empty texts, and texts without words, have empty sets
 and link with nothing; repeated rows and repeated or null doc_ids are members
@@ -36,7 +39,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ranklight.llm.common import require, table, written
@@ -51,8 +54,6 @@ BANDS, ROWS = 28, 4
 CACHE_WORDS = 400_000
 #: Shingles sketched at once; bounds the memory of a task.
 BLOCK = 1 << 19
-#: Classes of a bucket that one task meets in pass 2.
-SALT_SIZE = 512
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _EMPTY = np.uint64(2**64 - 1)
@@ -213,7 +214,7 @@ def near_duplicates(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, pe
     bound = F.least("reach_a", "reach_b") * (100 + percent) >= _need("n_a", "n_b", percent)
     links = written(_verified(pairs.join(r("a"), "a").join(r("b"), "b").where(bound), sets, percent), "neardup-links")
     roots = written(connected(links), "neardup-roots")
-    more = _verified(_between(m, roots, reach, bound, percent), sets, percent)
+    more = _verified(_between(m, roots, reach, sets, percent), sets, percent)
     roots = connected(links.union(more))
     comp = (classes.select("cls", "doc_id").join(roots, classes["cls"] == roots["node"], "left")
             .select("cls", "doc_id", F.coalesce("root", "cls").alias("root")))
@@ -225,26 +226,35 @@ def near_duplicates(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, pe
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
 
 
-def _between(m: DataFrame, roots: DataFrame, reach: DataFrame, bound, percent: int) -> DataFrame:
-    """Pass 2: pairs of a bucket in different components, at least one outside
-    the component of the bucket's pivot, within the size and reach bounds."""
+def _between(m: DataFrame, roots: DataFrame, reach: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pass 2: pairs of a bucket in different components that pass the size
+    and prefix bounds, and pairs of other buckets that pass them too."""
     root = roots.select(F.col("node").alias("cls"), "root")
-    full = (m.join(root, "cls", "left").withColumn("root", F.coalesce("root", "cls")).join(reach, "cls"))
     pivot_root = roots.select(F.col("node").alias("pivot"), F.col("root").alias("pivot_root"))
-    full = (full.join(pivot_root, "pivot", "left").withColumn("pivot_root", F.coalesce("pivot_root", "pivot"))
-            # A set links with none if its reach is under the share of itself that any link needs.
-            .where(F.col("reach") * 100 >= F.col("n") * percent))
-    outside = full.where("root != pivot_root and cls != pivot")
-    left = outside.withColumn("salt", F.pmod(F.xxhash64("cls"), F.ceil(F.col("size") / SALT_SIZE)))
-    salts = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("size") / SALT_SIZE) - 1)
-    right = full.where("cls != pivot").withColumn("salt", F.explode(salts))
-    a = left.select("key", "salt", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("root").alias("root_a"),
-                    F.col("reach").alias("reach_a"))
-    b = right.select("key", "salt", F.col("cls").alias("b"), F.col("n").alias("n_b"), F.col("root").alias("root_b"),
-                     F.col("reach").alias("reach_b"), (F.col("root") != F.col("pivot_root")).alias("b_outside"))
-    pairs = a.join(b, ["key", "salt"]).where(F.col("root_a") != F.col("root_b")).where(bound)
-    pairs = pairs.where(~F.col("b_outside") | (F.col("a") < F.col("b")))
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    full = (m.join(root, "cls", "left").join(pivot_root, "pivot", "left")
+            .select("key", "cls", "n", F.coalesce("root", "cls").alias("root"),
+                    (F.coalesce("root", "cls") != F.coalesce("pivot_root", "pivot")).alias("outside")))
+    unsolved = full.groupBy("key").agg(F.max("outside").alias("any")).where("any").select("key")
+    # A set links with none if its reach is under the share of itself that any link needs.
+    left = (full.join(unsolved, "key").groupBy("cls", "n", "root").agg(F.max("outside").alias("outside"))
+            .join(reach, "cls").where(F.col("reach") * 100 >= F.col("n") * percent))
+    left = written(left, "neardup-unsolved")
+    items = sets.join(left.select("cls"), "cls", "left_semi").select("cls", F.explode("items").alias("item"))
+    order = items.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
+    w = Window.partitionBy("cls").orderBy("df", "item")
+    # Rare shingles first; the longest prefix that any partner can ask for.
+    prefix = (items.join(order, "item").withColumn("pos", F.row_number().over(w)).join(left, "cls")
+              .where(F.col("pos") * 100 <= F.col("n") * (100 - percent) + 100)
+              .select("cls", "item", "pos", "n", "root", "outside"))
+    prefix = written(prefix, "neardup-prefixes")
+    x = prefix.where("outside").select("item", *[F.col(c).alias(f"{c}_a") for c in ("cls", "pos", "n", "root")])
+    y = prefix.select("item", *[F.col(c).alias(f"{c}_b") for c in ("cls", "pos", "n", "root", "outside")])
+    # Shingles of a that may follow the shared one, it included, must reach the overlap; so must b's.
+    room = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + 1
+    pairs = x.join(y, "item").where(
+        (F.col("root_a") != F.col("root_b")) & (room * (100 + percent) >= _need("n_a", "n_b", percent))
+        & (~F.col("outside_b") | (F.col("cls_a") < F.col("cls_b"))))
+    return pairs.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct()
 
 
 # The same by an inverted index and a transitive closure.
