@@ -83,11 +83,6 @@ def norm(a) -> Column:
                               F.lit(0.0), lambda acc, v: acc + v))
 
 
-def sq_dist(a, b) -> Column:
-    return F.aggregate(F.zip_with(col_(a), col_(b), lambda x, y: (x - y) * (x - y)),
-                       F.lit(0.0), lambda acc, v: acc + v)
-
-
 def md5_key(*cols) -> Column:
     """Stable hex hash of the given columns, joined by '-'. Used for seeded
     samples and splits that do not depend on partitioning."""

@@ -11,10 +11,13 @@ whose low 33 bits are the record number inside the task.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ranklight.session import stage_path
+
 
 def global_row_number(df: DataFrame, order_cols: list, out: str = "row_num",
                       start: int = 1) -> DataFrame:
@@ -28,7 +31,10 @@ def global_row_number(df: DataFrame, order_cols: list, out: str = "row_num",
                  .withColumn("_rl_pid", F.spark_partition_id())
                  .withColumn("_rl_pos", F.monotonically_increasing_id()
                              - F.shiftleft(F.spark_partition_id().cast("long"), 33)))
-    sorted_df = sorted_df.persist(StorageLevel.MEMORY_AND_DISK)
+    # Written once: both uses below read the same numbers, whatever is lost.
+    path = stage_path(df.sparkSession, f"numbering-{uuid.uuid4().hex[:12]}")
+    sorted_df.write.parquet(path)
+    sorted_df = df.sparkSession.read.schema(sorted_df.schema).parquet(path)
     counts = sorted_df.groupBy("_rl_pid").agg(F.count(F.lit(1)).alias("_rl_n"))
     # Offsets over at most #partitions rows: a one-task window is fine here.
     offsets = counts.select(

@@ -39,8 +39,3 @@ def top_k_per_group(df: DataFrame, group_cols: list, order_cols: list, k: int |
 
 # Parts per group for top-k over inputs clustered by the group key.
 SKEW_SALT = 16
-
-
-def top_k(df: DataFrame, order_cols: list, k: int) -> DataFrame:
-    """Global top-k: TakeOrderedAndProject (each task keeps k, then merges)."""
-    return df.orderBy(*order_cols).limit(k)

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ranklight.functions.columns import UNKNOWN, clip, hex_threshold, md5_key, split_list, strip_ws, to_double
 from ranklight.functions.index import global_row_number
+from ranklight.functions.percentiles import percentile_map
 
 NUMERIC_FILL = ("score", "episodes", "members", "favorites", "scored_by")
 TEXT_COLUMNS = ("name", "english_name", "genres", "type")
@@ -58,13 +59,14 @@ def fill_median(df: DataFrame, cols=NUMERIC_FILL, exact: bool = True) -> DataFra
     df = coerce_numeric(df, cols)
     if not cols:
         return df
-    # One scalar subquery for all medians (a struct), referenced per column:
-    # Spark runs it once.
-    meds = _scalar(df, F.struct(*[(F.median(c) if exact else F.percentile_approx(c, 0.5, 10000).cast("double"))
-                                  .alias(c) for c in cols]))
-    for c in cols:
-        df = df.withColumn(c, F.coalesce(F.col(c).cast("double"), meds.getField(c)))
-    return df
+    # One scalar subquery for all medians, referenced per column: Spark runs it once.
+    if exact:
+        meds = percentile_map(df, cols, [0.5])
+        median = lambda c: meds[c][0]
+    else:
+        approx = _scalar(df, F.struct(*[F.percentile_approx(c, 0.5, 10000).cast("double").alias(c) for c in cols]))
+        median = approx.getField
+    return df.withColumns({c: F.coalesce(F.col(c).cast("double"), median(c)) for c in cols})
 
 
 def fill_const(df: DataFrame, text=("genres", "type")) -> DataFrame:
@@ -123,9 +125,8 @@ def iqr_filter(df: DataFrame, col: str = "members", factor: float = 3.0, exact:
     """Keep rows with col in [Q1 - f*IQR, Q3 + f*IQR] (linear quartiles)."""
     if col not in df.columns:
         return df
-    q = df.select((F.percentile(col, F.array(F.lit(0.25), F.lit(0.75))) if exact
-                   else F.percentile_approx(col, [0.25, 0.75], 10000).cast("array<double>")).alias("q"))
-    qs = _scalar(q, F.col("q"))
+    qs = (percentile_map(df, [col], [0.25, 0.75])[col] if exact
+          else _scalar(df, F.percentile_approx(col, [0.25, 0.75], 10000).cast("array<double>")))
     q1, q3 = qs[0], qs[1]
     iqr = q3 - q1
     return df.filter((F.col(col) >= q1 - factor * iqr) & (F.col(col) <= q3 + factor * iqr))
@@ -210,12 +211,12 @@ def min_item_ratings(ratings: DataFrame, n: int = 10) -> DataFrame:
     return _min_count(ratings, "item_id", n)
 
 
-def min_counts_stable(ratings: DataFrame, min_user: int = 5, min_item: int = 10, max_rounds: int = 10) -> DataFrame:
-    """D12 option: repeat C18 + C19 until nothing changes (or max_rounds).
-    Lineage is cut every round with a reliable checkpoint."""
+def min_counts_stable(ratings: DataFrame, min_user: int = 5, min_item: int = 10) -> DataFrame:
+    """D12 option: repeat C18 + C19 until nothing changes (every round drops
+    rows, so it ends).  Lineage is cut every round with a reliable checkpoint."""
     cur = ratings.checkpoint()
     n = cur.count()
-    for _ in range(max_rounds):
+    while True:
         nxt = min_item_ratings(min_user_ratings(cur, min_user), min_item).checkpoint()
         m = nxt.count()
         cur = nxt
@@ -229,17 +230,19 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, keys=("user_id", "item_id"))
     """Exactly n rows (or all), chosen by md5 of (keys, seed).
 
     The same n rows in every engine and under any partitioning.  At scale the
-    rows are first cut to a hash share a little above n/rows (one count), and
-    the exact n-th position is found with a distributed numbering.
+    rows are first cut to a hash share a little above n/rows (60 bits of the
+    hash), and the exact n-th position is found with a distributed numbering.
+    A cut that keeps fewer than n rows (many rows with equal keys) is undone.
     """
     h = md5_key(*keys, F.lit(str(seed)))
     total = df.count()
     if total <= n:
         return df
     share = min(1.0, (n + 6 * (n ** 0.5) + 100) / total)
-    cand = df.withColumn("_h", h)
-    if share < 1.0:
-        cand = cand.filter(F.substring("_h", 1, 4) < F.lit(hex_threshold(share)))
+    hashed = df.withColumn("_h", h)
+    cand = hashed.filter(F.substring("_h", 1, 15) < F.lit(hex_threshold(share, 15)))
+    if cand.count() < n:
+        cand = hashed
     numbered = global_row_number(cand, [F.col("_h")] + [F.col(k) for k in keys], "_pos")
     return numbered.filter(F.col("_pos") <= n).drop("_h", "_pos")
 

@@ -24,6 +24,8 @@ from ranklight.functions.index import global_row_number
 RATING_MIN, RATING_MAX = 1.0, 10.0
 # Candidate positions expanded per task unit in the all-users top-n.
 CAND_CHUNK = 4096
+#: Keys that each block of positions is dealt to (every user reads the first).
+CAND_SALT = 32
 RELEVANT_AT = 7.0
 
 
@@ -169,10 +171,15 @@ def recommend_all_baseline(model: Baseline, ratings: DataFrame, catalogue: DataF
                       F.explode(F.sequence(F.lit(0).cast("long"), F.floor((last - 1) / CAND_CHUNK).cast("long")))
                       .alias("chunk"))
               .repartition("user_id", "chunk"))
-    cand = chunks.select("user_id", F.explode(F.sequence(
-        F.col("chunk") * CAND_CHUNK + 1, F.least((F.col("chunk") + 1) * CAND_CHUNK, F.col("last")))).alias("pos"))
-    cand = (cand.join(ordered.select(F.col("pos").cast("long").alias("pos"), "item_id"), "pos")
-            .join(seen, ["user_id", "item_id"], "left_anti"))
+    # The order is carried in blocks of one chunk.  Every user asks for the
+    # first block, so each block is met under CAND_SALT keys.
+    blocks = (ordered.withColumn("chunk", F.floor((F.col("pos") - 1) / CAND_CHUNK).cast("long"))
+              .groupBy("chunk").agg(F.array_sort(F.collect_list(F.struct("pos", "item_id"))).alias("ids"))
+              .withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(CAND_SALT - 1).cast("long")))))
+    cand = (chunks.withColumn("salt", F.pmod(F.xxhash64("user_id"), F.lit(CAND_SALT))).join(blocks, ["chunk", "salt"])
+            .select("user_id", "last", F.explode(F.slice("ids", F.lit(1), F.least(F.size("ids"), (
+                F.col("last") - F.col("chunk") * CAND_CHUNK).cast("int")))).alias("x"))
+            .select("user_id", "x.pos", "x.item_id").join(seen, ["user_id", "item_id"], "left_anti"))
     top = top_k_per_group(cand, ["user_id"], [F.col("pos")], top_n)
     pred = predict_baseline(model, top.select("user_id", "item_id", "rank"))
     return pred.select("user_id", "item_id", "rank", r6("prediction").alias("prediction"))
@@ -374,8 +381,37 @@ def recommend_all_factors(model: FactorModel, seen: DataFrame, catalogue: DataFr
                     r6(clip(mu + F.col("b_u") + F.col("score"), RATING_MIN, RATING_MAX)).alias("prediction")))
 
 
-def cross_validate_factors(ratings: DataFrame, n_folds: int = 5, algorithm: str = "SVD", rank: int = 20,
-                           max_iter: int = 10, reg: float = 0.1, seed: int = 42) -> DataFrame:
+def recommend_user_factors(model: FactorModel, ratings: DataFrame, catalogue: DataFrame, user_id: int,
+                           top_n: int = 10, min_score: float = 6.0) -> DataFrame:
+    """M7 on the trained factors: items the user has not rated, score >=
+    min_score, top-n by the model's own prediction.  An unknown user gets the
+    bias order (their factors count as zero)."""
+    from pyspark.sql import Window
+    seen = ratings.filter(F.col("user_id") == user_id).select("item_id")
+    items = _eligible_items(catalogue, min_score).join(seen, "item_id", "left_anti")
+    pred = predict_factors(model, items.select(F.lit(user_id).cast("long").alias("user_id"), "item_id"))
+    order = [F.round("raw_prediction", 9).desc(), F.col("item_id")]
+    top = pred.orderBy(*order).limit(top_n)
+    # At most top_n rows: numbering them needs no partition key.
+    return top.select("user_id", "item_id", r6("prediction").alias("prediction"), F.row_number().over(Window.orderBy(*order)).alias("rank"))
+
+
+def recommend_user(model, ratings: DataFrame, catalogue: DataFrame, user_id: int, top_n: int = 10,
+                   min_score: float = 6.0) -> DataFrame:
+    """M7 for either kind of model."""
+    one = recommend_user_factors if isinstance(model, FactorModel) else recommend_user_baseline
+    return one(model, ratings, catalogue, user_id, top_n, min_score)
+
+
+def recommend_all(model, ratings: DataFrame, catalogue: DataFrame, users: DataFrame, top_n: int = 10,
+                  min_score: float = 6.0) -> DataFrame:
+    """M8 for either kind of model."""
+    many = recommend_all_factors if isinstance(model, FactorModel) else recommend_all_baseline
+    return many(model, ratings, catalogue, users, top_n, min_score)
+
+
+def cross_validate_factors(ratings: DataFrame, n_folds: int = 5, algorithm: str = "SVD", rank: int = 100,
+                           max_iter: int = 20, reg: float = 0.1, seed: int = 42) -> DataFrame:
     """M10 for M3/M4: one ALS fit per fold (a loop over the n_folds folds,
     each a distributed fit on the other folds), scored on the fold.
     Output: fold, rmse, mae, n, then a 'mean' row."""

@@ -32,13 +32,14 @@ def reweight(content_weight: float) -> tuple[float, float]:
 
 
 class CFSide:
-    """The collaborative side: bias model, its training ratings, catalogue."""
+    """The collaborative side: a bias model or a trained factor model, its
+    training ratings, the catalogue."""
 
-    def __init__(self, model: collab.Baseline, train: DataFrame, catalogue: DataFrame):
+    def __init__(self, model: collab.Baseline | collab.FactorModel, train: DataFrame, catalogue: DataFrame):
         self.model, self.train, self.catalogue = model, train, catalogue
 
     def recommend(self, user_id: int, top_n: int, min_score: float) -> DataFrame:
-        return collab.recommend_user_baseline(self.model, self.train, self.catalogue, user_id, top_n, min_score)
+        return collab.recommend_user(self.model, self.train, self.catalogue, user_id, top_n, min_score)
 
     def n_ratings(self, user_id: int) -> F.Column:
         """Number of training ratings of the user (raw ids, D2) as a scalar."""
@@ -169,11 +170,11 @@ def evaluate_on_held_out(pred: DataFrame, train: DataFrame, weights: DataFrame,
     Relevant = held-out rating >= threshold.  All joins and grouped
     aggregates; per-user lists are cut to k with a group limit.
     """
-    from ranklight.functions.topk import top_k_per_group
+    from ranklight.functions.topk import SKEW_SALT, top_k_per_group
     from ranklight.operators.metrics import per_user_at_k
     from ranklight.operators.similarity import pair_similarity
     cw, fw = hybrid_weights(content_weight, collaborative_weight)
-    q = top_k_per_group(train, ["user_id"], [F.col("rating").desc(), F.col("item_id")], 1) \
+    q = top_k_per_group(train, ["user_id"], [F.col("rating").desc(), F.col("item_id")], 1, salt=SKEW_SALT) \
         .select("user_id", F.col("item_id").alias("q_item"))
     p = pred.join(q, "user_id", "left")
     sims = pair_similarity(weights, p.select(F.col("q_item").alias("a"), F.col("item_id").alias("b")), "a", "b")
@@ -184,7 +185,6 @@ def evaluate_on_held_out(pred: DataFrame, train: DataFrame, weights: DataFrame,
               .withColumn("cf", (F.col("prediction") - F.col("lo")) /
                           F.when(F.col("hi") > F.col("lo"), F.col("hi") - F.col("lo")).otherwise(F.lit(1.0)))
               .withColumn("hybrid_score", cw * F.col("cb") + fw * F.col("cf")))
-    from ranklight.functions.topk import SKEW_SALT
     ranked = top_k_per_group(scored, ["user_id"], [F.round("hybrid_score", 9).desc(), F.col("item_id")], k,
                              salt=SKEW_SALT)
     relevant = pred.filter(F.col("rating") >= threshold).select("user_id", "item_id")
@@ -193,7 +193,7 @@ def evaluate_on_held_out(pred: DataFrame, train: DataFrame, weights: DataFrame,
                    r6(F.avg("f1")).alias(f"f1_macro_at_{k}"), F.count(F.lit(1)).alias("users"))
 
 
-def weighted_batch(cb: content.ContentModel, model: collab.Baseline, train: DataFrame, catalogue: DataFrame,
+def weighted_batch(cb: content.ContentModel, model: collab.Baseline | collab.FactorModel, train: DataFrame, catalogue: DataFrame,
                    queries: DataFrame, top_n: int = 10, min_score: float = 0.0, content_weight: float = 0.4,
                    collaborative_weight: float = 0.6) -> DataFrame:
     """H2 for many (user_id, item_id) queries in one plan, keyed by user.
@@ -214,7 +214,7 @@ def weighted_batch(cb: content.ContentModel, model: collab.Baseline, train: Data
     nb = neighbours_of(cb.weights, qs.select(F.col("q_item").alias("doc_id")), 2 * top_n, True, cand)
     cbs = (qs.join(nb, qs.q_item == nb.query_id)
            .select("user_id", F.col("doc_id").alias("item_id"), r6("similarity").alias("cb_score")))
-    cf = collab.recommend_all_baseline(model, train, catalogue, qs.select("user_id"), 2 * top_n, min_score)
+    cf = collab.recommend_all(model, train, catalogue, qs.select("user_id"), 2 * top_n, min_score)
     mm = cf.groupBy("user_id").agg(F.min("prediction").alias("lo"), F.max("prediction").alias("hi"))
     cfs = (cf.join(mm, "user_id")
            .select("user_id", "item_id", ((F.col("prediction") - F.col("lo")) /
@@ -228,7 +228,7 @@ def weighted_batch(cb: content.ContentModel, model: collab.Baseline, train: Data
                       r6("cf_score").alias("cf_score"), r6("hybrid_score").alias("hybrid_score"))
 
 
-def switching_batch(cb: content.ContentModel, model: collab.Baseline, train: DataFrame, catalogue: DataFrame,
+def switching_batch(cb: content.ContentModel, model: collab.Baseline | collab.FactorModel, train: DataFrame, catalogue: DataFrame,
                     queries: DataFrame, top_n: int = 10, min_score: float = 0.0,
                     user_rating_threshold: int = 10) -> DataFrame:
     """H3 for many (user_id, item_id-or-null) queries in one plan: the
@@ -249,13 +249,13 @@ def switching_batch(cb: content.ContentModel, model: collab.Baseline, train: Dat
                .select("user_id", F.lit("content").alias("source"), F.col("rank").cast("int").alias("rank"),
                        F.col("doc_id").alias("item_id"), r6("similarity").alias("score_value")))
     cf_users = q.filter(F.col("use_cf")).select("user_id")
-    cf_rows = (collab.recommend_all_baseline(model, train, catalogue, cf_users, top_n, min_score)
+    cf_rows = (collab.recommend_all(model, train, catalogue, cf_users, top_n, min_score)
                .select("user_id", F.lit("collaborative").alias("source"), F.col("rank").cast("int").alias("rank"),
                        "item_id", F.col("prediction").alias("score_value")))
     return cb_rows.unionByName(cf_rows)
 
 
-def mixed_batch(cb: content.ContentModel, model: collab.Baseline, train: DataFrame, catalogue: DataFrame,
+def mixed_batch(cb: content.ContentModel, model: collab.Baseline | collab.FactorModel, train: DataFrame, catalogue: DataFrame,
                 queries: DataFrame, top_n: int = 10, min_score: float = 0.0, mix_ratio: float = 0.5) -> DataFrame:
     """H4 for many (user_id, item_id) queries in one plan: int(n * ratio)
     content picks per query first, then up to the rest from each user's CF
@@ -276,7 +276,7 @@ def mixed_batch(cb: content.ContentModel, model: collab.Baseline, train: DataFra
                  .select("user_id", F.col("doc_id").alias("item_id"), F.col("rank").cast("int").alias("position")))
     out = picks.withColumn("source", F.lit("content"))
     if n_cf > 0:
-        cf = collab.recommend_all_baseline(model, train, catalogue, qs.select("user_id"), 2 * n_cf, min_score)
+        cf = collab.recommend_all(model, train, catalogue, qs.select("user_id"), 2 * n_cf, min_score)
         kept = cf.join(picks.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
         kept = top_k_per_group(kept.drop("prediction").withColumnRenamed("rank", "cf_rank"), ["user_id"],
                                [F.col("cf_rank")], n_cf, "r")

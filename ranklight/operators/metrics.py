@@ -33,18 +33,6 @@ def rating_errors(pred: DataFrame, true_col: str = "rating", pred_col: str = "pr
                     F.count(F.lit(1)).alias("n"))
 
 
-def rmse(pred, true_col="rating", pred_col="prediction"):
-    return rating_errors(pred, true_col, pred_col).select("rmse")
-
-
-def mae(pred, true_col="rating", pred_col="prediction"):
-    return rating_errors(pred, true_col, pred_col).select("mae")
-
-
-def mse(pred, true_col="rating", pred_col="prediction"):
-    return rating_errors(pred, true_col, pred_col).select("mse")
-
-
 # ---------------------------------------------------------------- ranking
 
 def _with_k(df: DataFrame, ks) -> DataFrame:
@@ -208,11 +196,8 @@ def best_per_metric(metrics_long: DataFrame) -> DataFrame:
     model name."""
     spark = metrics_long.sparkSession
     dirs = spark.createDataFrame([(m, 1 if up else -1) for m, up in HIGHER_IS_BETTER.items()], "metric string, sign int")
-    scored = metrics_long.join(F.broadcast(dirs), "metric").withColumn(
-        "_key", F.struct((F.col("value") * F.col("sign")).alias("v"), F.col("model").alias("m")))
-    # max_by over (sign*value, model): a model name tie-break needs the name
-    # reversed, so take min over (-sign*value, model).
-    scored = scored.withColumn("_key", F.struct((-F.col("value") * F.col("sign")).alias("v"), F.col("model").alias("m")))
+    # The least (-sign * value, model): ties go to the first model name.
+    scored = metrics_long.join(F.broadcast(dirs), "metric").withColumn("_key", F.struct((-F.col("value") * F.col("sign")).alias("v"), F.col("model").alias("m")))
     return (scored.groupBy("metric").agg(F.min("_key").alias("_best"))
             .select("metric", F.col("_best.m").alias("best_model"), (-F.col("_best.v") * 1.0).alias("_sv"))
             .join(F.broadcast(dirs), "metric")

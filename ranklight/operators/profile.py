@@ -1,8 +1,8 @@
 """Aggregations and profiling.
 
 Whole-table statistics are single ``agg`` passes (partial aggregation on
-every task, one small merge).  Exact medians and quartiles use
-``percentile`` (linear interpolation, as the reference's library);
+every task, one small merge).  Exact medians and quartiles (linear
+interpolation) come from distributed ranks (``functions.percentiles``);
 ``exact=False`` switches to ``percentile_approx`` where a column has too many
 distinct values for an exact pass.  Histograms and densities first reduce the
 column to (value, count), so their size follows the number of distinct
@@ -17,20 +17,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ranklight.functions.columns import r6, strip_ws
+from ranklight.functions.percentiles import exact_percentiles, percentile_map
 
 NUMERIC = ("score", "episodes", "members", "favorites", "scored_by")
 
 
-def _q(col, p, exact=True):
-    return F.percentile(col, p) if exact else F.percentile_approx(col, p, 10000).cast("double")
+def _quantiles(df: DataFrame, col: str, ps, exact: bool = True):
+    """The percentiles of a column as a scalar array."""
+    if exact:
+        return percentile_map(df, [col], ps)[col]
+    return df.select(F.percentile_approx(col, list(ps), 10000).cast("array<double>")).scalar()
 
 
 def catalogue_stats(cat: DataFrame) -> DataFrame:
     """A1: items, mean and median score, distinct (stripped) genres."""
     genres = cat.select(F.explode(F.transform(F.split("genres", ","), lambda x: strip_ws(x))).alias("g"))
     n_genres = genres.select(F.count_distinct("g")).scalar()
-    return cat.agg(F.count(F.lit(1)).alias("n_items"), r6(F.avg("score")).alias("mean_score"),
-                   r6(F.median("score")).alias("median_score")).withColumn("n_genres", n_genres)
+    median = _quantiles(cat, "score", [0.5])[0]
+    return (cat.agg(F.count(F.lit(1)).alias("n_items"), r6(F.avg("score")).alias("mean_score"))
+            .withColumn("median_score", r6(median)).withColumn("n_genres", n_genres))
 
 
 def type_counts(cat: DataFrame) -> DataFrame:
@@ -42,7 +47,8 @@ def ratings_stats(r: DataFrame, exact: bool = True) -> DataFrame:
     """A2: rows, distinct users and items, mean, median, sparsity 1 - rows/(U*I)."""
     cd = F.count_distinct if exact else F.approx_count_distinct
     s = r.agg(F.count(F.lit(1)).alias("n_ratings"), cd("user_id").alias("n_users"), cd("item_id").alias("n_items"),
-              r6(F.avg("rating")).alias("mean_rating"), r6(_q("rating", 0.5, exact)).alias("median_rating"))
+              r6(F.avg("rating")).alias("mean_rating"))
+    s = s.withColumn("median_rating", r6(_quantiles(r, "rating", [0.5], exact)[0]))
     return s.withColumn("sparsity", r6(1 - F.col("n_ratings") / (F.col("n_users") * F.col("n_items"))))
 
 
@@ -124,15 +130,16 @@ def density(df: DataFrame, col: str, points: int = 100) -> DataFrame:
 def column_stats(df: DataFrame, col: str, exact: bool = True) -> DataFrame:
     """Mean, median, std (n-1), min, max, Q1, Q3."""
     c = F.col(col)
-    return df.agg(r6(F.avg(c)).alias("mean"), r6(_q(c, 0.5, exact)).alias("median"),
-                  r6(F.stddev_samp(c)).alias("std"), r6(F.min(c)).alias("min"), r6(F.max(c)).alias("max"),
-                  r6(_q(c, 0.25, exact)).alias("q1"), r6(_q(c, 0.75, exact)).alias("q3"))
+    q = _quantiles(df, col, [0.25, 0.5, 0.75], exact)
+    s = df.agg(r6(F.avg(c)).alias("mean"), r6(F.stddev_samp(c)).alias("std"), r6(F.min(c)).alias("min"),
+               r6(F.max(c)).alias("max"))
+    return s.select("mean", r6(q[1]).alias("median"), "std", "min", "max", r6(q[0]).alias("q1"), r6(q[2]).alias("q3"))
 
 
 def box_stats(df: DataFrame, col: str) -> DataFrame:
     """A10: quartiles, whiskers at 1.5 IQR (most extreme values inside),
     outlier count."""
-    qs = df.select(F.percentile(col, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))).scalar()
+    qs = _quantiles(df, col, [0.25, 0.5, 0.75])
     q1, med, q3 = qs[0], qs[1], qs[2]
     lo, hi = q1 - 1.5 * (q3 - q1), q3 + 1.5 * (q3 - q1)
     c = F.col(col)
@@ -143,15 +150,17 @@ def box_stats(df: DataFrame, col: str) -> DataFrame:
 
 def describe(df: DataFrame, cols=NUMERIC) -> DataFrame:
     """Count, mean, std, min, quartiles, max per numeric column.
-    Long form via ``unpivot`` and one grouped pass (exact quartiles)."""
+    Long form via ``unpivot`` and one grouped pass, joined with the quartiles."""
     cols = [c for c in cols if c in df.columns]
     long = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
         [], cols, "column", "value")
     v = F.col("value")
-    return long.groupBy("column").agg(
+    s = long.groupBy("column").agg(
         F.count(v).alias("count"), r6(F.avg(v)).alias("mean"), r6(F.stddev_samp(v)).alias("std"),
-        r6(F.min(v)).alias("min"), r6(F.percentile(v, 0.25)).alias("p25"), r6(F.percentile(v, 0.5)).alias("p50"),
-        r6(F.percentile(v, 0.75)).alias("p75"), r6(F.max(v)).alias("max"))
+        r6(F.min(v)).alias("min"), r6(F.max(v)).alias("max"))
+    q = exact_percentiles(df, cols, [0.25, 0.5, 0.75])
+    return s.join(q, "column").select("column", "count", "mean", "std", "min", r6(F.col("q")[0]).alias("p25"),
+                                      r6(F.col("q")[1]).alias("p50"), r6(F.col("q")[2]).alias("p75"), "max")
 
 
 def missing_report(df: DataFrame) -> DataFrame:

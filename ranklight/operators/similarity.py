@@ -22,6 +22,8 @@ embeddings become ``term`` = dimension index).
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -29,6 +31,7 @@ from pyspark.sql import functions as F
 
 from ranklight.functions.index import global_row_number
 from ranklight.functions.topk import top_k_per_group
+from ranklight.session import stage_path
 
 METRICS = ("cosine", "euclidean", "cosine_eps")
 # Query entries (query item x term) broadcast at most; beyond, a salted join.
@@ -260,6 +263,10 @@ def similarity_percentile(weights: DataFrame, p: float = 75.0, block: int | None
     grouped, dims, _ = _block_groups(weights, block)
     vc = (grouped.groupBy("bi", "bj").applyInPandas(_value_counts_fn(dims), "similarity double, n long")
           .groupBy("similarity").agg(F.sum("n").alias("n")))
+    # Written once: the product runs one time, every look-up below reads its counts.
+    path = stage_path(weights.sparkSession, f"similarity-counts-{uuid.uuid4().hex[:12]}")
+    vc.write.parquet(path)
+    vc = weights.sparkSession.read.schema("similarity double, n long").parquet(path)
     from pyspark.sql import Window
     # The value table is bounded (<= 10^6 + 1 rows): one ordered pass is fine.
     w = Window.orderBy("similarity").rowsBetween(Window.unboundedPreceding, 0)

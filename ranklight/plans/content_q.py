@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ranklight.functions.columns import md5_key, r6
-from ranklight.operators import content, similarity, tfidf
+from ranklight.functions.topk import SKEW_SALT, top_k_per_group
+from ranklight.operators import collab, content, similarity, tfidf
 from ranklight.plans import stages
 from ranklight.plans.registry import register
 from ranklight.plans.stages import CAT_CTES, ctes
@@ -181,8 +182,6 @@ FROM ranked r JOIN catalogue c ON c.item_id = r.doc_id WHERE r.rank <= {k}"""
 
 
 _FIRST_ITEM = "SELECT min(item_id) AS doc_id FROM catalogue"
-_SAMPLE_100 = ("SELECT item_id AS doc_id FROM catalogue "
-               "ORDER BY md5(CAST(item_id AS VARCHAR) || '-42'), item_id LIMIT 100")
 
 
 def _first_item(spark, sf):
@@ -214,11 +213,22 @@ def similar_items_keep_self(spark, sf):
         .select(*_RESULT.split(", "))
 
 
-@register("similar_items_batch", _reco_sql(_SAMPLE_100, 0.0, False, 10), headline=True)
+# The catalogue items that a test user rated best in training.
+_BEST_OF_USERS = """SELECT DISTINCT item_id AS doc_id FROM (
+  SELECT user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS rn FROM train
+  WHERE user_id IN (SELECT user_id FROM test)) WHERE rn = 1 AND item_id IN (SELECT item_id FROM catalogue)"""
+
+
+@register("similar_items_batch", _reco_sql(_BEST_OF_USERS, 0.0, False, 10).replace(
+    "queries AS (", ",\n".join([stages.KEEP_LAST_SQL, stages.RATINGS_CLEAN_SQL, stages.SPLIT_SQL]) + ",\nqueries AS (", 1), headline=True)
 def similar_items_batch(spark, sf):
-    """Top-10 lists for 100 items chosen by md5 order."""
-    cat = stages.catalogue(spark, sf)
-    return content.recommend_batch(_content(spark, sf), sample_items(cat, 100), 10).select(*_RESULT.split(", "))
+    """Top-10 lists for every item that a test user rated best in training."""
+    split = stages.ratings_split(spark, sf)
+    train, test = collab.train_part(split), collab.test_part(split)
+    best = top_k_per_group(train.join(test.select("user_id").distinct(), "user_id", "left_semi"), ["user_id"],
+                           [F.col("rating").desc(), F.col("item_id")], 1, salt=SKEW_SALT)
+    ids = best.select("item_id").distinct().join(stages.catalogue(spark, sf).select("item_id"), "item_id", "left_semi")
+    return content.recommend_batch(_content(spark, sf), ids.select(F.col("item_id").alias("doc_id")), 10).select(*_RESULT.split(", "))
 
 
 @register("train_content", _reco_sql(_FIRST_ITEM, 0.0, False, 5))

@@ -90,9 +90,9 @@ def embedding_2d(spark, sf):
 
 @register("lsa_components")
 def lsa_components(spark, sf):
-    """Singular values and explained variance of the uncentred catalogue TF-IDF matrix (20 components)."""
+    """Singular values and explained variance of the uncentred catalogue TF-IDF matrix (100 components)."""
     cb = stages.content_model(spark, sf)
-    r = embed.lsa_report(cb.weights, 20)
+    r = embed.lsa_report(cb.weights, 100)
     return r.select("component", r6("singular_value").alias("singular_value"),
                     r6("explained_variance").alias("explained_variance"),
                     r6("explained_variance_ratio").alias("explained_variance_ratio"))
@@ -108,7 +108,7 @@ def _factor_eval(spark, sf, algorithm: str, rank: int, iters: int, reg: float):
 @register("svd_eval")
 def svd_eval(spark, sf):
     """M3 + M9: biased factorisation (baseline + ALS on residuals), train and test errors."""
-    fm, train, test = _factor_eval(spark, sf, "SVD", 20, 10, 0.1)
+    fm, train, test = _factor_eval(spark, sf, "SVD", 100, 20, 0.1)
     tr = metrics.rating_errors(collab.predict_factors(fm, train)).select(F.col("rmse").alias("train_rmse"))
     ev = collab.evaluate_predictions(collab.predict_factors(fm, test), 10)
     return ev.select("*", tr.select("train_rmse").scalar().alias("train_rmse"))
@@ -117,7 +117,7 @@ def svd_eval(spark, sf):
 @register("nmf_eval")
 def nmf_eval(spark, sf):
     """M4 + M9: non-negative factorisation on raw ratings, test errors."""
-    fm, train, test = _factor_eval(spark, sf, "NMF", 15, 10, 0.06)
+    fm, train, test = _factor_eval(spark, sf, "NMF", 100, 20, 0.06)
     return collab.evaluate_predictions(collab.predict_factors(fm, test), 10)
 
 
@@ -132,7 +132,7 @@ def train_collaborative(spark, sf):
 def train_embeddings(spark, sf):
     """P5: Word2Vec item vectors and the neighbour report of the first item."""
     from ranklight.plans import jobs
-    return jobs.train_embeddings(spark, sf, vector_size=32)
+    return jobs.train_embeddings(spark, sf, vector_size=100)
 
 
 @register("recommend_all_users_svd")
@@ -140,11 +140,11 @@ def recommend_all_users_svd(spark, sf):
     """M8 on M3: top-10 unseen items with score >= 6 for every test user under
     the biased factorisation (blocked user x item product; brute-force
     checked in tests)."""
-    fm, train, test = _factor_eval(spark, sf, "SVD", 20, 10, 0.1)
+    fm, train, test = _factor_eval(spark, sf, "SVD", 100, 20, 0.1)
     return collab.recommend_all_factors(fm, train, stages.catalogue(spark, sf), test.select("user_id"), 10, 6.0)
 
 
 @register("cross_validate_svd")
 def cross_validate_svd(spark, sf):
-    """M10 on M3: 3-fold cross-validated RMSE / MAE of the biased factorisation."""
-    return collab.cross_validate_factors(stages.ratings_clean(spark, sf), 3, "SVD", 10, 5, 0.1)
+    """M10 on M3: 5-fold cross-validated RMSE / MAE of the biased factorisation."""
+    return collab.cross_validate_factors(stages.ratings_clean(spark, sf), 5, "SVD", 100, 20, 0.1)

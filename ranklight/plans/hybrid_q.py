@@ -182,8 +182,7 @@ def train_hybrid(spark, sf):
     return jobs.train_hybrid(spark, sf)
 
 
-BATCH_SQL = _all_ctes("""qu AS (SELECT user_id FROM (SELECT DISTINCT user_id FROM test)
-       ORDER BY md5(CAST(user_id AS VARCHAR) || '-42'), user_id LIMIT 100),
+BATCH_SQL = _all_ctes("""qu AS (SELECT DISTINCT user_id FROM test),
 qi AS (SELECT user_id, item_id AS q_item FROM (
          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS rn FROM train
          WHERE user_id IN (SELECT user_id FROM qu)) WHERE rn = 1),
@@ -214,22 +213,20 @@ SELECT user_id, rank, item_id, round(cb_score, 6) AS cb_score, round(cf_score, 6
 
 @register("hybrid_weighted_batch", BATCH_SQL)
 def hybrid_weighted_batch(spark, sf):
-    """H2 for 100 test users at once, each with their top-rated training item:
+    """H2 for all test users at once, each with their top-rated training item:
     one plan keyed by user, no loop over queries."""
-    from ranklight.functions.columns import md5_key
-    from ranklight.functions.topk import top_k_per_group
+    from ranklight.functions.topk import SKEW_SALT, top_k_per_group
     cat = stages.catalogue(spark, sf)
     cb = stages.content_model(spark, sf)
     model, split = stages.baseline_model(spark, sf)
     train, test = collab.train_part(split), collab.test_part(split)
-    users = test.select("user_id").distinct().orderBy(md5_key("user_id", F.lit("42")), "user_id").limit(100)
+    users = test.select("user_id").distinct()
     q = top_k_per_group(train.join(users, "user_id", "left_semi"), ["user_id"],
-                        [F.col("rating").desc(), F.col("item_id")], 1).select("user_id", "item_id")
+                        [F.col("rating").desc(), F.col("item_id")], 1, salt=SKEW_SALT).select("user_id", "item_id")
     return hybrid.weighted_batch(cb, model, train, cat, q, 10, 0.0)
 
 
-SWITCH_BATCH_SQL = _all_ctes("""qu AS (SELECT user_id FROM (SELECT DISTINCT user_id FROM test)
-       ORDER BY md5(CAST(user_id AS VARCHAR) || '-42'), user_id LIMIT 100),
+SWITCH_BATCH_SQL = _all_ctes("""qu AS (SELECT DISTINCT user_id FROM test),
 top_item AS (SELECT user_id, item_id FROM (
          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS rn FROM train) WHERE rn = 1),
 qs AS (SELECT qu.user_id, CASE WHEN substr(md5(CAST(qu.user_id AS VARCHAR)), 1, 1) < '8' THEN t.item_id END AS q_item
@@ -257,16 +254,15 @@ SELECT user_id, 'collaborative', r, item_id, round(least(greatest(raw, 1.0), 10.
 
 @register("hybrid_switching_batch", SWITCH_BATCH_SQL)
 def hybrid_switching_batch(spark, sf):
-    """H3 for 100 test users at once: about half come with their top-rated
+    """H3 for all test users at once: about half come with their top-rated
     training item (routed to content), the others go to CF when warm."""
-    from ranklight.functions.columns import md5_key
-    from ranklight.functions.topk import top_k_per_group
+    from ranklight.functions.topk import SKEW_SALT, top_k_per_group
     cat = stages.catalogue(spark, sf)
     cb = stages.content_model(spark, sf)
     model, split = stages.baseline_model(spark, sf)
     train, test = collab.train_part(split), collab.test_part(split)
-    users = test.select("user_id").distinct().orderBy(md5_key("user_id", F.lit("42")), "user_id").limit(100)
-    top = top_k_per_group(train, ["user_id"], [F.col("rating").desc(), F.col("item_id")], 1) \
+    users = test.select("user_id").distinct()
+    top = top_k_per_group(train, ["user_id"], [F.col("rating").desc(), F.col("item_id")], 1, salt=SKEW_SALT) \
         .select("user_id", F.col("item_id").alias("top_item"))
     q = users.join(top, "user_id", "left").select(
         "user_id", F.when(F.substring(F.md5(F.col("user_id").cast("string")), 1, 1) < F.lit("8"),
@@ -274,8 +270,7 @@ def hybrid_switching_batch(spark, sf):
     return hybrid.switching_batch(cb, model, train, cat, q, 10, 0.0)
 
 
-MIXED_BATCH_SQL = _all_ctes("""qu AS (SELECT user_id FROM (SELECT DISTINCT user_id FROM test)
-       ORDER BY md5(CAST(user_id AS VARCHAR) || '-42'), user_id LIMIT 100),
+MIXED_BATCH_SQL = _all_ctes("""qu AS (SELECT DISTINCT user_id FROM test),
 qi AS (SELECT user_id, item_id AS q_item FROM (
          SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS rn FROM train
          WHERE user_id IN (SELECT user_id FROM qu)) WHERE rn = 1),
@@ -301,15 +296,14 @@ FROM kept k LEFT JOIN np USING (user_id)"""
 
 @register("hybrid_mixed_batch", MIXED_BATCH_SQL)
 def hybrid_mixed_batch(spark, sf):
-    """H4 for 100 test users at once (5 content picks from their top-rated
+    """H4 for all test users at once (5 content picks from their top-rated
     training item, then up to 5 CF picks from a list of 10)."""
-    from ranklight.functions.columns import md5_key
-    from ranklight.functions.topk import top_k_per_group
+    from ranklight.functions.topk import SKEW_SALT, top_k_per_group
     cat = stages.catalogue(spark, sf)
     cb = stages.content_model(spark, sf)
     model, split = stages.baseline_model(spark, sf)
     train, test = collab.train_part(split), collab.test_part(split)
-    users = test.select("user_id").distinct().orderBy(md5_key("user_id", F.lit("42")), "user_id").limit(100)
+    users = test.select("user_id").distinct()
     q = top_k_per_group(train.join(users, "user_id", "left_semi"), ["user_id"],
-                        [F.col("rating").desc(), F.col("item_id")], 1).select("user_id", "item_id")
+                        [F.col("rating").desc(), F.col("item_id")], 1, salt=SKEW_SALT).select("user_id", "item_id")
     return hybrid.mixed_batch(cb, model, train, cat, q, 10, 0.0, 0.5)

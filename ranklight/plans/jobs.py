@@ -25,36 +25,47 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm.org.apache.hadoop.fs.Path(os.path.join(path, "_SUCCESS")))
 
 
-def stage(spark: SparkSession, out: str, name: str, build) -> DataFrame:
-    """Write ``build()`` to out/name unless it is already there; read it."""
-    path = os.path.join(out, name)
+def stage(spark: SparkSession, out: str, name: str, build, **params) -> DataFrame:
+    """Write ``build()`` to out/name unless it is already there; read it.
+    ``params`` are what the stage depends on besides the input: they are part
+    of the folder's name, so another value builds another table."""
+    path = os.path.join(out, "-".join([name, *[f"{k}={v}" for k, v in sorted(params.items())]]))
     if not _exists(spark, path):
         io.write_table(build(), path)
     return spark.read.parquet(path)
 
 
-def train_all(spark: SparkSession, sf: str, out: str, min_ratings: int = 30) -> DataFrame:
-    """Clean, filter popular, fit content + CF (+ factors), evaluate,
-    store the hybrid config, profile; one row per stage with its size."""
+def train_all(spark: SparkSession, sf: str, out: str, min_ratings: int = 30, rank: int = 100,
+              max_iter: int = 20, reg: float = 0.1) -> DataFrame:
+    """Clean, filter popular, fit content, biases and factors, evaluate
+    both CF models, store the hybrid config, profile; one row per stage with
+    its size."""
+    p = {"min_ratings": min_ratings}
     cat = stage(spark, out, "catalogue", lambda: stages.catalogue(spark, sf))
     rat = stage(spark, out, "ratings", lambda: stages.ratings_clean(spark, sf))
     pop_cat, pop_rat = clean.popular_filter(cat, rat, min_ratings)
-    cat = stage(spark, out, "catalogue_popular", lambda: pop_cat)
-    rat = stage(spark, out, "ratings_popular", lambda: pop_rat)
+    cat = stage(spark, out, "catalogue_popular", lambda: pop_cat, **p)
+    rat = stage(spark, out, "ratings_popular", lambda: pop_rat, **p)
     cb = content.fit(cat)
-    weights = stage(spark, out, "content_weights", lambda: cb.weights)
-    split = stage(spark, out, "ratings_split", lambda: collab.split_train_test(rat))
+    weights = stage(spark, out, "content_weights", lambda: cb.weights, **p)
+    split = stage(spark, out, "ratings_split", lambda: collab.split_train_test(rat), **p)
     train, test = collab.train_part(split), collab.test_part(split)
     base = collab.fit_baseline(train)
-    item_bias = stage(spark, out, "item_bias", lambda: base.item_bias)
-    user_bias = stage(spark, out, "user_bias", lambda: base.user_bias)
+    item_bias = stage(spark, out, "item_bias", lambda: base.item_bias, **p)
+    user_bias = stage(spark, out, "user_bias", lambda: base.user_bias, **p)
     base = collab.Baseline(base.mu, item_bias, user_bias)
-    ev = stage(spark, out, "cf_metrics", lambda: collab.evaluate_predictions(collab.predict_baseline(base, test)))
+    ev = stage(spark, out, "cf_metrics", lambda: collab.evaluate_predictions(collab.predict_baseline(base, test)), **p)
+
+    def factor_metrics():
+        fm = collab.fit_factors(train, "SVD", rank, max_iter, reg)
+        io.save_factor_model(fm, os.path.join(out, f"factor_model-{rank}-{max_iter}-{reg}-{min_ratings}"))
+        return collab.evaluate_predictions(collab.predict_factors(fm, test))
+    fev = stage(spark, out, "factor_metrics", factor_metrics, rank=rank, max_iter=max_iter, reg=reg, **p)
     io.save_hybrid_config(spark, os.path.join(out, "hybrid_config"), *hybrid.hybrid_weights(0.4, 0.6), "weighted")
     tables = {"catalogue": cat, "ratings": rat, "content_weights": weights, "ratings_split": split,
-              "item_bias": item_bias, "user_bias": user_bias, "cf_metrics": ev}
+              "item_bias": item_bias, "user_bias": user_bias, "cf_metrics": ev, "factor_metrics": fev}
     for name, df in profile.profile_all(cat).items():
-        tables[f"profile_{name}"] = stage(spark, out, f"profile_{name}", lambda df=df: df)
+        tables[f"profile_{name}"] = stage(spark, out, f"profile_{name}", lambda df=df: df, **p)
     rows = None
     for name, df in tables.items():
         r = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
@@ -72,18 +83,18 @@ def train_content(spark: SparkSession, sf: str, out: str | None = None) -> DataF
     return content.recommend_batch(model, first, 5)
 
 
-def train_collaborative(spark: SparkSession, sf: str, out: str | None = None, rank: int = 20,
-                        max_iter: int = 10, reg: float = 0.1) -> DataFrame:
+def train_collaborative(spark: SparkSession, sf: str, out: str | None = None, rank: int = 100,
+                        max_iter: int = 20, reg: float = 0.1) -> DataFrame:
     """Split, biased factorisation, evaluation, store (S12), five picks
     for the first user.  Returns the evaluation row with the picks' ids."""
-    model, split = stages.baseline_model(spark, sf)
+    split = stages.ratings_split(spark, sf)
     train, test = collab.train_part(split), collab.test_part(split)
     fm = collab.fit_factors(train, "SVD", rank, max_iter, reg)
     if out:
         io.save_factor_model(fm, os.path.join(out, "factor_model"))
     ev = collab.evaluate_predictions(collab.predict_factors(fm, test), 10)
     user = train.select(F.min("user_id")).first()[0]
-    picks = collab.recommend_user_baseline(model, train, stages.catalogue(spark, sf), user, 5, 6.0)
+    picks = collab.recommend_user(fm, train, stages.catalogue(spark, sf), user, 5, 6.0)
     ids = picks.select(F.sort_array(F.collect_list("item_id"))).scalar()
     return ev.withColumn("first_user_picks", ids)
 

@@ -98,7 +98,7 @@ DIVERSITY_SQL = CONTENT_CTES.rstrip() + ",\n" + ",\n".join([stages.KEEP_LAST_SQL
 elig AS (SELECT item_id FROM catalogue WHERE score >= 6.0),
 users AS (SELECT DISTINCT user_id FROM test),
 cand AS (SELECT u.user_id, e.item_id, coalesce(bi.b_i, 0) AS b FROM users u JOIN elig e ON TRUE LEFT JOIN bi ON bi.item_id = e.item_id
-         WHERE NOT EXISTS (SELECT 1 FROM ratings_clean rc WHERE rc.user_id = u.user_id AND rc.item_id = e.item_id)),
+         WHERE NOT EXISTS (SELECT 1 FROM train rc WHERE rc.user_id = u.user_id AND rc.item_id = e.item_id)),
 reco AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(b, 9) DESC, item_id) AS rank FROM cand)
          WHERE rank <= 10),
 lst AS (SELECT user_id, item_id, rank FROM reco WHERE item_id IN (SELECT doc_id FROM weights)),
@@ -344,6 +344,7 @@ UNION ALL SELECT 'ratings_split', (SELECT count(*) FROM split_p)
 UNION ALL SELECT 'item_bias', (SELECT count(DISTINCT item_id) FROM split_p WHERE NOT is_test)
 UNION ALL SELECT 'user_bias', (SELECT count(DISTINCT user_id) FROM split_p WHERE NOT is_test)
 UNION ALL SELECT 'cf_metrics', 1
+UNION ALL SELECT 'factor_metrics', 1
 UNION ALL SELECT 'profile_genre_counts', least(20, (SELECT count(DISTINCT g) FROM gtags))
 UNION ALL SELECT 'profile_type_distribution', (SELECT count(DISTINCT type) FROM cat_pop)
 UNION ALL SELECT 'profile_score_histogram', 50

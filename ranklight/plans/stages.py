@@ -1,6 +1,7 @@
 """Shared stage builders: the derived inputs most queries start from.
 
-Each returns a lazy DataFrame; nothing runs until a query's result is used.
+Shared inputs are written as tables when a query is first built; the rest
+stays lazy.
 The SQL twins are in ``base_sql`` and below as CTE text.
 """
 
@@ -36,16 +37,20 @@ def materialize(spark: SparkSession, sf: str, name: str, build) -> DataFrame:
         build().write.mode("overwrite").parquet(path)
         df = spark.read.parquet(path)
         # A small stage can come back as one file with one row group, i.e.
-        # one scan task for every later plan.  Below the cluster's
-        # parallelism it is spread by a hash of its key column; a large
-        # table already has more files than that and is read as written.
+        # one scan task for every later plan: it is dealt out evenly.  Never
+        # by a key, or a frequent key would lie in one task from here on.
         n = spark.sparkContext.defaultParallelism
         if df.rdd.getNumPartitions() < n:
-            df = df.repartition(n, df.columns[0])
+            df = df.repartition(n)
         _MEMO[key] = df
     return _MEMO[key]
 
 
+def forget() -> None:
+    """Build every stage anew when it is next asked for."""
+    _MEMO.clear()
+
+
 def catalogue_raw(spark: SparkSession, sf: str) -> DataFrame:
     return materialize(spark, sf, "catalogue_raw", lambda: tables.catalogue_raw(spark, sf))
 
@@ -165,7 +170,3 @@ def ctes(*parts) -> str:
             if x not in flat:
                 flat.append(x)
     return "WITH " + ",\n".join(flat) + "\n"
-
-
-def cat_columns_check(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(c) for c in df.columns])

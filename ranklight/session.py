@@ -37,7 +37,7 @@ def get_session(master: str | None = None, app_name: str = "ranklight",
         builder = builder.master(master)
         if master.startswith("local"):
             # Local mode runs every task in the driver JVM.
-            builder = builder.config("spark.driver.memory", os.environ.get("RANKLIGHT_DRIVER_MEMORY", "16g"))
+            builder = builder.config("spark.driver.memory", os.environ.get("RANKLIGHT_DRIVER_MEMORY", "8g"))
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
     if shuffle_partitions:
@@ -54,8 +54,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and stage tables.
 
     A cluster names it in ``spark.checkpoint.dir``; that setting is always
-    used when present.  Only when it is unset (local tests) a scratch folder is
-    made under the system temp folder.
+    used when present.  Where it is unset, a local session (tests) gets a
+    scratch folder under the system temp folder; on a cluster that folder
+    would not be shared, so it raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +64,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf = tempfile.mkdtemp(prefix="ranklight-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf)
     sc.setCheckpointDir(conf)
@@ -73,3 +76,13 @@ def stage_path(spark: SparkSession, name: str) -> str:
     """A path for a written stage table inside the shared checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "stages", name)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete the stage tables and numberings this application has written.
+    DataFrames that still read them become unusable."""
+    from ranklight.plans.stages import forget
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(os.path.join(checkpoint_dir(spark), "stages"))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    forget()
