@@ -38,7 +38,7 @@ ALONE_WORDS = 40
 #: Spans handed on at once.
 BATCH_SPANS = 1 << 17
 
-_SENTENCE = re.compile(r"[^\s](?:[^\n.!?]|[.!?](?!\s|$))*(?:[.!?]+(?=\s|$)|(?=\n|$))")
+_SENTENCE = re.compile(r"[^\s](?:[^\n.!?]++|[.!?](?!\s|$))*+(?:[.!?]++(?=\s|$)|(?=\n|$))")
 
 _SPANS = "doc_id long, h1 long, h2 long, first_no int, last_no int, start int, end int"
 
