@@ -79,17 +79,28 @@ def content_model(spark: SparkSession, sf: str):
 
 
 def ratings_split(spark: SparkSession, sf: str, test_size: float = 0.2) -> DataFrame:
-    return collab.split_train_test(ratings_clean(spark, sf), test_size)
+    return materialize(spark, sf, f"ratings_split_{test_size}",
+                       lambda: collab.split_train_test(ratings_clean(spark, sf), test_size))
 
 
 def baseline_model(spark: SparkSession, sf: str):
+    """M2 fitted once per application and data folder, with its split: the
+    mean and the biases are written tables."""
     split = ratings_split(spark, sf)
-    return collab.fit_baseline(collab.train_part(split)), split
+    key = (spark.sparkContext.applicationId, sf, "baseline_model")
+    if key not in _MEMO:
+        m = collab.fit_baseline(collab.train_part(split))
+        m.mu = materialize(spark, sf, "baseline_mu", lambda: m.mu)
+        m.item_bias = materialize(spark, sf, "baseline_items", lambda: m.item_bias)
+        m.user_bias = materialize(spark, sf, "baseline_users", lambda: m.user_bias)
+        _MEMO[key] = m
+    return _MEMO[key], split
 
 
 def baseline_test_predictions(spark: SparkSession, sf: str) -> DataFrame:
     model, split = baseline_model(spark, sf)
-    return collab.predict_baseline(model, collab.test_part(split))
+    return materialize(spark, sf, "baseline_predictions",
+                       lambda: collab.predict_baseline(model, collab.test_part(split)))
 
 
 # ------------------------------------------------------------ SQL twins
