@@ -26,7 +26,7 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     u, v = F.col(a), F.col(b)
     edges = written(links.where(u != v).select(F.greatest(u, v).alias("u"), F.least(u, v).alias("v")).distinct(), "links")
     state = _state(edges)
-    while True:
+    while state[0]:
         # Large star: neighbours of both directions, the larger ones move.
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))

@@ -245,12 +245,12 @@ def _between(m: DataFrame, roots: DataFrame, reach: DataFrame, sets: DataFrame,
     # Rare shingles first; the longest prefix that any partner can ask for.
     prefix = (items.join(order, "item").withColumn("pos", F.row_number().over(w)).join(left, "cls")
               .where(F.col("pos") * 100 <= F.col("n") * (100 - percent) + 100)
-              .select("cls", "item", "pos", "n", "root", "outside"))
+              .select("cls", "item", "pos", "n", "reach", "root", "outside"))
     prefix = written(prefix, "neardup-prefixes")
-    x = prefix.where("outside").select("item", *[F.col(c).alias(f"{c}_a") for c in ("cls", "pos", "n", "root")])
-    y = prefix.select("item", *[F.col(c).alias(f"{c}_b") for c in ("cls", "pos", "n", "root", "outside")])
+    x = prefix.where("outside").select("item", *[F.col(c).alias(f"{c}_a") for c in ("cls", "pos", "n", "reach", "root")])
+    y = prefix.select("item", *[F.col(c).alias(f"{c}_b") for c in ("cls", "pos", "n", "reach", "root", "outside")])
     # Shingles of a that may follow the shared one, it included, must reach the overlap; so must b's.
-    room = F.least(F.col("n_a") - F.col("pos_a"), F.col("n_b") - F.col("pos_b")) + 1
+    room = F.least(F.col("n_a") - F.col("pos_a") + 1, F.col("n_b") - F.col("pos_b") + 1, "reach_a", "reach_b")
     pairs = x.join(y, "item").where(
         (F.col("root_a") != F.col("root_b")) & (room * (100 + percent) >= _need("n_a", "n_b", percent))
         & (~F.col("outside_b") | (F.col("cls_a") < F.col("cls_b"))))
