@@ -71,22 +71,20 @@ def numeric_features(cat: DataFrame) -> DataFrame:
 
 
 def genre_long(cat: DataFrame, mode: str = "exact") -> DataFrame:
-    """F6 long form: (item_id, genre, flag) for every distinct genre.
+    """F6 long form: the ones of the item x genre matrix as (item_id, genre, 1).
 
-    ``exact``: the item lists the genre.  ``substring`` (D6 parity): the genre
-    occurs case-insensitively anywhere in the item's genre text.  The sorted
-    genre vocabulary (a small set of labels, the width of the one-hot matrix)
-    reaches every task as one scalar subquery and is exploded per item: no
-    join.
+    ``exact``: the item lists the genre; one row per listed genre, nothing
+    else is read.  ``substring`` (D6 parity): the genre occurs
+    case-insensitively anywhere in the item's genre text; the distinct genres
+    (labels, the width of the matrix) reach every task as one scalar subquery.
     """
     lst = F.transform(F.split("genres", ","), lambda x: strip_ws(x))
+    if mode != "substring":
+        return cat.select("item_id", F.explode(F.array_distinct(lst)).alias("genre"), F.lit(1).alias("flag"))
     vocab = cat.select(F.explode(lst).alias("g")).agg(F.sort_array(F.collect_set("g"))).scalar()
     items = cat.select("item_id", "genres", F.explode(vocab).alias("genre"))
-    if mode == "substring":
-        flag = F.lower(F.col("genres")).contains(F.lower(F.col("genre"))).cast("int")
-    else:
-        flag = F.array_contains(lst, F.col("genre")).cast("int")
-    return items.select("item_id", "genre", flag.alias("flag"))
+    return (items.where(F.lower(F.col("genres")).contains(F.lower(F.col("genre"))))
+            .select("item_id", "genre", F.lit(1).alias("flag")))
 
 
 def genre_onehot(cat: DataFrame, genres: list[str]) -> DataFrame:
@@ -103,12 +101,22 @@ def season_features(cat: DataFrame) -> DataFrame:
             .withColumn("season_numeric", season_number("season")))
 
 
-def all_features(cat: DataFrame, text: bool = True, numeric: bool = True, time: bool = True) -> DataFrame:
-    """F8: the feature steps in order, each switchable (the genre one-hot is
-    a separate long table, ``genre_long``, since its width is data)."""
+def genre_set(cat: DataFrame) -> DataFrame:
+    """F6 as one column: the sorted distinct genres of the item (the row's
+    ones of the one-hot matrix; empty without genres)."""
+    lst = F.array_sort(F.array_distinct(F.transform(F.split("genres", ","), lambda x: strip_ws(x))))
+    return cat.withColumn("genre_set", F.coalesce(lst, F.array().cast("array<string>")))
+
+
+def all_features(cat: DataFrame, text: bool = True, numeric: bool = True, time: bool = True,
+                 genre: bool = True) -> DataFrame:
+    """F8: the feature steps in order, each switchable.  Genres are added as
+    sets; ``genre_onehot`` widens a known list of them."""
     out = cat
     if text:
         out = text_features_weighted(out)
+    if genre:
+        out = genre_set(out)
     if numeric:
         out = numeric_features(out)
     if time:

@@ -238,7 +238,7 @@ def _block_groups(weights: DataFrame, block: int | None):
         weights = weights.join(terms, "term").select("doc_id", F.col("term_idx").alias("term"), "w")
     dims = int(weights.agg(F.max("term")).first()[0] or 0) + 1
     if block is None:
-        block = int(max(100, min(BLOCK_MAX, BLOCK_BYTES // (8 * max(dims, 1)))))
+        block = int(max(1, min(BLOCK_MAX, BLOCK_BYTES // (8 * max(dims, 1)))))
     docs = global_row_number(weights.select("doc_id").distinct(), [F.col("doc_id")], "pos", start=0)
     n_docs = docs.count()
     nb = max(1, -(-n_docs // block))

@@ -57,7 +57,7 @@ WHERE rank <= 5""")
 def embedding_neighbours(spark, sf):
     """E3 for all vectors of the embedding table: top-5 by cosine (+1e-10)."""
     emb = tables.table(spark, sf, "embeddings")
-    nb = embed.all_embedding_neighbours(emb, 5, "vec_id", "embedding", block=200)
+    nb = embed.all_embedding_neighbours(emb, 5, "vec_id", "embedding")
     return nb.select("doc_id", "other", r6("similarity").alias("similarity"), "rank")
 
 

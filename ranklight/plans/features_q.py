@@ -52,18 +52,16 @@ def numeric_features(spark, sf):
 _GENRE_VOCAB = f"""gv AS (SELECT DISTINCT unnest(list_transform(string_split(genres, ','), lambda x: regexp_replace(x, {STRIP}))) AS genre FROM catalogue)"""
 
 
-@register("genre_onehot", ctes(CAT_CTES, _GENRE_VOCAB) + f"""
-SELECT c.item_id, gv.genre,
-       CAST(list_contains(list_transform(string_split(c.genres, ','), lambda x: regexp_replace(x, {STRIP})), gv.genre) AS INTEGER) AS flag
-FROM catalogue c CROSS JOIN gv""")
+@register("genre_onehot", ctes(CAT_CTES) + f"""
+SELECT DISTINCT item_id, unnest(list_transform(string_split(genres, ','), lambda x: regexp_replace(x, {STRIP}))) AS genre, 1 AS flag
+FROM catalogue""")
 def genre_onehot(spark, sf):
-    """one 0/1 flag per (item, genre), exact list membership."""
+    """(item, genre, 1) for every listed genre."""
     return features.genre_long(stages.catalogue(spark, sf), "exact")
 
 
 @register("genre_onehot_substring", ctes(CAT_CTES, _GENRE_VOCAB) + """
-SELECT c.item_id, gv.genre, CAST(contains(lower(c.genres), lower(gv.genre)) AS INTEGER) AS flag
-FROM catalogue c CROSS JOIN gv""")
+SELECT c.item_id, gv.genre, 1 AS flag FROM catalogue c JOIN gv ON contains(lower(c.genres), lower(gv.genre))""")
 def genre_onehot_substring(spark, sf):
     """F6, parity mode (D6): case-insensitive substring."""
     return features.genre_long(stages.catalogue(spark, sf), "substring")
@@ -80,15 +78,15 @@ def season_features(spark, sf):
     return features.season_features(stages.catalogue(spark, sf)).select("item_id", "season", "year", "season_numeric")
 
 
-@register("all_features", CAT + """
-SELECT count(*) AS n, count(DISTINCT season) AS seasons, round(avg(members_log), 6) AS mean_members_log FROM (
-  SELECT nullif(regexp_extract(premiered, '(Spring|Summer|Fall|Winter)', 1), '') AS season,
-         ln(1 + coalesce(members, 0)) AS members_log FROM catalogue)""")
+@register("all_features", CAT + f"""
+SELECT item_id, nullif(regexp_extract(premiered, '(Spring|Summer|Fall|Winter)', 1), '') AS season,
+       round(ln(1 + coalesce(members, 0)), 6) AS members_log,
+       coalesce(array_to_string(list_sort(list_distinct(list_transform(string_split(genres, ','), lambda x: regexp_replace(x, {STRIP})))), '|'), '') AS genre_set
+FROM catalogue""")
 def all_features(spark, sf):
-    """F8: all feature steps in order (summarised)."""
+    """F8: all feature steps in order, one column of each step per item."""
     df = features.all_features(stages.catalogue(spark, sf))
-    return df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("season").alias("seasons"),
-                  r6(F.avg("members_log")).alias("mean_members_log"))
+    return df.select("item_id", "season", r6("members_log").alias("members_log"), F.array_join("genre_set", "|").alias("genre_set"))
 
 
 @register("user_item_index", ctes(CAT_CTES, KEEP_LAST_SQL, RATINGS_CLEAN_SQL) + """

@@ -59,6 +59,15 @@ def scan_positive(spark, sf):
                  F.round(F.avg("rating"), 6).alias("mean_rating"))
 
 
+@register("scan_positive_sample", ctes(RATINGS_LOG) + """
+SELECT user_id, item_id, rating, l_orderkey, l_linenumber FROM ratings_log WHERE rating > 0
+ORDER BY md5(CAST(l_orderkey AS VARCHAR) || '-' || CAST(l_linenumber AS VARCHAR) || '-42'), l_orderkey, l_linenumber LIMIT 10000""")
+def scan_positive_sample(spark, sf):
+    """S5 with its sample step: 10,000 rated rows of the log in md5 order."""
+    r = tables.ratings_log(spark, sf).filter(F.col("rating") > 0).select("user_id", "item_id", "rating", "l_orderkey", "l_linenumber")
+    return clean.sample_n(r, 10000, 42, ("l_orderkey", "l_linenumber"))
+
+
 @register("sample_n", ctes(RATINGS_LOG, KEEP_LAST_SQL, RATINGS_CLEAN_SQL) + """
 SELECT user_id, item_id, rating FROM ratings_clean
 ORDER BY md5(CAST(user_id AS VARCHAR) || '-' || CAST(item_id AS VARCHAR) || '-7'), user_id, item_id LIMIT 5000""")
