@@ -9,12 +9,15 @@ computes them once and hands the value to every task.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ranklight.functions.columns import UNKNOWN, clip, hex_threshold, md5_key, split_list, strip_ws, to_double
 from ranklight.functions.index import global_row_number
 from ranklight.functions.percentiles import percentile_map
+from ranklight.session import stage_path
 
 NUMERIC_FILL = ("score", "episodes", "members", "favorites", "scored_by")
 TEXT_COLUMNS = ("name", "english_name", "genres", "type")
@@ -147,19 +150,23 @@ def clean_catalogue(raw: DataFrame, exact: bool = True) -> DataFrame:
 
 
 def cleaning_report(raw: DataFrame) -> DataFrame:
-    """Rows before / after / removed per cleaning step."""
-    s1 = handle_missing(raw)
-    s2 = remove_duplicates(s1)
-    s3 = remove_outliers(normalize(s2))
-    stages = [("missing_values", raw, s1), ("duplicates", s1, s2), ("outliers", s2, s3)]
-    out = None
-    for i, (name, before, after) in enumerate(stages):
-        row = (before.agg(F.count(F.lit(1)).alias("rows_before"))
-               .withColumn("rows_after", _scalar(after, F.count(F.lit(1))))
-               .select(F.lit(i + 1).alias("step_no"), F.lit(name).alias("step"), "rows_before", "rows_after",
-                       (F.col("rows_before") - F.col("rows_after")).alias("rows_removed")))
-        out = row if out is None else out.unionByName(row)
-    return out
+    """Rows before / after / removed per cleaning step.  Every step runs
+    once: its rows are written and the next step reads them."""
+    spark = raw.sparkSession
+
+    def kept(df, name):
+        path = stage_path(spark, f"cleaning-{name}-{uuid.uuid4().hex[:12]}")
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    s1 = kept(handle_missing(raw), "missing")
+    s2 = kept(remove_duplicates(s1), "duplicates")
+    rows = [_scalar(df, F.count(F.lit(1))) for df in (raw, s1, s2, remove_outliers(normalize(s2)))]
+    steps = spark.createDataFrame([(1, "missing_values"), (2, "duplicates"), (3, "outliers")], "step_no int, step string")
+    before = F.when(F.col("step_no") == 1, rows[0]).when(F.col("step_no") == 2, rows[1]).otherwise(rows[2])
+    after = F.when(F.col("step_no") == 1, rows[1]).when(F.col("step_no") == 2, rows[2]).otherwise(rows[3])
+    return (steps.withColumn("rows_before", before).withColumn("rows_after", after)
+            .withColumn("rows_removed", F.col("rows_before") - F.col("rows_after")))
 
 
 # ---------------------------------------------------------------- ratings
