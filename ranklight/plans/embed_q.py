@@ -1,8 +1,9 @@
 """Embedding, factorisation and LSA queries.
 
 Learned results (Word2Vec vectors, ALS factors, SVD components) have no SQL
-twin; their deterministic parts (vocabulary, neighbours over the given
-embedding table) do.
+twin; their deterministic parts do (vocabulary, item vectors and neighbours
+over the given embedding table), and ``*_facts`` queries state what must hold
+of a trained model, which SQL derives from the tables alone.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ranklight.functions.columns import norm, r6
+from ranklight.functions.index import global_row_number
 from ranklight.operators import collab, embed, metrics
 from ranklight.plans import stages
 from ranklight.plans.registry import register
@@ -21,9 +23,7 @@ STRIP = "'^\\s+|\\s+$', '', 'g'"
 
 
 def _w2v(spark, sf):
-    cat = stages.catalogue(spark, sf)
-    model = embed.word2vec_fit(cat, VECTOR_SIZE, 5, 2, 20, 42)
-    return cat, model
+    return stages.catalogue(spark, sf), stages.word_vectors(spark, sf, VECTOR_SIZE)
 
 
 @register("word2vec_vocabulary", ctes(CAT_CTES) + f"""
@@ -32,15 +32,15 @@ SELECT word FROM (
   FROM catalogue WHERE genres IS NOT NULL) GROUP BY word HAVING count(*) >= 2""")
 def word2vec_vocabulary(spark, sf):
     """The trained vocabulary = genre tokens seen at least twice."""
-    _, model = _w2v(spark, sf)
-    return embed.word_vectors(model).select("word")
+    _, vectors = _w2v(spark, sf)
+    return vectors.select("word")
 
 
 @register("item_embeddings")
 def item_embeddings(spark, sf):
     """Mean word vector per item (known tokens only), with its length."""
-    cat, model = _w2v(spark, sf)
-    emb = embed.item_embeddings(cat, embed.word_vectors(model), VECTOR_SIZE)
+    cat, vectors = _w2v(spark, sf)
+    emb = embed.item_embeddings(cat, vectors, VECTOR_SIZE)
     return emb.select("item_id", F.size("embedding").alias("dims"), r6(norm("embedding")).alias("norm"))
 
 
@@ -75,8 +75,8 @@ def similar_by_embedding(spark, sf):
 @register("neighbour_report")
 def neighbour_report(spark, sf):
     """Word2Vec neighbours of the first item with name, genres, score."""
-    cat, model = _w2v(spark, sf)
-    emb = embed.item_embeddings(cat, embed.word_vectors(model), VECTOR_SIZE)
+    cat, vectors = _w2v(spark, sf)
+    emb = embed.item_embeddings(cat, vectors, VECTOR_SIZE)
     q = cat.select(F.min("item_id")).first()[0]
     return embed.neighbour_report(embed.similar_by_embedding(emb, q, 10), cat)
 
@@ -98,17 +98,16 @@ def lsa_components(spark, sf):
                     r6("explained_variance_ratio").alias("explained_variance_ratio"))
 
 
-def _factor_eval(spark, sf, algorithm: str, rank: int, iters: int, reg: float):
+def _factor_eval(spark, sf, algorithm: str, reg: float):
     split = stages.ratings_split(spark, sf)
-    train = collab.train_part(split)
-    fm = collab.fit_factors(train, algorithm, rank, iters, reg, 42)
-    return fm, train, collab.test_part(split)
+    fm = stages.factor_model(spark, sf, algorithm, 100, 20, reg)
+    return fm, collab.train_part(split), collab.test_part(split)
 
 
 @register("svd_eval")
 def svd_eval(spark, sf):
     """M3 + M9: biased factorisation (baseline + ALS on residuals), train and test errors."""
-    fm, train, test = _factor_eval(spark, sf, "SVD", 100, 20, 0.1)
+    fm, train, test = _factor_eval(spark, sf, "SVD", 0.1)
     tr = metrics.rating_errors(collab.predict_factors(fm, train)).select(F.col("rmse").alias("train_rmse"))
     ev = collab.evaluate_predictions(collab.predict_factors(fm, test), 10)
     return ev.select("*", tr.select("train_rmse").scalar().alias("train_rmse"))
@@ -117,10 +116,43 @@ def svd_eval(spark, sf):
 @register("nmf_eval")
 def nmf_eval(spark, sf):
     """M4 + M9: non-negative factorisation on raw ratings, test errors."""
-    fm, train, test = _factor_eval(spark, sf, "NMF", 100, 20, 0.06)
+    fm, train, test = _factor_eval(spark, sf, "NMF", 0.06)
     return collab.evaluate_predictions(collab.predict_factors(fm, test), 10)
 
 
+_FACTS_SQL = ctes(stages.CF_CTES) + """
+SELECT (SELECT count(DISTINCT user_id) FROM train) AS users, (SELECT count(DISTINCT item_id) FROM train) AS items,
+       (SELECT count(*) FROM test) AS n_test, true AS in_range, true AS {fact}"""
+
+
+def _facts(fm, test):
+    pred = collab.predict_factors(fm, test)
+    ok = (F.col("prediction") >= collab.RATING_MIN) & (F.col("prediction") <= collab.RATING_MAX)
+    users = fm.als.userFactors.select(F.count(F.lit(1))).scalar()
+    items = fm.als.itemFactors.select(F.count(F.lit(1))).scalar()
+    return pred.agg(F.count(F.lit(1)).alias("n_test"), F.min(ok).alias("in_range")) \
+        .withColumn("users", users).withColumn("items", items)
+
+
+@register("svd_facts", _FACTS_SQL.format(fact="beats_baseline"))
+def svd_facts(spark, sf):
+    """M3: a factor row for every training user and item, predictions in the
+    rating range, and a training error below the bias model's."""
+    fm, train, test = _factor_eval(spark, sf, "SVD", 0.1)
+    base, _ = stages.baseline_model(spark, sf)
+    mine = metrics.rating_errors(collab.predict_factors(fm, train)).select("rmse").scalar()
+    bias = metrics.rating_errors(collab.predict_baseline(base, train)).select("rmse").scalar()
+    return _facts(fm, test).withColumn("beats_baseline", mine < bias)
+
+
+@register("nmf_facts", _FACTS_SQL.format(fact="non_negative"))
+def nmf_facts(spark, sf):
+    """M4: as svd_facts, and no factor below zero."""
+    fm, _, test = _factor_eval(spark, sf, "NMF", 0.06)
+    low = fm.als.userFactors.unionByName(fm.als.itemFactors).select(F.min(F.array_min("features"))).scalar()
+    return _facts(fm, test).withColumn("non_negative", low >= 0)
+
+
 @register("train_collaborative")
 def train_collaborative(spark, sf):
     """Biased factorisation trained and evaluated, five picks for the first user."""
@@ -140,7 +172,7 @@ def recommend_all_users_svd(spark, sf):
     """M8 on M3: top-10 unseen items with score >= 6 for every test user under
     the biased factorisation (blocked user x item product; brute-force
     checked in tests)."""
-    fm, train, test = _factor_eval(spark, sf, "SVD", 100, 20, 0.1)
+    fm, train, test = _factor_eval(spark, sf, "SVD", 0.1)
     return collab.recommend_all_factors(fm, train, stages.catalogue(spark, sf), test.select("user_id"), 10, 6.0)
 
 
@@ -148,3 +180,70 @@ def recommend_all_users_svd(spark, sf):
 def cross_validate_svd(spark, sf):
     """M10 on M3: 5-fold cross-validated RMSE / MAE of the biased factorisation."""
     return collab.cross_validate_factors(stages.ratings_clean(spark, sf), 5, "SVD", 100, 20, 0.1)
+
+
+@register("recommend_all_users_svd_facts", ctes(stages.CF_CTES, CAT_CTES, """elig AS (SELECT item_id FROM catalogue WHERE score >= 6.0),
+seen AS (SELECT user_id, count(*) AS s FROM train WHERE item_id IN (SELECT item_id FROM elig) GROUP BY user_id)""") + """
+SELECT u.user_id, least(10, (SELECT count(*) FROM elig) - coalesce(s, 0)) AS picks, 0 AS seen, 0 AS not_eligible, true AS ranked
+FROM (SELECT DISTINCT user_id FROM test) u LEFT JOIN seen USING (user_id)
+WHERE (SELECT count(*) FROM elig) > coalesce(s, 0)""")
+def recommend_all_users_svd_facts(spark, sf):
+    """M8 on M3, what holds of every list: its length, nothing rated in
+    training, nothing under the score, ranks 1 to n by falling prediction."""
+    reco = recommend_all_users_svd(spark, sf)
+    train = collab.train_part(stages.ratings_split(spark, sf)).select("user_id", "item_id", F.lit(1).alias("rated"))
+    elig = stages.catalogue(spark, sf).where("score >= 6.0").select("item_id", F.lit(1).alias("eligible"))
+    rows = reco.join(train, ["user_id", "item_id"], "left").join(elig, "item_id", "left")
+    per = rows.groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("picks"), F.count("rated").cast("int").alias("seen"),
+        F.count(F.when(F.col("eligible").isNull(), 1)).cast("int").alias("not_eligible"),
+        F.array_sort(F.collect_list(F.struct("rank", "prediction"))).alias("l"))
+    falling = F.forall(F.zip_with(F.slice("l", 1, 9), F.slice("l", 2, 9), lambda a, b: b.isNull() | (a["prediction"] >= b["prediction"])), lambda x: x)
+    in_order = F.transform("l", lambda x: x["rank"]) == F.sequence(F.lit(1), F.size("l"))
+    return per.select("user_id", "picks", "seen", "not_eligible", (falling & in_order).alias("ranked"))
+
+
+_GIVEN_SQL = f"""t AS (
+  SELECT item_id, unnest(list_transform(string_split(genres, ','), lambda x: replace(lower(regexp_replace(x, {STRIP})), ' ', '_'))) AS word
+  FROM catalogue WHERE genres IS NOT NULL),
+v AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS vec_id FROM (SELECT DISTINCT word FROM t)),
+e AS (SELECT t.item_id, unnest(m.embedding)::DOUBLE AS x, generate_subscripts(m.embedding, 1) AS d
+      FROM t JOIN v USING (word) JOIN embeddings m USING (vec_id)),
+means AS (SELECT item_id, d, avg(x) AS x FROM e GROUP BY item_id, d)"""
+
+
+def _given_vectors(spark, sf):
+    """Item vectors from the embedding table: the n-th token in order has vector n."""
+    cat = stages.catalogue(spark, sf)
+    words = embed.genre_tokens(cat).select(F.explode("genre_tokens").alias("word")).distinct()
+    numbered = global_row_number(words, [F.col("word")], "vec_id", start=0)
+    vectors = numbered.join(tables.table(spark, sf, "embeddings"), "vec_id") \
+        .select("word", F.col("embedding").cast("array<double>").alias("vector"))
+    return cat, embed.item_embeddings(cat, vectors, 64)
+
+
+@register("item_embeddings_given", ctes(CAT_CTES, _GIVEN_SQL) + """
+SELECT c.item_id, round(coalesce(sum(x), 0), 6) AS total, round(coalesce(sum(x * x), 0), 6) AS square,
+       round(coalesce(sum(x * d), 0), 6) AS weighted
+FROM catalogue c LEFT JOIN means USING (item_id) GROUP BY c.item_id""")
+def item_embeddings_given(spark, sf):
+    """E2 over given word vectors: mean vector per item, as three checksums."""
+    _, emb = _given_vectors(spark, sf)
+    fold = lambda f: r6(F.aggregate(F.transform("embedding", f), F.lit(0.0), lambda a, b: a + b))
+    return emb.select("item_id", fold(lambda x: x).alias("total"), fold(lambda x: x * x).alias("square"),
+                      fold(lambda x, i: x * (i + 1)).alias("weighted"))
+
+
+@register("neighbour_report_given", ctes(CAT_CTES, _GIVEN_SQL, """n AS (SELECT item_id, sqrt(sum(x * x)) AS n FROM means GROUP BY item_id),
+q AS (SELECT min(item_id) AS id FROM catalogue),
+s AS (SELECT b.item_id, sum(a.x * b.x) / (max(na.n) * max(nb.n) + 1e-10) AS sim
+      FROM means a JOIN means b USING (d) JOIN n na ON na.item_id = a.item_id JOIN n nb ON nb.item_id = b.item_id
+      WHERE a.item_id = (SELECT id FROM q) AND b.item_id <> a.item_id GROUP BY b.item_id),
+top AS (SELECT * FROM s ORDER BY round(sim, 9) DESC, item_id LIMIT 10)""") + """
+SELECT item_id, round(sim, 6) AS similarity, name, genres, score FROM top JOIN catalogue USING (item_id)""")
+def neighbour_report_given(spark, sf):
+    """E4 over given word vectors: neighbours of the first item with name, genres, score."""
+    cat, emb = _given_vectors(spark, sf)
+    q = cat.select(F.min("item_id")).first()[0]
+    out = embed.neighbour_report(embed.similar_by_embedding(emb, q, 10), cat)
+    return out.select("item_id", r6("similarity").alias("similarity"), "name", "genres", "score")

@@ -89,7 +89,7 @@ def train_collaborative(spark: SparkSession, sf: str, out: str | None = None, ra
     for the first user.  Returns the evaluation row with the picks' ids."""
     split = stages.ratings_split(spark, sf)
     train, test = collab.train_part(split), collab.test_part(split)
-    fm = collab.fit_factors(train, "SVD", rank, max_iter, reg)
+    fm = stages.factor_model(spark, sf, "SVD", rank, max_iter, reg)
     if out:
         io.save_factor_model(fm, os.path.join(out, "factor_model"))
     ev = collab.evaluate_predictions(collab.predict_factors(fm, test), 10)
@@ -116,11 +116,10 @@ def train_embeddings(spark: SparkSession, sf: str, out: str | None = None, vecto
     """P5: Word2Vec (E1), item vectors (E2), store (S14), neighbour report
     of the first item (E4); E5 coordinates are written when ``out`` is set."""
     cat = stages.catalogue(spark, sf)
-    model = embed.word2vec_fit(cat, vector_size)
-    vec = embed.word_vectors(model)
+    vec = stages.word_vectors(spark, sf, vector_size)
     emb = embed.item_embeddings(cat, vec, vector_size)
     if out:
-        io.save_word2vec(model, os.path.join(out, "word2vec"))
+        io.write_table(vec, os.path.join(out, "word2vec", "vectors"))
         coords, _ = embed.embedding_2d(emb)
         io.write_table(coords, os.path.join(out, "embedding_2d"))
     item = cat.select(F.min("item_id")).first()[0]

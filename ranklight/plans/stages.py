@@ -103,6 +103,30 @@ def baseline_test_predictions(spark: SparkSession, sf: str) -> DataFrame:
                        lambda: collab.predict_baseline(model, collab.test_part(split)))
 
 
+def factor_model(spark: SparkSession, sf: str, algorithm: str = "SVD", rank: int = 100, max_iter: int = 20,
+                 reg: float = 0.1):
+    """M3 / M4 fitted once per application, data folder and parameters: stored
+    (S12) and loaded back, so every query starts from the same factors."""
+    from ranklight.sources import io
+    key = (spark.sparkContext.applicationId, sf, "factors", algorithm, rank, max_iter, reg)
+    if key not in _MEMO:
+        fm = collab.fit_factors(collab.train_part(ratings_split(spark, sf)), algorithm, rank, max_iter, reg)
+        tag = hashlib.md5(sf.encode()).hexdigest()[:8]
+        path = stage_path(spark, f"{spark.sparkContext.applicationId}/{algorithm}-{rank}-{max_iter}-{reg}-{tag}")
+        io.save_factor_model(fm, path)
+        loaded = io.load_factor_model(spark, path, fm.baseline is not None)
+        loaded.params = fm.params
+        _MEMO[key] = loaded
+    return _MEMO[key]
+
+
+def word_vectors(spark: SparkSession, sf: str, vector_size: int = 100) -> DataFrame:
+    """E1 trained once per application and data folder: (word, vector)."""
+    from ranklight.operators import embed
+    return materialize(spark, sf, f"word_vectors_{vector_size}", lambda: embed.word_vectors(
+        embed.word2vec_fit(catalogue(spark, sf), vector_size, 5, 2, 20, 42)))
+
+
 # ------------------------------------------------------------ SQL twins
 
 KEEP_LAST_SQL = """ratings_dedup AS (
