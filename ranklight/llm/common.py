@@ -30,8 +30,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def require(df: DataFrame, *cols: str) -> None:
-    """Raise ValueError when a needed column is absent."""
+#: Bytes of rows handed to Python at a time: texts and pages are long rows.
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def prepare(df: DataFrame, *cols: str) -> None:
+    """Raise ValueError when a needed column is absent; bound the batches that
+    Python tasks of this session get (a lower setting stays)."""
     missing = [c for c in cols if c not in df.columns]
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
+    conf = df.sparkSession.conf
+    now = conf.get(_BATCH_CONF).rstrip("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        conf.set(_BATCH_CONF, f"{BATCH_BYTES}b")

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import require, table, written
+from ranklight.llm.common import prepare, table, written
 from ranklight.llm.registry import register
 
 MIN_MATCH = 5
@@ -164,7 +164,7 @@ class Benchmark:
 
 def blocks(benchmark: DataFrame, min_match: int, coverage: float):
     """The benchmark as broadcast blocks of about BLOCK_WORDS words."""
-    require(benchmark, "item_id", "text")
+    prepare(benchmark, "item_id", "text")
     spark = benchmark.sparkSession
     b = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
     words = b.agg(F.sum(F.size(F.split("text", r"\s+")))).first()[0] or 0
@@ -201,7 +201,7 @@ def _clean(block):
 def contaminations(documents: DataFrame, benchmark: DataFrame, min_match: int = MIN_MATCH,
                    coverage: float = COVERAGE) -> DataFrame:
     """One row per document and benchmark item found in it (see FOUND)."""
-    require(documents, "doc_id", "text")
+    prepare(documents, "doc_id", "text")
     d = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     out = None
     for block in blocks(benchmark, min_match, coverage):

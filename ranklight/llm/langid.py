@@ -29,15 +29,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import require, table
+from ranklight.llm.common import prepare, table
 from ranklight.llm.registry import register
 
 DIM = 1024
 ORDER = 3
 UNKNOWN = "und"
 #: Characters profiled at once, and rows: they bound the memory of a task.
-BLOCK_CHARS = 1 << 19
-BLOCK_ROWS = 256
+BLOCK_CHARS = 1 << 18
+BLOCK_ROWS = 128
 
 
 class Encoder:
@@ -177,7 +177,7 @@ def _train(dim: int, order: int):
 
 def train(documents: DataFrame, dim: int = DIM, order: int = ORDER) -> Model:
     """Prototypes of all non-null ``lang`` values from all rows given."""
-    require(documents, "text", "lang")
+    prepare(documents, "text", "lang")
     d = documents.where("text is not null and lang is not null").select("text", F.col("lang").cast("string"))
     parts = d.mapInArrow(_train(dim, order), "lang string, v array<double>, n long")
     sums = (parts.select("lang", "n", F.posexplode("v").alias("i", "x")).groupBy("lang", "i")

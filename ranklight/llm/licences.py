@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import require, table
+from ranklight.llm.common import prepare, table
 from ranklight.llm.registry import register
 from ranklight.llm.spans import sentences
 
@@ -200,7 +200,7 @@ def _finder(templates, threshold: float):
 
 def licences(documents: DataFrame, templates: dict[str, list[str]] | None = None, threshold: float = DICE) -> DataFrame:
     """One row per licence passage: doc_id, licence, dice, start, end (code points)."""
-    require(documents, "doc_id", "text")
+    prepare(documents, "doc_id", "text")
     d = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return d.mapInArrow(_finder(templates, threshold), FOUND)
 

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import require, table, written
+from ranklight.llm.common import prepare, table, written
 from ranklight.llm.components import connected
 from ranklight.llm.registry import register
 
@@ -51,7 +51,7 @@ SHINGLE_WORDS = 5
 PERCENT = 80
 BANDS, ROWS = 28, 4
 #: Words whose hashes a worker keeps before it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 #: Shingles sketched at once; bounds the memory of a task.
 BLOCK = 1 << 19
 
@@ -137,6 +137,7 @@ def _blocks(batches, k: int):
                 ids, sets, size = [], [], 0
         if ids:
             yield ids, sets
+    _WORDS.clear()  # a worker outlives its tasks
 
 
 def _class(s: np.ndarray) -> bytes | None:
@@ -182,7 +183,7 @@ def _need(x: str, y: str, percent: int):
 def near_duplicates(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT,
                     bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
-    require(documents, "doc_id", "text")
+    prepare(documents, "doc_id", "text")
     d = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sk = written(d.mapInArrow(_sketch(shingle_words, bands, rows),
                               "doc_id long, cls binary, n long, bands array<long>"), "neardup-sketches")

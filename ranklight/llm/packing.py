@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ranklight.llm import tokens
-from ranklight.llm.common import require, table, written
+from ranklight.llm.common import prepare, table, written
 from ranklight.llm.registry import register
 
 WINDOW = 4096
@@ -71,6 +71,7 @@ def _tokenize(path: str, end_id: int):
                     yield _batch(out)
                     out, chars = [], 0
             yield _batch(out)
+        tok.forget()
     return run
 
 
@@ -85,7 +86,7 @@ def tokenized(documents: DataFrame, tokenizer_path: str | None = None, end_id: i
     """Written table of the documents' ids (little-endian unsigned 32 bit, the
     end id included), with each row's place among the rows of its source in
     its partition."""
-    require(documents, "doc_id", "source", "text")
+    prepare(documents, "doc_id", "source", "text")
     path = tokenizer_path or tokens.default_path()
     d = documents.select(F.col("doc_id").cast("long"), F.col("source").cast("string"), F.col("text").cast("string"))
     return written(d.mapInArrow(_tokenize(path, end_id), _TOKENS), "packing-tokens")

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranklight.functions.index import global_row_number
-from ranklight.llm.common import require, table, written
+from ranklight.llm.common import prepare, table, written
 from ranklight.llm.registry import register
 
 #: Zones. NAMED: dropped for its class, id or role; a main text may yet lie inside.
@@ -245,7 +245,7 @@ def shared_with_neighbour(pages: DataFrame) -> DataFrame:
 
 def extract(pages: DataFrame) -> DataFrame:
     """One row per page: page_id, url, text."""
-    require(pages, "page_id", "url", "html")
+    prepare(pages, "page_id", "url", "html")
     drops = written(shared_with_neighbour(pages), "page-drops")
     # Few pages have lines to delete; Spark sends a small table of them to all tasks.
     joined = _keyed(pages).join(drops, "key", "left").select("page_id", "url", "html", "drop")

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ranklight.llm.common import require, scratch, table, written
+from ranklight.llm.common import prepare, scratch, table, written
 from ranklight.llm.registry import register
 
 
@@ -147,7 +147,7 @@ class Ledger:
     def update(self, documents: DataFrame, id_col: str = "doc_id", rules=RULES) -> int:
         """Scan every (blob, rule version) pair of ``documents`` that the
         ledger lacks; returns the number of blobs scanned."""
-        require(documents, id_col, "text")
+        prepare(documents, id_col, "text")
         manifest = documents.select(F.col(id_col).alias("path_id"), blob_id(F.col("text")).alias("blob_id"))
         wanted = F.array(*[F.lit(r.key) for r in rules])
         seen = self.scanned().groupBy("blob_id").agg(F.collect_set("rule_key").alias("seen"))

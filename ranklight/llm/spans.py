@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ranklight.llm.common import require, table, written
+from ranklight.llm.common import prepare, table, written
 from ranklight.llm.registry import register
 
 MIN_WORDS = 20
@@ -104,7 +104,7 @@ def repeated(documents: DataFrame, min_words: int = MIN_WORDS, alone_words: int
     """One row per passage to remove: doc_id, start, end (code points, end
     exclusive), n_sentences, n_spans (repeated spans it is made of), first_doc_id
     (the smallest document that keeps a part of it)."""
-    require(documents, "doc_id", "text")
+    prepare(documents, "doc_id", "text")
     d = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     spans = written(d.mapInArrow(_emit(min_words, alone_words), _SPANS), "sentence-spans")
     firsts = (spans.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "first_no")).alias("first"), F.count(F.lit(1)).alias("n"))

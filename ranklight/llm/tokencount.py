@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranklight.llm import tokens
-from ranklight.llm.common import require, table
+from ranklight.llm.common import prepare, table
 from ranklight.llm.registry import register
 
 #: Words whose counts a worker keeps before it starts anew.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 250_000
 #: Stands after the last character of a word; no word has white space.
 END = "\n"
 
@@ -156,12 +156,13 @@ def _counter(path: str):
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64())],
                 names=["doc_id", "n_words", "n_tokens"])
+        counts.known.clear()  # a worker outlives its tasks
     return run
 
 
 def token_counts(documents: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
     """One row per document: doc_id, n_words, n_tokens."""
-    require(documents, "doc_id", "text")
+    prepare(documents, "doc_id", "text")
     path = vocabulary_path or tokens.default_path()
     d = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return d.mapInArrow(_counter(path), "doc_id long, n_words long, n_tokens long")

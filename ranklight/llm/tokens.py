@@ -15,7 +15,7 @@ from array import array
 import regex
 
 #: Entries a cache holds before it starts anew (about 200 bytes each).
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 250_000
 #: Characters tokenized at once: bounds the memory for a very long text.
 SLICE_CHARS = 1 << 20
 
@@ -80,6 +80,11 @@ class WordTokenizer:
             return b"".join([pieces[p] for p in _PRE.findall(low)])
         return array("I", self.full.encode(chunk, add_special_tokens=False).ids).tobytes()
 
+    def forget(self) -> None:
+        """Free the caches; a worker outlives the tasks that filled them."""
+        self.chunks.clear()
+        self.pieces.clear()
+
     def _ids(self, text: str) -> bytes:
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
         return b"".join(map(self.chunks.__getitem__, words))
