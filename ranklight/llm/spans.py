@@ -107,8 +107,11 @@ def repeated(documents: DataFrame, min_words: int = MIN_WORDS, alone_words: int
     prepare(documents, "doc_id", "text")
     d = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     spans = written(d.mapInArrow(_emit(min_words, alone_words), _SPANS), "sentence-spans")
-    firsts = (spans.groupBy("h1", "h2").agg(F.min(F.struct("doc_id", "first_no")).alias("first"), F.count(F.lit(1)).alias("n"))
-              .where("n > 1").select("h1", "h2", "first"))
+    # Written, so that the join deals out both sides anew and Spark can split
+    # the occurrences of one hash over many tasks.
+    firsts = written(spans.groupBy("h1", "h2")
+                     .agg(F.min(F.struct("doc_id", "first_no")).alias("first"), F.count(F.lit(1)).alias("n"))
+                     .where("n > 1").select("h1", "h2", "first"), "span-firsts")
     here = F.struct("doc_id", "first_no")
     later = (spans.join(firsts, ["h1", "h2"]).where(~here.eqNullSafe(F.col("first")))
              .select("doc_id", "first_no", "last_no", "start", "end", F.col("first.doc_id").alias("first_doc_id")).distinct())
