@@ -210,7 +210,8 @@ def prediction(model: Model, text: Column) -> Column:
             scores += [min(1.0, max(0.0, float(c[b]))) if k else 0.0 for c, b, k in zip(cos, best, known, strict=True)]
         return pd.DataFrame({"lang_pred": preds, "score": scores})
 
-    return predict_batch(text)
+    # Else a filter on the result would move below the projection and run it twice.
+    return predict_batch.asNondeterministic()(text)
 
 
 def predict(documents: DataFrame, model: Model) -> DataFrame:
