@@ -3,8 +3,11 @@
 A sentence ends at ``.``, ``!`` or ``?`` followed by white space, or at a line
 end.  From every sentence a span is begun: the fewest consecutive sentences
 that hold ``MIN_WORDS`` words in two sentences or more; a sentence of
-``ALONE_WORDS`` words is a span by itself.  So spans depend on the passage
-alone, not on where in a document it stands.  Spans are hashed (128 bits,
+``ALONE_WORDS`` words is a span by itself.  With ``ends``, as the query and
+``remove`` ask for, the shortest span that ends at every sentence is one too:
+the spans inside a run of two sentences and ``MIN_WORDS`` words or more then
+cover all of it, so every such run that repeats is found whole.  Spans depend
+on the passage alone, not on where in a document it stands; they are hashed (128 bits,
 lower case, one space between words) and joined over all documents; the first
 occurrence (smallest doc_id, then place) stays, the sentences covered by any
 other occurrence are removed.
@@ -54,21 +57,23 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return out
 
 
-def spans_of(text: str, min_words: int = MIN_WORDS, alone_words: int = ALONE_WORDS):
-    """(hash, first sentence, last sentence, start, end) of every span."""
+def spans_of(text: str, min_words: int = MIN_WORDS, alone_words: int = ALONE_WORDS, ends: bool = False):
+    """(hash, first sentence, last sentence, start, end) of every span that
+    begins at a sentence, with ``ends`` also of every one that ends at it."""
     bounds = sentences(text)
     words = [text[s:e].lower().split() for s, e in bounds]
     size = np.r_[0, np.cumsum([len(w) for w in words])].astype(np.int64)
     joined = [" ".join(w) for w in words]
-    out = []
+    alone = (size[1:] - size[:-1] >= alone_words).tolist()
     # The last sentence of a span: the first that brings enough words.
-    reach = np.searchsorted(size, size[:-1] + min_words) - 1
-    for i, j in enumerate(reach.tolist()):
-        if size[i + 1] - size[i] >= alone_words:
-            j = i
-        else:
-            j = max(j, i + 1)
-        if j >= len(bounds):
+    reach = (np.searchsorted(size, size[:-1] + min_words) - 1).tolist()
+    runs = {(i, i if alone[i] else max(j, i + 1)) for i, j in enumerate(reach)}
+    if ends:  # The first sentence of a span: the last that brings enough words.
+        back = (np.searchsorted(size, size[1:] - min_words, "right") - 1).tolist()
+        runs |= {(j if alone[j] else min(i, j - 1), j) for j, i in enumerate(back)}
+    out = []
+    for i, j in sorted(runs):
+        if i < 0 or j >= len(bounds):
             continue
         h = xxhash.xxh3_128_intdigest(" ".join(joined[i:j + 1]).encode("utf-8", "surrogatepass"))
         out.append((h, i, j, bounds[i][0], bounds[j][1]))
@@ -79,7 +84,7 @@ def _signed(x: int) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-def _emit(min_words: int, alone_words: int):
+def _emit(min_words: int, alone_words: int, ends: bool):
     def batch_of(rows):
         cols = list(zip(*rows)) if rows else [()] * 7
         kinds = [pa.int64()] * 3 + [pa.int32()] * 4
@@ -92,7 +97,7 @@ def _emit(min_words: int, alone_words: int):
             for doc, text in zip(batch.column(0), batch.column(1), strict=True):
                 d = doc.as_py()
                 out += [(d, _signed(h >> 64), _signed(h & (2**64 - 1)), *rest)
-                        for h, *rest in spans_of(text.as_py() or "", min_words, alone_words)]
+                        for h, *rest in spans_of(text.as_py() or "", min_words, alone_words, ends)]
                 if len(out) >= BATCH_SPANS:
                     yield batch_of(out)
                     out = []
@@ -100,13 +105,15 @@ def _emit(min_words: int, alone_words: int):
     return run
 
 
-def repeated(documents: DataFrame, min_words: int = MIN_WORDS, alone_words: int = ALONE_WORDS) -> DataFrame:
+def repeated(documents: DataFrame, min_words: int = MIN_WORDS, alone_words: int = ALONE_WORDS,
+             ends: bool = False) -> DataFrame:
     """One row per passage to remove: doc_id, start, end (code points, end
     exclusive), n_sentences, n_spans (repeated spans it is made of), first_doc_id
-    (the smallest document that keeps a part of it)."""
+    (the smallest document that keeps a part of it).  Without ``ends`` the tail
+    of a passage may stay: sentences after which too few of its words follow."""
     prepare(documents, "doc_id", "text")
     d = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    spans = written(d.mapInArrow(_emit(min_words, alone_words), _SPANS), "sentence-spans")
+    spans = written(d.mapInArrow(_emit(min_words, alone_words, ends), _SPANS), "sentence-spans")
     # Written, so that the join deals out both sides anew and Spark can split
     # the occurrences of one hash over many tasks.
     firsts = written(spans.groupBy("h1", "h2")
@@ -138,7 +145,7 @@ def _without(text: Column, cuts: Column) -> Column:
 def remove(documents: DataFrame, min_words: int = MIN_WORDS, alone_words: int = ALONE_WORDS) -> DataFrame:
     """``documents`` without their repeated passages; all columns and rows
     are kept, ``n_chars`` follows the text if present."""
-    passages = repeated(documents, min_words, alone_words)
+    passages = repeated(documents, min_words, alone_words, ends=True)
     cuts = (passages.groupBy(F.col("doc_id").alias("_llm_doc"))
             .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_llm_cuts")))
     d = documents.join(cuts, documents["doc_id"].eqNullSafe(cuts["_llm_doc"]), "left")
@@ -152,4 +159,4 @@ def remove(documents: DataFrame, min_words: int = MIN_WORDS, alone_words: int =
 @register("op6_sentence_spans")
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages that repeat across or within documents, first ones excepted."""
-    return repeated(table(spark, sf_dir, "documents"))
+    return repeated(table(spark, sf_dir, "documents"), ends=True)

@@ -77,3 +77,30 @@ def test_repeated_rows_null_ids_and_empty_table(spark, docs):
 def test_very_long_text(spark, docs):
     rows = [(1, "Short one. " * 60000), (2, "x" * 300000)]
     assert sp.repeated(docs(rows)).count() >= 1
+
+
+def _all_runs(rows, min_words=20, alone=40):
+    """Set of (doc_id, sentence) covered by any repeated run of sentences, its first occurrence excepted."""
+    seen = {}
+    for doc, text in rows:
+        words = [tuple(text[s:e].lower().split()) for s, e in sp.sentences(text)]
+        for i in range(len(words)):
+            for j in range(i, len(words)):
+                if sum(map(len, words[i:j + 1])) >= (min_words if j > i else alone):
+                    seen.setdefault(tuple(words[i:j + 1]), []).append((doc, i, j))
+    return {(doc, k) for places in seen.values() for doc, i, j in sorted(places)[1:] for k in range(i, j + 1)}
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_every_repeated_run_is_covered(spark, docs, seed):
+    rng = random.Random(seed)
+    pool = [" ".join(rng.choice(["aa", "Bb", "cc", "dd"]) for _ in range(rng.choice([1, 2, 6, 12, 45]))) + rng.choice(".!?") for _ in range(14)]
+    rows = [(i, " ".join(rng.choice(pool) for _ in range(rng.randint(0, 14)))) for i in range(40)]
+    assert _got(sp.repeated(docs(rows), ends=True), rows) == _all_runs(rows)
+
+
+@pytest.mark.parametrize("sizes", [(30, 10, 8), (45, 12), (10, 5, 10), (12, 45, 1, 1)])
+def test_the_tail_of_a_passage_goes(spark, docs, sizes):
+    passage = " ".join(" ".join(f"w{n}x{i}" for i in range(n)) + "." for n in sizes)
+    rows = [(1, f"{passage} One end of it."), (2, f"Before. {passage} Another end, of some more words than the first.")]
+    assert {r.doc_id: r.text for r in sp.remove(docs(rows)).collect()}[2] == "Before.  Another end, of some more words than the first."
