@@ -2,7 +2,9 @@
 
 Each page is read into text lines, one for each block of its markup.  Pages of
 one host are ordered by URL path, and a page is paired with the neighbour in
-that order that shares the longer leading part of the path.  The lines of a
+that order that shares the longer leading part of the path; pages with the
+same lines as itself (copies at other addresses) are passed over, since they
+share its text as well.  The lines of a
 pair are aligned by their longest common subsequence; what a site prints on
 every page is in both, so the shared lines are deleted.
 
@@ -17,10 +19,11 @@ paths is one distributed sort with numbered rows, so a host of any size is
 spread over many tasks; the comparison reads pairs of pages.
 
 Defined cases: null html gives an empty text; a page alone on its host, or
-without a readable URL, has no pair; the same page twice is not paired with
-itself (equal html counts as the same page); repeated rows each get their row;
-an empty table gives an empty result; markup that is cut off is read to its
-end; further columns are ignored.
+without a readable URL, has no pair; where all pages of a host are copies of
+one another, those without an ``article`` or ``main`` keep all lines and the
+others lose what stands outside; a copy that differs in any line is a page like
+others; repeated rows each get their row; an empty table gives an empty result;
+markup that is cut off is read to its end; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ranklight.functions.index import global_row_number
@@ -40,6 +43,8 @@ from ranklight.llm.registry import register
 
 #: Zones. NAMED: dropped for its class, id or role; a main text may yet lie inside.
 DROP, NAMED, OPEN, MAIN = 0, 1, 2, 3
+#: Pages of a block, numbered in one task.
+BLOCK_ROWS = 1 << 16
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -216,9 +221,25 @@ def _keyed(pages: DataFrame) -> DataFrame:
     return p.withColumn("key", F.xxhash64(F.coalesce("url", F.lit("")), F.coalesce("html", F.lit(""))))
 
 
+def _runs(numbered: DataFrame) -> DataFrame:
+    """The numbered pages with ``run``: neighbours on one host that have the
+    same lines are one run, runs are numbered in page order."""
+    before = numbered.select((F.col("row_num") + 1).alias("row_num"), F.col("host").alias("host_0"), F.col("content").alias("content_0"))
+    same = F.coalesce((F.col("host") == F.col("host_0")) & (F.col("content") == F.col("content_0")), F.lit(False))
+    marked = written(numbered.join(before, "row_num", "left")
+                     .select("key", "host", "path", "row_num", F.when(same, 0).otherwise(1).alias("begins"),
+                             F.floor(F.col("row_num") / BLOCK_ROWS).alias("block")), "page-begins")
+    # One row a block, so a one-task window is fine here.
+    counts = marked.groupBy("block").agg(F.sum("begins").alias("n"))
+    ahead = counts.select("block", (F.sum("n").over(Window.orderBy("block")) - F.col("n")).alias("ahead"))
+    w = Window.partitionBy("block").orderBy("row_num")
+    return (marked.withColumn("run", F.sum("begins").over(w)).join(F.broadcast(ahead), "block")
+            .select("key", "host", "path", "row_num", (F.col("run") + F.col("ahead")).alias("run")))
+
+
 def shared_with_neighbour(pages: DataFrame) -> DataFrame:
     """(key, drop): the undecided lines that a page shares with the nearest
-    page of its host, for pages that have such lines."""
+    differing page of its host, for pages that have such lines."""
     outline = _keyed(pages).select("key", "url", "html").mapInArrow(
         _outline, "key long, url string, open array<int>, lines array<long>")
     outline = written(outline.dropDuplicates(["key"]), "page-lines")
@@ -226,19 +247,26 @@ def shared_with_neighbour(pages: DataFrame) -> DataFrame:
     host = F.regexp_extract(bare, r"^(?:[^/?#]*@)?([^/?#:]+)", 1)
     path = F.regexp_extract(bare, r"^[^/?#]*([^?#]*)", 1)
     placed = (outline.withColumn("host", host).withColumn("path", path).where("url is not null and host != ''")
-              .select("key", "host", "path"))
-    numbered = written(global_row_number(placed, ["host", "path", "key"]).select("key", "host", "path", "row_num"), "page-order")
-    step = lambda n: numbered.select(F.col("key").alias("near"), F.col("host").alias("host_2"),
-                                     F.col("path").alias("path_2"), (F.col("row_num") + n).alias("row_num"))
+              .select("key", "host", "path", F.xxhash64("lines").alias("content")))
+    numbered = written(global_row_number(placed, ["host", "path", "key"])
+                       .select("key", "host", "path", "content", "row_num"), "page-order")
+    runs = written(_runs(numbered), "page-runs")
+    page = F.struct("row_num", "key", "host", "path")
+    ends = written(runs.groupBy("run").agg(F.min(page).alias("head"), F.max(page).alias("tail")), "page-run-ends")
+    side = lambda end, step, n, some=ends: some.select((F.col("run") + step).alias("run"), F.col(f"{end}.key").alias("near"),
+                                                       F.col(f"{end}.host").alias("host_2"), F.col(f"{end}.path").alias("path_2"), F.lit(n).alias("side"))
     # Leading path segments that two pages share.
     same = F.zip_with(F.split("path", "/"), F.split("path_2", "/"), lambda a, b: a.eqNullSafe(b))
     other = F.array_position(same, False)
-    common = F.when(other == 0, F.size(same)).otherwise(other - 1)
-    both = step(1).withColumn("side", F.lit(0)).union(step(-1).withColumn("side", F.lit(1)))
-    near = (numbered.join(both, "row_num").where("host = host_2")
-            .groupBy("key").agg(F.max_by("near", F.struct(common, -F.col("side"))).alias("near")))
-    # Only pages with undecided lines need a neighbour's.
-    a = outline.where("size(open) > 0").select("key", "open", "lines").join(near, "key")
+    # The last choice is a copy (side 2).
+    common = F.when(F.col("side") == 2, -1).when(other == 0, F.size(same)).otherwise(other - 1)
+    both = side("tail", 1, 0).union(side("head", -1, 1)).union(side("head", 0, 2, ends.where("head.row_num < tail.row_num")))
+    near = (runs.join(both, "run").where("host = host_2")
+            .groupBy("key").agg(F.max(F.struct(common.alias("common"), (-F.col("side")).alias("side"), "near")).alias("found"))
+            .select("key", "found.near", (F.col("found.common") < 0).alias("copy")))
+    # Only pages with undecided lines need a neighbour's; a copy tells only what stands outside a main text.
+    a = (outline.where("size(open) > 0").select("key", "open", "lines").join(near, "key")
+         .where("not copy or size(open) < size(lines)"))
     pairs = a.join(outline.select(F.col("key").alias("near"), F.col("lines").alias("lines_2")), "near")
     return pairs.select("key", "open", "lines", "lines_2").mapInArrow(_compare, "key long, drop array<int>")
 

@@ -75,6 +75,23 @@ def test_nearest_page_is_by_path(spark):
     assert got[1] == "L2\np1" and got[2] == "p2"
 
 
+@pytest.mark.parametrize("block", [1 << 16, 2])
+def test_copies_at_other_addresses_are_passed_over(spark, monkeypatch, block):
+    monkeypatch.setattr(pd, "BLOCK_ROWS", block)
+
+    def page(own, extra=""):
+        return f"<div><p>Site</p>{extra}<p>{own}</p><p>{own} more</p><p>Kept</p></div>"
+    rows = [(1, "http://a.com/x", page("One")), (2, "https://a.com/x", page("One")), (3, "http://a.com/x.html", page("One", "<nav>n</nav>")),
+            (4, "http://a.com/x?page=2", page("One")), (5, "http://a.com/y", page("Two")), (6, "http://a.com/y#top", page("Two")),
+            (7, "http://b.com/1", page("Only")), (8, "http://b.com/1.html", page("Only")), (9, "http://c.com/1", page("Lone")),
+            (10, "http://d.com/1", "<p>Site<article><p>Story</article>"), (11, "http://d.com/2", "<p>Site<article><p>Story</article>"),
+            (12, "http://d.com/3", "<p>Other<article><p>Tale</article>")]
+    got = {r.page_id: r.text for r in pd.extract(_pages(spark, rows)).collect()}
+    assert all(got[i] == "One\nOne more" for i in (1, 2, 3, 4)) and all(got[i] == "Two\nTwo more" for i in (5, 6))
+    assert got[7] == got[8] == "Site\nOnly\nOnly more\nKept" and got[9] == "Site\nLone\nLone more\nKept"
+    assert got[10] == got[11] == "Site\nStory" and got[12] == "Other\nTale"
+
+
 def test_empty_table(spark):
     assert pd.extract(_pages(spark, [])).count() == 0
 
