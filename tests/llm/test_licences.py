@@ -60,3 +60,35 @@ def test_texts_and_notices(spark, docs):
         1: ["MIT", "MIT"], 2: ["MIT"], 3: ["BSD-3-Clause"], 4: ["CC-BY-NC-4.0"], 5: ["Apache-2.0"], None: ["GPL-3.0"]}
     assert rows[0][1][got[1][0].start:got[1][0].end] == "Released under the MIT License."
     assert lc.licences(docs([])).count() == 0
+
+
+def test_near_neighbours_get_their_own_name():
+    ready = lc.Templates()
+
+    def names(text):
+        return [f[0] for f in ready.find(text)]
+    gpl = lc._GPL_NOTICE
+    assert names(gpl) == ["GPL-3.0"]
+    assert names(gpl.replace("General Public", "Affero General Public")) == ["AGPL-3.0"]
+    assert names(gpl.replace("General Public", "Lesser General Public")) == ["LGPL-3.0"]
+    assert names(gpl.replace("version 3", "version 2")) == ["GPL-2.0"]
+    assert names(gpl.replace("General Public", "Lesser General Public").replace("version 3", "version 2.1")) == ["LGPL-2.1"]
+    assert names("A tool.\nThis project is licensed under the MIT License.\nMore.") == ["MIT"]
+    assert names("Released under the GPLv2.") == ["GPL-2.0"] and names("Licensed under CC BY-NC-SA 4.0.") == ["CC-BY-NC-SA-4.0"]
+    assert names(lc._ZLIB) == ["Zlib"] and names(lc._BSL) == ["BSL-1.0"] and names(lc._MPL_2) == ["MPL-2.0"]
+    assert names(lc.TEMPLATES["0BSD"][-1]) == ["0BSD"] and names(lc._EPL_2) == ["EPL-2.0"]
+
+
+@pytest.mark.parametrize("name", ["AGPL-3.0", "Apache-2.0", "CC0-1.0", "GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "MPL-2.0"])
+def test_full_texts(name):
+    text = lc._full(name)
+    found = lc.Templates().find(f"Some prose before.\n{text}\nSome prose after.")
+    assert {f[0] for f in found} == {name} and max(e - s for _, _, s, e in found) > 0.8 * len(text)
+
+
+def test_every_template_is_found_as_its_licence():
+    ready = lc.Templates()
+    for name, texts in lc.TEMPLATES.items():
+        for t in texts[::9]:
+            if len(t) < 4000:
+                assert {f[0] for f in ready.find(t)} == {name}, t
