@@ -74,6 +74,35 @@ def test_sources_beyond_the_queues_share_one(spark, docs, monkeypatch):
     _check(got, {r[0]: _ids(r[1]) for r in rows}, 50)
 
 
+@pytest.mark.parametrize("targets", [None, {"s3": 5.0, "s8": 1.0, None: 2.0}])
+def test_places_by_joins_equal_the_closed_form(spark, docs, monkeypatch, targets):
+    rows = [(i, "x y z " * (i * 7 % 23), None, f"s{i % 9}" if i % 10 else None) for i in range(120)]
+    want = sorted(map(tuple, packing.pack(docs(rows).repartition(3, "doc_id"), targets, window=50, slice_tokens=5).collect()), key=str)
+    monkeypatch.setattr(packing, "MAX_QUEUES", 2)
+    monkeypatch.setattr(packing, "BLOCK_ROUNDS", 3)
+    got = packing.pack(docs(rows).repartition(3, "doc_id"), targets, window=50, slice_tokens=5).collect()
+    assert sorted(map(tuple, got), key=str) == want
+
+
+def test_every_source_is_mixed_in(spark, docs):
+    rows = [(i, "one two three four five six seven eight nine", None, f"s{i % 300:03}") for i in range(3000)]
+    got = packing.pack(docs(rows), targets={f"s{k:03}": 3.0 if k == 299 else 1.0 for k in range(300)}, window=3000, slice_tokens=10).collect()
+    share = defaultdict(lambda: defaultdict(int))
+    for r in got:
+        share[r.sequence_id][r.source] += r.length
+    for s in range(2):  # s299 alone has three shares of 302
+        assert len(share[s]) > 250 and share[s]["s299"] >= 20 and max(n for k, n in share[s].items() if k != "s299") <= 20
+
+
+def test_sources_of_less_than_a_slice_are_spread(spark, docs):
+    rows = [(i, "one two three four", None, f"s{i:03}") for i in range(300)] + [(i, "one two three four", None, "big") for i in range(300, 600)]
+    got = packing.pack(docs(rows), window=200, slice_tokens=50).collect()
+    big = defaultdict(int)
+    for r in got:
+        big[r.sequence_id] += r.length * (r.source == "big")
+    assert all(50 <= big[s] <= 150 for s in range(max(big)))
+
+
 def test_repeated_rows_and_null_ids(spark, docs):
     rows = [(1, "same text", None, "a")] * 3 + [(None, "no id", None, "a")]
     got = packing.pack(docs(rows), window=16, slice_tokens=4).collect()
