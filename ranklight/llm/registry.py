@@ -20,7 +20,7 @@ def register(name: str, sql: str | None = None):
 def load_all() -> None:
     """Import every operator module, and the pipeline, so the queries register."""
     import corpus_pipeline
-    from ranklight.llm import (covertree, decontam, langid, licences, neardup, packing, pagediff,  # noqa: F401
+    from ranklight.llm import (covertree, decontam, langid, licences, lines, neardup, packing, pagediff,  # noqa: F401
                                secrets_ledger, spans, tokencount)
 
     QUERIES["pipeline"] = corpus_pipeline.run
