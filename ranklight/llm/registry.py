@@ -21,7 +21,7 @@ def load_all() -> None:
     """Import every operator module, and the pipeline, so the queries register."""
     import corpus_pipeline
     from ranklight.llm import (covertree, decontam, divergence, langid, licences, lines, neardup, packing,  # noqa: F401
-                               pagediff, secrets_ledger, spans, tokencount)
+                               pagediff, runs, secrets_ledger, spans, tokencount)
 
     QUERIES["pipeline"] = corpus_pipeline.run
     if corpus_pipeline.ORACLE_SQL is not None:
