@@ -303,7 +303,7 @@ def predict_factors(model: FactorModel, pairs: DataFrame) -> DataFrame:
 def _factor_block_fn(k: int):
     import numpy as np
     import pandas as pd
-    from ranklight.operators.similarity import top_k_columns
+    from ranklight.operators.blocktopk import top_k_columns
 
     def fn(key, pdf):
         u = pdf[pdf["side"] == 0]

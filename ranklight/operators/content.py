@@ -43,8 +43,9 @@ def _candidates(model: ContentModel, min_score: float):
 
 def recommend_batch(model: ContentModel, query_ids: DataFrame, top_n: int = 10, min_score: float = 0.0,
                     exclude_self: bool = True, overfetch: int | None = None, zero_fill: bool = False,
-                    query_rows_bound: int | None = None) -> DataFrame:
-    """R3 (and R2 for one id): top-n similar items per query item.
+                    find=similarity.neighbours) -> DataFrame:
+    """R3 (and R2 for one id): top-n similar items per query item, found by
+    ``find``: blocks with bounds for any number of items.
 
     Default: filters (self, min_score) run before the cut (D7 fixed).
     ``overfetch=5`` reproduces the reference's cut: take the 5 x top_n most
@@ -58,7 +59,7 @@ def recommend_batch(model: ContentModel, query_ids: DataFrame, top_n: int = 10,
     """
     q = query_ids.select(F.col(query_ids.columns[0]).alias("doc_id"))
     if overfetch:
-        nb = similarity.neighbours_of(model.weights, q, top_n * overfetch, False, None, query_rows_bound).drop("rank")
+        nb = find(model.weights, q, top_n * overfetch, False, None).drop("rank")
         if exclude_self:
             nb = nb.filter(F.col("query_id") != F.col("doc_id"))
         if min_score and min_score > 0:
@@ -66,8 +67,7 @@ def recommend_batch(model: ContentModel, query_ids: DataFrame, top_n: int = 10,
             nb = nb.join(ok, "doc_id", "left_semi")
         nb = top_k_per_group(nb, ["query_id"], [F.round("similarity", 9).desc(), F.col("doc_id")], top_n)
     else:
-        nb = similarity.neighbours_of(model.weights, q, top_n, exclude_self, _candidates(model, min_score),
-                                      query_rows_bound)
+        nb = find(model.weights, q, top_n, exclude_self, _candidates(model, min_score))
     if zero_fill:
         nb = _zero_fill(model, q, nb, top_n, min_score, exclude_self)
     return (nb.join(model.items, nb.doc_id == model.items.item_id)
@@ -99,14 +99,12 @@ def _zero_fill(model: ContentModel, q: DataFrame, nb: DataFrame, top_n: int, min
 
 def recommend(model: ContentModel, item_id: int, top_n: int = 10, min_score: float = 0.0,
               exclude_self: bool = True, overfetch: int | None = None, zero_fill: bool = False) -> DataFrame:
-    """Top-n similar items of one item (its terms are at most the
-    vocabulary size, a proven bound for the broadcast)."""
+    """Top-n similar items of one item, by a join of its terms."""
     q = model.items.sparkSession.range(1).select(F.lit(item_id).cast("long").alias("doc_id"))
-    bound = model.tfidf.params.get("max_features")
     return recommend_batch(model, q, top_n, min_score, exclude_self, overfetch, zero_fill,
-                           query_rows_bound=bound).drop("query_id")
+                           similarity.neighbours_of_item).drop("query_id")
 
 
-def all_neighbours(model: ContentModel, k: int = 10, block: int | None = None) -> DataFrame:
-    """T8 for every item: exact top-k by the blocked product."""
-    return similarity.all_pairs_top_k(model.weights, k, "cosine", block)
+def all_neighbours(model: ContentModel, k: int = 10) -> DataFrame:
+    """T8 for every item: exact top-k by blocks with bounds."""
+    return similarity.all_pairs_top_k(model.weights, k)

@@ -198,20 +198,20 @@ def weighted_batch(cb: content.ContentModel, model: collab.Baseline | collab.Fac
                    collaborative_weight: float = 0.6) -> DataFrame:
     """H2 for many (user_id, item_id) queries in one plan, keyed by user.
 
-    Content lists for the distinct query items (one term join), CF lists
+    Content lists for the distinct query items (blocks with bounds), CF lists
     for the distinct query users (the exact all-users top-n), each cut to
     2n; CF min-max per user list; a full outer join on (user, item); a
     per-user top-n.  Output: user_id, rank, item_id, cb_score, cf_score,
     hybrid_score.
     """
     from ranklight.functions.topk import top_k_per_group
-    from ranklight.operators.similarity import neighbours_of
+    from ranklight.operators.similarity import neighbours
     cw, fw = hybrid_weights(content_weight, collaborative_weight)
     qs = queries.select("user_id", F.col("item_id").alias("q_item"))
     cand = None
     if min_score and min_score > 0:
         cand = catalogue.filter(F.col("score") >= min_score).select(F.col("item_id").alias("doc_id"))
-    nb = neighbours_of(cb.weights, qs.select(F.col("q_item").alias("doc_id")), 2 * top_n, True, cand)
+    nb = neighbours(cb.weights, qs.select(F.col("q_item").alias("doc_id")), 2 * top_n, True, cand)
     cbs = (qs.join(nb, qs.q_item == nb.query_id)
            .select("user_id", F.col("doc_id").alias("item_id"), r6("similarity").alias("cb_score")))
     cf = collab.recommend_all(model, train, catalogue, qs.select("user_id"), 2 * top_n, min_score)
@@ -236,7 +236,7 @@ def switching_batch(cb: content.ContentModel, model: collab.Baseline | collab.Fa
     content branch serves queries with an item or a cold user, the CF branch
     the rest, and the two are unioned.  A cold user without an item gets no
     rows (D16).  Output: user_id, source, rank, item_id, score_value."""
-    from ranklight.operators.similarity import neighbours_of
+    from ranklight.operators.similarity import neighbours
     n = train.groupBy("user_id").agg(F.count(F.lit(1)).alias("n_train"))
     q = (queries.select("user_id", F.col("item_id").alias("q_item")).join(n, "user_id", "left")
          .withColumn("use_cf", F.col("q_item").isNull() & (F.coalesce("n_train", F.lit(0)) >= user_rating_threshold)))
@@ -244,7 +244,7 @@ def switching_batch(cb: content.ContentModel, model: collab.Baseline | collab.Fa
     cand = None
     if min_score and min_score > 0:
         cand = catalogue.filter(F.col("score") >= min_score).select(F.col("item_id").alias("doc_id"))
-    nb = neighbours_of(cb.weights, cq.select(F.col("q_item").alias("doc_id")), top_n, True, cand)
+    nb = neighbours(cb.weights, cq.select(F.col("q_item").alias("doc_id")), top_n, True, cand)
     cb_rows = (cq.join(nb, cq.q_item == nb.query_id)
                .select("user_id", F.lit("content").alias("source"), F.col("rank").cast("int").alias("rank"),
                        F.col("doc_id").alias("item_id"), r6("similarity").alias("score_value")))
@@ -262,7 +262,7 @@ def mixed_batch(cb: content.ContentModel, model: collab.Baseline | collab.Factor
     list fetched at twice that size, without the query's content picks; no
     refill.  Output: user_id, position, item_id, source."""
     from ranklight.functions.topk import top_k_per_group
-    from ranklight.operators.similarity import neighbours_of
+    from ranklight.operators.similarity import neighbours
     n_cb = int(top_n * mix_ratio)
     n_cf = top_n - n_cb
     qs = queries.select("user_id", F.col("item_id").alias("q_item"))
@@ -271,7 +271,7 @@ def mixed_batch(cb: content.ContentModel, model: collab.Baseline | collab.Factor
         cand = catalogue.filter(F.col("score") >= min_score).select(F.col("item_id").alias("doc_id"))
     picks = qs.limit(0).select("user_id", F.col("q_item").alias("item_id"), F.lit(0).alias("position"))
     if n_cb > 0:
-        nb = neighbours_of(cb.weights, qs.select(F.col("q_item").alias("doc_id")), n_cb, True, cand)
+        nb = neighbours(cb.weights, qs.select(F.col("q_item").alias("doc_id")), n_cb, True, cand)
         picks = (qs.join(nb, qs.q_item == nb.query_id)
                  .select("user_id", F.col("doc_id").alias("item_id"), F.col("rank").cast("int").alias("position")))
     out = picks.withColumn("source", F.lit("content"))

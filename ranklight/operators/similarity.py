@@ -1,23 +1,15 @@
 """Similarity between items.
 
-Vectors are long tables ``(doc_id, term, w)`` (sparse TF-IDF; dense
-embeddings become ``term`` = dimension index).
-
-* One query item or a bounded set of them (``neighbours_of``): the query
-  items' terms meet the postings of those terms (an equi-join on term), and
-  the products are summed per (query, candidate).  Work = sum over query
-  terms of their document frequency: linear in the data per query.  No
-  pairs among non-query items are formed.
-
-* All items (``all_pairs_top_k``): a blocked product.  Items are numbered and
-  cut into blocks of ``block`` rows; every pair of blocks (i <= j) is one
-  group of an ``applyInPandas``, where the two blocks become dense numpy
-  matrices (block x dims), matrix products over row chunks give all
-  similarities of the pair, and only the top k per row leave the task.  A
-  final per-item top-k merges the block results.  Memory per task: two
-  blocks plus a CHUNK_ROWS x block score matrix.  The data is read once per partner block (nb copies), which is
-  the inherent cost of an exact all-pairs top-k; nothing all-pairs is ever
-  written out.
+Vectors are long tables ``(doc_id, term, w)`` (sparse TF-IDF) or array columns
+(embeddings).
+
+* One query item (``neighbours_of_item``): its terms meet the postings of
+  those terms (an equi-join on term), and the products are summed per
+  candidate.  Work = sum over its terms of their document frequency.
+
+* Any number of query items, or all (``neighbours``, ``all_pairs_top_k``,
+  ``vector_top_k``): blocks of like rows with upper bounds (``blocktopk``); a
+  pair is scored only if it may enter the query's list.
 """
 
 from __future__ import annotations
@@ -31,18 +23,14 @@ from pyspark.sql import functions as F
 
 from ranklight.functions.index import global_row_number
 from ranklight.functions.topk import top_k_per_group
+from ranklight.operators import blocktopk
 from ranklight.session import stage_path
 
 METRICS = ("cosine", "euclidean", "cosine_eps")
-# Query entries (query item x term) broadcast at most; beyond, a salted join.
-BROADCAST_QUERY_ROWS = 2_000_000
-SALT = 32
-# Block sizing for the all-pairs product: a block pair holds two dense
+# Block sizing for the all-pairs product of T11: a block pair holds two dense
 # blocks (block x dims doubles each) and a block x block product.
 BLOCK_MAX = 2500
 BLOCK_BYTES = 64 * 1024 * 1024
-# Rows of a block pair scored at a time inside a task.
-CHUNK_ROWS = 512
 
 
 def check_metric(metric: str) -> None:
@@ -61,31 +49,19 @@ def dense_to_long(df: DataFrame, id_col: str, vec_col: str, normalize: bool = Tr
     return df.select(F.col(id_col).alias("doc_id"), F.posexplode(v).alias("term", "w")).filter(F.col("w") != 0)
 
 
-def neighbours_of(weights: DataFrame, queries: DataFrame, k: int | None = 10, exclude_self: bool = True,
-                  candidates: DataFrame | None = None, query_rows_bound: int | None = None) -> DataFrame:
-    """Top-k cosine neighbours (dot products of unit vectors) of the items in
-    ``queries`` (column doc_id).  ``candidates`` (doc_id) optionally limits
-    which items may be returned (filters run before the cut).
+def neighbours_of_item(weights: DataFrame, item: DataFrame, k: int = 10, exclude_self: bool = True,
+                       candidates: DataFrame | None = None) -> DataFrame:
+    """Top-k cosine neighbours (dot products of unit vectors) of one item
+    (``item``: one row, column doc_id).  ``candidates`` (doc_id) optionally
+    limits which items may be returned (filters run before the cut).
 
     Output: query_id, doc_id, similarity, rank (positive similarity only).
     """
-    q = (weights.join(queries.select("doc_id").distinct(), "doc_id", "left_semi")
+    q = (weights.join(item.select("doc_id"), "doc_id", "left_semi")
          .select(F.col("doc_id").alias("query_id"), "term", F.col("w").alias("wq")))
     cand = weights if candidates is None else weights.join(candidates.select("doc_id"), "doc_id", "left_semi")
-    # A frequent term may hold a third of all postings: a shuffle join on
-    # term would send all of them to one task.  The query side is measured
-    # first: under the bound it is broadcast and the postings are streamed
-    # where they lie; above it, postings are split SALT ways by document and
-    # the query entries copied to every split.
-    # ``query_rows_bound``: a caller-proven bound (e.g. one item under a
-    # vocabulary of max_features terms) saves the counting job.
-    n_q = query_rows_bound if query_rows_bound is not None else q.count()
-    if n_q <= BROADCAST_QUERY_ROWS:
-        joined = cand.join(F.broadcast(q), "term")
-    else:
-        joined = (cand.withColumn("_salt", F.pmod(F.hash("doc_id"), F.lit(SALT)))
-                  .join(q.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALT - 1)))), ["term", "_salt"]))
-    prod = joined.groupBy("query_id", "doc_id").agg(F.sum(F.col("wq") * F.col("w")).alias("similarity"))
+    # One item's terms: Spark sees their size when the plan runs and sends them to the postings.
+    prod = cand.join(q, "term").groupBy("query_id", "doc_id").agg(F.sum(F.col("wq") * F.col("w")).alias("similarity"))
     if exclude_self:
         prod = prod.filter(F.col("query_id") != F.col("doc_id"))
     # Order on the value rounded to 1e-9 so float noise cannot reorder ties.
@@ -93,93 +69,38 @@ def neighbours_of(weights: DataFrame, queries: DataFrame, k: int | None = 10, ex
     return top_k_per_group(prod, ["query_id"], [F.round("similarity", 9).desc(), F.col("doc_id")], k)
 
 
-def top_k_columns(scores, k: int):
-    """Per row of ``scores`` (columns in ascending id order), the column
-    positions of the k best by (score rounded to 1e-9 desc, id asc), best
-    first.  Exact with ties: score and position form one unique int64 key,
-    so an O(n) argpartition finds the set and only k entries are sorted.
-    Non-finite scores (masked pairs) sort last."""
-    import numpy as np
-    n_cols = scores.shape[1]
-    kk = min(k, n_cols)
-    if kk <= 0:
-        return np.zeros((scores.shape[0], 0), dtype=np.int64)
-    q = np.rint(scores * 1e9)
-    q = np.where(np.isfinite(q), q, -4e18 / (1 << 20))
-    width = 1 << int(np.ceil(np.log2(n_cols + 1)))
-    key = q.astype(np.int64) * width - np.arange(n_cols, dtype=np.int64)[None, :]
-    part = np.argpartition(-key, kk - 1, axis=1)[:, :kk]
-    order = np.argsort(-np.take_along_axis(key, part, 1), axis=1)
-    return np.take_along_axis(part, order, 1)
-
-
-def _block_product_fn(k: int, metric: str, exclude_self: bool, dims: int):
-    def fn(key, pdf):
-        left = pdf[pdf["side"] == 0]
-        right = pdf[pdf["side"] == 1]
-        out = []
-        if left.empty or right.empty:
-            return pd.DataFrame({"doc_id": pd.Series([], dtype="int64"), "other": pd.Series([], dtype="int64"),
-                                 "similarity": pd.Series([], dtype="float64")})
+def _blocks_path(spark) -> str:
+    return stage_path(spark, f"similarity-blocks-{uuid.uuid4().hex[:12]}")
 
-        def dense(part):
-            ids, inv = np.unique(part["doc_id"].to_numpy(), return_inverse=True)
-            m = np.zeros((len(ids), dims))
-            np.add.at(m, (inv, part["term"].to_numpy()), part["w"].to_numpy())
-            return ids, m
 
-        li, lm = dense(left)
-        ri, rm = dense(right)
-        same = key[0] == key[1]
-        ln = (lm * lm).sum(1)
-        rn = (rm * rm).sum(1)
-
-        def scores(a, b, an, bn):
-            x = a @ b.T
-            if metric == "euclidean":
-                x = 1.0 / (1.0 + np.sqrt(np.maximum(an[:, None] + bn[None, :] - 2 * x, 0.0)))
-            elif metric == "cosine_eps":
-                # cosine of raw vectors with 1e-10 added to the denominator
-                x = x / (np.sqrt(an)[:, None] * np.sqrt(bn)[None, :] + 1e-10)
-            return x
-
-        def emit(row_ids, rows, rows_n, col_ids, cols, cols_n):
-            # Row chunks keep the score matrix at CHUNK x block doubles.
-            for c0 in range(0, len(row_ids), CHUNK_ROWS):
-                rid_c = row_ids[c0:c0 + CHUNK_ROWS]
-                sims = scores(rows[c0:c0 + CHUNK_ROWS], cols, rows_n[c0:c0 + CHUNK_ROWS], cols_n)
-                if exclude_self and same:
-                    sims = np.where(rid_c[:, None] == col_ids[None, :], -np.inf, sims)
-                kk = min(k, sims.shape[1])
-                # Per row: similarity (rounded to 1e-9, as the final order)
-                # desc, then id asc (col_ids are ascending).
-                order = top_k_columns(sims, kk)
-                vals = np.take_along_axis(sims, order, 1).ravel()
-                rid = np.repeat(rid_c, kk)
-                cid = col_ids[order].ravel()
-                ok = np.isfinite(vals)
-                out.append(pd.DataFrame({"doc_id": rid[ok], "other": cid[ok], "similarity": vals[ok]}))
-
-        emit(li, lm, ln, ri, rm, rn)
-        if not same:
-            emit(ri, rm, rn, li, lm, ln)
-        return pd.concat(out, ignore_index=True)
-    return fn
+def neighbours(weights: DataFrame, queries: DataFrame, k: int = 10, exclude_self: bool = True,
+               candidates: DataFrame | None = None) -> DataFrame:
+    """The same for every item of ``queries`` (column doc_id), however many.
+
+    Output: query_id, doc_id, similarity, rank (positive similarity only).
+    """
+    rows = blocktopk.sparse_rows(weights, candidates)
+    ids = queries.select(F.col("doc_id").alias("id")).distinct()
+    top = blocktopk.top_k(rows, blocktopk.Sparse(), k, _blocks_path(weights.sparkSession), ids, exclude_self)
+    return top.select(F.col("doc_id").alias("query_id"), F.col("other").alias("doc_id"), "similarity", "rank")
 
 
-def all_pairs_top_k(weights: DataFrame, k: int = 10, metric: str = "cosine", block: int | None = None,
-                    exclude_self: bool = True) -> DataFrame:
-    """T8/T9 for every item: top-k neighbours by blocked exact products.
+def all_pairs_top_k(weights: DataFrame, k: int = 10, exclude_self: bool = True) -> DataFrame:
+    """T8 for every item: top-k neighbours of positive cosine (unit rows).
+    Output: doc_id, other, similarity, rank."""
+    return blocktopk.top_k(blocktopk.sparse_rows(weights), blocktopk.Sparse(), k,
+                           _blocks_path(weights.sparkSession), None, exclude_self)
 
-    ``weights``: (doc_id, term, w) with integer-indexable terms (strings are
-    numbered first).  For cosine the rows must be unit length.
-    Output: doc_id, other, similarity, rank.
-    """
+
+def vector_top_k(vectors: DataFrame, id_col: str, vec_col: str, k: int = 10, metric: str = "cosine_eps",
+                 exclude_self: bool = True) -> DataFrame:
+    """T9 / E3 for every vector of an array column.  ``euclidean``: 1 / (1 +
+    distance); ``cosine_eps`` and ``cosine``: cosine with 1e-10 added to the
+    product of the lengths.  Output: doc_id, other, similarity, rank."""
     check_metric(metric)
-    grouped, dims, _ = _block_groups(weights, block)
-    schema = "doc_id long, other long, similarity double"
-    part = grouped.groupBy("bi", "bj").applyInPandas(_block_product_fn(k, metric, exclude_self, dims), schema)
-    return top_k_per_group(part, ["doc_id"], [F.round("similarity", 9).desc(), F.col("other")], k)
+    kind = "euclidean" if metric == "euclidean" else "cosine_eps"
+    return blocktopk.top_k(blocktopk.dense_rows(vectors, id_col, vec_col, kind), blocktopk.Dense(kind), k,
+                           _blocks_path(vectors.sparkSession), None, exclude_self)
 
 
 def pair_similarity(weights: DataFrame, pairs: DataFrame, left: str = "a", right: str = "b") -> DataFrame:

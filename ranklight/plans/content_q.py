@@ -133,8 +133,7 @@ SELECT doc_id, other, round(sim, 6) AS similarity, CAST(rank AS INTEGER) AS rank
 WHERE rank <= 5""")
 def euclidean_neighbours(spark, sf):
     """Top-5 neighbours of every embedding by 1 / (1 + euclidean distance)."""
-    w = similarity.dense_to_long(tables.table(spark, sf, "embeddings"), "vec_id", "embedding", normalize=False)
-    nb = similarity.all_pairs_top_k(w, 5, "euclidean")
+    nb = similarity.vector_top_k(tables.table(spark, sf, "embeddings"), "vec_id", "embedding", 5, "euclidean")
     return nb.select("doc_id", "other", r6("similarity").alias("similarity"), "rank")
 
 

@@ -35,16 +35,19 @@ def test_salted_top_k_splits_the_hot_group(spark):
     assert len(sizes) == 16 and max(r["count"] for r in sizes) < 30000 / 8
 
 
-def test_salted_term_join_equals_broadcast(spark, monkeypatch):
-    w = stages.content_model(spark, SF_SMALL).weights
-    q = w.select("doc_id").distinct().orderBy("doc_id").limit(30)
-    a = similarity.neighbours_of(w, q, 10)
-    monkeypatch.setattr(similarity, "BROADCAST_QUERY_ROWS", 0)  # force the salted path
-    b = similarity.neighbours_of(w, q, 10)
-    plan = b._jdf.queryExecution().executedPlan().toString()
-    assert "_salt" in plan
-    key = lambda r: (r.query_id, r.doc_id, round(r.similarity, 9), r.rank)
-    assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+def test_a_vector_that_a_third_of_the_items_share(spark):
+    """Its copies are one class: one row in the blocks, k + 1 members each."""
+    from ranklight.operators import blocktopk
+    w = spark.range(3000).select(F.col("id").alias("doc_id"), F.explode(F.when(F.col("id") % 3 == 0, F.array(F.lit("hot"))).otherwise(
+        F.array(F.lit("t"), F.concat(F.lit("u"), F.col("id").cast("string"))))).alias("term"))
+    w = w.select("doc_id", "term", F.when(F.col("term") == "hot", 1.0).otherwise(F.sqrt(F.lit(0.5))).alias("w"))
+    got = similarity.all_pairs_top_k(w, 5).where("doc_id % 3 = 0").collect()
+    assert len(got) == 5 * 1000 and all(r.similarity == 1.0 for r in got)
+    assert {r.other for r in got if r.doc_id == 1500} == {0, 3, 6, 9, 12}
+    assert {r.other for r in got if r.doc_id == 6} == {0, 3, 9, 12, 15}
+    path = similarity._blocks_path(spark)
+    blocks = blocktopk.build_blocks(blocktopk.sparse_rows(w), blocktopk.Sparse(), 6, None, path)
+    assert blocks.select(F.sum(F.size("rep"))).first()[0] == 2001
 
 
 def test_all_users_top_n_for_a_user_who_saw_almost_everything(spark):
