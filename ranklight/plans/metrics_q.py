@@ -320,6 +320,158 @@ def metrics_report(spark, sf):
     return jobs.metrics_report(spark, sf)
 
 
+def _lists_sql() -> str:
+    from ranklight.plans.hybrid_q import BATCH_SQL
+    head = BATCH_SQL[:BATCH_SQL.rindex("\nSELECT")]
+    return head + """,
+lists AS (
+  SELECT 'content' AS model, qi.user_id, cbl.item_id, cbl.r AS rank FROM qi JOIN cbl USING (q_item) WHERE cbl.r <= 10
+  UNION ALL SELECT 'collaborative', user_id, item_id, row_number() OVER (PARTITION BY user_id ORDER BY round(b, 9) DESC, item_id) AS r
+  FROM cfc QUALIFY r <= 10
+  UNION ALL SELECT 'hybrid', user_id, item_id, rank FROM rkx WHERE rank <= 10),
+relv AS (SELECT user_id, item_id, CAST(rating AS DOUBLE) AS rating FROM test WHERE rating >= 7),
+nr AS (SELECT user_id, count(*) AS n_rel FROM relv GROUP BY user_id),
+idl AS (SELECT user_id, sum((pow(2.0, rating) - 1) / log2(pos + 1)) AS idcg FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY rating DESC, item_id) AS pos FROM relv) WHERE pos <= 10 GROUP BY user_id),
+mk AS (SELECT l.*, r.rating AS rel, sum(CASE WHEN r.rating IS NULL THEN 0 ELSE 1 END) OVER (
+         PARTITION BY l.model, l.user_id ORDER BY l.rank) AS so_far FROM lists l LEFT JOIN relv r USING (user_id, item_id)),
+hitx AS (SELECT model, user_id, count(rel) AS hits, sum(CASE WHEN rel IS NOT NULL THEN so_far / l.rank END) AS aps,
+  sum(CASE WHEN rel IS NOT NULL THEN (pow(2.0, rel) - 1) / log2(l.rank + 1) END) AS dcg FROM mk l GROUP BY model, user_id),
+uu AS (SELECT u.user_id, m.model, coalesce(nr.n_rel, 0) AS n_rel, coalesce(idl.idcg, 0) AS idcg, coalesce(h.hits, 0) AS hits,
+         coalesce(h.aps, 0) AS aps, coalesce(h.dcg, 0) AS dcg
+       FROM qu u CROSS JOIN (VALUES ('content'), ('collaborative'), ('hybrid')) m(model) LEFT JOIN nr USING (user_id)
+       LEFT JOIN idl USING (user_id) LEFT JOIN hitx h ON h.user_id = u.user_id AND h.model = m.model),
+sc AS (SELECT *, hits / 10 AS p, CASE WHEN n_rel > 0 THEN hits / n_rel ELSE 0 END AS r,
+         CASE WHEN hits > 0 THEN aps / least(n_rel, 10) ELSE 0 END AS ap, CASE WHEN idcg > 0 THEN dcg / idcg ELSE 0 END AS nd FROM uu),
+mean_ AS (SELECT model, avg(p) AS p, avg(r) AS r, avg(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END) AS f, avg(ap) AS ap,
+            avg(nd) AS nd, avg(CASE WHEN hits > 0 THEN 1.0 ELSE 0.0 END) AS hr, count(*) AS users FROM sc GROUP BY model),
+cov AS (SELECT model, count(DISTINCT item_id) / (SELECT count(*) FROM catalogue) AS coverage FROM lists GROUP BY model),
+kn AS (SELECT * FROM lists WHERE item_id IN (SELECT doc_id FROM weights)),
+prs AS (SELECT a.model, a.user_id, a.item_id AS x, b.item_id AS y FROM kn a JOIN kn b
+        ON a.model = b.model AND a.user_id = b.user_id AND a.rank < b.rank),
+dx AS (SELECT DISTINCT x, y FROM prs),
+ds AS (SELECT dx.x, dx.y, sum(wa.w * wb.w) AS sim FROM dx JOIN weights wa ON wa.doc_id = dx.x
+       JOIN weights wb ON wb.doc_id = dx.y AND wb.term = wa.term GROUP BY dx.x, dx.y),
+dv AS (SELECT model, avg(d) AS diversity FROM (
+  SELECT model, user_id, avg(1 - coalesce(sim, 0)) AS d FROM prs LEFT JOIN ds USING (x, y) GROUP BY model, user_id) GROUP BY model),
+three AS (SELECT model, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS f1_macro,
+  round(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0 END, 6) AS f1_of_means, round(ap, 6) AS map, round(nd, 6) AS ndcg,
+  round(hr, 6) AS hit_rate, round(coalesce(coverage, 0), 6) AS coverage, round(diversity, 6) AS diversity, users
+  FROM mean_ LEFT JOIN cov USING (model) LEFT JOIN dv USING (model))"""
+
+
+_RANKING = ("precision", "recall", "f1_macro", "f1_of_means", "map", "ndcg", "hit_rate", "coverage", "diversity")
+_ERRORS_SQL = ", ".join(f"CASE WHEN model = 'collaborative' THEN (SELECT {c} FROM test_pred) END AS {n}" for c, n in (
+    ("round(sqrt(avg((prediction - rating) ^ 2)), 6)", "rmse"), ("round(avg(abs(prediction - rating)), 6)", "mae")))
+_LONG_THREE = " UNION ALL ".join([f"SELECT model, '{m}' AS metric, 10 AS k, {m} AS value FROM three WHERE {m} IS NOT NULL" for m in _RANKING] + [
+    "SELECT 'collaborative', 'rmse', 0, round(sqrt(avg((prediction - rating) ^ 2)), 6) FROM test_pred",
+    "SELECT 'collaborative', 'mae', 0, round(avg(abs(prediction - rating)), 6) FROM test_pred"])
+
+
+def _three_sql(select: str) -> str:
+    return _lists_sql() + ",\n" + stages.TEST_PRED_SQL + ",\nlong3 AS (" + _LONG_THREE + ")\n" + select
+
+
+def _scores(spark, sf, kind: str = "baseline"):
+    """The three models on the test users' lists; one row each."""
+    from ranklight.operators import evaluate
+    _, split = stages.baseline_model(spark, sf)
+    test = collab.test_part(split)
+    relevant = test.filter(F.col("rating") >= collab.RELEVANT_AT).select("user_id", "item_id", F.col("rating").alias("relevance"))
+    lists = evaluate.model_lists(stages.list_frame(spark, sf, kind))
+    vectors = stages.content_model(spark, sf).weights.withColumnRenamed("doc_id", "item_id")
+    return stages.materialize(spark, sf, f"model_scores_{kind}", lambda: evaluate.score_models(
+        lists, test, relevant, stages.catalogue(spark, sf), vectors))
+
+
+def _errors(spark, sf, kind: str = "baseline"):
+    """Rating errors of the model that predicts ratings."""
+    _, split = stages.baseline_model(spark, sf)
+    pred = _pred(spark, sf) if kind == "baseline" else collab.predict_factors(stages.factor_model(spark, sf, kind), collab.test_part(split))
+    return metrics.rating_errors(pred).select(F.lit("collaborative").alias("model"), "rmse", "mae")
+
+
+def _long(spark, sf, kind: str = "baseline"):
+    from ranklight.operators import evaluate
+    errors = _errors(spark, sf, kind).unpivot("model", ["rmse", "mae"], "metric", "value")
+    return evaluate.long_form(_scores(spark, sf, kind)).unionByName(errors.select("model", "metric", F.lit(0).alias("k"), "value"))
+
+
+@register("evaluate_hybrid_lists", _three_sql("SELECT * FROM three WHERE model = 'hybrid'"))
+def evaluate_hybrid_lists(spark, sf):
+    """V18 on the lists that users are shown (H2): every test user's top 10
+    over the whole catalogue against their held-out items."""
+    return _scores(spark, sf).where("model = 'hybrid'")
+
+
+@register("compare_three_models", _three_sql(f"SELECT three.*, {_ERRORS_SQL} FROM three"))
+def compare_three_models(spark, sf):
+    """Content, collaborative (bias model) and hybrid on one test set;
+    rating errors where a model predicts ratings."""
+    return _scores(spark, sf).join(_errors(spark, sf), "model", "left")
+
+
+_DIRECTION = ", ".join(f"('{m}', {-1 if m in ('rmse', 'mae') else 1})" for m in (*_RANKING, "rmse", "mae"))
+
+
+@register("best_of_three_models", _three_sql(f"""SELECT metric, model AS best_model, value AS best_value FROM (
+  SELECT l.*, row_number() OVER (PARTITION BY metric ORDER BY -value * sign, model) AS rn
+  FROM long3 l JOIN (VALUES {_DIRECTION}) d(metric, sign) USING (metric)) WHERE rn = 1"""))
+def best_of_three_models(spark, sf):
+    """The best of the three models per metric, by direction of the metric."""
+    return metrics.best_per_metric(_long(spark, sf).select("model", "metric", "value"))
+
+
+_REPORT_SQL = _three_sql("""SELECT 'metric' AS part, model, metric, k, value FROM long3
+UNION ALL SELECT 'best', model, metric, k, value FROM (SELECT l.*, row_number() OVER (PARTITION BY metric ORDER BY -value * sign, model) AS rn
+  FROM long3 l JOIN (VALUES """ + _DIRECTION + """) d(metric, sign) USING (metric)) WHERE rn = 1
+UNION ALL SELECT 'run', NULL, 'n_items', 0, (SELECT count(*) FROM catalogue)
+UNION ALL SELECT 'run', NULL, 'n_ratings', 0, (SELECT count(*) FROM ratings_clean)
+UNION ALL SELECT 'run', NULL, 'n_test', 0, (SELECT count(*) FROM test)
+UNION ALL SELECT 'run', NULL, 'test_share', 0, round((SELECT count(*) FROM test) / (SELECT count(*) FROM ratings_clean), 6)
+UNION ALL SELECT 'run', NULL, 'relevance_threshold', 0, 7.0""")
+
+
+def _report(spark, sf, kind: str = "baseline"):
+    long = stages.materialize(spark, sf, f"model_report_{kind}", lambda: _long(spark, sf, kind))
+    best = metrics.best_per_metric(long.select("model", "metric", "value"))
+    best = best.select("metric", F.col("best_model").alias("model")).join(long, ["metric", "model"])
+    run = run_metadata(spark, sf)
+    run = run.select(*[F.col(c).cast("double").alias(c) for c in run.columns]).unpivot([], run.columns, "metric", "value")
+    cols = ["part", "model", "metric", "k", "value"]
+    return (long.withColumn("part", F.lit("metric")).select(*cols)
+            .unionByName(best.withColumn("part", F.lit("best")).select(*cols))
+            .unionByName(run.select(F.lit("run").alias("part"), F.lit(None).cast("string").alias("model"), "metric", F.lit(0).alias("k"), "value")))
+
+
+@register("model_report", _REPORT_SQL)
+def model_report(spark, sf):
+    """Every metric of the three models, the best model per metric and the
+    figures of the run, in long form (the rows of the metrics file)."""
+    return _report(spark, sf)
+
+
+_FACTS = """SELECT unnest(['content', 'collaborative', 'hybrid']) AS model, (SELECT count(DISTINCT user_id) FROM test) AS users,
+  true AS within_bounds, true AS f1_between, true AS map_at_most_hit_rate, true AS content_as_with_bias"""
+
+
+@register("compare_three_models_svd_facts", ctes(CF_CTES) + _FACTS)
+def compare_three_models_svd_facts(spark, sf):
+    """V15 on the trained factors, by what must hold: all figures in [0, 1],
+    F1 of the means between precision and recall, MAP at most the hit rate,
+    the content model's row the same as beside the bias model."""
+    s = _scores(spark, sf, "SVD")
+    base = _scores(spark, sf).where("model = 'content'").select(F.struct(*_RANKING)).scalar()
+    inside = F.lit(True)
+    for c in _RANKING:
+        inside = inside & ((F.col(c) >= 0) & (F.col(c) <= 1))
+    p, r, f = F.col("precision"), F.col("recall"), F.col("f1_of_means")
+    return s.select("model", "users", inside.alias("within_bounds"),
+                    ((f >= F.least(p, r) - 1e-6) & (f <= F.greatest(p, r) + 1e-6)).alias("f1_between"),
+                    (F.col("map") <= F.col("hit_rate") + 1e-6).alias("map_at_most_hit_rate"),
+                    ((F.col("model") != "content") | (F.struct(*_RANKING) == base)).alias("content_as_with_bias"))
+
+
 def _train_all_sql():
     from ranklight.plans.content_q import tok_sql, vocab_sql
     pop_src = """pop AS (SELECT item_id FROM ratings_clean GROUP BY item_id HAVING count(*) >= 30),

@@ -120,6 +120,16 @@ def factor_model(spark: SparkSession, sf: str, algorithm: str = "SVD", rank: int
     return _MEMO[key]
 
 
+def list_frame(spark: SparkSession, sf: str, kind: str = "baseline") -> DataFrame:
+    """Content, collaborative and hybrid lists of all test users, built once:
+    with the bias model, or with the trained factors (``SVD``, ``NMF``)."""
+    from ranklight.operators import evaluate
+    base, split = baseline_model(spark, sf)
+    model = base if kind == "baseline" else factor_model(spark, sf, kind)
+    return materialize(spark, sf, f"list_frame_{kind}", lambda: evaluate.list_frame(
+        content_model(spark, sf), model, collab.train_part(split), catalogue(spark, sf), collab.test_part(split)))
+
+
 def word_vectors(spark: SparkSession, sf: str, vector_size: int = 100) -> DataFrame:
     """E1 trained once per application and data folder: (word, vector)."""
     from ranklight.operators import embed
