@@ -12,6 +12,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -300,85 +301,34 @@ def predict_factors(model: FactorModel, pairs: DataFrame) -> DataFrame:
             .withColumn("prediction", clip("raw_prediction", RATING_MIN, RATING_MAX)).drop("_factor"))
 
 
-def _factor_block_fn(k: int):
-    import numpy as np
-    import pandas as pd
-    from ranklight.operators.blocktopk import top_k_columns
-
-    def fn(key, pdf):
-        u = pdf[pdf["side"] == 0]
-        it = pdf[pdf["side"] == 1]
-        seen = pdf[pdf["side"] == 2]
-        if u.empty or it.empty:
-            return pd.DataFrame({"user_id": pd.Series([], dtype="int64"), "item_id": pd.Series([], dtype="int64"),
-                                 "score": pd.Series([], dtype="float64")})
-        uid = u["id"].to_numpy()
-        iid = it["id"].to_numpy()
-        s = np.stack(u["vec"].to_numpy()) @ np.stack(it["vec"].to_numpy()).T
-        if not seen.empty:
-            r = np.searchsorted(uid, seen["id"].to_numpy(), sorter=np.argsort(uid))
-            c = np.searchsorted(iid, seen["other"].to_numpy(), sorter=np.argsort(iid))
-            s[np.argsort(uid)[r], np.argsort(iid)[c]] = -np.inf
-        kk = min(k, s.shape[1])
-        # item ids ascending, so column position order = id order
-        srt = np.argsort(iid)
-        iid, s = iid[srt], s[:, srt]
-        order = top_k_columns(s, kk)
-        vals = np.take_along_axis(s, order, 1).ravel()
-        out = pd.DataFrame({"user_id": np.repeat(uid, kk), "item_id": iid[order].ravel(), "score": vals})
-        return out[np.isfinite(out["score"].to_numpy())]
-    return fn
-
-
-def recommend_all_factors(model: FactorModel, seen: DataFrame, catalogue: DataFrame, users: DataFrame,
-                          top_n: int = 10, min_score: float = 6.0, block: int = 2000) -> DataFrame:
-    """M8 for M3/M4: top-n unseen eligible items for every given user.
-
-    Ranking by mu + b_u + b_i + p_u.q_i equals ranking by the product of
-    the extended vectors [p_u, 1] . [q_i, b_i] (mu and b_u are constant per
-    user).  Users and items are cut into blocks; every (user block, item
-    block) pair is one applyInPandas group with one matrix product, in which
-    the group's seen pairs are masked before the per-user top-n; a final
-    per-user top-n merges the blocks.  Memory per task: two blocks and one
-    block x block product.  Reported prediction = clip(mu + b_u + score).
-    """
-    rank = model.params["rank"]
-    zero = F.array_repeat(F.lit(0.0), rank)
+def factor_index(model: FactorModel, catalogue: DataFrame, users: DataFrame, min_score: float = 6.0):
+    """User and item blocks of M8 on M3/M4: mu and b_u are constant per user,
+    so items rank by b_i + p_u.q_i.  A user or item without factors has zeros."""
+    from ranklight.operators.innertopk import InnerIndex
+    from ranklight.session import stage_path
+    zero = F.array_repeat(F.lit(0.0), model.params["rank"])
     base = model.baseline
     uf = model.als.userFactors.select(F.col("id").alias("user_idx"), F.col("features").cast("array<double>").alias("f"))
     itf = model.als.itemFactors.select(F.col("id").alias("item_idx"), F.col("features").cast("array<double>").alias("f"))
-    us = users.select("user_id").distinct().join(model.users, "user_id", "left").join(uf, "user_idx", "left")
-    us = us.join(base.user_bias, "user_id", "left") if base is not None else us.withColumn("b_u", F.lit(0.0))
-    us = us.select("user_id", F.coalesce("b_u", F.lit(0.0)).alias("b_u"),
-                   F.concat(F.coalesce("f", zero), F.array(F.lit(1.0))).alias("vec"))
-    its = _eligible_items(catalogue, min_score).select("item_id").join(model.items, "item_id", "left") \
-        .join(itf, "item_idx", "left")
+    us = (users.select("user_id").distinct().join(model.users, "user_id", "left").join(uf, "user_idx", "left")
+          .select(F.col("user_id").alias("id"), F.coalesce("f", zero).alias("vec")))
+    its = _eligible_items(catalogue, min_score).select("item_id").join(model.items, "item_id", "left").join(itf, "item_idx", "left")
     its = its.join(base.item_bias, "item_id", "left") if base is not None else its.withColumn("b_i", F.lit(0.0))
-    its = its.select("item_id", F.concat(F.coalesce("f", zero), F.array(F.coalesce("b_i", F.lit(0.0)))).alias("vec"))
-    un = global_row_number(us.select("user_id"), [F.col("user_id")], "pos", start=0) \
-        .select("user_id", (F.col("pos") / block).cast("int").alias("ub"))
-    inum = global_row_number(its.select("item_id"), [F.col("item_id")], "pos", start=0) \
-        .select("item_id", (F.col("pos") / block).cast("int").alias("ib"))
-    nb_u = un.select(F.max("ub")).first()[0]
-    nb_i = inum.select(F.max("ib")).first()[0]
-    if nb_u is None or nb_i is None:
-        return users.sparkSession.createDataFrame([], "user_id long, item_id long, rank int, prediction double")
-    u_rows = (us.join(un, "user_id")
-              .select("ub", F.explode(F.sequence(F.lit(0), F.lit(nb_i))).alias("ib"), F.lit(0).alias("side"),
-                      F.col("user_id").alias("id"), F.lit(None).cast("long").alias("other"), "vec"))
-    i_rows = (its.join(inum, "item_id")
-              .select(F.explode(F.sequence(F.lit(0), F.lit(nb_u))).alias("ub"), "ib", F.lit(1).alias("side"),
-                      F.col("item_id").alias("id"), F.lit(None).cast("long").alias("other"), "vec"))
-    s_rows = (seen.select("user_id", "item_id").distinct().join(un, "user_id").join(inum, "item_id")
-              .select("ub", "ib", F.lit(2).alias("side"), F.col("user_id").alias("id"),
-                      F.col("item_id").alias("other"), F.lit(None).cast("array<double>").alias("vec")))
-    part = (u_rows.unionByName(i_rows).unionByName(s_rows).groupBy("ub", "ib")
-            .applyInPandas(_factor_block_fn(top_n), "user_id long, item_id long, score double"))
-    top = top_k_per_group(part, ["user_id"], [F.round("score", 9).desc(), F.col("item_id")], top_n)
+    its = its.select(F.col("item_id").alias("id"), F.coalesce("b_i", F.lit(0.0)).alias("bias"), F.coalesce("f", zero).alias("vec"))
+    return InnerIndex(us, its, stage_path(users.sparkSession, f"factor-blocks-{uuid.uuid4().hex[:12]}"))
+
+
+def recommend_all_factors(model: FactorModel, seen: DataFrame, catalogue: DataFrame, users: DataFrame,
+                          top_n: int = 10, min_score: float = 6.0) -> DataFrame:
+    """M8 for M3/M4: top-n unseen eligible items for every given user, by
+    blocks of items with upper bounds (``innertopk``).  Reported prediction =
+    clip(mu + b_u + score)."""
+    top = factor_index(model, catalogue, users, min_score).top_k(seen, top_n)
+    base = model.baseline
     mu = base.mu_col() if base is not None else F.lit(0.0)
-    return (top.join(us.select("user_id", "b_u"), "user_id")
-            .select("user_id", "item_id", F.col("rank").cast("int").alias("rank"),
-                    r6(clip(mu + F.col("b_u") + F.col("score"), RATING_MIN, RATING_MAX)).alias("prediction")))
+    own = top.join(base.user_bias, "user_id", "left") if base is not None else top.withColumn("b_u", F.lit(0.0))
+    return own.select("user_id", "item_id", F.col("rank").cast("int").alias("rank"),
+                      r6(clip(mu + F.coalesce("b_u", F.lit(0.0)) + F.col("score"), RATING_MIN, RATING_MAX)).alias("prediction"))
 
 
 def recommend_user_factors(model: FactorModel, ratings: DataFrame, catalogue: DataFrame, user_id: int,

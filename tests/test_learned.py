@@ -101,7 +101,7 @@ def test_recommend_all_factors_matches_brute_force(spark):
     fm = collab.fit_factors(train, "SVD", rank=3, max_iter=5, reg=0.1)
     cat = spark.createDataFrame([(i, 7.0) for i in range(30)] + [(99, 8.0)], "item_id long, score double")
     users = train.select("user_id").distinct()
-    got = collab.recommend_all_factors(fm, train, cat, users, top_n=5, min_score=6.0, block=7)
+    got = collab.recommend_all_factors(fm, train, cat, users, top_n=5, min_score=6.0)
     # brute force: every (user, eligible item) pair predicted, seen removed
     all_items = cat.select(F.collect_list("item_id")).first()[0]  # 31 ids: fixture only
     pairs = users.select("user_id", F.explode(F.array(*[F.lit(i) for i in all_items])).alias("item_id")) \
