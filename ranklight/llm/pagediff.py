@@ -23,7 +23,9 @@ without a readable URL, has no pair; where all pages of a host are copies of
 one another, those without an ``article`` or ``main`` keep all lines and the
 others lose what stands outside; a copy that differs in any line is a page like
 others; repeated rows each get their row; an empty table gives an empty result;
-markup that is cut off is read to its end; further columns are ignored.
+markup that is cut off is read to its end; of two neighbours at equally near
+addresses the one before is taken; pages of very many lines are aligned in
+memory linear in the lines; further columns are ignored.
 """
 
 from __future__ import annotations
@@ -41,7 +43,7 @@ from ranklight.functions.index import global_row_number
 from ranklight.llm.common import prepare, table, written
 from ranklight.llm.registry import register
 
-#: Zones. NAMED: dropped for its class, id or role; a main text may yet lie inside.
+#: Zones. NAMED: dropped for its class, id or role, or a form; a main text may yet lie inside.
 DROP, NAMED, OPEN, MAIN = 0, 1, 2, 3
 #: Pages of a block, numbered in one task.
 BLOCK_ROWS = 1 << 16
@@ -56,19 +58,25 @@ _BLOCK = {"address", "article", "aside", "blockquote", "body", "br", "caption",
           "dt", "fieldset", "figcaption", "figure", "footer", "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header",
           "hgroup", "hr", "html", "legend", "li", "main", "menu", "nav", "ol", "optgroup", "option", "p", "pre", "section",
           "summary", "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul"}
-_OTHER_TAGS = {"nav", "footer", "aside", "form", "menu", "head", "button", "dialog", "label", "datalist"}
+_OTHER_TAGS = {"nav", "footer", "aside", "menu", "head", "button", "dialog", "label", "datalist"}
 # Elements whose end tag is often missing, or that hold no blocks: kept track of only if they open a zone.
 _INLINE = {"a", "abbr", "b", "bdi", "bdo", "big", "cite", "code", "data", "dd", "del", "dfn", "dt", "em", "font", "i", "ins", "kbd",
            "li", "mark", "option", "p", "q", "s", "samp", "small", "span", "strike", "strong", "sub", "sup", "td", "th", "time",
            "tr", "tt", "u", "var"}
 _OTHER_ROLES = {"navigation", "banner", "contentinfo", "complementary", "search", "alert", "alertdialog", "dialog", "menu",
                 "menubar", "form", "toolbar"}
-_OTHER_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|nav\w*|menu\w*|breadcrumbs?|sidebar\w*|side-?bar|foot(?:er)?|masthead|"
-    r"site-?header|page-?header|cookies?|consent|notices?|alert|popup|modal|newsletter|subscribe|subscription|social|share|sharing|"
-    r"related|recommend\w*|comments?|comment-?list|respond|disqus|widget\w*|toolbar|pagination|pager|login|signup|search|skip-?link)"
-    r"(?=$|[\s_-])", re.I)
-_ATTR = re.compile(r"\b(class|id|role|hidden|aria-hidden|style)\s*(?:=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?", re.I)
+# Words of class and id names. A name counts if it holds a word of the first
+# kind and no word but those of both: "related-posts", not "related-work".
+_OTHER_WORDS = (r"ads?|advert\w*|sponsor\w*|promo\w*|banners?|nav\w*|menus?|menubar|breadcrumbs?|sidebars?|side-bar|foot(?:er)?|masthead|"
+                r"site-?header|page-?header|cookies?|consent|notices?|alerts?|popup|modal|newsletter|subscribe|subscription|social|shar(?:e|ing)|"
+                r"related|recommend\w*|comments?|commentlist|respond|disqus|widgets?|toolbar|pagination|pager|login|signup|search|skip-?link")
+_PLAIN_WORDS = (r"site|page|main|top|bottom|left|right|list|box|bar|wrap|wrapper|container|block|section|area|inner|outer|primary|secondary|"
+                r"links?|items?|posts?|articles?|stories|slot|unit|form|buttons?|icons?|overlay|group|desktop|mobile|global|sticky|fixed|js|"
+                r"header|title|head|panel|column|col|row|thread|\d+")
+_OTHER_NAME = re.compile(rf"(?:(?:{_PLAIN_WORDS})[-_]+)*(?:{_OTHER_WORDS})(?:[-_]+(?:{_OTHER_WORDS}|{_PLAIN_WORDS}))*", re.I)
+_CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
+# One attribute after another, each with its value.
+_ATTR = re.compile(r"([^\s\"'<>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'<>]+)))?")
 _HIDDEN_STYLE = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
@@ -76,7 +84,7 @@ def _zone(tag: str, attrs: str, inside: int, main_seen: bool) -> int:
     """The zone an element opens within a zone."""
     if inside == DROP or tag in _OTHER_TAGS or (tag == "header" and inside != MAIN):
         return DROP
-    names, main = "", tag in ("article", "main")
+    names, main = [], tag in ("article", "main")
     for m in _ATTR.finditer(attrs) if attrs else ():
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
         low = value.lower()
@@ -87,8 +95,9 @@ def _zone(tag: str, attrs: str, inside: int, main_seen: bool) -> int:
             if low in _OTHER_ROLES:
                 return NAMED
         if key in ("class", "id"):
-            names += " " + value
-    if names and tag not in ("html", "body", "main") and _OTHER_NAMES.search(names):
+            names += value.split()
+    named = tag == "form" or (tag not in ("html", "body", "main") and any(_OTHER_NAME.fullmatch(_CAMEL.sub("-", n)) for n in names))
+    if named:
         return NAMED
     if main and (inside != NAMED or tag == "main" or not main_seen):
         return MAIN
@@ -144,6 +153,34 @@ def lines_of(html: str | None) -> list[tuple[int, str]]:
     return out
 
 
+def _lengths(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Lengths of the longest common subsequences of x and every start of y."""
+    row = np.zeros(len(y) + 1, np.int32)
+    for v in x:
+        # The running maximum is the usual recurrence.
+        row[1:] = np.maximum(row[1:], np.where(y == v, row[:-1] + 1, 0))
+        np.maximum.accumulate(row, out=row)
+    return row
+
+
+def _common(x: np.ndarray, y: np.ndarray, at: int, out: list[int]) -> None:
+    """Append the places (from ``at``) of a longest common subsequence in x.
+    Halves x and cuts y where both halves' lengths add up to most, the first
+    such place on ties: memory is linear in the lines."""
+    todo = [(0, len(x), 0, len(y))]
+    while todo:
+        a, b, c, d = todo.pop()
+        if a == b or c == d:
+            continue
+        if b - a == 1:
+            if (y[c:d] == x[a]).any():
+                out.append(at + a)
+            continue
+        mid = (a + b) // 2
+        cut = c + int(np.argmax(_lengths(x[a:mid], y[c:d]) + _lengths(x[mid:b][::-1], y[c:d][::-1])[::-1]))
+        todo += [(mid, b, cut, d), (a, mid, c, cut)]  # the first half is next
+
+
 def shared_lines(a: list[int], b: list[int]) -> list[int]:
     """Places in ``a`` of a longest common subsequence of a and b."""
     lo = 0
@@ -155,24 +192,9 @@ def shared_lines(a: list[int], b: list[int]) -> list[int]:
     x, y = np.asarray(a[lo:len(a) - hi]), np.asarray(b[lo:len(b) - hi])
     keep = np.isin(x, y)  # lines of one page only cannot be shared
     places, y = np.flatnonzero(keep) + lo, y[np.isin(y, x)]
-    x = x[keep]
-    middle = []
-    if len(x) and len(y):
-        # Table row by row; the running maximum is the usual recurrence.
-        best = np.zeros((len(x) + 1, len(y) + 1), np.int32)
-        for i in range(len(x)):
-            best[i + 1, 1:] = np.maximum(best[i, 1:], np.where(y == x[i], best[i, :-1] + 1, 0))
-            np.maximum.accumulate(best[i + 1], out=best[i + 1])
-        i, j = len(x), len(y)
-        while i and j:
-            if x[i - 1] == y[j - 1] and best[i, j] == best[i - 1, j - 1] + 1:
-                middle.append(int(places[i - 1]))
-                i, j = i - 1, j - 1
-            elif best[i - 1, j] >= best[i, j - 1]:
-                i -= 1
-            else:
-                j -= 1
-    return [*range(lo), *middle[::-1], *range(len(a) - hi, len(a))]
+    middle: list[int] = []
+    _common(x[keep], y, 0, middle)
+    return [*range(lo), *places[middle].tolist(), *range(len(a) - hi, len(a))]
 
 
 def _hash(text: str) -> int:

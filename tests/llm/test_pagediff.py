@@ -1,6 +1,7 @@
 """Page differencing: alignment, zones, odd markup, pairs by URL."""
 
 import random
+import tracemalloc
 
 import pytest
 
@@ -50,6 +51,52 @@ def test_markup(page, want):
     assert _main(page) == want
 
 
+KEPT = ['<article><p data-hidden="false">Text', '<article><p title="a hidden gem">Text', '<article><p data-id="comments">Text',
+        '<article><div class="social-policy">Text</div>', '<article><section class="related-work">Text</section>',
+        '<article><h2 id="search-methods">Text</h2>', '<div class="entry nav-tabs-content">Text</div>',
+        '<form><article>Text</article></form>', '<form id="aspnetForm"><div class="page"><main><p>Text</main></div></form>',
+        "<article><p data-x='class=ad' alt=\"role=menu\">Text", '<article><p class="nonads header-image">Text']
+GONE = ['<div class="related-posts">x</div>', '<div id="siteNav">x</div>', '<div class="post-comments">x</div>', '<ul class="social-share-buttons"><li>x</ul>',
+        '<div class="cookie-banner-overlay">x</div>', "<div class=ad-slot>x</div>", '<p hidden>x</p>', '<p HIDDEN="">x</p>',
+        '<div role="navigation">x</div>', '<form><p>x</p></form>', '<div class="wide sidebar-left">x</div>', '<div style="display: none">x</div>',
+        '<div id="page-header">x</div>', '<section class="newsletter-signup-form">x</section>']
+
+
+@pytest.mark.parametrize("html", KEPT)
+def test_attributes_are_read_one_by_one(html):
+    assert _main(html) == "Text"
+
+
+@pytest.mark.parametrize("html", GONE)
+def test_other_zones(html):
+    assert _main(html) == "" and _main(f"<article>Text{html}</article>") == "Text"
+
+
+def test_alignment_of_a_very_long_page():
+    rng = random.Random(1)
+    shared = [rng.randrange(10**6) for _ in range(6000)]
+    a, b = shared[:3000] + shared[:3000], shared[3000:] + shared[:3000]
+    rng.shuffle(b)
+    tracemalloc.start()
+    got = pd.shared_lines(a, b)
+    assert tracemalloc.get_traced_memory()[1] < 8 << 20
+    tracemalloc.stop()
+    it = iter(b)
+    assert len(got) > 50 and all(any(a[i] == y for y in it) for i in got)
+
+
+def test_differencing_where_rules_fail(spark):
+    """Pages without an article, whose menus and footers have no telling names."""
+    def page(i):
+        return (f"<div><div><p>Start</p><p>Topics</p><p>Contact us</p></div><div><h1>Story {i}</h1><p>First {i} words.</p>"
+                f"<p>Second {i} words.</p></div><div><p>Imprint</p><p>All rights reserved</p></div></div>")
+    rows = [(i, f"http://h{i % 3}.org/s/{i}", page(i)) for i in range(30)]
+    got = {r.page_id: r.text for r in pd.extract(_pages(spark, rows)).collect()}
+    by_rules = {i: "\n".join(t for z, t in pd.lines_of(h) if z >= pd.OPEN) for i, _, h in rows}
+    want = {i: f"Story {i}\nFirst {i} words.\nSecond {i} words." for i in range(30)}
+    assert got == want and all(by_rules[i].count("\n") == 7 for i in want)
+
+
 def _pages(spark, rows):
     return spark.createDataFrame([(*r, "clash") for r in rows], "page_id long, url string, html string, text string")
 
