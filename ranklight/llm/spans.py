@@ -16,11 +16,15 @@ Only hashes and offsets are shuffled.  The first occurrence of a hash is a
 grouped minimum, combined before the shuffle; occurrences meet it by a join on
 the hash whose common keys Spark splits.
 
+A row is known by its doc_id and a 64-bit hash of its text, its version.
+
 Defined cases: null and empty texts have no spans; a repeat inside one
-document is removed like any other; rows with one doc_id and equal text stand
-at the same place and so are all first, null ids count as smallest; an empty
-table gives an empty result; very long texts are read whole; further columns
-are kept by ``remove``.
+document is removed like any other; rows of one doc_id with different texts
+are different rows, in the order of their versions; rows with one doc_id and
+equal text stand at the same place and so are all first; null ids count as
+smallest, among each other in the order of their versions; an empty table
+gives an empty result; very long texts are read whole; further columns are
+kept by ``remove``.
 """
 
 from __future__ import annotations
@@ -43,7 +47,7 @@ BATCH_SPANS = 1 << 17
 
 _SENTENCE = re.compile(r"[^\s](?:[^\n.!?]++|[.!?](?!\s|$))*+(?:[.!?]++(?=\s|$)|(?=\n|$))")
 
-_SPANS = "doc_id long, h1 long, h2 long, first_no int, last_no int, start int, end int"
+_SPANS = "doc_id long, version long, h1 long, h2 long, first_no int, last_no int, start int, end int"
 
 
 def sentences(text: str) -> list[tuple[int, int]]:
@@ -86,17 +90,17 @@ def _signed(x: int) -> int:
 
 def _emit(min_words: int, alone_words: int, ends: bool):
     def batch_of(rows):
-        cols = list(zip(*rows)) if rows else [()] * 7
-        kinds = [pa.int64()] * 3 + [pa.int32()] * 4
+        cols = list(zip(*rows)) if rows else [()] * 8
+        kinds = [pa.int64()] * 4 + [pa.int32()] * 4
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)],
-                                          names=["doc_id", "h1", "h2", "first_no", "last_no", "start", "end"])
+                                          names=["doc_id", "version", "h1", "h2", "first_no", "last_no", "start", "end"])
 
     def run(batches):
         for batch in batches:
             out = []
-            for doc, text in zip(batch.column(0), batch.column(1), strict=True):
-                d = doc.as_py()
-                out += [(d, _signed(h >> 64), _signed(h & (2**64 - 1)), *rest)
+            for doc, text, version in zip(*batch.columns, strict=True):
+                d, v = doc.as_py(), version.as_py()
+                out += [(d, v, _signed(h >> 64), _signed(h & (2**64 - 1)), *rest)
                         for h, *rest in spans_of(text.as_py() or "", min_words, alone_words, ends)]
                 if len(out) >= BATCH_SPANS:
                     yield batch_of(out)
@@ -107,27 +111,27 @@ def _emit(min_words: int, alone_words: int, ends: bool):
 
 def repeated(documents: DataFrame, min_words: int = MIN_WORDS, alone_words: int = ALONE_WORDS,
              ends: bool = False) -> DataFrame:
-    """One row per passage to remove: doc_id, start, end (code points, end
+    """One row per passage to remove: doc_id, version, start, end (code points, end
     exclusive), n_sentences, n_spans (repeated spans it is made of), first_doc_id
     (the smallest document that keeps a part of it).  Without ``ends`` the tail
     of a passage may stay: sentences after which too few of its words follow."""
     prepare(documents, "doc_id", "text")
-    d = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    d = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), F.xxhash64(F.col("text").cast("string")).alias("version"))
     spans = written(d.mapInArrow(_emit(min_words, alone_words, ends), _SPANS), "sentence-spans")
     # Written, so that the join deals out both sides anew and Spark can split
     # the occurrences of one hash over many tasks.
     firsts = written(spans.groupBy("h1", "h2")
-                     .agg(F.min(F.struct("doc_id", "first_no")).alias("first"), F.count(F.lit(1)).alias("n"))
+                     .agg(F.min(F.struct("doc_id", "version", "first_no")).alias("first"), F.count(F.lit(1)).alias("n"))
                      .where("n > 1").select("h1", "h2", "first"), "span-firsts")
-    here = F.struct("doc_id", "first_no")
+    here = F.struct("doc_id", "version", "first_no")
     later = (spans.join(firsts, ["h1", "h2"]).where(~here.eqNullSafe(F.col("first")))
-             .select("doc_id", "first_no", "last_no", "start", "end", F.col("first.doc_id").alias("first_doc_id")).distinct())
+             .select("doc_id", "version", "first_no", "last_no", "start", "end", F.col("first.doc_id").alias("first_doc_id")).distinct())
     # Covered sentences that touch are one passage; a document's spans only.
-    w = Window.partitionBy("doc_id").orderBy("first_no", "last_no", "first_doc_id")
+    w = Window.partitionBy("doc_id", "version").orderBy("first_no", "last_no", "first_doc_id")
     reach = F.max("last_no").over(w.rowsBetween(Window.unboundedPreceding, -1))
     begins = F.when(reach.isNull() | (F.col("first_no") > reach + 1), 1).otherwise(0)
     return (later.withColumn("begins", begins).withColumn("passage", F.sum("begins").over(w))
-            .groupBy("doc_id", "passage").agg(
+            .groupBy("doc_id", "version", "passage").agg(
                 F.min("start").cast("long").alias("start"), F.max("end").cast("long").alias("end"),
                 (F.max("last_no") - F.min("first_no") + 1).cast("long").alias("n_sentences"),
                 F.count(F.lit(1)).alias("n_spans"), F.min("first_doc_id").alias("first_doc_id"))
@@ -146,9 +150,10 @@ def remove(documents: DataFrame, min_words: int = MIN_WORDS, alone_words: int =
     """``documents`` without their repeated passages; all columns and rows
     are kept, ``n_chars`` follows the text if present."""
     passages = repeated(documents, min_words, alone_words, ends=True)
-    cuts = (passages.groupBy(F.col("doc_id").alias("_llm_doc"))
+    cuts = (passages.groupBy(F.col("doc_id").alias("_llm_doc"), F.col("version").alias("_llm_version"))
             .agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("_llm_cuts")))
-    d = documents.join(cuts, documents["doc_id"].eqNullSafe(cuts["_llm_doc"]), "left")
+    d = documents.withColumn("_llm_hash", F.xxhash64(F.col("text").cast("string")))
+    d = d.join(cuts, (F.col("_llm_hash") == F.col("_llm_version")) & d["doc_id"].cast("long").eqNullSafe(F.col("_llm_doc")), "left")
     text = F.when(F.col("_llm_cuts").isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col("_llm_cuts")))
     d = d.withColumn("text", text)
     if "n_chars" in documents.columns:
@@ -159,4 +164,4 @@ def remove(documents: DataFrame, min_words: int = MIN_WORDS, alone_words: int =
 @register("op6_sentence_spans")
 def op6_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Passages that repeat across or within documents, first ones excepted."""
-    return repeated(table(spark, sf_dir, "documents"), ends=True)
+    return repeated(table(spark, sf_dir, "documents"), ends=True).drop("version")

@@ -74,6 +74,22 @@ def test_repeated_rows_null_ids_and_empty_table(spark, docs):
     assert sp.repeated(docs([])).count() == 0 and sp.remove(docs([])).count() == 0
 
 
+def test_one_id_with_several_texts(spark, docs):
+    """Cuts go to the row that holds the passage, not to all rows of its id."""
+    other = " ".join(f"Unrelated sentence number {i} stands here to be cut by mistake." for i in range(20))
+    rows = [(1, PASSAGE), (5, "Its own start. " + PASSAGE), (5, other)]
+    out = {(r.doc_id, r.text[:12]): r.text for r in sp.remove(docs(rows)).collect()}
+    assert out[(5, other[:12])] == other
+    assert out[(1, PASSAGE[:12])] == PASSAGE and "bridge" not in out[(5, "Its own star")]
+
+
+def test_null_ids_with_several_texts(spark, docs):
+    """One of two different texts without id keeps the passage."""
+    rows = [(None, "First without an id. " + PASSAGE), (None, "Second one, other. " + PASSAGE), (None, "No passage in this text.")]
+    texts = [r.text for r in sp.remove(docs(rows)).collect()]
+    assert sum("bridge" in t for t in texts) == 1 and "No passage in this text." in texts
+
+
 def test_very_long_text(spark, docs):
     rows = [(1, "Short one. " * 60000), (2, "x" * 300000)]
     assert sp.repeated(docs(rows)).count() >= 1
