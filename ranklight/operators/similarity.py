@@ -16,21 +16,14 @@ from __future__ import annotations
 
 import uuid
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ranklight.functions.index import global_row_number
 from ranklight.functions.topk import top_k_per_group
 from ranklight.operators import blocktopk
 from ranklight.session import stage_path
 
 METRICS = ("cosine", "euclidean", "cosine_eps")
-# Block sizing for the all-pairs product of T11: a block pair holds two dense
-# blocks (block x dims doubles each) and a block x block product.
-BLOCK_MAX = 2500
-BLOCK_BYTES = 64 * 1024 * 1024
 
 
 def check_metric(metric: str) -> None:
@@ -126,77 +119,10 @@ def _pairs_of(ids: DataFrame) -> DataFrame:
     return ids.select(F.col("doc_id").alias("a"), F.explode(arr).alias("b"))
 
 
-def _value_counts_fn(dims: int):
-    def fn(key, pdf):
-        left = pdf[pdf["side"] == 0]
-        right = pdf[pdf["side"] == 1]
-        if left.empty or right.empty:
-            return pd.DataFrame({"similarity": pd.Series([], dtype="float64"), "n": pd.Series([], dtype="int64")})
-
-        def dense(part):
-            ids, inv = np.unique(part["doc_id"].to_numpy(), return_inverse=True)
-            m = np.zeros((len(ids), dims))
-            np.add.at(m, (inv, part["term"].to_numpy()), part["w"].to_numpy())
-            return ids, m
-
-        li, lm = dense(left)
-        ri, rm = dense(right)
-        s = np.round(lm @ rm.T, 6)
-        if key[0] == key[1]:
-            s = s[np.triu_indices(len(li), k=1)]  # strict upper triangle of a diagonal block
-        vals, counts = np.unique(s.ravel(), return_counts=True)
-        return pd.DataFrame({"similarity": vals, "n": counts.astype("int64")})
-    return fn
-
-
-def _block_groups(weights: DataFrame, block: int | None):
-    """Number items and terms, cut into blocks, copy every entry to the block
-    pairs (bi <= bj) it belongs to.  Returns (grouped entries, dims, n_docs).
-    Without an explicit block size, the largest one whose dense block fits
-    BLOCK_BYTES is used (fewer blocks = fewer copies of each entry)."""
-    if dict(weights.dtypes)["term"] not in ("int", "bigint"):
-        terms = global_row_number(weights.select("term").distinct(), [F.col("term")], "term_idx", start=0)
-        weights = weights.join(terms, "term").select("doc_id", F.col("term_idx").alias("term"), "w")
-    dims = int(weights.agg(F.max("term")).first()[0] or 0) + 1
-    if block is None:
-        block = int(max(1, min(BLOCK_MAX, BLOCK_BYTES // (8 * max(dims, 1)))))
-    docs = global_row_number(weights.select("doc_id").distinct(), [F.col("doc_id")], "pos", start=0)
-    n_docs = docs.count()
-    nb = max(1, -(-n_docs // block))
-    w = weights.join(docs, "doc_id").withColumn("b", (F.col("pos") / block).cast("int")).drop("pos")
-    j = F.explode(F.sequence(F.lit(0), F.lit(nb - 1))).alias("j")
-    rep = w.select("doc_id", F.col("term").cast("int").alias("term"), "w", "b", j)
-    pairs = rep.select("doc_id", "term", "w", F.least("b", "j").alias("bi"), F.greatest("b", "j").alias("bj"),
-                       F.when(F.col("b") <= F.col("j"), F.lit(0)).otherwise(F.lit(1)).alias("side"))
-    diag_right = rep.filter(F.col("b") == F.col("j")).select("doc_id", "term", "w", F.col("b").alias("bi"),
-                                                              F.col("b").alias("bj"), F.lit(1).alias("side"))
-    return pairs.unionByName(diag_right), dims, n_docs
-
-
-def similarity_percentile(weights: DataFrame, p: float = 75.0, block: int | None = None) -> DataFrame:
+def similarity_percentile(weights: DataFrame, p: float = 75.0) -> DataFrame:
     """P-th percentile (linear interpolation) of all similarities i < j,
-    zeros of pairs without a shared term included.
-
-    Each block pair reports (similarity rounded to 1e-6, count): at most
-    10^6 + 1 distinct values whatever the number of items, so the value
-    table stays bounded; the percentile is found on its cumulative counts.
-    """
-    grouped, dims, _ = _block_groups(weights, block)
-    vc = (grouped.groupBy("bi", "bj").applyInPandas(_value_counts_fn(dims), "similarity double, n long")
-          .groupBy("similarity").agg(F.sum("n").alias("n")))
-    # Written once: the product runs one time, every look-up below reads its counts.
-    path = stage_path(weights.sparkSession, f"similarity-counts-{uuid.uuid4().hex[:12]}")
-    vc.write.parquet(path)
-    vc = weights.sparkSession.read.schema("similarity double, n long").parquet(path)
-    from pyspark.sql import Window
-    # The value table is bounded (<= 10^6 + 1 rows): one ordered pass is fine.
-    w = Window.orderBy("similarity").rowsBetween(Window.unboundedPreceding, 0)
-    cum = vc.withColumn("hi", F.sum("n").over(w)).withColumn("lo", F.col("hi") - F.col("n"))
-    total = cum.select(F.max("hi")).scalar()
-    pos = (total - 1) * (p / 100.0)
-    lower_r, upper_r = F.floor(pos), F.ceil(pos)
-    at = lambda r: cum.filter((F.col("lo") <= r) & (r < F.col("hi"))).select(F.max("similarity"))
-    lv = at(lower_r).scalar()
-    uv = at(upper_r).scalar()
-    frac = pos - lower_r
-    return cum.agg(F.round(lv + (uv - lv) * frac, 6).alias("threshold"), F.max("hi").alias("n_pairs"))
+    zeros of pairs without a shared term included: threshold, n_pairs."""
+    from ranklight.operators.pairselect import pair_percentile
+    spark = weights.sparkSession
+    value, n = pair_percentile(weights, p, stage_path(spark, f"similarity-pairs-{uuid.uuid4().hex[:12]}"))
+    return spark.range(1).select(F.lit(value).cast("double").alias("threshold"), F.lit(n).cast("long").alias("n_pairs"))

@@ -140,11 +140,12 @@ def euclidean_neighbours(spark, sf):
 @register("similarity_threshold", CONTENT_CTES.rstrip() + ",\n" + PAIRS_SQL + """,
 ids AS (SELECT DISTINCT doc_id FROM weights),
 grid AS (SELECT a.doc_id AS doc_id, b.doc_id AS other FROM ids a JOIN ids b ON a.doc_id < b.doc_id)
-SELECT round(quantile_cont(round(coalesce(p.sim, 0.0), 6), 0.75), 6) AS threshold, count(*) AS n_pairs
+SELECT round(quantile_cont(coalesce(p.sim, 0.0), 0.75), 6) AS threshold, count(*) AS n_pairs
 FROM grid g LEFT JOIN pair_sims p USING (doc_id, other)""")
 def similarity_threshold(spark, sf):
     """75th percentile of the strict upper triangle of the similarity matrix (zeros count)."""
-    return similarity.similarity_percentile(_content(spark, sf).weights, 75.0)
+    out = similarity.similarity_percentile(_content(spark, sf).weights, 75.0)
+    return out.select(r6("threshold").alias("threshold"), "n_pairs")
 
 
 @register("similarity_sample", CONTENT_CTES.rstrip() + ",\n" + PAIRS_SQL + """,
