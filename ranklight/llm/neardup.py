@@ -22,10 +22,12 @@ the shingles that no other candidate holds, so with a = size less those,
 min(a, a') must reach the overlap that the link needs.  Pass 2 checks what may
 still join two components in a bucket that has more than one.  With shingles
 in one order, the rare ones first, two sets that link share a shingle early in
-both (their overlap must fit behind it).  So classes outside the component of
+both (their overlap must fit behind it), and most of them: common early
+shingles and those after the early ones of either must add up to the overlap.
+So classes outside the component of
 their bucket's smallest class meet others by their early shingles, never by
-the bucket: copies that drifted apart begin with what each changed by itself,
-and do not meet.
+the bucket, once a pair: copies that drifted apart begin with what each changed
+by itself, and do not meet.
 
 Defined cases: null and empty texts, and texts without words, have empty sets
 and link with nothing; repeated rows and repeated or null doc_ids are members
@@ -39,7 +41,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ranklight.llm.common import prepare, table, written
@@ -52,6 +54,9 @@ PERCENT = 80
 BANDS, ROWS = 28, 4
 #: Words whose hashes a worker keeps before it starts anew.
 CACHE_WORDS = 200_000
+#: Early shingles that a prefix row carries; all of them for sets of up to
+#: 5 * EARLY shingles at 80 %.  More only rule out more pairs before the check.
+EARLY = 256
 #: Shingles sketched at once; bounds the memory of a task.
 BLOCK = 1 << 19
 
@@ -129,7 +134,7 @@ def _blocks(batches, k: int):
         texts, ids, sets, size = batch.column(1), [], [], 0
         for i in range(batch.num_rows):
             s = shingles(texts[i].as_py(), k)
-            ids.append(batch.column(0)[i].as_py())
+            ids.append((batch.column(0)[i].as_py(), batch.column(2)[i].as_py()))
             sets.append(s)
             size += len(s)
             if size >= BLOCK:
@@ -149,10 +154,11 @@ def _sketch(k: int, bands: int, rows: int):
         for ids, sets in _blocks(batches, k):
             keys = band_keys(sketches(sets, bands * rows), bands, rows).view(np.int64)
             yield pa.RecordBatch.from_arrays([
-                pa.array(ids, pa.int64()), pa.array([_class(s) for s in sets], pa.binary()),
+                pa.array([i for i, _ in ids], pa.int64()), pa.array([v for _, v in ids], pa.int64()),
+                pa.array([_class(s) for s in sets], pa.binary()),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([row.tolist() if len(s) else [] for row, s in zip(keys, sets, strict=True)], pa.list_(pa.int64()))],
-                names=["doc_id", "cls", "n", "bands"])
+                names=["doc_id", "version", "cls", "n", "bands"])
     return run
 
 
@@ -180,13 +186,16 @@ def _need(x: str, y: str, percent: int):
     return (F.col(x) + F.col(y)) * percent
 
 
-def near_duplicates(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT,
-                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
+def groups(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT,
+           bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """One row per document: doc_id, version (64-bit hash of its text), n (set
+    size), root (names the component, by content alone; null for an empty set)
+    and component_id (the smallest doc_id of the component)."""
     prepare(documents, "doc_id", "text")
     d = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    d = d.withColumn("version", F.xxhash64("text"))
     sk = written(d.mapInArrow(_sketch(shingle_words, bands, rows),
-                              "doc_id long, cls binary, n long, bands array<long>"), "neardup-sketches")
+                              "doc_id long, version long, cls binary, n long, bands array<long>"), "neardup-sketches")
     # Classes of equal sets; the bands are a function of the class.
     classes = written(sk.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
                                                            F.first("bands").alias("bands")), "neardup-classes")
@@ -220,8 +229,14 @@ def near_duplicates(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, pe
     comp = (classes.select("cls", "doc_id").join(roots, classes["cls"] == roots["node"], "left")
             .select("cls", "doc_id", F.coalesce("root", "cls").alias("root")))
     lowest = comp.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = written(comp.join(lowest, "root").select(F.col("cls").alias("c"), "component_id"), "neardup-named")
-    out = sk.join(named, sk["cls"] == named["c"], "left")
+    named = written(comp.join(lowest, "root").select(F.col("cls").alias("c"), "root", "component_id"), "neardup-named")
+    return sk.join(named, sk["cls"] == named["c"], "left").select("doc_id", "version", "n", "root", "component_id")
+
+
+def near_duplicates(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, percent: int = PERCENT,
+                    bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept."""
+    out = groups(documents, shingle_words, percent, bands, rows)
     component = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
     return (out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
@@ -242,19 +257,28 @@ def _between(m: DataFrame, roots: DataFrame, reach: DataFrame, sets: DataFrame,
     left = written(left, "neardup-unsolved")
     items = sets.join(left.select("cls"), "cls", "left_semi").select("cls", F.explode("items").alias("item"))
     order = items.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
-    w = Window.partitionBy("cls").orderBy("df", "item")
     # Rare shingles first; the longest prefix that any partner can ask for.
-    prefix = (items.join(order, "item").withColumn("pos", F.row_number().over(w)).join(left, "cls")
-              .where(F.col("pos") * 100 <= F.col("n") * (100 - percent) + 100)
-              .select("cls", "item", "pos", "n", "reach", "root", "outside"))
+    ordered = (items.join(order, "item").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("e"))
+               .join(left, "cls").withColumn("items", F.col("e.item")))
+    most = F.floor((F.col("n") * (100 - percent) + 100) / 100).cast("int")
+    prefix = (ordered.withColumn("prefix", F.slice("items", F.lit(1), most))
+              .select("cls", "n", "reach", "root", "outside", F.slice("prefix", 1, EARLY).alias("early"), F.posexplode("prefix").alias("pos", "item"))
+              .withColumn("pos", F.col("pos") + 1))
     prefix = written(prefix, "neardup-prefixes")
-    x = prefix.where("outside").select("item", *[F.col(c).alias(f"{c}_a") for c in ("cls", "pos", "n", "reach", "root")])
-    y = prefix.select("item", *[F.col(c).alias(f"{c}_b") for c in ("cls", "pos", "n", "reach", "root", "outside")])
+    cols = ("cls", "pos", "n", "reach", "root", "early")
+    x = prefix.where("outside").select("item", *[F.col(c).alias(f"{c}_a") for c in cols])
+    y = prefix.select("item", *[F.col(c).alias(f"{c}_b") for c in (*cols, "outside")])
     # Shingles of a that may follow the shared one, it included, must reach the overlap; so must b's.
     room = F.least(F.col("n_a") - F.col("pos_a") + 1, F.col("n_b") - F.col("pos_b") + 1, "reach_a", "reach_b")
+    # A pair is made once, at its first common shingle, and only if the common
+    # early ones and all that may follow the early ones of either reach the overlap.
+    common = F.array_intersect("early_a", "early_b")
+    first = F.coalesce(F.get(common, F.lit(0)) == F.col("item"), F.lit(True))
+    rest = F.greatest(F.col("n_a") - F.size("early_a"), F.col("n_b") - F.size("early_b"))
     pairs = x.join(y, "item").where(
         (F.col("root_a") != F.col("root_b")) & (room * (100 + percent) >= _need("n_a", "n_b", percent))
-        & (~F.col("outside_b") | (F.col("cls_a") < F.col("cls_b"))))
+        & (~F.col("outside_b") | (F.col("cls_a") < F.col("cls_b")))
+        & first & ((F.size(common) + rest) * (100 + percent) >= _need("n_a", "n_b", percent)))
     return pairs.select(F.least("cls_a", "cls_b").alias("a"), F.greatest("cls_a", "cls_b").alias("b")).distinct()
 
 

@@ -66,8 +66,33 @@ def test_run_on_test_data(spark):
     assert sum(p.length for p in pieces) == sum({p.doc_id: p.doc_tokens for p in pieces}.values())
 
 
-def test_language_scores_leave_room(spark):
+def test_short_clean_texts_stay(spark):
+    """With the model of the test data, few n-grams decide nothing; many without likeness do."""
     docs = table(spark, "/root/testdata/sf0.01", "documents")
+    short = ["Avec.", "A.", "Ok", "A.\nAll rights reserved.", "Und"]
+    junk = " ".join("qxzj" + "wvkq"[i % 4] * 5 + "zzxq" for i in range(40))
+    rows = [(10_000 + i, t, "en", "x", len(t)) for i, t in enumerate([*short, junk, "12 34"])]
+    d = docs.unionByName(spark.createDataFrame(rows, docs.schema))
+    kept = {r.doc_id for r in cp.language_id(spark, d, "").select("doc_id").collect()}
+    assert {10_000 + i for i in range(len(short))} <= kept and 10_000 + len(short) + 1 not in kept
     scores = sorted(r.score for r in langid.predict(docs, langid.train_split(docs)).collect())
     assert scores[10] > cp.MIN_LANGUAGE_SCORE
-    print("lowest scores", scores[:10])
+    print("junk kept", 10_000 + len(short) in kept, "lowest scores", scores[:10])
+
+
+def test_one_id_with_several_texts(spark, docs):
+    """Decisions go to rows: the near copy under id 7 goes, its other text stays."""
+    text = EN + " " + DE + " " + " ".join(f"more{i}" for i in range(40))
+    other = " ".join(f"own{i}" for i in range(60))
+    got = sorted((r.doc_id, r.text) for r in cp.near_dedup(spark, docs([(1, text), (7, text + " z"), (7, other)]), "").collect())
+    assert got == [(1, text), (7, other)]
+
+
+def test_near_copies_without_ids(spark, docs):
+    text = EN + " " + DE + " " + " ".join(f"more{i}" for i in range(40))
+    rows = [(None, text), (None, text + " z"), (3, text + " y")]
+    assert [(r.doc_id, r.text) for r in cp.near_dedup(spark, docs(rows), "").collect()] == [(3, text + " y")]
+    rows = rows[:2] + [(None, "")] * 2 + [(4, None), (4, ""), (4, "")]
+    got = cp.near_dedup(spark, docs(rows), "").collect()
+    assert sum((r.text or "").startswith(EN) for r in got) == 1
+    assert sorted((r.doc_id or 0, r.text is None) for r in got if not r.text) == [(0, False), (4, False), (4, True)] and len(got) == 4
