@@ -98,6 +98,91 @@ def lsa_components(spark, sf):
                     r6("explained_variance_ratio").alias("explained_variance_ratio"))
 
 
+def _lsa_facts_sql() -> str:
+    from ranklight.plans.content_q import CONTENT_CTES
+    return CONTENT_CTES.rstrip() + """
+SELECT least(100, (SELECT count(DISTINCT term) FROM weights) - 1) AS components, (SELECT count(DISTINCT doc_id) FROM weights) AS documents,
+       true AS falling, true AS energy_within_rows, true AS first_reaches_mean, true AS ratios_within_one"""
+
+
+@register("lsa_facts", _lsa_facts_sql())
+def lsa_facts(spark, sf):
+    """T7 by what must hold: as many components as asked for, singular values
+    falling, their squares within the squared length of all (unit) rows, the
+    first at least the length that the mean row alone explains, variance
+    ratios between 0 and 1 and together at most 1."""
+    from pyspark.sql import Window
+    w = stages.content_model(spark, sf).weights
+    r = embed.lsa_report(w, 100)
+    n = w.select(F.count_distinct("doc_id")).scalar()
+    # |X m| / |m| for the mean row m: n |m|; the first singular value is at least that.
+    mean = w.groupBy("term").agg((F.sum("w") / n).alias("m")).agg(F.sum(F.col("m") * F.col("m")).alias("s")).select(F.sqrt(F.col("s") * n)).scalar()
+    before = F.lag("singular_value").over(Window.orderBy("component"))  # 100 rows
+    r = r.withColumn("falls", F.coalesce(before >= F.col("singular_value") - 1e-9, F.lit(True)))
+    ratio = F.col("explained_variance_ratio")
+    return r.agg(F.count(F.lit(1)).alias("components"), F.min("falls").alias("falling"),
+                 F.sum(F.col("singular_value") * F.col("singular_value")).alias("energy"), F.max("singular_value").alias("s1"),
+                 F.min((ratio >= -1e-9) & (ratio <= 1 + 1e-9)).alias("each"), F.sum(ratio).alias("together")).select(
+        "components", n.alias("documents"), "falling", (F.col("energy") <= n + 1e-6).alias("energy_within_rows"),
+        (F.col("s1") >= mean - 1e-6).alias("first_reaches_mean"), (F.col("each") & (F.col("together") <= 1 + 1e-9)).alias("ratios_within_one"))
+
+
+@register("embedding_2d_facts", """SELECT count(*) AS vectors, count(DISTINCT vec_id) AS ids, true AS first_is_widest, true AS uncorrelated,
+       true AS reaches_every_dimension, true AS within_total FROM embeddings""")
+def embedding_2d_facts(spark, sf):
+    """E5 by what must hold of two principal coordinates: one row a vector,
+    the first at least as wide as the second and as any single dimension, no
+    correlation, both together within the total variance."""
+    emb = tables.table(spark, sf, "embeddings")
+    per = (emb.select(F.posexplode(F.col("embedding").cast("array<double>")).alias("d", "x")).groupBy("d").agg(F.var_samp("x").alias("v"))
+           .select(F.struct(F.max("v").alias("most"), F.sum("v").alias("total"))).scalar())
+    c = embedding_2d(spark, sf).agg(F.count(F.lit(1)).alias("vectors"), F.count_distinct("vec_id").alias("ids"), F.var_samp("x").alias("vx"),
+                                    F.var_samp("y").alias("vy"), F.covar_samp("x", "y").alias("xy"))
+    return c.select("vectors", "ids", (F.col("vx") >= F.col("vy") - 1e-9).alias("first_is_widest"),
+                    (F.abs("xy") <= 1e-6 * F.sqrt(F.col("vx") * F.col("vy")) + 1e-12).alias("uncorrelated"),
+                    (F.col("vx") >= per["most"] - 1e-9).alias("reaches_every_dimension"),
+                    (F.col("vx") + F.col("vy") <= per["total"] + 1e-9).alias("within_total"))
+
+
+@register("train_collaborative_facts", ctes(stages.CF_CTES, CAT_CTES, """elig AS (SELECT item_id FROM catalogue WHERE score >= 6.0),
+first_user AS (SELECT min(user_id) AS user_id FROM train),
+seen AS (SELECT item_id FROM train WHERE user_id = (SELECT user_id FROM first_user))""") + """
+SELECT least(5, (SELECT count(*) FROM elig WHERE item_id NOT IN (SELECT item_id FROM seen))) AS picks, 0 AS seen, 0 AS not_eligible,
+       true AS errors_in_range, true AS metrics_in_range""")
+def train_collaborative_facts(spark, sf):
+    """P3 by what must hold: the first user's picks are new to them and
+    eligible, the errors fit the rating range, the list metrics lie in [0, 1]."""
+    from ranklight.plans import jobs
+    train = collab.train_part(stages.ratings_split(spark, sf))
+    row = jobs.train_collaborative(spark, sf)
+    user = train.select(F.min("user_id")).scalar()
+    seen = train.where(F.col("user_id") == user).select(F.collect_set("item_id")).scalar()
+    good = stages.catalogue(spark, sf).where("score >= 6.0").select("item_id")
+    picks = row.select(F.explode("first_user_picks").alias("item_id")).distinct().join(good.withColumn("good", F.lit(1)), "item_id", "left")
+    p = picks.agg(F.count(F.lit(1)).alias("picks"), F.sum(F.array_contains(seen, F.col("item_id")).cast("int")).cast("int").alias("seen"),
+                  F.sum(F.col("good").isNull().cast("int")).cast("int").alias("not_eligible"))
+    wide = F.lit(collab.RATING_MAX - collab.RATING_MIN)
+    ok = row.select(F.struct(((F.col("rmse") >= F.col("mae")) & (F.col("mae") >= 0) & (F.col("rmse") <= wide)).alias("e"),
+                             (F.col("precision_at_10").between(0, 1) & F.col("recall_at_10").between(0, 1)).alias("m"))).scalar()
+    return p.select("picks", "seen", "not_eligible", ok["e"].alias("errors_in_range"), ok["m"].alias("metrics_in_range"))
+
+
+@register("train_embeddings_facts", ctes(CAT_CTES) + """
+SELECT least(10, count(*) - 1) AS neighbours, 0 AS unknown, 0 AS itself, true AS in_range,
+       (SELECT count(*) FROM catalogue) AS item_vectors FROM catalogue""")
+def train_embeddings_facts(spark, sf):
+    """P5 by what must hold: ten neighbours of the first item, all other items
+    of the catalogue, similarities in [-1, 1], a vector for every item."""
+    from ranklight.plans import jobs
+    cat, vectors = _w2v(spark, sf)
+    report = jobs.train_embeddings(spark, sf).select("item_id", "similarity").join(cat.select("item_id", F.lit(1).alias("known")), "item_id", "left")
+    first = cat.select(F.min("item_id")).scalar()
+    n = embed.item_embeddings(cat, vectors, VECTOR_SIZE).select(F.count(F.lit(1))).scalar()
+    return report.agg(F.count(F.lit(1)).alias("neighbours"), F.sum(F.col("known").isNull().cast("int")).cast("int").alias("unknown"),
+                      F.sum((F.col("item_id") == first).cast("int")).cast("int").alias("itself"),
+                      F.min(F.col("similarity").between(-1 - 1e-9, 1 + 1e-9)).alias("in_range")).withColumn("item_vectors", n)
+
+
 def _factor_eval(spark, sf, algorithm: str, reg: float):
     split = stages.ratings_split(spark, sf)
     fm = stages.factor_model(spark, sf, algorithm, 100, 20, reg)

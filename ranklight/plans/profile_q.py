@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ranklight.operators import clean, profile
 from ranklight.plans import stages
 from ranklight.plans.base_sql import CATALOGUE_RAW, RATINGS_LOG
@@ -287,6 +289,38 @@ def profile_all(spark, sf):
     return out
 
 
+def _profile_rows_sql() -> str:
+    from ranklight.plans.registry import ORACLE
+    o = lambda n: f"({ORACLE[n]})"
+    top = lambda c: (f"(SELECT item_id, {c}, row_number() OVER (ORDER BY {c} DESC NULLS LAST, item_id) AS pos "
+                     f"FROM ({CAT} SELECT * FROM catalogue) QUALIFY pos <= 20)")
+    return f"""SELECT 'genre_counts' AS tbl, genre AS key, CAST(n AS DOUBLE) AS value FROM {o('genre_counts')}
+UNION ALL SELECT 'type_distribution', type, CAST(n AS DOUBLE) FROM {o('type_distribution')}
+UNION ALL SELECT 'type_percent', type, percent FROM {o('type_distribution')}
+UNION ALL SELECT 'score_histogram', CAST(bin AS VARCHAR), CAST(n AS DOUBLE) FROM {o('score_histogram')}
+UNION ALL SELECT 'score_histogram_start', CAST(bin AS VARCHAR), bin_start FROM {o('score_histogram')}
+UNION ALL SELECT 'correlation', unnest([{', '.join(f"'{a} {b}'" for a in profile.NUMERIC for b in profile.NUMERIC)}]),
+  unnest([{', '.join(f"round(corr({a}, {b}), 6)" for a in profile.NUMERIC for b in profile.NUMERIC)}]) FROM ({CAT} SELECT * FROM catalogue)
+UNION ALL SELECT 'top_score', CAST(item_id AS VARCHAR), round(score, 6) FROM {top('score')}
+UNION ALL SELECT 'top_members', CAST(item_id AS VARCHAR), round(members, 6) FROM {top('members')}"""
+
+
+@register("profile_all_rows", _profile_rows_sql())
+def profile_all_rows(spark, sf):
+    """The rows of all profile tables of the catalogue, in long form (table, key, value)."""
+    t = profile.profile_all(stages.catalogue(spark, sf))
+    parts = (("genre_counts", "genre_counts", "genre", "n"), ("type_distribution", "type_distribution", "type", "n"),
+             ("type_percent", "type_distribution", "type", "percent"), ("score_histogram", "score_histogram", "bin", "n"),
+             ("score_histogram_start", "score_histogram", "bin", "bin_start"), ("top_score", "top_score", "item_id", "score"),
+             ("top_members", "top_members", "item_id", "members"))
+    row = lambda df, name, key, value: df.select(F.lit(name).alias("tbl"), key.cast("string").alias("key"),
+                                                 F.round(value.cast("double"), 6).alias("value"))
+    out = row(t["correlation"], "correlation", F.concat_ws(" ", "a", "b"), F.col("r"))
+    for name, table, key, value in parts:
+        out = out.unionByName(row(t[table], name, F.col(key), F.col(value)))
+    return out
+
+
 @register("episode_histogram", ctes(CAT_CTES, _hist_sql("catalogue", "episodes", 50)) + """
 SELECT g.bin, round(w.lo + g.bin * w.width, 6) AS bin_start, round(w.lo + (g.bin + 1) * w.width, 6) AS bin_end,
        coalesce(c.n, 0) AS n
