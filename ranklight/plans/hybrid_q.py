@@ -211,7 +211,7 @@ SELECT user_id, rank, item_id, round(cb_score, 6) AS cb_score, round(cf_score, 6
        round(hybrid_score, 6) AS hybrid_score FROM rkx WHERE rank <= 10"""
 
 
-@register("hybrid_weighted_batch", BATCH_SQL)
+@register("hybrid_weighted_batch", BATCH_SQL, headline=True)
 def hybrid_weighted_batch(spark, sf):
     """H2 for all test users at once, each with their top-rated training item:
     one plan keyed by user, no loop over queries."""
