@@ -2,9 +2,12 @@
 
 Each source is a queue of its documents' token ids.  The windows of
 ``window`` ids are filled in rounds: in every round a source earns its target
-share of a window as credit, and is served whole slices of ``slice_tokens``
-ids while its credit (the deficit carried from earlier rounds and windows)
-covers them.  A queue's last slice is served once its credit covers the same
+share of a window as credit, and is served whole slices of ids while its
+credit (the deficit carried from earlier rounds and windows) covers them.  A
+slice is a quarter of what the smallest source earns in a window, so that
+every source is served in every window; it has at least MIN_SLICE ids (sources
+that earn less are served every few windows) and at most MAX_SLICE.  Slices
+that a round serves to one queue lie side by side and cut nothing.  A queue's last slice is served once its credit covers the same
 fraction of it as of the others, so sources of less than a slice are spread
 over the stream too.  A source whose queue is empty leaves the rounds, the
 others go on.  With the sources' own shares of the corpus as targets (the default) all
@@ -24,7 +27,9 @@ gives the places.
 Jobs: (1) tokenize, writing ids and counts; (2) sum the counts by (partition,
 source) and turn them into offsets; (3) cut each document into pieces.
 
-Defined cases: a null text is the empty text and still holds its end id; null
+Ties: queues are served in the order of their sources' names, null first;
+queues of equal shares start with different credit, so that their slices
+spread.  Defined cases: a null text is the empty text and still holds its end id; null
 or repeated doc_ids are packed row by row; a null source is a queue of its
 own; an empty table gives an empty result; very long texts are cut over many
 windows; further columns are ignored.
@@ -45,8 +50,9 @@ from ranklight.llm.common import prepare, table, written
 from ranklight.llm.registry import register
 
 WINDOW = 4096
-#: Ids served at once; windows meet their targets up to one slice a source.
-SLICE_TOKENS = 256
+#: Bounds of the ids served at once; windows meet their targets up to one slice a source.
+MIN_SLICE = 32
+MAX_SLICE = 256
 #: Sources whose queues are sent to every task; of more, places come by joins.
 MAX_QUEUES = 255
 #: Rounds whose slices are summed up in one task.
@@ -144,10 +150,13 @@ class Mixture:
         out = np.empty(len(slices), np.int64)
         for a in range(0, len(slices), 1 << 14):  # bounds the (rounds, queues) tables
             k, f, own = slices[a:a + (1 << 14)], first[a:a + (1 << 14)], q[a:a + (1 << 14)]
-            r = self.round_of(k, own)
-            at, after = self.served(r), self.served(r + 1)
-            turn = np.arange(len(self.sizes)) < own[:, None]  # queues served earlier in the round
-            out[a:a + (1 << 14)] = np.where(turn, after, at).sum(axis=1) + f - at[np.arange(len(own)), own]
+            # Many slices share a round, so each round's table is made once.
+            rounds, r = np.unique(self.round_of(k, own), return_inverse=True)
+            at, turn = self.served(rounds), self.served(rounds + 1)
+            turn -= at
+            # All that was served before the round, then the queues served earlier in it.
+            base = at.sum(axis=1, keepdims=True) + np.cumsum(turn, axis=1) - turn - at
+            out[a:a + (1 << 14)] = base[r, own] + f
         return out
 
 
@@ -249,13 +258,19 @@ def _queues(totals: DataFrame, total: int, targets: dict | None) -> DataFrame:
     return q.withColumn("share", share).select("source", "n", "queue", "share")
 
 
+def slice_size(smallest_share: float, window: int) -> int:
+    """Ids served at once: a quarter of the smallest source's share of a window."""
+    return max(1, min(window, max(MIN_SLICE, min(MAX_SLICE, int(smallest_share * window / 4)))))
+
+
 def pack(documents: DataFrame, targets: dict[str, float] | None = None, window: int = WINDOW,
-         slice_tokens: int = SLICE_TOKENS, tokenizer_path: str | None = None, end_id: int = END_ID) -> DataFrame:
+         slice_tokens: int | None = None, tokenizer_path: str | None = None, end_id: int = END_ID) -> DataFrame:
     """Pack all documents into windows; one row per piece (see PIECES).
 
     ``targets``: token proportions by source (they need not sum to 1);
-    sources without one earn in proportion to their size.  Every id lies in
-    exactly one piece; only the last window is shorter than ``window``.
+    sources without one earn in proportion to their size.  ``slice_tokens``:
+    ids served at once (None: see ``slice_size``).  Every id lies in exactly
+    one piece; only the last window is shorter than ``window``.
     """
     spark = documents.sparkSession
     toks = tokenized(documents, tokenizer_path, end_id)
@@ -264,6 +279,8 @@ def pack(documents: DataFrame, targets: dict[str, float] | None = None, window:
     totals = counts.groupBy("source").agg(F.sum("n").alias("n"))
     sources, total = totals.agg(F.count(F.lit(1)), F.sum("n")).first()
     queues = written(_queues(totals, total or 1, targets), "packing-queues")
+    if slice_tokens is None:
+        slice_tokens = slice_size(queues.agg(F.min("share")).first()[0] or 1.0, window)
     of_all = queues.select(F.col("source").alias("s"), F.col("n").alias("size"), "queue", "share")
     w = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     starts = written(counts.join(of_all, counts["source"].eqNullSafe(of_all["s"]))

@@ -2,6 +2,7 @@
 
 import zlib
 from collections import defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -84,6 +85,59 @@ def test_places_by_joins_equal_the_closed_form(spark, docs, monkeypatch, targets
     assert sorted(map(tuple, got), key=str) == want
 
 
+def _simulated(queues, total, window, size):
+    """The stream of a plain deficit round-robin: a list of ids (doc_id, place) by queue."""
+    stream, at = [], [0] * len(queues)
+    phase = [Fraction(k, len(queues)) for k in range(len(queues))]
+    credit = list(phase)
+    while any(a < len(q) for a, q in zip(at, queues, strict=True)):
+        for k, q in enumerate(queues):
+            credit[k] += Fraction(len(q), total) * window / size
+            while len(q) - at[k] > size and credit[k] >= 1:
+                stream += q[at[k]:at[k] + size]
+                at[k] += size
+                credit[k] -= 1
+            rest = len(q) - at[k]
+            if 0 < rest <= size and credit[k] >= phase[k] + (1 - phase[k]) * Fraction(rest, size):
+                stream += q[at[k]:]
+                at[k] = len(q)
+    return stream
+
+
+@pytest.mark.parametrize("window,size,total,seed", [(256, 32, 4096, 0), (128, 16, 2048, 1), (64, 64, 2048, 2), (512, 8, 8192, 3)])
+@pytest.mark.parametrize("most", [255, 2])
+def test_pack_equals_a_simulated_round_robin(spark, docs, monkeypatch, most, window, size, total, seed):
+    # Four sources and a power of two of ids: shares and credits have no rounding.
+    rng, rows = np.random.default_rng(seed), []
+    left = total
+    while left:
+        n = min(left, int(rng.choice([1, 5, 40, 300])))
+        rows.append((len(rows), " ".join(["one"] * (n - 1)), None, "abcd"[min(3, int(rng.integers(0, 9)))]))
+        left -= n
+    assert sum(len(_ids(r[1])) for r in rows) == total
+    queues = [[(r[0], i) for r in rows if r[3] == s for i in range(len(_ids(r[1])))] for s in "abcd"]
+    monkeypatch.setattr(packing, "MAX_QUEUES", most)
+    got = packing.pack(docs(rows).coalesce(1), window=window, slice_tokens=size).collect()
+    stream = [None] * total
+    for r in got:
+        for i in range(r.length):
+            stream[r.sequence_id * window + r.offset + i] = (r.doc_id, r.start + i)
+    assert stream == _simulated(queues, total, window, size)
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_every_source_is_in_every_window(spark, docs, hot):
+    text = " ".join(["one two three four"] * 40)
+    rows = [(i, text, None, "s00" if hot and i % 3 == 0 else f"s{i % 20:02}") for i in range(1500)]
+    got = packing.pack(docs(rows)).collect()
+    share = defaultdict(lambda: defaultdict(int))
+    for r in got:
+        share[r.sequence_id][r.source] += r.length
+    assert len(share) > 40 and all(len(share[s]) == 20 for s in range(max(share)))
+    if not hot:  # a target of 205 ids, up to one slice a source
+        assert all(abs(v - 4096 / 20) <= 64 for s in range(max(share) - 1) for v in share[s].values())
+
+
 def test_every_source_is_mixed_in(spark, docs):
     rows = [(i, "one two three four five six seven eight nine", None, f"s{i % 300:03}") for i in range(3000)]
     got = packing.pack(docs(rows), targets={f"s{k:03}": 3.0 if k == 299 else 1.0 for k in range(300)}, window=3000, slice_tokens=10).collect()
