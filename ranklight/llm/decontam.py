@@ -15,8 +15,11 @@ never shuffled, and the result does not depend on the number of blocks.
 Defined cases: null and empty texts match nothing; an item with fewer words
 than MIN_MATCH must occur as a whole, one with fewer than ``MIN_ITEM`` never
 matches; repeated items and rows each give their rows; an empty table on
-either side gives an empty result; very long texts are read slice by slice
-and tiled as a whole; further columns are kept by ``decontaminate``.
+either side gives an empty result; of equally long matches the one on the
+smaller diagonal (place in document - place in item), then the earlier one, is
+marked first; very long texts are read slice by slice and tiled as a whole,
+their matches kept as runs, so that memory grows with the text and not with
+its product with an item of the same repeated words; further columns are kept by ``decontaminate``.
 """
 
 from __future__ import annotations
@@ -39,6 +42,9 @@ COVERAGE = 0.5
 BLOCK_WORDS = 400_000
 #: Characters split into words at once.
 SLICE_CHARS = 1 << 20
+#: Pairs of equal seeds, and words of broken matches, looked at together.
+SEED_PAIRS = 1 << 20
+CELLS = 1 << 22
 
 _WORD = re.compile(r"[^\W_]+")
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -70,33 +76,60 @@ def seed_hashes(ids: np.ndarray, m: int) -> np.ndarray:
     return out ^ (out >> np.uint64(31))
 
 
-def tile(doc: np.ndarray, item: np.ndarray, pairs: np.ndarray, m: int) -> list[tuple[int, int, int]]:
-    """Greedy tiles (place in doc, place in item, words).  ``pairs``: places
-    (doc, item) where m equal words begin in both."""
-    free_doc, free_item = np.ones(len(doc), bool), np.ones(len(item), bool)
+def _cut(free_doc, free_item, d, i, length: int, m: int):
+    """What marks leave of matches of one length: parts of at least m words."""
+    out = []
+    step = max(1, CELLS // length)
+    for k in range(0, len(d), step):  # bounds the table of words
+        a, b = d[k:k + step], i[k:k + step]
+        free = np.zeros((len(a), length + 2), bool)
+        free[:, 1:-1] = free_doc[a[:, None] + np.arange(length)] & free_item[b[:, None] + np.arange(length)]
+        row, at = np.nonzero(free[:, 1:] != free[:, :-1])
+        row, first, n = row[::2], at[::2], at[1::2] - at[::2]
+        keep = n >= m
+        row, first, n = row[keep], first[keep], n[keep]
+        out.append((a[row] + first, b[row] + first, n))
+    return [np.concatenate(x) for x in zip(*out, strict=True)]
+
+
+def tile(doc_words: int, item_words: int, matches, m: int) -> list[tuple[int, int, int]]:
+    """Greedy tiles (place in doc, place in item, words).  ``matches``: arrays
+    of the maximal matches of at least m words, as such triples.  Of equally
+    long ones the smaller (place in doc - place in item, place in doc) is first."""
+    free_doc, free_item = np.ones(doc_words, bool), np.ones(item_words, bool)
     tiles: list[tuple[int, int, int]] = []
-    pairs = pairs[np.lexsort((pairs[:, 0], pairs[:, 0] - pairs[:, 1]))]
-    while len(pairs):
-        # A pair stays if all its words are unmarked; neighbours on a diagonal are one match.
-        used = np.r_[0, np.cumsum(~free_doc)], np.r_[0, np.cumsum(~free_item)]
-        d, i = pairs[:, 0], pairs[:, 1]
-        pairs = pairs[(used[0][d + m] == used[0][d]) & (used[1][i + m] == used[1][i])]
-        if not len(pairs):
-            break
-        new = np.r_[True, (np.diff(pairs[:, 0]) != 1) | (np.diff(pairs[:, 1]) != 1)]
-        first = np.flatnonzero(new)
-        length = np.diff(np.r_[first, len(pairs)]) + m - 1
-        longest = int(length.max())
-        for k in first[length == longest]:
-            a, b = int(pairs[k, 0]), int(pairs[k, 1])
-            if free_doc[a:a + longest].all() and free_item[b:b + longest].all():
-                free_doc[a:a + longest] = free_item[b:b + longest] = False
-                tiles.append((a, b, longest))
-        if not free_item.any():
-            break
+    d, i, n = matches
+    while len(n):
+        longest = int(n.max())
+        top = n == longest
+        a, b, d, i, n = d[top], i[top], d[~top], i[~top], n[~top]
+        order = np.lexsort((a, a - b))
+        broken = []
+        for k in order:
+            x, y = int(a[k]), int(b[k])
+            if free_item[y:y + longest].all() and free_doc[x:x + longest].all():
+                free_doc[x:x + longest] = free_item[y:y + longest] = False
+                tiles.append((x, y, longest))
+                edges = np.flatnonzero(np.diff(np.r_[False, free_item, False]))
+                if not len(edges) or (edges[1::2] - edges[::2]).max() < m:
+                    return tiles  # no room in the item
+            else:
+                broken.append(k)
+        if broken:
+            parts = _cut(free_doc, free_item, a[broken], b[broken], longest, m)
+            d, i, n = (np.concatenate(x) for x in zip((d, i, n), parts, strict=True))
     return tiles
 
 
+def _runs(item, d, i, n):
+    """Matches that touch on one diagonal of an item, put together."""
+    order = np.lexsort((d, d - i, item))
+    item, d, i, n = item[order], d[order], i[order], n[order]
+    new = np.r_[True, (item[1:] != item[:-1]) | (d[1:] - i[1:] != d[:-1] - i[:-1]) | (d[1:] != d[:-1] + n[:-1])]
+    first = np.flatnonzero(new)
+    return item[first], d[first], i[first], np.add.reduceat(n, first)
+
+
 class Benchmark:
     """A block of items, ready to meet documents."""
 
@@ -104,6 +137,7 @@ class Benchmark:
         self.coverage, self.vocabulary = coverage, {}
         self.items: list[tuple] = []
         lengths: dict[int, list] = defaultdict(list)
+        texts: list[np.ndarray] = []
         for item_id, text in items:
             words = _WORD.findall((text or "").lower())
             if len(words) < MIN_ITEM:
@@ -112,53 +146,65 @@ class Benchmark:
             m = min(min_match, len(ids))
             h = seed_hashes(ids, m)
             lengths[m].append((h, np.full(len(h), len(self.items)), np.arange(len(h))))
-            self.items.append((item_id, ids, m))
+            self.items.append((item_id, len(ids), m))
+            texts.append(ids)
+        self.words = np.concatenate([*texts, np.zeros(0, np.int64)])  # of all items, item k from base[k] on
+        self.base = np.r_[0, np.cumsum([len(t) for t in texts])].astype(np.int64)
         self.seeds = {}  # seed words: (sorted hashes, their items, their places)
         for m, parts in lengths.items():
             h, item, at = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(h, kind="stable")
             self.seeds[m] = h[order], item[order], at[order]
 
-    def _pairs(self, ids: np.ndarray) -> dict[int, np.ndarray]:
-        """Seed pairs (place in doc, place in item) by item."""
-        found: dict[int, list] = defaultdict(list)
-        known = ids != 0
+    def _matches(self, ids: np.ndarray):
+        """Maximal matches (item, place in doc, place in item, words), by item.
+        Seeds are met SEED_PAIRS at a time and kept as runs on their diagonals,
+        so words that repeat in text and item cost no memory of their product."""
+        found = []
+        known = np.r_[0, np.cumsum(ids != 0)]
         for m, (h, item, at) in self.seeds.items():
             if len(ids) < m:
                 continue
-            run = np.r_[0, np.cumsum(known)]
-            start = np.flatnonzero(run[m:] - run[:-m] == m)  # every word is an item's
-            if not len(start):
-                continue
+            start = np.flatnonzero(known[m:] - known[:-m] == m)  # every word is an item's
             hashes = seed_hashes(ids, m)[start]
             lo, hi = np.searchsorted(h, hashes, "left"), np.searchsorted(h, hashes, "right")
-            n = hi - lo
-            place = np.repeat(start, n)
-            k = np.repeat(lo, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            order = np.argsort(item[k], kind="stable")
-            place, k = place[order], k[order]
-            cuts = np.flatnonzero(np.diff(item[k])) + 1
-            for p, q in zip(np.split(place, cuts), np.split(k, cuts), strict=True):
-                if len(q):
-                    found[int(item[q[0]])].append(np.stack([p, at[q]], axis=1))
-        return {i: np.concatenate(x) for i, x in found.items()}
+            start, lo, hits = start[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+            part = np.cumsum(hits) // SEED_PAIRS
+            for idx in np.split(np.arange(len(start)), np.flatnonzero(np.diff(part)) + 1):
+                n = hits[idx]
+                d = np.repeat(start[idx], n)
+                k = np.repeat(lo[idx], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+                w = self.base[item[k]] + at[k]
+                same = np.ones(len(k), bool)
+                for j in range(m):  # equal hashes are confirmed word by word
+                    same &= ids[d + j] == self.words[w + j]
+                k, d = k[same], d[same]
+                if len(k):
+                    found.append((*_runs(item[k], d, at[k], np.ones(len(k), np.int64)), m))
+        if not found:
+            return []
+        extra = np.concatenate([np.full(len(f[0]), f[4] - 1) for f in found])
+        which, d, i, seeds = (np.concatenate([f[c] for f in found]) for c in range(4))
+        shortest = np.zeros(len(self.items), np.int64)
+        shortest[which] = extra  # an item's seeds all have the same words
+        which, d, i, seeds = _runs(which, d, i, seeds)
+        n = seeds + shortest[which]
+        cuts = np.r_[0, np.flatnonzero(np.diff(which)) + 1, len(which)]
+        return [(int(which[a]), d[a:b], i[a:b], n[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
     def find(self, text: str | None) -> list[tuple]:
         """(item_id, matched words, item words, tiles) of the items found."""
         ids, out = word_ids(text, self.vocabulary), []
-        for i, pairs in sorted(self._pairs(ids).items()):
-            item_id, item, m = self.items[i]
-            # Words of the item that any seed reaches bound what tiles can cover.
-            reach = np.zeros(len(item) + 1, np.int64)
-            np.add.at(reach, np.unique(pairs[:, 1]), 1)
-            np.add.at(reach, np.unique(pairs[:, 1]) + m, -1)
-            if (np.cumsum(reach[:-1]) > 0).sum() < self.coverage * len(item):
+        for k, d, i, n in self._matches(ids):
+            item_id, words, m = self.items[k]
+            # Words of the item that any match reaches bound what tiles can cover.
+            reach = np.bincount(i, minlength=words + 1) - np.bincount(i + n, minlength=words + 1)
+            if (np.cumsum(reach[:-1]) > 0).sum() < self.coverage * words:
                 continue
-            same = (ids[pairs[:, :1] + np.arange(m)] == item[pairs[:, 1:] + np.arange(m)]).all(axis=1)
-            tiles = tile(ids, item, pairs[same], m)  # equal hashes were confirmed word by word
+            tiles = tile(len(ids), words, (d, i, n), m)
             matched = sum(t[2] for t in tiles)
-            if matched >= self.coverage * len(item) and tiles:
-                out.append((item_id, matched, len(item), len(tiles)))
+            if matched >= self.coverage * words and tiles:
+                out.append((item_id, matched, words, len(tiles)))
         return out
 
 

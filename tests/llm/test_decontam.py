@@ -31,8 +31,11 @@ def _brute_tiles(doc, item, m):
                 tiles.append((i, j, best))
 
 
+@pytest.mark.parametrize("pairs", [5, 1 << 20])
 @pytest.mark.parametrize("seed", range(25))
-def test_tiles_equal_brute_force(seed):
+def test_tiles_equal_brute_force(seed, pairs, monkeypatch):
+    monkeypatch.setattr(dc, "SEED_PAIRS", pairs)
+    monkeypatch.setattr(dc, "CELLS", 3 * pairs)
     rng = random.Random(seed)
     words = [f"w{i}" for i in range(rng.choice([2, 3, 30]))]
     item = [rng.choice(words) for _ in range(rng.randint(3, 25))]
@@ -44,6 +47,28 @@ def test_tiles_equal_brute_force(seed):
     assert sum(f[1] for f in found) == _brute_tiles(doc, item, min(3, len(item)))
 
 
+def test_several_items_equal_brute_force():
+    for seed in range(40):
+        rng = random.Random(seed)
+        items = [[rng.choice("abc") for _ in range(rng.randint(3, 30))] for _ in range(6)]
+        doc = [rng.choice("abcz") for _ in range(60)] + items[2] + items[4][5:]
+        found = {f[0]: f[1] for f in dc.Benchmark([(k, " ".join(t)) for k, t in enumerate(items)], coverage=1e-9).find(" ".join(doc))}
+        want = {k: _brute_tiles(doc, t, min(dc.MIN_MATCH, len(t))) for k, t in enumerate(items)}
+        assert found == {k: v for k, v in want.items() if v}
+
+
+@pytest.mark.parametrize("item,matched", [("la " * 60, 60), ("la " * 30 + "di " + "la " * 29, 59), ("la " * 50 + "one two three four five six", 50)])
+def test_a_million_equal_words_in_bounded_memory(item, matched):
+    import tracemalloc
+    bench, text = dc.Benchmark([(1, item)]), "la " * 1_000_000
+    tracemalloc.start()
+    found = bench.find(text)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert [f[:2] for f in found] == [(1, matched)]
+    assert peak < 500e6, peak
+
+
 ITEM = "Which of the seven rivers flows north through the old town before it meets the grey sea at dusk"
 
 
