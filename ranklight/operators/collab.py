@@ -194,16 +194,13 @@ def fold_of(n_folds: int = 5) -> F.Column:
     return ((F.instr(F.lit("0123456789abcdef"), first) - 1) % n_folds).cast("int")
 
 
-def cross_validate_baseline(ratings: DataFrame, n_folds: int = 5, reg_item: float = 10.0,
-                            reg_user: float = 15.0) -> DataFrame:
-    """M10 for M2: per fold f, fit on the other folds and score fold f.
-
-    All folds in one plan, every rating read and shuffled once: aggregates
-    keep one conditional column per fold, and the training statistics of
-    fold f are "all minus fold f" (mean, item sums) or sums over rows of
-    other folds (user residuals).  Output: fold, rmse, mae, n, then 'mean'.
-    """
-    r = ratings.filter(F.col("rating") > 0).select("user_id", "item_id", "rating").withColumn("fold", fold_of(n_folds))
+def _fold_baselines(r: DataFrame, n_folds: int, reg_item: float, reg_user: float):
+    """M2 fitted without fold f, for every f, in one read of ``r`` (user_id,
+    item_id, rating, fold): aggregates keep one conditional column per fold,
+    and the training statistics of fold f are "all minus fold f" (mean, item
+    sums) or sums over rows of other folds (user residuals).  Returns the
+    means, the rows with their item's terms ``bi`` and the users' terms
+    ``bu`` (arrays by fold)."""
     folds = range(n_folds)
     tot = _scalar_struct(r, [F.sum("rating").alias("S"), F.count(F.lit(1)).alias("N")] +
                          [F.sum(F.when(F.col("fold") == f, F.col("rating"))).alias(f"s{f}") for f in folds] +
@@ -222,11 +219,11 @@ def cross_validate_baseline(ratings: DataFrame, n_folds: int = 5, reg_item: floa
         *[F.count(F.when(F.col("fold") != f, 1)).alias(f"c{f}") for f in folds])
     users = users.select("user_id", F.array(*[
         F.coalesce(F.col(f"t{f}") / (F.col(f"c{f}") + reg_user), F.lit(0.0)) for f in folds]).alias("bu"))
-    fold_mu = F.element_at(F.array(*mu), F.col("fold") + 1)
-    pred = (rows.join(users, "user_id", "left")
-            .withColumn("prediction", clip(fold_mu + F.coalesce(F.element_at("bu", F.col("fold") + 1), F.lit(0.0))
-                                           + F.coalesce(F.element_at("bi", F.col("fold") + 1), F.lit(0.0)),
-                                           RATING_MIN, RATING_MAX)))
+    return mu, rows, users
+
+
+def _fold_errors(pred: DataFrame) -> DataFrame:
+    """RMSE and MAE of (fold, rating, prediction) by fold, and their means."""
     d = F.col("prediction") - F.col("rating")
     per = pred.groupBy("fold").agg(F.sqrt(F.avg(d * d)).alias("rmse"), F.avg(F.abs(d)).alias("mae"),
                                    F.count(F.lit(1)).alias("n"))
@@ -236,6 +233,23 @@ def cross_validate_baseline(ratings: DataFrame, n_folds: int = 5, reg_item: floa
                                      F.col("n").cast("long").alias("n"))))
 
 
+def cross_validate_baseline(ratings: DataFrame, n_folds: int = 5, reg_item: float = 10.0,
+                            reg_user: float = 15.0) -> DataFrame:
+    """M10 for M2: per fold f, fit on the other folds and score fold f.
+
+    All folds in one plan, every rating read and shuffled once.  Output:
+    fold, rmse, mae, n, then 'mean'.
+    """
+    r = ratings.filter(F.col("rating") > 0).select("user_id", "item_id", "rating").withColumn("fold", fold_of(n_folds))
+    mu, rows, users = _fold_baselines(r, n_folds, reg_item, reg_user)
+    fold_mu = F.element_at(F.array(*mu), F.col("fold") + 1)
+    pred = (rows.join(users, "user_id", "left")
+            .withColumn("prediction", clip(fold_mu + F.coalesce(F.element_at("bu", F.col("fold") + 1), F.lit(0.0))
+                                           + F.coalesce(F.element_at("bi", F.col("fold") + 1), F.lit(0.0)),
+                                           RATING_MIN, RATING_MAX)))
+    return _fold_errors(pred)
+
+
 def _scalar_struct(df: DataFrame, fields: list):
     """A one-row aggregate as a struct-valued scalar subquery (run once)."""
     return df.select(F.struct(*fields)).scalar()
@@ -360,22 +374,74 @@ def recommend_all(model, ratings: DataFrame, catalogue: DataFrame, users: DataFr
     return many(model, ratings, catalogue, users, top_n, min_score)
 
 
+@dataclass
+class FoldFactors:
+    """Factors of all folds in one ALS model: the id of (index, fold) is
+    index * n_folds + fold."""
+    als: object
+    rows: DataFrame           # user_idx, item_idx, fold, rating, base (bias predictions by fold)
+    n_folds: int
+    reg: float
+
+    def training(self) -> DataFrame:
+        """(user_key, item_key, target): each rating once for every fold that trains on it."""
+        f = F.explode(F.sequence(F.lit(0), F.lit(self.n_folds - 1))).alias("f")
+        return (self.rows.select("*", f).where("f <> fold")
+                .select(self._key("user_idx", "f").alias("user_key"), self._key("item_idx", "f").alias("item_key"),
+                        (F.col("rating") - F.element_at("base", F.col("f") + 1)).alias("target")))
+
+    def predictions(self) -> DataFrame:
+        """(fold, rating, prediction) of every rating by the factors of its own fold."""
+        own = self.rows.select("fold", "rating", F.element_at("base", F.col("fold") + 1).alias("b"),
+                               self._key("user_idx", "fold").alias("user_key"), self._key("item_idx", "fold").alias("item_key"))
+        scored = self.als.transform(own)
+        # A user or item that a fold did not train on has no factors there.
+        factor = F.coalesce(F.nanvl(F.col("prediction"), F.lit(0.0)), F.lit(0.0))
+        return scored.select("fold", "rating", clip(F.col("b") + factor, RATING_MIN, RATING_MAX).alias("prediction"))
+
+    def sizes(self) -> DataFrame:
+        """(fold, users, items) that have factors."""
+        def count(df, name):
+            return df.groupBy(F.pmod("id", F.lit(self.n_folds)).alias("fold")).agg(F.count(F.lit(1)).alias(name))
+        return count(self.als.userFactors, "users").join(count(self.als.itemFactors, "items"), "fold")
+
+    def _key(self, idx: str, fold: str) -> F.Column:
+        # ALS takes int ids; more (index, fold) pairs than ints raise in the cast.
+        return (F.col(idx).cast("long") * self.n_folds + F.col(fold)).cast("int")
+
+
+def fit_fold_factors(ratings: DataFrame, n_folds: int = 5, algorithm: str = "SVD", rank: int = 100,
+                     max_iter: int = 20, reg: float = 0.1, seed: int = 42) -> FoldFactors:
+    """One ALS fit whose users and items are (id, fold): the folds share no
+    key, so their normal equations are those of separate fits, and every
+    iteration serves all folds in the same shuffles."""
+    if algorithm not in ("SVD", "NMF"):
+        raise ValueError(f"unknown algorithm {algorithm!r}; use 'SVD' or 'NMF'")
+    from pyspark.ml.recommendation import ALS
+    from ranklight.operators.features import user_item_index
+    from ranklight.session import stage_path
+    spark = ratings.sparkSession
+    r = ratings.filter(F.col("rating") > 0).select("user_id", "item_id", F.col("rating").cast("double").alias("rating"))
+    r = r.withColumn("fold", fold_of(n_folds))
+    _, _, r = user_item_index(r)
+    if algorithm == "SVD":
+        mu, rows, users = _fold_baselines(r, n_folds, 10.0, 15.0)
+        base = F.array(*[mu[f] + F.col("bu")[f] + F.col("bi")[f] for f in range(n_folds)])
+        rows = rows.join(users, "user_id")
+    else:
+        rows, base = r, F.array_repeat(F.lit(0.0), n_folds)
+    rows = rows.select("user_idx", "item_idx", "fold", "rating", base.alias("base"))
+    path = stage_path(spark, f"fold-rows-{uuid.uuid4().hex[:12]}")  # read for training and for scoring
+    rows.write.parquet(path)
+    out = FoldFactors(None, spark.read.schema(rows.schema).parquet(path), n_folds, reg)
+    als = ALS(userCol="user_key", itemCol="item_key", ratingCol="target", rank=rank, maxIter=max_iter, regParam=reg,
+              seed=seed, nonnegative=(algorithm == "NMF"), coldStartStrategy="nan", checkpointInterval=5)
+    out.als = als.fit(out.training())
+    return out
+
+
 def cross_validate_factors(ratings: DataFrame, n_folds: int = 5, algorithm: str = "SVD", rank: int = 100,
                            max_iter: int = 20, reg: float = 0.1, seed: int = 42) -> DataFrame:
-    """M10 for M3/M4: one ALS fit per fold (a loop over the n_folds folds,
-    each a distributed fit on the other folds), scored on the fold.
-    Output: fold, rmse, mae, n, then a 'mean' row."""
-    r = ratings.filter(F.col("rating") > 0).withColumn("fold", fold_of(n_folds))
-    out = None
-    for f in range(n_folds):
-        train = r.filter(F.col("fold") != f).drop("fold")
-        test = r.filter(F.col("fold") == f).drop("fold")
-        fm = fit_factors(train, algorithm, rank, max_iter, reg, seed)
-        p = predict_factors(fm, test)
-        d = F.col("prediction") - F.col("rating")
-        row = p.agg(F.sqrt(F.avg(d * d)).alias("rmse"), F.avg(F.abs(d)).alias("mae"),
-                    F.count(F.lit(1)).alias("n")).select(F.lit(str(f)).alias("fold"), "rmse", "mae", "n")
-        out = row if out is None else out.unionByName(row)
-    mean = out.agg(F.avg("rmse").alias("rmse"), F.avg("mae").alias("mae"), F.sum("n").cast("long").alias("n"))
-    return (out.unionByName(mean.select(F.lit("mean").alias("fold"), "rmse", "mae", "n"))
-            .select("fold", r6("rmse").alias("rmse"), r6("mae").alias("mae"), "n"))
+    """M10 for M3/M4: all folds fitted side by side, each rating scored by
+    the factors of its own fold.  Output: fold, rmse, mae, n, then a 'mean' row."""
+    return _fold_errors(fit_fold_factors(ratings, n_folds, algorithm, rank, max_iter, reg, seed).predictions())

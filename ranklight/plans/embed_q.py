@@ -267,6 +267,27 @@ def cross_validate_svd(spark, sf):
     return collab.cross_validate_factors(stages.ratings_clean(spark, sf), 5, "SVD", 100, 20, 0.1)
 
 
+@register("cross_validate_svd_facts", ctes(stages.CF_CTES[:3], """r AS (
+  SELECT user_id, item_id, (instr('0123456789abcdef', substr(md5(CAST(user_id AS VARCHAR) || '-' || CAST(item_id AS VARCHAR)), 1, 1)) - 1) % 5 AS home
+  FROM ratings_clean),
+folds AS (SELECT range AS f FROM range(5))""") + """
+SELECT CAST(f AS VARCHAR) AS fold, count(*) FILTER (WHERE home = f) AS n,
+       count(DISTINCT user_id) FILTER (WHERE home <> f) AS users, count(DISTINCT item_id) FILTER (WHERE home <> f) AS items,
+       true AS fits_training
+FROM folds CROSS JOIN r GROUP BY f""")
+def cross_validate_svd_facts(spark, sf):
+    """M10 on M3, what holds of every fold: the ratings it scores, the users
+    and items its training gave factors, and a training error under that of
+    the bias terms alone."""
+    fit = collab.fit_fold_factors(stages.ratings_clean(spark, sf), 5, "SVD", 100, 20, 0.1)
+    trained = fit.als.transform(fit.training())
+    better = trained.groupBy(F.pmod("user_key", F.lit(5)).alias("fold")).agg(
+        (F.avg(F.pow(F.col("target") - F.col("prediction"), 2)) < F.avg(F.pow("target", 2))).alias("fits_training"))
+    n = fit.rows.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+    return (n.join(fit.sizes(), "fold").join(better, "fold")
+            .select(F.col("fold").cast("string").alias("fold"), "n", "users", "items", "fits_training"))
+
+
 @register("recommend_all_users_svd_facts", ctes(stages.CF_CTES, CAT_CTES, """elig AS (SELECT item_id FROM catalogue WHERE score >= 6.0),
 seen AS (SELECT user_id, count(*) AS s FROM train WHERE item_id IN (SELECT item_id FROM elig) GROUP BY user_id)""") + """
 SELECT u.user_id, least(10, (SELECT count(*) FROM elig) - coalesce(s, 0)) AS picks, 0 AS seen, 0 AS not_eligible, true AS ranked

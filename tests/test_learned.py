@@ -109,3 +109,74 @@ def test_recommend_all_factors_matches_brute_force(spark):
     pred = collab.predict_factors(fm, pairs)
     want = collab.ranked_from_predictions(pred, 5).select("user_id", "item_id", F.col("rank").cast("int").alias("rank"))
     assert sorted(map(tuple, got.select("user_id", "item_id", "rank").collect())) == sorted(map(tuple, want.collect()))
+
+
+def _folded(spark, rank=3):
+    return _planted(spark, 30, 25, rank).withColumn("fold", collab.fold_of(3))
+
+
+def test_folds_side_by_side_solve_each_fold_alone(spark):
+    """After the last step every user's factors solve the normal equations of
+    their own fold: that fold's training rows and its items' factors only."""
+    ratings = _folded(spark)
+    fit = collab.fit_fold_factors(ratings.drop("fold"), 3, "SVD", rank=4, max_iter=6, reg=0.1)
+    user = {r.id: np.array(r.features) for r in fit.als.userFactors.collect()}
+    item = {r.id: np.array(r.features) for r in fit.als.itemFactors.collect()}
+    users, items = (ratings.select(c).distinct().orderBy(c).toPandas()[c].tolist() for c in ("user_id", "item_id"))
+    for f in range(3):
+        train = ratings.where(F.col("fold") != f).drop("fold")
+        base = collab.fit_baseline(train)
+        rows = collab.predict_baseline(base, train, clip_output=False).collect()
+        by_user = {}
+        for r in rows:
+            by_user.setdefault(users.index(r.user_id) * 3 + f, []).append((items.index(r.item_id) * 3 + f, r.rating - r.raw_prediction))
+        assert {k for k in user if k % 3 == f} == set(by_user)
+        assert {k for k in item if k % 3 == f} == {i for rated in by_user.values() for i, _ in rated}
+        for k, rated in by_user.items():
+            q, t = np.array([item[i] for i, _ in rated]), np.array([x for _, x in rated])
+            want = np.linalg.solve(q.T @ q + 0.1 * len(t) * np.eye(4), q.T @ t)
+            assert np.allclose(user[k], want, atol=1e-4)
+
+
+def test_folds_side_by_side_equal_single_fits(spark):
+    # Data with one factor and enough steps: one optimum, so the random start no longer shows.
+    ratings = _folded(spark, 1)
+    got = {r.fold: r for r in collab.cross_validate_factors(ratings.drop("fold"), 3, "SVD", 1, 40, 0.05).collect()}
+    singles = []
+    for f in range(3):
+        fm = collab.fit_factors(ratings.where(F.col("fold") != f).drop("fold"), "SVD", 1, 40, 0.05)
+        e = metrics.rating_errors(collab.predict_factors(fm, ratings.where(F.col("fold") == f).drop("fold"))).first()
+        singles.append(e.rmse)
+        assert got[str(f)].rmse == pytest.approx(e.rmse, abs=2e-5) and got[str(f)].mae == pytest.approx(e.mae, abs=2e-5)
+    assert got["mean"].rmse == pytest.approx(np.mean(singles), abs=2e-5)
+    assert sum(got[str(f)].n for f in range(3)) == got["mean"].n == ratings.count()
+
+
+def test_nonnegative_folds_solve_each_fold_alone(spark):
+    """With one factor the last step has a closed form (the raw ratings settle
+    too slowly from different starts to compare whole fits)."""
+    ratings = _folded(spark)
+    fit = collab.fit_fold_factors(ratings.drop("fold"), 3, "NMF", rank=1, max_iter=4, reg=0.1)
+    user = {r.id: r.features[0] for r in fit.als.userFactors.collect()}
+    item = {r.id: r.features[0] for r in fit.als.itemFactors.collect()}
+    users, items = (ratings.select(c).distinct().orderBy(c).toPandas()[c].tolist() for c in ("user_id", "item_id"))
+    rows = ratings.collect()
+    for f in range(3):
+        for u in users:
+            qt = [(item[items.index(r.item_id) * 3 + f], r.rating) for r in rows if r.user_id == u and r.fold != f]
+            want = max(0.0, sum(q * t for q, t in qt) / (sum(q * q for q, _ in qt) + 0.1 * len(qt)))
+            assert user[users.index(u) * 3 + f] == pytest.approx(want, abs=1e-4)
+
+
+def test_folds_with_items_and_users_of_one_fold(spark):
+    """An item or user rated in its own fold alone has no factors there: the bias terms decide."""
+    rows = [(u, i, float(1 + (u * i) % 9)) for u in range(12) for i in range(8)] + [(500, 3, 7.0), (2, 900, 4.0), (501, 901, 10.0)]
+    ratings = spark.createDataFrame(rows, "user_id long, item_id long, rating double")
+    got = collab.cross_validate_factors(ratings, 3, "SVD", 2, 3, 0.1).collect()
+    assert sum(r.n for r in got if r.fold != "mean") == len(rows)
+    assert all(r.rmse == r.rmse and r.rmse < 10 for r in got)
+
+
+def test_unknown_algorithm_of_folds_raises(spark):
+    with pytest.raises(ValueError):
+        collab.cross_validate_factors(_planted(spark), 3, "KNN")
