@@ -169,6 +169,8 @@ class Benchmark:
             hashes = seed_hashes(ids, m)[start]
             lo, hi = np.searchsorted(h, hashes, "left"), np.searchsorted(h, hashes, "right")
             start, lo, hits = start[hi > lo], lo[hi > lo], (hi - lo)[hi > lo]
+            if not len(start):
+                continue
             part = np.cumsum(hits) // SEED_PAIRS
             for idx in np.split(np.arange(len(start)), np.flatnonzero(np.diff(part)) + 1):
                 n = hits[idx]
