@@ -3,8 +3,8 @@
 The tokenizer's pre-tokens never span white space, so a text's ids are the
 ids of its space-separated chunks one after another.  Chunks repeat, their
 ids are kept in a cache of bounded size; a new chunk of plain Latin-1 text is
-split by the tokenizer's own pattern and only its model is called, any other
-chunk goes through the whole tokenizer.
+split by the tokenizer's own pattern, its pieces share the cache, and only the
+tokenizer's model is called; any other chunk goes through the whole tokenizer.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from array import array
 
 import regex
 
-#: Entries a cache holds before it starts anew (about 200 bytes each).
-CACHE_ENTRIES = 250_000
+#: Entries the cache holds before it starts anew (about 200 bytes each).
+CACHE_ENTRIES = 500_000
 #: Characters tokenized at once: bounds the memory for a very long text.
 SLICE_CHARS = 1 << 20
 
@@ -60,7 +60,6 @@ class WordTokenizer:
         self.letters = {chr(b): letters[b] for b in range(128)}
         self.letters.update({chr(c): "".join(letters[b] for b in chr(c).encode()) for c in range(128, 256)})
         self.table = str.maketrans(self.letters)
-        self.pieces = _Cache(self._piece)
         self.chunks = _Cache(self._chunk)
 
     def _piece(self, piece: str) -> bytes:
@@ -74,16 +73,16 @@ class WordTokenizer:
         # Printable Latin-1 has no control characters, other spaces or marks;
         # a "<" may begin a special token.
         if chunk.isprintable() and "<" not in chunk and (chunk.isascii() or max(chunk) < "Ā"):
-            pieces, low = self.pieces, chunk.lower()
-            if low.isalpha():
-                return pieces[low]
-            return b"".join([pieces[p] for p in _PRE.findall(low)])
+            low = chunk.lower()
+            pieces = [low] if low.isalpha() else _PRE.findall(low)
+            if pieces == [chunk]:
+                return self._piece(chunk)
+            return b"".join([self.chunks[p] for p in pieces])
         return array("I", self.full.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def forget(self) -> None:
-        """Free the caches; a worker outlives the tasks that filled them."""
+        """Free the cache; a worker outlives the tasks that filled it."""
         self.chunks.clear()
-        self.pieces.clear()
 
     def _ids(self, text: str) -> bytes:
         words = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
