@@ -15,7 +15,7 @@ from array import array
 import regex
 
 #: Entries the cache holds before it starts anew (about 200 bytes each).
-CACHE_ENTRIES = 500_000
+CACHE_ENTRIES = 350_000
 #: Characters tokenized at once: bounds the memory for a very long text.
 SLICE_CHARS = 1 << 20
 
