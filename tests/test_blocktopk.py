@@ -121,3 +121,13 @@ def test_empty_and_single(spark):
     assert [tuple(r) for r in similarity.all_pairs_top_k(one, 5, False).collect()] == [(1, 1, 1.0, 1)]
     none = spark.createDataFrame([], "id long, v array<double>")
     assert similarity.vector_top_k(none, "id", "v", 5, "euclidean").count() == 0
+
+
+def test_queries_travel_once_a_group(spark):
+    """Without likeness every query needs every block, yet it is sent to each group of blocks only."""
+    rng = np.random.default_rng(2)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(rng.normal(size=(300, 32)))], "id long, v array<double>")
+    kind = blocktopk.Dense("cosine_eps")
+    blocks = blocktopk.build_blocks(blocktopk.dense_rows(df, "id", "v", "cosine_eps"), kind, 6, None, similarity._blocks_path(spark))
+    sent = blocktopk.surviving_pairs(blocks, kind).select(F.sum(F.size("q_rep"))).first()[0]
+    assert sent <= 300 * -(-blocks.count() // blocktopk.CHUNK)
