@@ -180,3 +180,14 @@ def test_folds_with_items_and_users_of_one_fold(spark):
 def test_unknown_algorithm_of_folds_raises(spark):
     with pytest.raises(ValueError):
         collab.cross_validate_factors(_planted(spark), 3, "KNN")
+
+
+def test_lsa_variances_need_no_row_per_document_and_component(spark):
+    rng = np.random.default_rng(4)
+    m = np.where(rng.random((40, 12)) < 0.5, rng.random((40, 12)), 0)
+    w = spark.createDataFrame([(int(i), f"t{j}", float(m[i, j])) for i, j in zip(*np.nonzero(m), strict=True)], "doc_id long, term string, w double")
+    report = embed.lsa_report(w, 4)
+    assert "Join" not in report._jdf.queryExecution().executedPlan().toString()
+    coords = m @ np.linalg.svd(m)[2][:4].T
+    assert np.allclose([r.explained_variance for r in report.orderBy("component").collect()], coords.var(0), atol=1e-9)
+    assert report.select(F.first("explained_variance_ratio")).count() == 1
