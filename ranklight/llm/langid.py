@@ -51,6 +51,7 @@ class Encoder:
             if chr(c).isalpha():
                 letters[c] = True
         self.letters = letters
+        self.place = np.zeros(0x110000, np.int64)
 
     def letter(self, code: int) -> np.ndarray:
         """The vector of a letter (0: the space)."""
@@ -86,10 +87,14 @@ class Encoder:
 
     def profiles(self, texts: list) -> np.ndarray:
         """(texts, dim) sums of n-gram vectors; zero where there is no letter."""
-        out = np.zeros((len(texts), self.dim), np.float64)
+        return self.bundles(texts, np.arange(len(texts)), len(texts))
+
+    def bundles(self, texts: list, label: np.ndarray, n_labels: int) -> np.ndarray:
+        """(labels, dim) sums of the n-gram vectors of each label's texts."""
+        out = np.zeros((n_labels, self.dim), np.float64)
         rows, parts, size = [], [], 0
         for row, s in self._slices(texts):
-            rows.append(row)
+            rows.append(label[row])
             parts.append(s)
             size += len(s)
             if size >= BLOCK_CHARS or len(parts) >= BLOCK_ROWS:
@@ -101,8 +106,13 @@ class Encoder:
 
     def _add(self, out: np.ndarray, rows: list, parts: list) -> None:
         n = self.order
-        alphabet, local = np.unique(np.concatenate(parts), return_inverse=True)
+        symbols = np.concatenate(parts)
+        seen = np.zeros(0x110000, bool)
+        seen[symbols] = True
+        alphabet = np.flatnonzero(seen)
         k = len(alphabet)
+        self.place[alphabet] = np.arange(k)
+        local = self.place[symbols]
         lengths = np.array([len(p) for p in parts])
         key = np.zeros(len(local) - n + 1, np.int64) if len(local) >= n else np.zeros(0, np.int64)
         for i in range(n):
@@ -123,8 +133,10 @@ class Encoder:
             col = index[key]
         else:
             grams, col = np.unique(key, return_inverse=True)
-        counts = np.bincount(owner * len(grams) + col, minlength=len(parts) * len(grams))
-        counts = counts.reshape(len(parts), len(grams)).astype(np.float32)
+        # Texts of one label are counted together; its sums stay whole numbers that floats hold.
+        rows, same = np.unique(rows, return_inverse=True)
+        counts = np.bincount(same[owner] * len(grams) + col, minlength=len(rows) * len(grams))
+        counts = counts.reshape(len(rows), len(grams)).astype(np.float32)
         base = np.stack([self.letter(int(c)) for c in alphabet])
         rolled = [np.roll(base, n - 1 - i, axis=1) for i in range(n)]
         digits = [(grams // k ** (n - 1 - i)) % k for i in range(n)]
@@ -132,7 +144,7 @@ class Encoder:
             bound = rolled[0][digits[0][a:a + 4096]]
             for i in range(1, n):
                 bound = bound * rolled[i][digits[i][a:a + 4096]]
-            np.add.at(out, rows, counts[:, a:a + 4096] @ bound)
+            out[rows] += counts[:, a:a + 4096] @ bound
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -162,13 +174,12 @@ def _train(dim: int, order: int):
         for batch in batches:
             texts, langs = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at in range(0, len(texts), BLOCK_ROWS):
-                block = enc.profiles(texts[at:at + BLOCK_ROWS])
-                names = np.array(langs[at:at + BLOCK_ROWS])
-                for lang in set(langs[at:at + BLOCK_ROWS]):
-                    own = names == lang
+                names, label, n = np.unique(np.array(langs[at:at + BLOCK_ROWS], object), return_inverse=True, return_counts=True)
+                block = enc.bundles(texts[at:at + BLOCK_ROWS], label, len(names))
+                for i, lang in enumerate(names):
                     total = sums.setdefault(lang, [np.zeros(dim), 0])
-                    total[0] += block[own].sum(axis=0)
-                    total[1] += int(own.sum())
+                    total[0] += block[i]
+                    total[1] += int(n[i])
         yield pa.RecordBatch.from_arrays(
             [pa.array(list(sums), pa.string()), pa.array([v.tolist() for v, _ in sums.values()], pa.list_(pa.float64())),
              pa.array([n for _, n in sums.values()], pa.int64())], names=["lang", "v", "n"])

@@ -63,3 +63,11 @@ def test_odd_rows(spark, docs):
     assert empty.languages == []
     assert {r.lang_pred for r in langid.predict(docs(rows), empty).collect()} == {"und"}
     assert langid.predict(docs([]), m).count() == 0
+
+
+def test_bundles_add_the_profiles_of_a_label():
+    enc = langid.Encoder(64)
+    texts = ["one text", "ein Text", None, "another", "Ünï 中文"]
+    label = np.array([1, 0, 1, 1, 0])
+    each = enc.profiles(texts)
+    assert np.array_equal(enc.bundles(texts, label, 3), np.stack([each[label == i].sum(axis=0) for i in range(3)]))
