@@ -242,6 +242,18 @@ def near_duplicates(documents: DataFrame, shingle_words: int = SHINGLE_WORDS, pe
             .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False))))
 
 
+def _prefixes(ordered: DataFrame) -> DataFrame:
+    """One row per class and prefix shingle that another class holds too; the
+    others (df 1) keep their place and count, but meet nothing and do not
+    travel.  ``ordered``: ..., prefix (array of df and item)."""
+    early = F.slice("prefix", 1, EARLY)
+    shared = F.transform(F.filter(early, lambda x: x["df"] > 1), lambda x: x["item"])
+    return (ordered.select("cls", "n", "reach", "root", "outside", shared.alias("early"), F.size(early).alias("n_early"),
+                           F.posexplode("prefix").alias("pos", "x"))
+            .where("x.df > 1").select("cls", "n", "reach", "root", "outside", "early", "n_early", F.col("x.item").alias("item"),
+                                      (F.col("pos") + 1).alias("pos")))
+
+
 def _between(m: DataFrame, roots: DataFrame, reach: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Pass 2: pairs of a bucket in different components that pass the size
     and prefix bounds, and pairs of other buckets that pass them too."""
@@ -259,13 +271,10 @@ def _between(m: DataFrame, roots: DataFrame, reach: DataFrame, sets: DataFrame,
     order = items.groupBy("item").agg(F.count(F.lit(1)).alias("df"))
     # Rare shingles first; the longest prefix that any partner can ask for.
     ordered = (items.join(order, "item").groupBy("cls").agg(F.array_sort(F.collect_list(F.struct("df", "item"))).alias("e"))
-               .join(left, "cls").withColumn("items", F.col("e.item")))
+               .join(left, "cls"))
     most = F.floor((F.col("n") * (100 - percent) + 100) / 100).cast("int")
-    prefix = (ordered.withColumn("prefix", F.slice("items", F.lit(1), most))
-              .select("cls", "n", "reach", "root", "outside", F.slice("prefix", 1, EARLY).alias("early"), F.posexplode("prefix").alias("pos", "item"))
-              .withColumn("pos", F.col("pos") + 1))
-    prefix = written(prefix, "neardup-prefixes")
-    cols = ("cls", "pos", "n", "reach", "root", "early")
+    prefix = written(_prefixes(ordered.withColumn("prefix", F.slice("e", F.lit(1), most))), "neardup-prefixes")
+    cols = ("cls", "pos", "n", "reach", "root", "early", "n_early")
     x = prefix.where("outside").select("item", *[F.col(c).alias(f"{c}_a") for c in cols])
     y = prefix.select("item", *[F.col(c).alias(f"{c}_b") for c in (*cols, "outside")])
     # Shingles of a that may follow the shared one, it included, must reach the overlap; so must b's.
@@ -274,7 +283,7 @@ def _between(m: DataFrame, roots: DataFrame, reach: DataFrame, sets: DataFrame,
     # early ones and all that may follow the early ones of either reach the overlap.
     common = F.array_intersect("early_a", "early_b")
     first = F.coalesce(F.get(common, F.lit(0)) == F.col("item"), F.lit(True))
-    rest = F.greatest(F.col("n_a") - F.size("early_a"), F.col("n_b") - F.size("early_b"))
+    rest = F.greatest(F.col("n_a") - F.col("n_early_a"), F.col("n_b") - F.col("n_early_b"))
     pairs = x.join(y, "item").where(
         (F.col("root_a") != F.col("root_b")) & (room * (100 + percent) >= _need("n_a", "n_b", percent))
         & (~F.col("outside_b") | (F.col("cls_a") < F.col("cls_b")))

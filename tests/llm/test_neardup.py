@@ -94,3 +94,11 @@ def test_components(spark, seed):
             up[a] = up[b] = min(up[a], up[b])
     assert got == {n: up[n] for a, b in links if a != b for n in (a, b)}
     assert components.connected(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_shingles_of_one_class_do_not_travel(spark):
+    """op4: prefix rows are those that another class can meet; places and counts stay those of the whole prefix."""
+    df = spark.createDataFrame([("x", 9, 9, "r", True, [(1, 11), (1, 12), (2, 13), (3, 14)]), ("y", 8, 8, "s", False, [(1, 21)])],
+                               "cls string, n long, reach long, root string, outside boolean, prefix array<struct<df: long, item: long>>")
+    got = sorted(tuple(r[c] for c in ("cls", "item", "pos", "early", "n_early")) for r in nd._prefixes(df).collect())
+    assert got == [("x", 13, 3, [13, 14], 4), ("x", 14, 4, [13, 14], 4)]
