@@ -172,8 +172,7 @@ SELECT user_id, item_id, rating FROM mi
 ORDER BY md5(CAST(user_id AS VARCHAR) || '-' || CAST(item_id AS VARCHAR) || '-42'), user_id, item_id LIMIT 20000""")
 def sample_ratings(spark, sf):
     """C20 + S6: drop watching, min counts, then exactly 20,000 rows by md5 order."""
-    r = clean.ratings_keep_last(tables.ratings_log(spark, sf)).select("user_id", "item_id", "rating")
-    return clean.sample_ratings(r, 20000, 5, 10, seed=42)
+    return clean.sample_ratings(stages.ratings_clean(spark, sf), 20000, 5, 10, seed=42)
 
 
 @register("popular_filter", ctes(CAT_CTES, KEEP_LAST_SQL, RATINGS_CLEAN_SQL, """pop AS (
