@@ -101,13 +101,19 @@ def ranked_from_predictions(pred: DataFrame, k: int | None = 10) -> DataFrame:
     return top_k_per_group(pred, ["user_id"], order, k, salt=SKEW_SALT if k is not None else 0)
 
 
+def ranked_lists(pred: DataFrame, k: int) -> DataFrame:
+    """(user_id, item_id, rank) of the k best: only what orders a list travels."""
+    value = "raw_prediction" if "raw_prediction" in pred.columns else "prediction"
+    return ranked_from_predictions(pred.select("user_id", "item_id", value), k).select("user_id", "item_id", "rank")
+
+
 def evaluate_predictions(pred: DataFrame, k: int = 10, threshold: float = RELEVANT_AT) -> DataFrame:
     """M9: RMSE, MAE on all held-out rows; P@k, R@k over users, where a
     user's list is their held-out items by prediction and relevant = held-out
     rating >= threshold."""
     from ranklight.operators.metrics import per_user_at_k, rating_errors
     err = rating_errors(pred)
-    ranked = ranked_from_predictions(pred, k).select("user_id", "item_id", "rank")
+    ranked = ranked_lists(pred, k)
     relevant = pred.filter(F.col("rating") >= threshold).select("user_id", "item_id")
     per = per_user_at_k(ranked, relevant, (k,))
     pr = per.agg(r6(F.avg("precision")).alias(f"precision_at_{k}"), r6(F.avg("recall")).alias(f"recall_at_{k}"),
@@ -140,7 +146,9 @@ def recommend_user_baseline(model: Baseline, ratings: DataFrame, catalogue: Data
     seen = ratings.filter(F.col("user_id") == user_id).select("item_id")
     items = _eligible_items(catalogue, min_score).join(seen, "item_id", "left_anti")
     pairs = items.select(F.lit(user_id).cast("long").alias("user_id"), "item_id")
-    pred = predict_baseline(model, pairs)
+    # The user's one bias goes to the items, not all items to the user's key.
+    own = Baseline(model.mu, model.item_bias, F.broadcast(model.user_bias.filter(F.col("user_id") == user_id)), model.params)
+    pred = predict_baseline(own, pairs)
     top = pred.orderBy(F.round("raw_prediction", 9).desc(), F.col("item_id")).limit(top_n)
     # At most top_n rows: numbering them needs no partition key.
     from pyspark.sql import Window

@@ -129,9 +129,9 @@ def train_embeddings(spark: SparkSession, sf: str, out: str | None = None, vecto
 def metrics_report(spark: SparkSession, sf: str, out: str | None = None) -> DataFrame:
     """Metrics of every model in long form (model, metric, k, value),
     optionally written as JSON (S9)."""
-    model, split = stages.baseline_model(spark, sf)
-    pred = collab.predict_baseline(model, collab.test_part(split))
-    ranked = collab.ranked_from_predictions(pred, 20).select("user_id", "item_id", "rank")
+    _, split = stages.baseline_model(spark, sf)
+    pred = stages.baseline_test_predictions(spark, sf)
+    ranked = collab.ranked_lists(pred, 20)
     relevant = pred.filter(F.col("rating") >= collab.RELEVANT_AT).select("user_id", "item_id")
     cf_long = metrics.evaluate_all(pred, ranked, relevant).select(F.lit("collaborative").alias("model"), "*")
     cb = stages.content_model(spark, sf)

@@ -42,7 +42,7 @@ def _pred(spark, sf):
 
 
 def _ranked_relevant(pred):
-    ranked = collab.ranked_from_predictions(pred, 20).select("user_id", "item_id", "rank")
+    ranked = collab.ranked_lists(pred, 20)
     relevant = pred.filter(F.col("rating") >= collab.RELEVANT_AT).select("user_id", "item_id", F.col("rating").alias("relevance"))
     return ranked, relevant
 
@@ -262,7 +262,7 @@ def evaluate_collaborative(spark, sf):
     the top-10 lists of the 50 most active users."""
     from ranklight.operators import profile
     model, split = stages.baseline_model(spark, sf)
-    pred = collab.predict_baseline(model, collab.test_part(split))
+    pred = _pred(spark, sf)
     ev = collab.evaluate_predictions(pred, 10)
     active = profile.most_active_users(stages.ratings_clean(spark, sf), 50)
     cat = stages.catalogue(spark, sf)
@@ -299,8 +299,8 @@ def evaluate_hybrid(spark, sf):
     """The weighted hybrid measured on held-out ratings (D8): each
     test user's held-out items ranked by 0.4 content + 0.6 scaled CF."""
     from ranklight.operators import hybrid
-    model, split = stages.baseline_model(spark, sf)
-    pred = collab.predict_baseline(model, collab.test_part(split))
+    _, split = stages.baseline_model(spark, sf)
+    pred = _pred(spark, sf)
     cb = stages.content_model(spark, sf)
     return hybrid.evaluate_on_held_out(pred, collab.train_part(split), cb.weights, 10)
 
