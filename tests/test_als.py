@@ -36,6 +36,38 @@ def test_same_factors_as_spark_ml(spark, monkeypatch, cells):
     assert got.getColdStartStrategy() == "nan" and got.rank == 6
 
 
+def test_pieces_mapped_factors_and_checkpoints_change_nothing(spark, monkeypatch):
+    """Ratings in several pieces, factors in a file, users' factors cut from their lineage."""
+    from pyspark import cloudpickle
+    rows = _ratings(spark)
+    want = als.fit(rows, "u", "i", "r", 6, 3, 0.1, 42)
+    for name, value in (("PIECE", 100), ("MAPPED", 0), ("CUT", 1)):
+        monkeypatch.setattr(als, name, value)
+    cloudpickle.register_pickle_by_value(als)
+    try:
+        got = als.fit(rows, "u", "i", "r", 6, 3, 0.1, 42)
+    finally:
+        cloudpickle.unregister_pickle_by_value(als)
+    for name in ("userFactors", "itemFactors"):
+        a, b = _factors(getattr(got, name)), _factors(getattr(want, name))
+        assert a.keys() == b.keys() and all(np.array_equal(a[k], b[k]) for k in a)
+
+
+def test_no_step_leaves_shuffle_files(spark, monkeypatch):
+    """What the steps and the links shuffled is gone when the fit ends."""
+    dealt, inner = [], als._drop_shuffle
+    monkeypatch.setattr(als, "_drop_shuffle", lambda rdd: dealt.append(rdd) or inner(rdd))
+    als.fit(_ratings(spark), "u", "i", "r", 4, 3, 0.1, 42)
+    assert len(dealt) == 2 + 1 + 2 * 3  # links of both sides, the start, every step
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    for rdd in dealt:
+        link = rdd._jrdd.rdd().dependencies().head()
+        while link.getClass().getSimpleName() != "ShuffleDependency":
+            link = link.rdd().dependencies().head()
+        # Registered anew by later jobs that stop at kept blocks, but without any output.
+        assert not tracker.containsShuffle(link.shuffleId()) or tracker.getNumAvailableOutputs(link.shuffleId()) == 0
+
+
 def test_factors_travel_once_a_block(spark, monkeypatch):
     """fit_factors runs its steps in BLOCKS blocks, not in Spark ML's ten."""
     seen = []
